@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyspark.plans import retail  # noqa: F401
+from tallyspark.plans import changes, retail, scd  # noqa: F401
 from tallyspark.plans.registry import ORACLE, QUERIES
 
 

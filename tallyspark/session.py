@@ -32,6 +32,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for k, v in SESSION_DEFAULTS.items():
