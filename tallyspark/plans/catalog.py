@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyspark.plans import changes, model, quality, retail, scd  # noqa: F401
+from tallyspark.plans import changes, loading, model, quality, retail, scd  # noqa: F401
 from tallyspark.plans.registry import ORACLE, QUERIES
 
 
