@@ -41,7 +41,7 @@ def resolve_parent(src: DataFrame, level: DataFrame, on: Sequence[str],
     name the level lacks -- they are handed out instead of dropped."""
     lv = level.select(level_key, *on)
     matched = src.join(lv, list(on), "inner").drop(*on)
-    unmatched = src.join(lv.select(*on), list(on), "left_anti")
+    unmatched = src.join(lv.select(*on), list(on), "left_anti").select(*src.columns)
     return matched, unmatched
 
 

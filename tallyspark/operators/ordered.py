@@ -32,6 +32,12 @@ from tallyspark.session import checkpoint_dir
 _PID = "_tally_pid"
 _OFF = "_tally_offset"
 
+# Size check for the single-window shortcut: an input proven (by
+# ``limit(n + 1).count()``, which stops reading after n + 1 rows per task) to
+# hold at most this many rows is numbered by one ordinary window; anything
+# larger takes the distributed two-pass path.
+SMALL_ROWS = 500_000
+
 
 def _order_exprs(order: Sequence[tuple[str, bool]]) -> list[Column]:
     """(column, descending) pairs -> sort expressions with NULLs last."""
@@ -60,8 +66,28 @@ def _offsets(cp: DataFrame, value: str | None) -> DataFrame:
     return per_part.select(_PID, F.coalesce(F.sum(src).over(w), F.lit(0)).cast("long").alias(_OFF))
 
 
+def _is_small(df: DataFrame, limit: int) -> bool:
+    return limit > 0 and df.limit(limit + 1).count() <= limit
+
+
+def _small_sequence(df: DataFrame, order: Sequence[tuple[str, bool]], name: str, kind: str,
+                    value: str | None) -> DataFrame:
+    """Bounded input (checked): one window over the whole frame."""
+    w = Window.orderBy(*_order_exprs(order))
+    if kind == "row_number":
+        fn = F.row_number().over(w)
+    elif kind == "rank":
+        fn = F.rank().over(w)
+    else:
+        fn = F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return df.withColumn(name, fn.cast("long"))
+
+
 def _sequence(df: DataFrame, order: Sequence[tuple[str, bool]], name: str, kind: str,
-              value: str | None = None, num_partitions: int | None = None) -> DataFrame:
+              value: str | None = None, num_partitions: int | None = None,
+              small_rows: int = SMALL_ROWS) -> DataFrame:
+    if _is_small(df, small_rows):
+        return _small_sequence(df, order, name, kind, value)
     cp = _range_checkpoint(df, order, num_partitions)
     offs = _offsets(cp, value if kind == "running" else None)
     tagged = cp.join(F.broadcast(offs), _PID, "inner").sortWithinPartitions(*_order_exprs(order))
@@ -108,17 +134,19 @@ def _sequence(df: DataFrame, order: Sequence[tuple[str, bool]], name: str, kind:
 
 
 def global_rank(df: DataFrame, measure: str, name: str = "rank", descending: bool = True,
-                num_partitions: int | None = None) -> DataFrame:
-    """``rank() over (order by measure desc)`` without a single-partition window."""
-    return _sequence(df, [(measure, descending)], name, "rank", num_partitions=num_partitions)
+                num_partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
+    """``rank() over (order by measure desc)`` without a single-partition window
+    (beyond the checked small-input bound)."""
+    return _sequence(df, [(measure, descending)], name, "rank", num_partitions=num_partitions,
+                     small_rows=small_rows)
 
 
 def assign_keys(df: DataFrame, order_cols: Sequence[str], name: str, start: int = 1,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Dense surrogate keys ``start, start+1, ...`` in natural-key order
     (``autoincrement start 1 increment 1``).  order_cols must be unique."""
     out = _sequence(df, [(c, False) for c in order_cols], name, "row_number",
-                    num_partitions=num_partitions)
+                    num_partitions=num_partitions, small_rows=small_rows)
     return out if start == 1 else out.withColumn(name, F.col(name) + (start - 1))
 
 
@@ -131,9 +159,9 @@ def continue_keys(existing: DataFrame, new_rows: DataFrame, order_cols: Sequence
 
 
 def running_total(df: DataFrame, order_cols: Sequence[str], cents_col: str, name: str,
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
     """``sum(x) over (order by order_cols rows between unbounded preceding and
     current row)`` on a whole fact table.  ``order_cols`` must end in a unique
     tie-breaker; the measure is given in whole cents (exact bigint addition)."""
     return _sequence(df, [(c, False) for c in order_cols], name, "running",
-                     value=cents_col, num_partitions=num_partitions)
+                     value=cents_col, num_partitions=num_partitions, small_rows=small_rows)

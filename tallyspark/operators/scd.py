@@ -76,12 +76,15 @@ def _chain(cur: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str],
     version it replaces (``prev_<c>`` for ``carry`` columns) and its expiry.
 
     The predecessor of the first update of a key is the current row; of a later
-    one the previous update of the batch.  Updates equal to their predecessor
-    are dropped (idempotent under re-delivery); expiry = next kept update - 1.
+    one the previous update of the batch.  Updates equal to their predecessor,
+    or not later than the current version, are dropped (idempotent under
+    re-delivery); expiry = next kept update - 1.
     """
-    cur_s = cur.select(F.col(key), F.lit(True).alias("_known"),
+    cur_s = cur.select(F.col(key), F.lit(True).alias("_known"), F.col(EFF).alias("_c_eff"),
                        *[F.col(c).alias(f"_c_{c}") for c in carry])
-    u = upd.join(cur_s, key, "left")
+    # an update effective on/before the current version's start is already in
+    # the table (a replayed batch) -- skip it, so re-applying changes nothing
+    u = upd.join(cur_s, key, "left").filter(F.col("_c_eff").isNull() | (F.col(EFF) > F.col("_c_eff")))
     w = Window.partitionBy(key).orderBy(EFF)
     prev = {c: F.when(F.lag(EFF).over(w).isNull(), F.col(f"_c_{c}")).otherwise(F.lag(F.col(c)).over(w))
             if c in upd.columns else F.col(f"_c_{c}") for c in carry}
