@@ -2,7 +2,7 @@
 
 Parquet has no UPDATE/DELETE/MERGE/time travel, so each statement is a
 function returning the new state; callers write it to a *new* snapshot folder
-(``sources.sinks.write_snapshot``) -- a path is never overwritten while read.
+(``sources.sinks.overwrite``) -- a path is never overwritten while read.
 All functions are deterministic and idempotent where the statement is
 (running ``merge_insert_only`` twice changes nothing), which is what an
 at-least-once ``foreachBatch`` needs.
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import any_changed
+from tallyspark.operators.sizing import broadcast_if_small
 from tallyspark.operators.views import materialize
 
 
@@ -35,7 +36,14 @@ def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """``merge into t using s on key when not matched then insert``.
     Matched target rows are untouched; source duplicates are reduced first."""
     src = dedupe_by_key(source.select(*target.columns), keys, order)
-    new = src.join(target.select(*keys), list(keys), "left_anti")
+    src_keys, small = broadcast_if_small(src.select(*keys))
+    if small:
+        # stream the target past the broadcast batch keys (no shuffle of the
+        # target): which batch keys exist already -> a batch-sized frame
+        present = target.select(*keys).join(src_keys, list(keys), "left_semi")
+        new = src.join(present, list(keys), "left_anti")
+    else:
+        new = src.join(target.select(*keys), list(keys), "left_anti")
     return target.unionByName(new)
 
 
@@ -48,7 +56,8 @@ def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str],
     (source); every SET reads the *old* row.  Target rows without a source row
     are kept; the source is reduced to one row per key first (a warehouse
     would pick an arbitrary one)."""
-    src = dedupe_by_key(source, keys, order).alias("u")
+    src, _ = broadcast_if_small(dedupe_by_key(source, keys, order))
+    src = src.alias("u")
     t = target.alias("t")
     cond = None
     for k in keys:

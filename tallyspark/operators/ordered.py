@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyspark.operators.sizing import proven_small
 from tallyspark.session import checkpoint_dir
 
 _PID = "_tally_pid"
@@ -66,10 +67,6 @@ def _offsets(cp: DataFrame, value: str | None) -> DataFrame:
     return per_part.select(_PID, F.coalesce(F.sum(src).over(w), F.lit(0)).cast("long").alias(_OFF))
 
 
-def _is_small(df: DataFrame, limit: int) -> bool:
-    return limit > 0 and df.limit(limit + 1).count() <= limit
-
-
 def _small_sequence(df: DataFrame, order: Sequence[tuple[str, bool]], name: str, kind: str,
                     value: str | None) -> DataFrame:
     """Bounded input (checked): one window over the whole frame."""
@@ -86,7 +83,7 @@ def _small_sequence(df: DataFrame, order: Sequence[tuple[str, bool]], name: str,
 def _sequence(df: DataFrame, order: Sequence[tuple[str, bool]], name: str, kind: str,
               value: str | None = None, num_partitions: int | None = None,
               small_rows: int = SMALL_ROWS) -> DataFrame:
-    if _is_small(df, small_rows):
+    if proven_small(df, small_rows):
         return _small_sequence(df, order, name, kind, value)
     cp = _range_checkpoint(df, order, num_partitions)
     offs = _offsets(cp, value if kind == "running" else None)

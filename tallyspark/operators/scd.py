@@ -5,10 +5,13 @@ end 9999-12-31) and ``is_current``.  Every ``*_apply`` takes the dimension and
 a batch of updates (key, attributes, optionally ``effective_date``) and returns
 the new dimension; history rows pass through untouched.
 
-Joins are on the business key between the *current* rows and the batch, so
-the shuffle is proportional to the current dimension plus the batch.  The
-only per-key window (chaining several updates of one key inside one batch) is
-over the batch's own rows.
+Scale: a batch touches few keys of a large dimension.  The dimension is split
+once into the versions of keys named in the batch and all other rows
+(``split_by_keys``: broadcast semi/anti joins when the batch's key set is
+proven small, so the dimension is streamed, never shuffled); the versioning
+joins and windows run on the touched part only and the untouched rows are
+unioned back unchanged.  The only per-key window (chaining several updates of
+one key inside one batch) is over the batch's own rows.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import OPEN_END, any_changed, day_before, differs
 from tallyspark.operators.changes import update_from
+from tallyspark.operators.sizing import split_by_keys
 
 EFF, EXP, CUR = "effective_date", "expiry_date", "is_current"
 
@@ -114,11 +118,12 @@ def scd2_apply(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str])
     """Type 2: a changed key gets its current row closed (expiry = effective-1)
     and a new open, current row; unchanged updates do nothing; unknown keys
     get a first row.  One current row per key; intervals do not overlap."""
-    cur = dim.filter(F.col(CUR))
+    touched, untouched = split_by_keys(dim, upd, [key])
+    cur = touched.filter(F.col(CUR))
     attrs = [c for c in dim.columns if c not in (EFF, EXP, CUR)]
     kept = _chain(cur, upd, key, tracked, [c for c in attrs if c != key])
     new_rows = kept.select(*[F.col(c) for c in dim.columns])
-    return _expire(dim, kept, key).unionByName(new_rows)
+    return untouched.unionByName(_expire(touched, kept, key)).unionByName(new_rows)
 
 
 # ---------------------------------------------------------------- type 3
@@ -156,13 +161,14 @@ def scd6_apply(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str],
     Older rows are not re-synchronised."""
     u = upd.withColumnRenamed(source_col, cur_c)
     tracked6 = [cur_c if a == source_col else a for a in tracked]
-    cur = dim.filter(F.col(CUR))
+    touched, untouched = split_by_keys(dim, upd, [key])
+    cur = touched.filter(F.col(CUR))
     attrs = [c for c in dim.columns if c not in (EFF, EXP, CUR, prev_c, hist_c)]
     kept = _chain(cur, u, key, tracked6, [c for c in attrs if c != key])
     new_rows = kept.select(*[F.col(f"prev_{cur_c}").alias(prev_c) if c == prev_c
                              else F.col(cur_c).alias(hist_c) if c == hist_c
                              else F.col(c) for c in dim.columns])
-    return _expire(dim, kept, key).unionByName(new_rows)
+    return untouched.unionByName(_expire(touched, kept, key)).unionByName(new_rows)
 
 
 # ---------------------------------------------------------------- hybrid
@@ -186,14 +192,15 @@ def scd_hybrid_apply(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence
     historical column keeps per-version values."""
     u = upd.withColumnRenamed(source_col, cur_c)
     tracked6 = [cur_c if a == source_col else a for a in tracked]
-    cur = dim.filter(F.col(CUR))
+    touched, untouched = split_by_keys(dim, upd, [key])
+    cur = touched.filter(F.col(CUR))
     attrs = [c for c in dim.columns if c not in (EFF, EXP, CUR, prev_c, hist_c, prev_city)]
     kept = _chain(cur, u, key, tracked6, [c for c in attrs if c != key])
     new_rows = kept.select(*[F.col(f"prev_{cur_c}").alias(prev_c) if c == prev_c
                              else F.col(f"prev_{city_col}").alias(prev_city) if c == prev_city
                              else F.col(cur_c).alias(hist_c) if c == hist_c
                              else F.col(c) for c in dim.columns])
-    versions = _expire(dim, kept, key).unionByName(new_rows)
+    versions = _expire(touched, kept, key).unionByName(new_rows)
     # newest kept version per key drives the type 1 sync
     latest = kept.filter(F.col(CUR)).select(
         key, *[F.col(c).alias(f"_s_{c}") for c in list(sync) + [cur_c]],
@@ -210,7 +217,7 @@ def scd_hybrid_apply(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence
             out.append(F.when(hit & F.col("_city_moved"), F.col("_s_prev_city")).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
-    return j.select(*out)
+    return untouched.unionByName(j.select(*out))
 
 
 # ---------------------------------------------------------------- reads

@@ -197,3 +197,37 @@ def q_change_feed_empty(spark, d):
     """change_feed(t, t) is empty."""
     o = Warehouse(spark, d).orders
     return change_feed(o, o, ["o_orderkey"]).agg(F.count(F.lit(1)).cast("long").alias("feed_rows"))
+
+
+@query("append_batch", MERGED_SQL)
+def q_append_batch(spark, d):
+    """SNK-1: the history is written as a table; the rows of the staging batch
+    that are new (anti-join, duplicates reduced) are appended by name with a
+    cast to the table's types; the table is read back."""
+    from tallyspark.sources.sinks import append
+    from tallyspark.session import scratch_path
+    w = Warehouse(spark, d)
+    path = scratch_path(spark, "sales_append")
+    hist = history(w)
+    hist.write.parquet(path)
+    table = spark.read.parquet(path)
+    new = merge_insert_only(table, staging(w), ["o_orderkey"]).join(
+        table.select("o_orderkey"), "o_orderkey", "left_anti")
+    return append(new.select(*reversed(new.columns)), path, hist.schema)
+
+
+@query("insert_literal_row", f"""
+SELECT * FROM ({HIST_SQL}) UNION ALL
+SELECT CAST(-1 AS BIGINT), CAST(0 AS BIGINT), 'O', 3000.0, TIMESTAMP '2026-07-11 00:00:00', '3-MEDIUM'
+""")
+def q_insert_literal_row(spark, d):
+    """SNK-2 / SRC-7: a literal row (implicit casts from text and ints) inserted
+    into a clone of the history table."""
+    import datetime as dtm
+    from tallyspark.sources.sinks import align, literal_rows
+    w = Warehouse(spark, d)
+    clone = clone_table(history(w), "orders_clone_literal")
+    row = literal_rows(spark, [(-1, 0, "O", 3000, dtm.datetime(2026, 7, 11), "3-MEDIUM")],
+                       "o_orderkey int, o_custkey int, o_orderstatus string, o_totalprice int, "
+                       "o_orderdate timestamp, o_orderpriority string")
+    return clone.unionByName(align(row, clone.schema))

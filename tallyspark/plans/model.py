@@ -312,3 +312,19 @@ def q_fact_with_keys(spark, d):
     return load_fact(src, [(cust, ["c_custkey"], "customer_key")],
                      [F.col("o_orderkey"), F.col("date_key"),
                       F.col("o_totalprice").cast("decimal(12,2)").cast("double").alias("amount")])
+
+
+@query("level_nation_two_sources", """
+SELECT CAST(row_number() OVER (ORDER BY nation_name) AS BIGINT) AS nation_key, nation_name FROM (
+  SELECT n.n_name AS nation_name FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+  UNION
+  SELECT n.n_name FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey)
+""")
+def q_level_nation_two_sources(spark, d):
+    """SET-2 / MDL-3: a level fed by two sources (customers' and branches'
+    nations), UNION (distinct) before numbering."""
+    w = Warehouse(spark, d)
+    nat = F.broadcast(w.nation.select("n_nationkey", F.col("n_name").alias("nation_name")))
+    a = w.customer.join(nat, F.col("c_nationkey") == F.col("n_nationkey")).select("nation_name")
+    b = w.supplier.join(nat, F.col("s_nationkey") == F.col("n_nationkey")).select("nation_name")
+    return build_level(a.union(b), ["nation_name"], "nation_key")
