@@ -60,3 +60,31 @@ def test_rank_many_batches_one_partition(spark):
         assert sorted(got.select("id", "rk").collect()) == sorted(ref.select("id", "rk").collect())
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_distributed_path_on_orders_matches_duckdb(spark):
+    """The two-pass path (forced) on real orders equals DuckDB's windows."""
+    import os
+
+    import duckdb
+    import pytest
+
+    from tallyspark.functions.columns import cents
+    path = "/root/testdata/sf0.001/orders.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test data")
+    o = spark.read.parquet(path).select("o_orderkey", F.to_date("o_orderdate").alias("d"),
+                                        cents("o_totalprice").alias("c"))
+    run = running_total(o, ["d", "o_orderkey"], "c", "run", num_partitions=7, small_rows=0)
+    rk = global_rank(o, "c", "rk", num_partitions=7, small_rows=0)
+    con = duckdb.connect()
+    ref = con.execute(f"""
+        SELECT o_orderkey,
+               SUM(CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 100 AS BIGINT)) OVER (
+                 ORDER BY CAST(o_orderdate AS DATE), o_orderkey ROWS UNBOUNDED PRECEDING) AS run,
+               RANK() OVER (ORDER BY CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 100 AS BIGINT) DESC) AS rk
+        FROM '{path}'""").fetchall()
+    want_run = sorted((k, int(r)) for k, r, _ in ref)
+    want_rk = sorted((k, int(x)) for k, _, x in ref)
+    assert sorted((r.o_orderkey, r.run) for r in run.collect()) == want_run
+    assert sorted((r.o_orderkey, r.rk) for r in rk.collect()) == want_rk
