@@ -55,19 +55,35 @@ def ensure_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_FALLBACK: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    """The reliable checkpoint folder: the session's ``spark.checkpoint.dir``
+    (a shared folder on a cluster).  Only a local session without one gets a
+    fresh local folder."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Spark Connect: no driver-side context
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        configured = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        key = id(sc)
+        if key not in _LOCAL_FALLBACK:
+            _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
+        configured = _LOCAL_FALLBACK[key]
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
