@@ -31,20 +31,26 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in list(order) + rest]).select(*df.columns)
 
 
-def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                      order: Sequence[str] = ()) -> DataFrame:
-    """``merge into t using s on key when not matched then insert``.
-    Matched target rows are untouched; source duplicates are reduced first."""
+def rows_to_insert(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                   order: Sequence[str] = ()) -> DataFrame:
+    """The source rows an insert-only merge adds: one per key (duplicates
+    reduced), only keys the target lacks.  Only the target's key columns are
+    read."""
     src = dedupe_by_key(source.select(*target.columns), keys, order)
     src_keys, small = broadcast_if_small(src.select(*keys))
     if small:
-        # stream the target past the broadcast batch keys (no shuffle of the
-        # target): which batch keys exist already -> a batch-sized frame
+        # stream the target's keys past the broadcast batch keys (no shuffle of
+        # the target): which batch keys exist already -> a batch-sized frame
         present = target.select(*keys).join(src_keys, list(keys), "left_semi")
-        new = src.join(present, list(keys), "left_anti")
-    else:
-        new = src.join(target.select(*keys), list(keys), "left_anti")
-    return target.unionByName(new)
+        return src.join(present, list(keys), "left_anti")
+    return src.join(target.select(*keys), list(keys), "left_anti")
+
+
+def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                      order: Sequence[str] = ()) -> DataFrame:
+    """``merge into t using s on key when not matched then insert``.
+    Matched target rows are untouched; source duplicates are reduced first."""
+    return target.unionByName(rows_to_insert(target, source, keys, order))
 
 
 def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str],

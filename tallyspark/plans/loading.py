@@ -5,11 +5,11 @@ negative balances in accounting style -- ``(994.28)`` -- which the declared
 ``decimal(12,2)`` column rejects.  Loading with ``on_error='continue'`` keeps
 the other rows and hands the rejected lines out.
 
-Incremental: the sales history is the target; the staging batch (with
+Incremental: the sales history is the target table; the staging batch (with
 re-delivered rows) lands as several Parquet files, picked up by a Structured
 Streaming ``availableNow`` run, two files per micro-batch, each merged
-insert-only into a new snapshot of the target.  A second run finds no new
-files and leaves the table as it is.
+insert-only (new keys appended).  A second run finds no new files and leaves
+the table as it is.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from tallyspark.plans.registry import query
 from tallyspark.session import scratch_path
 from tallyspark.sources.csv import CORRUPT, CsvFormat, read_table, write_csv
 from tallyspark.sources.tables import Warehouse
-from tallyspark.streaming.incremental import SnapshotTable, incremental_load
+from tallyspark.streaming.incremental import incremental_load
 
 CUSTOMER_SCHEMA = T.StructType([
     T.StructField("c_custkey", T.LongType()),
@@ -88,13 +88,13 @@ def q_csv_load_transform(spark, d):
 
 @query("incremental_load", MERGED_SQL)
 def q_incremental_load(spark, d):
-    """CHG-9: landing files -> availableNow stream -> insert-only merge per
-    micro-batch -> new snapshot.  Run twice; the second run adds nothing."""
+    """CHG-9: landing files -> availableNow stream -> per micro-batch, the new
+    keys appended to the table.  Run twice; the second run adds nothing."""
     w = Warehouse(spark, d)
     landing = scratch_path(spark, "landing_sales")
     staging(w).repartition(4).write.parquet(landing)
-    table = SnapshotTable(spark, scratch_path(spark, "sales_table"))
-    table.commit(history(w), 0)
+    table = scratch_path(spark, "sales_table")
+    history(w).write.parquet(table)
     ckpt = scratch_path(spark, "sales_stream_ckpt")
     schema = w.orders.schema
     incremental_load(spark, landing, schema, table, ["o_orderkey"], ckpt, max_files_per_batch=2)

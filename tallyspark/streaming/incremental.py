@@ -4,69 +4,33 @@ into the target table (the body of the warehouse's daily task).
 Structured Streaming does the bookkeeping a scheduled task needs: the file
 source remembers which files were processed (in the checkpoint), and
 ``trigger(availableNow=True)`` processes everything new and stops, so a
-scheduler (cron, an orchestrator) just starts the job.  Each micro-batch runs
-``merge_insert_only`` against the current target snapshot and writes the
-result to a new snapshot folder; a small pointer file names the latest one.
-``foreachBatch`` is at-least-once: a batch replayed after a failure merges by
-key again and changes nothing.
+scheduler (cron, an orchestrator) just starts the job.
+
+An insert-only merge never changes existing rows, so each micro-batch only
+*appends* the batch rows whose key the table lacks (``rows_to_insert``: the
+batch is de-duplicated, and its keys are checked against a key-column-only
+scan of the table).  The work per batch is proportional to the batch, not to
+the table.  ``foreachBatch`` is at-least-once: a replayed batch finds its keys
+present and appends nothing.
 """
 
 from __future__ import annotations
 
-import os
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tallyspark.operators.changes import merge_insert_only
-
-
-class SnapshotTable:
-    """A table stored as a sequence of immutable snapshot folders
-    ``<root>/v<epoch>``; the latest version is named in ``<root>/_latest``."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def _pointer(self) -> str:
-        return f"{self.root}/_latest"
-
-    def latest_path(self) -> str | None:
-        try:
-            rows = self.spark.read.text(self._pointer()).collect()  # one tiny line
-        except Exception:  # noqa: BLE001 -- no pointer yet
-            return None
-        return rows[0][0] if rows else None
-
-    def version(self) -> int:
-        path = self.latest_path()
-        return -1 if path is None else int(path.rstrip("/").rsplit("/v", 1)[1])
-
-    def read(self) -> DataFrame:
-        path = self.latest_path()
-        if path is None:
-            raise FileNotFoundError(self.root)
-        return self.spark.read.parquet(path)
-
-    def commit(self, df: DataFrame, version: int) -> str:
-        """Write a new version, then move the pointer (the old version stays
-        readable until then; a crash before the pointer moves loses nothing)."""
-        path = f"{self.root}/v{version:08d}"
-        df.write.mode("overwrite").parquet(path)
-        self.spark.createDataFrame([(path,)], "p string").coalesce(1).write.mode(
-            "overwrite").text(self._pointer())
-        return path
+from tallyspark.operators.changes import rows_to_insert
 
 
 def incremental_load(spark: SparkSession, landing_dir: str, schema: T.StructType,
-                     table: SnapshotTable, keys: Sequence[str], checkpoint: str,
+                     table_path: str, keys: Sequence[str], checkpoint: str,
                      file_format: str = "parquet", max_files_per_batch: int | None = None,
                      order: Sequence[str] = ()) -> DataFrame:
     """Process all files that arrived in ``landing_dir`` since the last run and
-    merge them (insert-only, by ``keys``) into ``table``.  Returns the latest
-    table state."""
+    merge them (insert-only, by ``keys``) into the Parquet table at
+    ``table_path``.  Returns the table."""
     reader = spark.readStream.schema(schema).format(file_format)
     if file_format == "csv":
         reader = reader.option("header", True)
@@ -75,17 +39,13 @@ def incremental_load(spark: SparkSession, landing_dir: str, schema: T.StructType
     stream = reader.load(landing_dir)
 
     def merge_batch(batch: DataFrame, epoch: int) -> None:
-        current = table.read()
-        merged = merge_insert_only(current, batch, keys, order)
-        # always a new folder after the latest one: never overwrite what is read
-        table.commit(merged, table.version() + 1)
+        # the table's file list is fixed when this plan is built, so the
+        # appended files are never read by the same job
+        current = spark.read.schema(schema).parquet(table_path)
+        rows_to_insert(current, batch, keys, order).write.mode("append").parquet(table_path)
 
     q = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return table.read()
-
-
-def landing_path(root: str, name: str) -> str:
-    return os.path.join(root, name)
+    return spark.read.schema(schema).parquet(table_path)
