@@ -31,19 +31,25 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in list(order) + rest]).select(*df.columns)
 
 
+def keys_absent(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` whose key ``table`` lacks.  When the key set of ``rows`` is
+    proven small, the table's key columns are streamed past it (broadcast
+    semi-join, no shuffle of the table) to find the keys already present, and
+    the anti-join runs on batch-sized frames; otherwise a plain anti-join."""
+    row_keys, small = broadcast_if_small(rows.select(*keys).distinct())
+    if small:
+        present = table.select(*keys).join(row_keys, list(keys), "left_semi")
+        return rows.join(present, list(keys), "left_anti")
+    return rows.join(table.select(*keys), list(keys), "left_anti")
+
+
 def rows_to_insert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                    order: Sequence[str] = ()) -> DataFrame:
     """The source rows an insert-only merge adds: one per key (duplicates
     reduced), only keys the target lacks.  Only the target's key columns are
     read."""
     src = dedupe_by_key(source.select(*target.columns), keys, order)
-    src_keys, small = broadcast_if_small(src.select(*keys))
-    if small:
-        # stream the target's keys past the broadcast batch keys (no shuffle of
-        # the target): which batch keys exist already -> a batch-sized frame
-        present = target.select(*keys).join(src_keys, list(keys), "left_semi")
-        return src.join(present, list(keys), "left_anti")
-    return src.join(target.select(*keys), list(keys), "left_anti")
+    return keys_absent(src, target, keys)
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -98,7 +104,7 @@ def restore_rows(current: DataFrame, snapshot: DataFrame, predicate: Column,
                  keys: Sequence[str]) -> DataFrame:
     """Re-insert the rows matching ``predicate`` from an earlier snapshot,
     unless their key is present again (safe to run twice)."""
-    back = snapshot.filter(predicate).join(current.select(*keys), list(keys), "left_anti")
+    back = keys_absent(snapshot.filter(predicate), current, keys)
     return current.unionByName(back.select(*current.columns))
 
 
