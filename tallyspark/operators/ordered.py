@@ -5,16 +5,18 @@ ROWS running sum over a whole fact table.
 A window without PARTITION BY makes Spark move every row into a single task.
 Here the work is split in two passes instead:
 
-1. ``repartitionByRange`` on the order key (equal keys land in the same
-   partition, so ties never straddle a boundary), tag each row with its
-   partition id and ``checkpoint()`` it to the shared checkpoint folder, so the
-   range cut is fixed (the range bounds come from sampling; a recomputation
-   could cut elsewhere) and the lineage is cut.
+1. ``repartitionByRange`` on the order key -- always made unique (keys for
+   row numbers and running sums must be unique; rank appends a row id), so a
+   hot value can never pile up in one task -- tag each row with its partition
+   id and ``checkpoint()`` it to the shared checkpoint folder, so the range cut
+   is fixed (the range bounds come from sampling; a recomputation could cut
+   elsewhere) and the lineage is cut.
 2. Per-partition row counts / sums -- one row per partition, a bound we choose
-   -- are turned into offsets with a prefix sum and broadcast back; each
-   partition is then sorted locally and numbered in an Arrow-batched
-   ``mapInPandas`` (no second shuffle; state carries across batches of the
-   partition, never across partitions).
+   -- are turned into offsets with a prefix sum and broadcast back (for rank
+   also the start rank of a tie group that continues from earlier
+   partitions); each partition is then sorted locally and numbered in an
+   Arrow-batched ``mapInPandas`` (no second shuffle; state carries across
+   batches of the partition, never across partitions).
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from tallyspark.session import checkpoint_dir
 
 _PID = "_tally_pid"
 _OFF = "_tally_offset"
+_TB = "_tally_tiebreak"
 
 # Size check for the single-window shortcut: an input proven (by
 # ``limit(n + 1).count()``, which stops reading after n + 1 rows per task) to
@@ -80,17 +83,64 @@ def _small_sequence(df: DataFrame, order: Sequence[tuple[str, bool]], name: str,
     return df.withColumn(name, fn.cast("long"))
 
 
+def _rank_starts(cp: DataFrame, measure: str, descending: bool) -> DataFrame:
+    """Per partition: rows before it (offset) and the rank of its first tie
+    group.  Ties may span partitions (the range cut is on measure + a unique
+    tie-breaker, so a huge tie group is split across tasks); a group that
+    continues from earlier partitions starts where it started there.
+
+    Works on one summary row per partition (a count we choose, so it is
+    bounded): first/last value, rows, rows before the last tie group."""
+    m = F.col(measure)
+    has_null = F.count_if(m.isNull()) > 0
+    ends = cp.groupBy(_PID).agg(
+        (F.max(m) if descending else F.min(m)).alias("first"),
+        F.when(has_null, F.lit(None)).otherwise(F.min(m) if descending else F.max(m)).alias("last"),
+        F.count(F.lit(1)).alias("n"))
+    # second pass: size of each partition's last tie group (ends is one row
+    # per partition, broadcast)
+    in_last = F.when(F.col("last").isNull(), m.isNull()).otherwise(m == F.col("last"))
+    tail = (cp.select(_PID, measure).join(F.broadcast(ends.select(_PID, "last")), _PID)
+            .groupBy(_PID).agg(F.count_if(in_last).alias("last_n")))
+    summ = (ends.join(tail, _PID).withColumn("before_last", F.col("n") - F.col("last_n"))
+            .orderBy(_PID).collect())            # one row per partition
+    out, offset, prev = [], 0, None              # prev = (last value, start rank of last group)
+    for r in summ:
+        if r["n"] == 0:
+            continue
+        continues = prev is not None and r["first"] == prev[0]
+        first_start = prev[1] if continues else offset + 1
+        whole_one_group = r["first"] == r["last"]
+        last_start = first_start if whole_one_group else offset + r["before_last"] + 1
+        out.append((r[_PID], offset, first_start))
+        prev = (r["last"], last_start)
+        offset += r["n"]
+    schema = T.StructType([T.StructField(_PID, T.IntegerType(), False), T.StructField(_OFF, T.LongType(), False),
+                           T.StructField("_first_start", T.LongType(), False)])
+    return cp.sparkSession.createDataFrame(out, schema)
+
+
 def _sequence(df: DataFrame, order: Sequence[tuple[str, bool]], name: str, kind: str,
               value: str | None = None, num_partitions: int | None = None,
               small_rows: int = SMALL_ROWS) -> DataFrame:
     if proven_small(df, small_rows):
         return _small_sequence(df, order, name, kind, value)
-    cp = _range_checkpoint(df, order, num_partitions)
-    offs = _offsets(cp, value if kind == "running" else None)
+    keep = [f.name for f in df.schema.fields]
+    if kind == "rank":
+        # unique tie-breaker so that a large tie group can be cut into several
+        # range partitions; rank does not depend on the order inside a tie
+        order = list(order) + [(_TB, False)]
+        df_in = df.withColumn(_TB, F.monotonically_increasing_id())
+    else:
+        df_in = df
+    cp = _range_checkpoint(df_in, order, num_partitions)
+    if kind == "rank":
+        offs = _rank_starts(cp, order[0][0], order[0][1])
+    else:
+        offs = _offsets(cp, value if kind == "running" else None)
     tagged = cp.join(F.broadcast(offs), _PID, "inner").sortWithinPartitions(*_order_exprs(order))
     out_fields = [f for f in df.schema.fields] + [T.StructField(name, T.LongType(), False)]
     out_schema = T.StructType(out_fields)
-    keep = [f.name for f in df.schema.fields]
     rank_col = order[0][0]
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -121,7 +171,10 @@ def _sequence(df: DataFrame, order: Sequence[tuple[str, bool]], name: str, kind:
                 local = local.where(local > 0).ffill().fillna(last_rank).astype("int64")
                 last_key = key.iloc[-1]
                 last_rank = int(local.iloc[-1])
-                res = offset + local.to_numpy()
+                # the partition's first tie group may have started in an
+                # earlier partition: its rank comes from the summary pass
+                res = np.where(local.to_numpy() == 1, pdf["_first_start"].to_numpy(dtype=np.int64),
+                               offset + local.to_numpy())
             seen += n
             out = pdf[keep].copy()
             out[name] = res

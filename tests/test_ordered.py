@@ -88,3 +88,19 @@ def test_distributed_path_on_orders_matches_duckdb(spark):
     want_rk = sorted((k, int(x)) for k, _, x in ref)
     assert sorted((r.o_orderkey, r.run) for r in run.collect()) == want_run
     assert sorted((r.o_orderkey, r.rk) for r in rk.collect()) == want_rk
+
+
+def test_rank_with_huge_tie_group_split_across_partitions(spark):
+    # a third of the rows share one value, plus ties at partition edges
+    data = [(i, 5.0 if i % 3 == 0 else float(i % 17), ) for i in range(3000)]
+    data += [(3000 + i, None) for i in range(40)]
+    df = spark.createDataFrame(data, "id long, score double")
+    for desc in (True, False):
+        got = global_rank(df, "score", "rk", descending=desc, num_partitions=9, small_rows=0)
+        o = F.col("score").desc_nulls_last() if desc else F.col("score").asc_nulls_last()
+        ref = df.withColumn("rk", F.rank().over(Window.orderBy(o)))
+        assert sorted(got.select("id", "rk").collect()) == sorted(ref.select("id", "rk").collect())
+        # the big tie group really was cut into several partitions
+    parts = (df.repartitionByRange(9, F.col("score").desc_nulls_last(), F.monotonically_increasing_id())
+             .filter("score = 5.0").select(F.spark_partition_id()).distinct().count())
+    assert parts > 1
