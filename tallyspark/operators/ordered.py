@@ -215,3 +215,43 @@ def running_total(df: DataFrame, order_cols: Sequence[str], cents_col: str, name
     tie-breaker; the measure is given in whole cents (exact bigint addition)."""
     return _sequence(df, [(c, False) for c in order_cols], name, "running",
                      value=cents_col, num_partitions=num_partitions, small_rows=small_rows)
+
+
+def with_neighbors(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
+                   prev_cols: Sequence[str] = (), next_cols: Sequence[str] = (),
+                   small_rows: int = SMALL_ROWS) -> DataFrame:
+    """``lag``/``lead`` within each key, in ``order_cols`` order: adds
+    ``prev_<c>`` / ``next_<c>`` (NULL at the ends of a key) and ``_has_prev`` /
+    ``_has_next``.
+
+    Small inputs (checked) use ``Window.partitionBy(keys)``.  Larger ones must
+    not put all rows of a hot key into one task: every row gets a global
+    sequence number g over (keys, order, row id) -- the distributed
+    ``row_number`` above -- and the neighbours are equi-joins on ``g - 1`` and
+    ``g + 1`` (with the same key).  g is unique, so those joins spread evenly
+    over the tasks whatever the key distribution."""
+    if proven_small(df, small_rows):
+        w = Window.partitionBy(*keys).orderBy(*order_cols)
+        out = df.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in prev_cols],
+                        *[F.lead(c).over(w).alias(f"next_{c}") for c in next_cols],
+                        F.lag(F.lit(1)).over(w).isNotNull().alias("_has_prev"),
+                        F.lead(F.lit(1)).over(w).isNotNull().alias("_has_next"))
+        return out
+    tb = "_tally_nb_id"
+    seq = assign_keys(df.withColumn(tb, F.monotonically_increasing_id()),
+                      [*keys, *order_cols, tb], "_g", small_rows=0)
+    base = seq.alias("x")
+    prev = seq.select(*[F.col(k).alias(f"_p_{k}") for k in keys], (F.col("_g") + 1).alias("_pg"),
+                      *[F.col(c).alias(f"prev_{c}") for c in prev_cols], F.lit(True).alias("_has_prev"))
+    nxt = seq.select(*[F.col(k).alias(f"_n_{k}") for k in keys], (F.col("_g") - 1).alias("_ng"),
+                     *[F.col(c).alias(f"next_{c}") for c in next_cols], F.lit(True).alias("_has_next"))
+    pc = F.col("x._g") == F.col("_pg")
+    nc = F.col("x._g") == F.col("_ng")
+    for k in keys:
+        pc = pc & (F.col(f"x.{k}") == F.col(f"_p_{k}"))
+        nc = nc & (F.col(f"x.{k}") == F.col(f"_n_{k}"))
+    j = base.join(prev, pc, "left").join(nxt, nc, "left")
+    return j.select(*[F.col(f"x.{c}") for c in df.columns],
+                    *[F.col(f"prev_{c}") for c in prev_cols], *[F.col(f"next_{c}") for c in next_cols],
+                    F.coalesce(F.col("_has_prev"), F.lit(False)).alias("_has_prev"),
+                    F.coalesce(F.col("_has_next"), F.lit(False)).alias("_has_next"))

@@ -10,8 +10,9 @@ once into the versions of keys named in the batch and all other rows
 (``split_by_keys``: broadcast semi/anti joins when the batch's key set is
 proven small, so the dimension is streamed, never shuffled); the versioning
 joins and windows run on the touched part only and the untouched rows are
-unioned back unchanged.  The only per-key window (chaining several updates of
-one key inside one batch) is over the batch's own rows.
+unioned back unchanged.  Chaining several updates of one key inside one batch
+uses ``with_neighbors`` (a window for small batches, sequence-number joins for
+large ones, so a key with very many updates does not land in one task).
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import OPEN_END, any_changed, day_before, differs
 from tallyspark.operators.changes import update_from
-from tallyspark.operators.sizing import split_by_keys
+from tallyspark.operators.ordered import with_neighbors
+from tallyspark.operators.sizing import broadcast_if_small, split_by_keys
 
 EFF, EXP, CUR = "effective_date", "expiry_date", "is_current"
 
@@ -82,25 +84,31 @@ def _chain(cur: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str],
     The predecessor of the first update of a key is the current row; of a later
     one the previous update of the batch.  Updates equal to their predecessor,
     or not later than the current version, are dropped (idempotent under
-    re-delivery); expiry = next kept update - 1.
+    re-delivery); expiry = next kept update - 1.  Neighbours within a key come
+    from ``with_neighbors``: a window for small batches, skew-proof
+    sequence-number joins for large ones (a key with very many updates is not
+    handled by one task).
     """
     cur_s = cur.select(F.col(key), F.lit(True).alias("_known"), F.col(EFF).alias("_c_eff"),
                        *[F.col(c).alias(f"_c_{c}") for c in carry])
+    cur_s, _ = broadcast_if_small(cur_s)
     # an update effective on/before the current version's start is already in
     # the table (a replayed batch) -- skip it, so re-applying changes nothing
     u = upd.join(cur_s, key, "left").filter(F.col("_c_eff").isNull() | (F.col(EFF) > F.col("_c_eff")))
-    w = Window.partitionBy(key).orderBy(EFF)
-    prev = {c: F.when(F.lag(EFF).over(w).isNull(), F.col(f"_c_{c}")).otherwise(F.lag(F.col(c)).over(w))
+    in_upd = [c for c in carry if c in upd.columns]
+    u = with_neighbors(u, [key], [EFF], prev_cols=in_upd)
+    prev = {c: F.when(F.col("_has_prev"), F.col(f"prev_{c}")).otherwise(F.col(f"_c_{c}"))
             if c in upd.columns else F.col(f"_c_{c}") for c in carry}
     u = u.select(*upd.columns, F.coalesce(F.col("_known"), F.lit(False)).alias("_known"),
-                 F.lag(EFF).over(w).isNull().alias("_first"),
+                 (~F.col("_has_prev")).alias("_first"),
                  *[prev[c].alias(f"prev_{c}") for c in carry])
     is_new_key = ~F.col("_known") & F.col("_first")
     changed = any_changed([(F.col(a), F.col(f"prev_{a}")) for a in tracked])
     kept = u.filter(is_new_key | changed).drop("_known", "_first")
-    nxt = F.lead(EFF).over(w)
-    return kept.select("*", F.coalesce(day_before(nxt), F.lit(OPEN_END)).alias(EXP),
-                       nxt.isNull().alias(CUR))
+    kept = with_neighbors(kept, [key], [EFF], next_cols=[EFF])
+    return kept.select(*[c for c in kept.columns if c not in (f"next_{EFF}", "_has_prev", "_has_next")],
+                       F.coalesce(day_before(F.col(f"next_{EFF}")), F.lit(OPEN_END)).alias(EXP),
+                       (~F.col("_has_next")).alias(CUR))
 
 
 def _expire(dim: DataFrame, kept: DataFrame, key: str) -> DataFrame:

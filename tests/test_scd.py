@@ -107,3 +107,34 @@ def test_hybrid_sync(spark):
     assert past.previous_city == "Lyon"
     four = {r.is_current: r.previous_city for r in dim.filter("customer_id = 4").collect()}
     assert four == {False: None, True: "Lyon"}   # city unchanged: no previous_city sync
+
+
+def test_with_neighbors_large_path_matches_window(spark):
+    from pyspark.sql import Window
+    from tallyspark.operators.ordered import with_neighbors
+    import random
+    rnd = random.Random(3)
+    # one key holds a third of the rows
+    data = [(0 if i % 3 == 0 else rnd.randint(1, 50), i, rnd.randint(0, 9)) for i in range(1500)]
+    df = spark.createDataFrame(data, "k int, t int, v int")
+    got = with_neighbors(df, ["k"], ["t"], prev_cols=["v"], next_cols=["t"], small_rows=0)
+    w = Window.partitionBy("k").orderBy("t")
+    ref = df.select("*", F.lag("v").over(w).alias("prev_v"), F.lead("t").over(w).alias("next_t"))
+    assert rows(got, "k", "t", "prev_v", "next_t") == rows(ref, "k", "t", "prev_v", "next_t")
+    assert got.filter("not _has_prev").count() == df.select("k").distinct().count()
+
+
+def test_type2_chain_large_path(spark, monkeypatch):
+    import tallyspark.operators.ordered as O
+    extra = [(5, "Eve", "Brest", "BZH", "Gold", "Regular", D(2026, 5, 1)),
+             (5, "Eve", "Brest", "BZH", "Platinum", "Regular", D(2026, 6, 1))]
+    small = scd2_apply(scd2_init(initial(spark), "2026-01-01"), updates(spark, extra), "customer_id", TRACKED)
+    want = rows(small)
+    monkeypatch.setattr(O, "SMALL_ROWS", 0)
+    orig = O.with_neighbors.__defaults__
+    O.with_neighbors.__defaults__ = (orig[0], orig[1], 0)
+    try:
+        big = scd2_apply(scd2_init(initial(spark), "2026-01-01"), updates(spark, extra), "customer_id", TRACKED)
+        assert rows(big) == want
+    finally:
+        O.with_neighbors.__defaults__ = orig
