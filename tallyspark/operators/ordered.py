@@ -219,7 +219,7 @@ def running_total(df: DataFrame, order_cols: Sequence[str], cents_col: str, name
 
 def with_neighbors(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
                    prev_cols: Sequence[str] = (), next_cols: Sequence[str] = (),
-                   small_rows: int = SMALL_ROWS) -> DataFrame:
+                   small_rows: int = SMALL_ROWS, known_small: bool | None = None) -> DataFrame:
     """``lag``/``lead`` within each key, in ``order_cols`` order: adds
     ``prev_<c>`` / ``next_<c>`` (NULL at the ends of a key) and ``_has_prev`` /
     ``_has_next``.
@@ -230,7 +230,7 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
     ``row_number`` above -- and the neighbours are equi-joins on ``g - 1`` and
     ``g + 1`` (with the same key).  g is unique, so those joins spread evenly
     over the tasks whatever the key distribution."""
-    if proven_small(df, small_rows):
+    if known_small or (known_small is None and proven_small(df, small_rows)):
         w = Window.partitionBy(*keys).orderBy(*order_cols)
         out = df.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in prev_cols],
                         *[F.lead(c).over(w).alias(f"next_{c}") for c in next_cols],

@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import OPEN_END, any_changed, day_before, differs
 from tallyspark.operators.changes import update_from
-from tallyspark.operators.ordered import with_neighbors
-from tallyspark.operators.sizing import broadcast_if_small, split_by_keys
+from tallyspark.operators.ordered import SMALL_ROWS, with_neighbors
+from tallyspark.operators.sizing import BROADCAST_ROWS, broadcast_if_small, proven_small, split_by_keys
 
 EFF, EXP, CUR = "effective_date", "expiry_date", "is_current"
 
@@ -77,7 +77,7 @@ def scd2_init(df: DataFrame, start: dt.date | str, end: dt.date = OPEN_END) -> D
 
 
 def _chain(cur: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str],
-           carry: Sequence[str]) -> DataFrame:
+           carry: Sequence[str], small: bool | None = None) -> DataFrame:
     """Updates that really change something, each with the values of the
     version it replaces (``prev_<c>`` for ``carry`` columns) and its expiry.
 
@@ -91,12 +91,12 @@ def _chain(cur: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str],
     """
     cur_s = cur.select(F.col(key), F.lit(True).alias("_known"), F.col(EFF).alias("_c_eff"),
                        *[F.col(c).alias(f"_c_{c}") for c in carry])
-    cur_s, _ = broadcast_if_small(cur_s)
+    cur_s, _ = broadcast_if_small(cur_s, known_small=small)
     # an update effective on/before the current version's start is already in
     # the table (a replayed batch) -- skip it, so re-applying changes nothing
     u = upd.join(cur_s, key, "left").filter(F.col("_c_eff").isNull() | (F.col(EFF) > F.col("_c_eff")))
     in_upd = [c for c in carry if c in upd.columns]
-    u = with_neighbors(u, [key], [EFF], prev_cols=in_upd)
+    u = with_neighbors(u, [key], [EFF], prev_cols=in_upd, known_small=small)
     prev = {c: F.when(F.col("_has_prev"), F.col(f"prev_{c}")).otherwise(F.col(f"_c_{c}"))
             if c in upd.columns else F.col(f"_c_{c}") for c in carry}
     u = u.select(*upd.columns, F.coalesce(F.col("_known"), F.lit(False)).alias("_known"),
@@ -105,12 +105,18 @@ def _chain(cur: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str],
     is_new_key = ~F.col("_known") & F.col("_first")
     changed = any_changed([(F.col(a), F.col(f"prev_{a}")) for a in tracked])
     kept = u.filter(is_new_key | changed).drop("_known", "_first")
-    kept = with_neighbors(kept, [key], [EFF], next_cols=[EFF])
+    kept = with_neighbors(kept, [key], [EFF], next_cols=[EFF], known_small=small)
     return kept.select(*[c for c in kept.columns if c not in (f"next_{EFF}", "_has_prev", "_has_next")],
                        F.coalesce(day_before(F.col(f"next_{EFF}")), F.lit(OPEN_END)).alias(EXP),
                        (~F.col("_has_next")).alias(CUR))
 
 
+def _small_batch(upd: DataFrame) -> bool:
+    """One size check per apply: every frame derived from the batch (its keys,
+    the touched current rows, the chain) is bounded by the batch's row count."""
+    return proven_small(upd, min(SMALL_ROWS, BROADCAST_ROWS))
+
+
 def _expire(dim: DataFrame, kept: DataFrame, key: str) -> DataFrame:
     """Close the current version of every key with a kept update:
     expiry = first kept effective date - 1, is_current = false."""
@@ -126,10 +132,11 @@ def scd2_apply(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str])
     """Type 2: a changed key gets its current row closed (expiry = effective-1)
     and a new open, current row; unchanged updates do nothing; unknown keys
     get a first row.  One current row per key; intervals do not overlap."""
-    touched, untouched = split_by_keys(dim, upd, [key])
+    small = _small_batch(upd)
+    touched, untouched = split_by_keys(dim, upd, [key], known_small=small or None)
     cur = touched.filter(F.col(CUR))
     attrs = [c for c in dim.columns if c not in (EFF, EXP, CUR)]
-    kept = _chain(cur, upd, key, tracked, [c for c in attrs if c != key])
+    kept = _chain(cur, upd, key, tracked, [c for c in attrs if c != key], small or None)
     new_rows = kept.select(*[F.col(c) for c in dim.columns])
     return untouched.unionByName(_expire(touched, kept, key)).unionByName(new_rows)
 
@@ -169,10 +176,11 @@ def scd6_apply(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str],
     Older rows are not re-synchronised."""
     u = upd.withColumnRenamed(source_col, cur_c)
     tracked6 = [cur_c if a == source_col else a for a in tracked]
-    touched, untouched = split_by_keys(dim, upd, [key])
+    small = _small_batch(upd)
+    touched, untouched = split_by_keys(dim, upd, [key], known_small=small or None)
     cur = touched.filter(F.col(CUR))
     attrs = [c for c in dim.columns if c not in (EFF, EXP, CUR, prev_c, hist_c)]
-    kept = _chain(cur, u, key, tracked6, [c for c in attrs if c != key])
+    kept = _chain(cur, u, key, tracked6, [c for c in attrs if c != key], small or None)
     new_rows = kept.select(*[F.col(f"prev_{cur_c}").alias(prev_c) if c == prev_c
                              else F.col(cur_c).alias(hist_c) if c == hist_c
                              else F.col(c) for c in dim.columns])
@@ -200,10 +208,11 @@ def scd_hybrid_apply(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence
     historical column keeps per-version values."""
     u = upd.withColumnRenamed(source_col, cur_c)
     tracked6 = [cur_c if a == source_col else a for a in tracked]
-    touched, untouched = split_by_keys(dim, upd, [key])
+    small = _small_batch(upd)
+    touched, untouched = split_by_keys(dim, upd, [key], known_small=small or None)
     cur = touched.filter(F.col(CUR))
     attrs = [c for c in dim.columns if c not in (EFF, EXP, CUR, prev_c, hist_c, prev_city)]
-    kept = _chain(cur, u, key, tracked6, [c for c in attrs if c != key])
+    kept = _chain(cur, u, key, tracked6, [c for c in attrs if c != key], small or None)
     new_rows = kept.select(*[F.col(f"prev_{cur_c}").alias(prev_c) if c == prev_c
                              else F.col(f"prev_{city_col}").alias(prev_city) if c == prev_city
                              else F.col(cur_c).alias(hist_c) if c == hist_c

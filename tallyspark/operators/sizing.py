@@ -20,19 +20,23 @@ def proven_small(df: DataFrame, max_rows: int) -> bool:
     return max_rows > 0 and df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
+                       known_small: bool | None = None) -> tuple[DataFrame, bool]:
     """(frame, broadcast?) -- the frame hinted for broadcast only when its row
-    count is proven to be at most ``max_rows``."""
-    if proven_small(df, max_rows):
+    count is proven to be at most ``max_rows`` (``known_small=True``: the
+    caller already proved a bound it derives from, e.g. the batch it came
+    from)."""
+    if known_small or (known_small is None and proven_small(df, max_rows)):
         return F.broadcast(df), True
     return df, False
 
 
 def split_by_keys(table: DataFrame, keys_df: DataFrame, keys: list[str],
-                  max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+                  max_rows: int = BROADCAST_ROWS, known_small: bool | None = None
+                  ) -> tuple[DataFrame, DataFrame]:
     """(rows of ``table`` whose key is in ``keys_df``, the other rows).
 
     With a proven-small key set both are broadcast semi/anti joins that stream
     the large table without shuffling it; otherwise shuffle joins."""
-    k, _ = broadcast_if_small(keys_df.select(*keys).distinct(), max_rows)
+    k, _ = broadcast_if_small(keys_df.select(*keys).distinct(), max_rows, known_small)
     return table.join(k, keys, "left_semi"), table.join(k, keys, "left_anti")

@@ -126,15 +126,12 @@ def test_with_neighbors_large_path_matches_window(spark):
 
 def test_type2_chain_large_path(spark, monkeypatch):
     import tallyspark.operators.ordered as O
+    import tallyspark.operators.scd as S
     extra = [(5, "Eve", "Brest", "BZH", "Gold", "Regular", D(2026, 5, 1)),
              (5, "Eve", "Brest", "BZH", "Platinum", "Regular", D(2026, 6, 1))]
-    small = scd2_apply(scd2_init(initial(spark), "2026-01-01"), updates(spark, extra), "customer_id", TRACKED)
-    want = rows(small)
-    monkeypatch.setattr(O, "SMALL_ROWS", 0)
-    orig = O.with_neighbors.__defaults__
-    O.with_neighbors.__defaults__ = (orig[0], orig[1], 0)
-    try:
-        big = scd2_apply(scd2_init(initial(spark), "2026-01-01"), updates(spark, extra), "customer_id", TRACKED)
-        assert rows(big) == want
-    finally:
-        O.with_neighbors.__defaults__ = orig
+    want = rows(scd2_apply(scd2_init(initial(spark), "2026-01-01"), updates(spark, extra), "customer_id", TRACKED))
+    # force the large-batch path: no proven bound, neighbours by sequence joins
+    monkeypatch.setattr(S, "_small_batch", lambda upd: False)
+    monkeypatch.setattr(O, "proven_small", lambda df, n: False)
+    big = scd2_apply(scd2_init(initial(spark), "2026-01-01"), updates(spark, extra), "customer_id", TRACKED)
+    assert rows(big) == want
