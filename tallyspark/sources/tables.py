@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspark.functions.columns import as_date
 from tallyspark.session import ensure_session
@@ -20,12 +21,24 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+# Schemas of the tables already read (path -> StructType).  Production reads
+# state the schema; here it is learnt from the first read of each path, which
+# spares the footer inspection (schema inference) on every later read.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Full table scan.  Column pruning and filters reach the Parquet reader."""
     if name not in TABLES:
         raise KeyError(name)
     ensure_session(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _SCHEMAS.get(path)
+    if known is not None:
+        return spark.read.schema(known).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df
 
 
 class Warehouse:
