@@ -1,8 +1,10 @@
 """Size checks behind every explicit broadcast.
 
 ``proven_small(df, n)`` runs ``df.limit(n + 1).count()``: each task stops
-after n + 1 rows, so the check costs at most a bounded read even when the
-frame is huge, and a True answer is a proof that the frame has <= n rows.
+after n + 1 rows, so the check reads at most min(frame, partitions x (n + 1))
+rows, and a True answer is a proof that the frame has <= n rows.  It is run on
+the side expected to be small (a batch, its key set), never on the large
+table it is joined to.
 Only such frames are broadcast by hand; everything else is left to Spark's
 own size-checked auto-broadcast and AQE (sort-merge beyond the threshold).
 """
