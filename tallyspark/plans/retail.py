@@ -734,3 +734,36 @@ def top_customers_materialized(spark, d):
     cust = w.customer.select("c_custkey", "c_name")
     return (stored.join(cust, "c_custkey").select("c_custkey", "c_name", "revenue")
             .orderBy(*order_desc("revenue", "c_custkey")))
+
+
+@query("reconcile_totals", f"""
+SELECT 'global' AS report, {money_sum_sql('o_totalprice')} AS total FROM orders
+UNION ALL SELECT 'by_customer', CAST(SUM(rev) AS DOUBLE) FROM (
+  SELECT SUM(CAST(o.o_totalprice AS DECIMAL(12,2))) AS rev FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  GROUP BY c.c_custkey)
+UNION ALL SELECT 'by_status', CAST(SUM(rev) AS DOUBLE) FROM (
+  SELECT SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS rev FROM orders GROUP BY o_orderstatus)
+UNION ALL SELECT 'by_month', CAST(SUM(rev) AS DOUBLE) FROM (
+  SELECT SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS rev FROM orders GROUP BY date_trunc('month', o_orderdate))
+""")
+def reconcile_totals(spark, d):
+    """DQ-8 (grouped vs global): the totals of the grouped reports equal the
+    global total.  Each grouped report keeps its exact decimal sums so the
+    comparison is exact."""
+    w = _w(spark, d)
+    o = w.orders.select("o_custkey", "o_orderstatus", month_start("o_orderdate").alias("m"),
+                        F.col("o_totalprice").cast("decimal(12,2)").alias("amt"))
+    cust = w.customer.select("c_custkey")
+    by = {
+        "by_customer": revenue_by(o, ["c_custkey"], [Measure("rev", "sum", "amt")],
+                                  [Lookup(cust, "o_custkey", "c_custkey")]),
+        "by_status": revenue_by(o, ["o_orderstatus"], [Measure("rev", "sum", "amt")]),
+        "by_month": revenue_by(o, ["m"], [Measure("rev", "sum", "amt")]),
+    }
+    parts = [o.agg(F.sum("amt").cast("double").alias("total")).select(F.lit("global").alias("report"), "total")]
+    parts += [g.agg(F.sum("rev").cast("double").alias("total")).select(F.lit(n).alias("report"), "total")
+              for n, g in by.items()]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
