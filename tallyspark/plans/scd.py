@@ -275,3 +275,21 @@ SELECT CAST(COUNT(*) AS BIGINT) AS total_records,
 FROM hybrid""")
 def q_scd_hybrid_metrics(spark, d):
     return history_metrics(hybrid_table(Warehouse(spark, d)))
+
+
+@query("history_loss", f"""
+WITH {INPUT_SQL}
+SELECT u.customer_id, u.membership AS type1_membership, i.membership AS type2_kept_membership,
+       i.city AS type2_kept_city, CAST(u.effective_date - 1 AS DATE) AS kept_until
+FROM chg u JOIN init i ON u.customer_id = i.customer_id
+""")
+def q_history_loss(spark, d):
+    """SCD-4: what type 1 loses -- for every changed customer the overwritten
+    values, which type 2 keeps in its closed version."""
+    w = Warehouse(spark, d)
+    t1 = scd1_apply(initial(w), updates(w), "customer_id", TRACKED)
+    closed = scd2_table(w).filter(~F.col("is_current"))
+    return (t1.alias("a").join(closed.alias("b"), "customer_id")
+            .select("customer_id", F.col("a.membership").alias("type1_membership"),
+                    F.col("b.membership").alias("type2_kept_membership"),
+                    F.col("b.city").alias("type2_kept_city"), F.col("b.expiry_date").alias("kept_until")))
