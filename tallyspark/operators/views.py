@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,16 @@ def register_views(spark: SparkSession, views: Mapping[str, DataFrame]) -> list[
     return list(views)
 
 
+def unique_view_names(spark: SparkSession, views: Mapping[str, DataFrame]) -> dict[str, str]:
+    """Register each frame under ``<name>_<unique suffix>`` and return the
+    mapping name -> registered name (SQL text is then formatted with it), so
+    concurrent callers sharing a session never see each other's views."""
+    suffix = uuid.uuid4().hex[:10]
+    names = {n: f"{n}_{suffix}" for n in views}
+    register_views(spark, {names[n]: df for n, df in views.items()})
+    return names
+
+
 def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to a new Parquet folder and return the stored table."""
     spark = df.sparkSession

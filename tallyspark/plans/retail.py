@@ -16,7 +16,7 @@ from tallyspark.operators.ordered import running_total
 from tallyspark.operators.reports import (
     Lookup, Measure, above_average, best_per_group, money_m, order_desc,
     purchase_frequency, rank_by, revenue_by, top_by, with_global_avg)
-from tallyspark.operators.views import materialize, refresh_aggregate, register_views
+from tallyspark.operators.views import materialize, refresh_aggregate, unique_view_names
 from tallyspark.plans.registry import cents_sql, money_sum_sql, query
 from tallyspark.sources.tables import Warehouse
 
@@ -544,14 +544,13 @@ def customer_day_trend(spark, d):
 def revenue_cte(spark, d):
     """The customer revenue report written as a CTE through Spark SQL."""
     w = _w(spark, d)
-    w.orders.createOrReplaceTempView("tally_orders")
-    w.customer.createOrReplaceTempView("tally_customer")
-    return spark.sql("""
+    v = unique_view_names(spark, {"orders": w.orders, "customer": w.customer})
+    return spark.sql(f"""
         WITH order_revenue AS (
           SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS rev
-          FROM tally_orders GROUP BY o_custkey)
+          FROM {v['orders']} GROUP BY o_custkey)
         SELECT c.c_custkey, c.c_name, CAST(SUM(r.rev) AS DOUBLE) AS revenue
-        FROM order_revenue r JOIN tally_customer c ON r.o_custkey = c.c_custkey
+        FROM order_revenue r JOIN {v['customer']} c ON r.o_custkey = c.c_custkey
         GROUP BY c.c_custkey, c.c_name
         ORDER BY revenue DESC NULLS LAST, c.c_custkey""")
 
@@ -582,14 +581,13 @@ def above_average_subquery(spark, d):
     """R33 (scalar-subquery form) through Spark SQL.  The grouped frame is read
     by three plan branches; AQE reuses the exchange."""
     w = _w(spark, d)
-    w.orders.createOrReplaceTempView("tally_orders")
-    w.customer.createOrReplaceTempView("tally_customer")
-    return spark.sql("""
+    v = unique_view_names(spark, {"orders": w.orders, "customer": w.customer})
+    return spark.sql(f"""
         WITH cr AS (
           SELECT c.c_custkey, c.c_name,
                  SUM(CAST(CAST(o.o_totalprice AS DECIMAL(12,2)) * 100 AS BIGINT)) AS revenue_cents,
                  CAST(SUM(CAST(o.o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS revenue
-          FROM tally_orders o JOIN tally_customer c ON o.o_custkey = c.c_custkey
+          FROM {v['orders']} o JOIN {v['customer']} c ON o.o_custkey = c.c_custkey
           GROUP BY c.c_custkey, c.c_name)
         SELECT c_custkey, c_name, revenue FROM cr
         WHERE revenue_cents * (SELECT COUNT(*) FROM cr) > (SELECT SUM(revenue_cents) FROM cr)
@@ -685,16 +683,16 @@ def wide_sales(w: Warehouse) -> DataFrame:
 @query("wide_sales_view", WIDE_SQL)
 def wide_sales_view(spark, d):
     w = _w(spark, d)
-    register_views(spark, {"tally_wide_sales": wide_sales(w)})
-    return spark.table("tally_wide_sales")
+    v = unique_view_names(spark, {"wide_sales": wide_sales(w)})
+    return spark.table(v["wide_sales"])
 
 
 @query("customer_revenue_view", CUST_SQL)
 def customer_revenue_view(spark, d):
     """The customer revenue report as a named view, read back (the view is
     re-evaluated on each read; filters on it are pushed through)."""
-    register_views(spark, {"tally_customer_revenue": _customer_revenue(_w(spark, d))})
-    return spark.table("tally_customer_revenue")
+    v = unique_view_names(spark, {"customer_revenue": _customer_revenue(_w(spark, d))})
+    return spark.table(v["customer_revenue"])
 
 
 @query("part_revenue_view", f"""
@@ -704,8 +702,8 @@ GROUP BY p.p_partkey, p.p_name, p.p_type
 """)
 def part_revenue_view(spark, d):
     """R38."""
-    register_views(spark, {"tally_part_revenue": _part_revenue(_w(spark, d))})
-    return spark.table("tally_part_revenue")
+    v = unique_view_names(spark, {"part_revenue": _part_revenue(_w(spark, d))})
+    return spark.table(v["part_revenue"])
 
 
 @query("materialized_supplier_revenue", SUPP_SQL)
