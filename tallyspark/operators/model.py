@@ -17,21 +17,27 @@ from tallyspark.operators.ordered import assign_keys
 
 
 def build_level(src: DataFrame, name_cols: Sequence[str], key: str,
-                parent: tuple[DataFrame, Sequence[str], str] | None = None) -> DataFrame:
+                parent: tuple[DataFrame, Sequence[str], str] | None = None,
+                known_small: bool | None = None) -> DataFrame:
     """A look-up level: distinct ``name_cols`` of ``src`` (+ the parent key
     resolved by the parent's name columns), numbered 1.. in natural-key order
     so that a re-run gives the same keys.
 
     ``parent`` = (parent_level, columns of src naming the parent, parent key).
     Names may repeat under different parents (brand X in two categories): the
-    level keeps one row per (name, parent)."""
+    level keeps one row per (name, parent).
+
+    ``known_small=True``: ``src`` is proven to hold at most the small-input
+    bound of ``assign_keys`` (a level has no more rows than its source), so
+    the numbering skips its own size check."""
     if parent is None:
         distinct = src.select(*name_cols).distinct()
-        return assign_keys(distinct, list(name_cols), key).select(key, *name_cols)
+        return assign_keys(distinct, list(name_cols), key, known_small=known_small).select(key, *name_cols)
     plevel, pnames, pkey = parent
     distinct = src.select(*name_cols, *pnames).distinct()
     resolved = distinct.join(plevel.select(pkey, *pnames), list(pnames), "inner").select(*name_cols, pkey)
-    return assign_keys(resolved, list(name_cols) + [pkey], key).select(key, *name_cols, pkey)
+    return assign_keys(resolved, list(name_cols) + [pkey], key,
+                       known_small=known_small).select(key, *name_cols, pkey)
 
 
 def resolve_parent(src: DataFrame, level: DataFrame, on: Sequence[str],

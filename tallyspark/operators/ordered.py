@@ -124,8 +124,10 @@ def _rank_starts(cp: DataFrame, measure: str, descending: bool) -> DataFrame:
 
 def _sequence(df: DataFrame, order: Sequence[tuple[str, bool]], name: str, kind: str,
               value: str | None = None, num_partitions: int | None = None,
-              small_rows: int = SMALL_ROWS) -> DataFrame:
-    if proven_small(df, small_rows):
+              small_rows: int = SMALL_ROWS, known_small: bool | None = None) -> DataFrame:
+    """``known_small``: the caller has already proved the bound (e.g. ``df`` is
+    a projection of a table checked with ``proven_small``); None = check here."""
+    if known_small or (known_small is None and proven_small(df, small_rows)):
         return _small_sequence(df, order, name, kind, value)
     keep = [f.name for f in df.schema.fields]
     if kind == "rank":
@@ -194,11 +196,12 @@ def global_rank(df: DataFrame, measure: str, name: str = "rank", descending: boo
 
 
 def assign_keys(df: DataFrame, order_cols: Sequence[str], name: str, start: int = 1,
-                num_partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
+                num_partitions: int | None = None, small_rows: int = SMALL_ROWS,
+                known_small: bool | None = None) -> DataFrame:
     """Dense surrogate keys ``start, start+1, ...`` in natural-key order
     (``autoincrement start 1 increment 1``).  order_cols must be unique."""
     out = _sequence(df, [(c, False) for c in order_cols], name, "row_number",
-                    num_partitions=num_partitions, small_rows=small_rows)
+                    num_partitions=num_partitions, small_rows=small_rows, known_small=known_small)
     return out if start == 1 else out.withColumn(name, F.col(name) + (start - 1))
 
 

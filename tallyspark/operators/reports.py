@@ -4,16 +4,21 @@ overall average beside each row, wide report.
 
 Scale notes
 -----------
-* ``revenue_by`` aggregates the fact by its foreign keys *before* joining any
-  dimension (Catalyst does not push an aggregate below a join).  Partial
-  (map-side) aggregation then shrinks the fact before its one shuffle, a hot
-  key costs one partial row per task instead of a third of the shuffle, and
-  the join sees one row per key.  The grouped fact comes out hash-partitioned
-  on the key, so the join to a large dimension reuses that partitioning.
-* Dimensions are joined without hints: Spark's size-checked auto-broadcast and
-  AQE's run-time conversion pick broadcast for small ones and sort-merge beyond.
-  Explicit ``broadcast`` is used only for frames whose size is bounded by
-  construction (one-row aggregates, nation/region look-ups).
+* ``revenue_by`` first proves the size of each look-up (``proven_small``;
+  or the caller states a bound that holds by construction).  Look-ups proven
+  small are broadcast and joined to the fact where it lies -- no shuffle of the
+  fact for them -- and the fact is then aggregated map-side straight to the
+  report's groups, so its only shuffle carries one partial row per group and
+  task (a hot key costs one row per task).
+* A look-up beyond the bound is never broadcast.  The fact is then
+  aggregated by the foreign keys still needed *before* joining (Catalyst does
+  not push an aggregate below a join): partial aggregation shrinks it before
+  its shuffle, the join sees one row per key, and the grouped fact comes out
+  hash-partitioned on the key, which a sort-merge join reuses.  AQE may still
+  turn that join into a broadcast at run time and splits skewed partitions.
+  Spark's static estimates are not trusted for this choice: a chain of joins
+  is estimated as the product of its inputs, which once made it broadcast
+  the pre-aggregated fact instead of a thousand-row dimension.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import avg_money_from_cents, money, out_money
 from tallyspark.operators.ordered import global_rank
+from tallyspark.operators.sizing import BROADCAST_ROWS, broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -73,36 +79,51 @@ def money_m(name: str, column: str) -> Measure:
 @dataclass(frozen=True)
 class Lookup:
     """Inner look-up ``fact.fact_key = dim.dim_key``; ``dim`` should be
-    projected to the key and the attributes needed."""
+    projected to the key and the attributes needed.
+
+    ``small``: True when the dimension is bounded by construction (a fixed
+    list such as nation x region); None (default) = prove it at run time with
+    ``proven_small``; False = never broadcast."""
     dim: DataFrame
     fact_key: str
     dim_key: str
+    small: bool | None = None
+
+
+def _join_lookup(cur: DataFrame, dim: DataFrame, lk: Lookup) -> DataFrame:
+    if lk.dim_key != lk.fact_key:
+        return cur.join(dim, cur[lk.fact_key] == dim[lk.dim_key], "inner")
+    return cur.join(dim, lk.fact_key, "inner")
 
 
 def revenue_by(fact: DataFrame, by: Sequence[str], measures: Sequence[Measure],
-               lookups: Sequence[Lookup] = ()) -> DataFrame:
+               lookups: Sequence[Lookup] = (), broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Grouped measures of ``fact`` by ``by`` columns, which may come from the
     fact or from looked-up dimensions (chains allowed: a later look-up may key
     on a column brought in by an earlier one).
 
-    Plan: fact --partial agg by (fact keys used)--> join dims --> final agg by ``by``.
+    Plan: fact --broadcast joins of the leading look-ups proven small-->
+    partial agg by (``by`` columns + fact keys of the remaining look-ups) -->
+    joins of the remaining look-ups --> final agg by ``by``.  With every
+    look-up small the first aggregate is already the report.
     """
-    fact_cols = set(fact.columns)
-    first_keys = [lk.fact_key for lk in lookups if lk.fact_key in fact_cols]
-    fact_by = [c for c in by if c in fact_cols]
-    pre_keys = list(dict.fromkeys(fact_by + first_keys))
-    grouped = fact.groupBy(*pre_keys).agg(*[m.partial() for m in measures])
-    if not lookups:
-        if list(by) == pre_keys:
-            return grouped.select(*by, *[m.finish() for m in measures])
-        return grouped.groupBy(*by).agg(*[m.merge() for m in measures])
+    cur, rest = fact, list(lookups)
+    while rest:
+        dim, small = broadcast_if_small(rest[0].dim, broadcast_rows, rest[0].small)
+        if not small:
+            break
+        cur = _join_lookup(cur, dim, rest.pop(0))
+    cols = set(cur.columns)
+    pre_keys = list(dict.fromkeys([c for c in by if c in cols] +
+                                  [lk.fact_key for lk in rest if lk.fact_key in cols]))
+    grouped = cur.groupBy(*pre_keys).agg(*[m.partial() for m in measures])
+    if not rest:
+        return grouped.select(*by, *[m.finish() for m in measures])
     cur = grouped
-    for lk in lookups:
-        dim = lk.dim
-        if lk.dim_key != lk.fact_key:
-            cur = cur.join(dim, cur[lk.fact_key] == dim[lk.dim_key], "inner")
-        else:
-            cur = cur.join(dim, lk.fact_key, "inner")
+    for i, lk in enumerate(rest):
+        # the first one failed its check already; later ones get their own
+        dim, _ = (lk.dim, False) if i == 0 else broadcast_if_small(lk.dim, broadcast_rows, lk.small)
+        cur = _join_lookup(cur, dim, lk)
     return cur.groupBy(*by).agg(*[m.merge() for m in measures])
 
 

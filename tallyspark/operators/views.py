@@ -41,7 +41,7 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     target = path or scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(target)
-    return spark.read.parquet(target)
+    return spark.read.schema(df.schema).parquet(target)
 
 
 def refresh_aggregate(stored: DataFrame, delta: DataFrame, keys: Sequence[str],

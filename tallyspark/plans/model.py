@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 
 from tallyspark.operators.model import (
     build_level, calendar, flatten_hierarchy, load_fact, resolve_parent)
-from tallyspark.operators.ordered import assign_keys
+from tallyspark.operators.ordered import SMALL_ROWS, assign_keys
 from tallyspark.operators.quality import audit, reconcile, rows_touched
 from tallyspark.operators.reports import Lookup, money_m, revenue_by
+from tallyspark.operators.sizing import proven_small
+from tallyspark.operators.views import materialize
 from tallyspark.plans.registry import money_sum_sql, query
 from tallyspark.sources.tables import Warehouse
 
@@ -40,30 +42,63 @@ def stg_product(w: Warehouse) -> DataFrame:
 
 
 class Normalized:
-    """Level tables and normalized dimensions, each built on first use (a
-    level's keys are computed once per instance, never recomputed)."""
+    """Level tables and normalized dimensions, each built on first use.
+
+    Each level is written once as a table below the shared checkpoint folder
+    (``materialize``) and read back, as the normalized model's tables are
+    stored in a warehouse: its keys are computed once and never recomputed
+    (not even after a lost executor), every later join reads a small stored
+    table instead of re-deriving it, and Spark's size-checked auto-broadcast
+    sees the table's real file size instead of an estimate derived from the
+    staging scan."""
 
     def __init__(self, w: Warehouse):
         self.w = w
         self._b, self._p = stg_branch(w), stg_product(w)
 
+    # The distinct name paths of each hierarchy, stored once: the staging
+    # tables (branch- and product-sized) are scanned and shuffled once per
+    # hierarchy; every level, its size check and its numbering then read a
+    # table of at most one row per distinct path.
+    @cached_property
+    def _geo_paths(self) -> DataFrame:
+        return materialize(self._b.select("nation_name", "region_name").distinct(), "paths_geo")
+
+    @cached_property
+    def _product_paths(self) -> DataFrame:
+        return materialize(self._p.select("brand_name", "category_name").distinct(), "paths_product")
+
+    # One size check per hierarchy: a level has no more rows than the stored
+    # paths it is derived from.
+    @cached_property
+    def _geo_small(self) -> bool:
+        return proven_small(self._geo_paths, SMALL_ROWS)
+
+    @cached_property
+    def _product_small(self) -> bool:
+        return proven_small(self._product_paths, SMALL_ROWS)
+
     @cached_property
     def region(self) -> DataFrame:
-        return build_level(self._b, ["region_name"], "region_key")
+        return materialize(build_level(self._geo_paths, ["region_name"], "region_key",
+                                       known_small=self._geo_small), "level_region")
 
     @cached_property
     def nation(self) -> DataFrame:
-        return build_level(self._b, ["nation_name"], "nation_key",
-                           parent=(self.region, ["region_name"], "region_key"))
+        return materialize(build_level(self._geo_paths, ["nation_name"], "nation_key",
+                                       parent=(self.region, ["region_name"], "region_key"),
+                                       known_small=self._geo_small), "level_nation")
 
     @cached_property
     def category(self) -> DataFrame:
-        return build_level(self._p, ["category_name"], "category_key")
+        return materialize(build_level(self._product_paths, ["category_name"], "category_key",
+                                       known_small=self._product_small), "level_category")
 
     @cached_property
     def brand(self) -> DataFrame:
-        return build_level(self._p, ["brand_name"], "brand_key",
-                           parent=(self.category, ["category_name"], "category_key"))
+        return materialize(build_level(self._product_paths, ["brand_name"], "brand_key",
+                                       parent=(self.category, ["category_name"], "category_key"),
+                                       known_small=self._product_small), "level_brand")
 
     @cached_property
     def _branch_parts(self) -> tuple[DataFrame, DataFrame]:

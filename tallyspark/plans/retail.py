@@ -158,7 +158,7 @@ def revenue_by_supplier_nation(spark, d):
     nat = F.broadcast(w.nation.select("n_nationkey", F.col("n_name").alias("supplier_nation")))
     return (revenue_by(w.lineitem, ["supplier_nation"], [money_m("revenue", "l_extendedprice")],
                        [Lookup(sup, "l_suppkey", "s_suppkey"),
-                        Lookup(nat, "s_nationkey", "n_nationkey")])
+                        Lookup(nat, "s_nationkey", "n_nationkey", small=True)])
             .orderBy(*order_desc("revenue", "supplier_nation")))
 
 
@@ -176,7 +176,7 @@ def revenue_by_region(spark, d):
     sup = w.supplier.select("s_suppkey", "s_nationkey")
     geo = _nation_region(w).select("n_nationkey", "r_name")
     return (revenue_by(w.lineitem, ["r_name"], [money_m("revenue", "l_extendedprice")],
-                       [Lookup(sup, "l_suppkey", "s_suppkey"), Lookup(geo, "s_nationkey", "n_nationkey")])
+                       [Lookup(sup, "l_suppkey", "s_suppkey"), Lookup(geo, "s_nationkey", "n_nationkey", small=True)])
             .orderBy(*order_desc("revenue", "r_name")))
 
 
@@ -192,7 +192,7 @@ def revenue_by_customer_nation(spark, d):
     nat = F.broadcast(w.nation.select("n_nationkey", F.col("n_name").alias("customer_nation")))
     return (revenue_by(w.orders, ["customer_nation"], [money_m("revenue", "o_totalprice")],
                        [Lookup(cust, "o_custkey", "c_custkey"),
-                        Lookup(nat, "c_nationkey", "n_nationkey")])
+                        Lookup(nat, "c_nationkey", "n_nationkey", small=True)])
             .orderBy(*order_desc("revenue", "customer_nation")))
 
 
@@ -520,7 +520,7 @@ def region_dashboard(spark, d):
     geo = _nation_region(w).select("n_nationkey", "r_name")
     return (revenue_by(li, ["r_name"], [Measure("total_quantity", "sum", "qty"),
                                         money_m("revenue", "l_extendedprice")],
-                       [Lookup(sup, "l_suppkey", "s_suppkey"), Lookup(geo, "s_nationkey", "n_nationkey")])
+                       [Lookup(sup, "l_suppkey", "s_suppkey"), Lookup(geo, "s_nationkey", "n_nationkey", small=True)])
             .withColumn("total_quantity", F.col("total_quantity").cast("long"))
             .orderBy(*order_desc("revenue", "r_name")))
 
