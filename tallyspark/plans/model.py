@@ -20,7 +20,8 @@ from tallyspark.operators.model import (
     build_level, calendar, flatten_hierarchy, load_fact, resolve_parent)
 from tallyspark.operators.ordered import SMALL_ROWS, assign_keys
 from tallyspark.operators.quality import audit, reconcile, rows_touched
-from tallyspark.operators.reports import Lookup, money_m, revenue_by
+from tallyspark.functions.columns import money, out_money
+from tallyspark.operators.reports import Lookup, Measure, money_m, order_desc, revenue_by
 from tallyspark.operators.sizing import proven_small
 from tallyspark.operators.views import materialize
 from tallyspark.plans.registry import money_sum_sql, query
@@ -363,3 +364,110 @@ def q_level_nation_two_sources(spark, d):
     a = w.customer.join(nat, F.col("c_nationkey") == F.col("n_nationkey")).select("nation_name")
     b = w.supplier.join(nat, F.col("s_nationkey") == F.col("n_nationkey")).select("nation_name")
     return build_level(a.union(b), ["nation_name"], "nation_key")
+
+
+# ------------------------------------------------ R43-R45: group reports, flat vs normalized
+# Claim lines are the line items: claimed amount = line price, approved amount
+# = line price net of its discount.  Both are exact decimals (price as
+# decimal(12,2) times (1 - discount as decimal(4,2))), summed exactly and
+# handed out as DOUBLE.
+CLAIMED_SQL = "CAST(l.l_extendedprice AS DECIMAL(12,2))"
+APPROVED_SQL = "CAST(l.l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2)))"
+
+
+def claim_lines(w: Warehouse) -> DataFrame:
+    return w.lineitem.select(
+        "l_orderkey", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long").alias("qty"),
+        money("l_extendedprice").alias("claimed"),
+        (money("l_extendedprice") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).alias("approved"))
+
+
+def _as_double(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select(*[out_money(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@query("manager_performance", f"""
+SELECT n.n_name AS nation_name, CAST(SUM(CAST(l.l_quantity AS BIGINT)) AS BIGINT) AS total_items_sold,
+       {money_sum_sql('l.l_extendedprice')} AS total_sales_amount
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY n.n_name
+""")
+def q_manager_performance(spark, d):
+    """Items sold and sales amount per territory of the flat branch
+    dimension (the branch's nation stands in for its regional manager),
+    largest sales first."""
+    w = Warehouse(spark, d)
+    b = stg_branch(w).select("s_suppkey", "nation_name")
+    out = revenue_by(claim_lines(w), ["nation_name"],
+                     [Measure("total_items_sold", "sum", "qty"), money_m("total_sales_amount", "claimed")],
+                     [Lookup(b, "l_suppkey", "s_suppkey")])
+    return (out.withColumn("total_items_sold", F.col("total_items_sold").cast("long"))
+            .orderBy(*order_desc("total_sales_amount", "nation_name")))
+
+
+CLAIMS_BY_CATEGORY_SQL = f"""
+SELECT p.p_type AS category_name, CAST(SUM({CLAIMED_SQL}) AS DOUBLE) AS total_claimed_amount,
+       CAST(SUM({APPROVED_SQL}) AS DOUBLE) AS total_approved_amount
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+GROUP BY p.p_type
+"""
+
+CLAIM_AMOUNTS = [Measure("total_claimed_amount", "sum", "claimed"),
+                 Measure("total_approved_amount", "sum", "approved")]
+
+
+@query("claims_by_category_flat", CLAIMS_BY_CATEGORY_SQL)
+def q_claims_by_category_flat(spark, d):
+    """R44 (flat): claimed and approved amounts per category through the flat
+    product dimension (one join)."""
+    w = Warehouse(spark, d)
+    p = stg_product(w).select("p_partkey", "category_name")
+    out = revenue_by(claim_lines(w), ["category_name"], CLAIM_AMOUNTS, [Lookup(p, "l_partkey", "p_partkey")])
+    return _as_double(out, "total_claimed_amount", "total_approved_amount").orderBy("category_name")
+
+
+@query("claims_by_category_normalized", CLAIMS_BY_CATEGORY_SQL)
+def q_claims_by_category_normalized(spark, d):
+    """R44 (normalized): the same report through product -> brand level ->
+    category level (surrogate keys)."""
+    w = Warehouse(spark, d)
+    n = Normalized(w)
+    p = n.product_flat().select("p_partkey", "category_name")
+    out = revenue_by(claim_lines(w), ["category_name"], CLAIM_AMOUNTS, [Lookup(p, "l_partkey", "p_partkey")])
+    return _as_double(out, "total_claimed_amount", "total_approved_amount").orderBy("category_name")
+
+
+CLAIMS_BY_NATION_SQL = f"""
+SELECT n.n_name AS nation_name, CAST(COUNT(l.l_orderkey) AS BIGINT) AS total_claims_handled,
+       CAST(SUM({APPROVED_SQL}) AS DOUBLE) AS total_approved_amount
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY n.n_name
+"""
+
+CLAIMS_HANDLED = [Measure("total_claims_handled", "count", "l_orderkey"),
+                  Measure("total_approved_amount", "sum", "approved")]
+
+
+@query("claims_by_nation_flat", CLAIMS_BY_NATION_SQL)
+def q_claims_by_nation_flat(spark, d):
+    """R45 (flat): claims handled (count of claim ids) and approved amount per
+    parent of the branch, read inline from the flat branch dimension."""
+    w = Warehouse(spark, d)
+    b = stg_branch(w).select("s_suppkey", "nation_name")
+    out = revenue_by(claim_lines(w), ["nation_name"], CLAIMS_HANDLED, [Lookup(b, "l_suppkey", "s_suppkey")])
+    return _as_double(out, "total_approved_amount").orderBy("nation_name")
+
+
+@query("claims_by_nation_normalized", CLAIMS_BY_NATION_SQL)
+def q_claims_by_nation_normalized(spark, d):
+    """R45 (normalized): the parent's attribute needs one more hierarchy join
+    (branch -> nation level)."""
+    w = Warehouse(spark, d)
+    n = Normalized(w)
+    b = flatten_hierarchy(n.branch.select("s_suppkey", "nation_key"),
+                          [(n.nation.select("nation_key", "nation_name"), "nation_key", "nation_key")])
+    out = revenue_by(claim_lines(w), ["nation_name"], CLAIMS_HANDLED,
+                     [Lookup(b.select("s_suppkey", "nation_name"), "l_suppkey", "s_suppkey")])
+    return _as_double(out, "total_approved_amount").orderBy("nation_name")

@@ -64,3 +64,39 @@ def test_above_average_is_exact_and_avg_rounds_half_up(spark):
     assert [r.k for r in above_average(g, "cents").collect()] == [3]   # avg 200.33
     avg = with_global_avg(spark.createDataFrame([(1, 1), (2, 2)], "k int, cents long"), "cents", "a")
     assert {r.a for r in avg.collect()} == {0.02}   # 1.5 cents -> 2 cents
+
+
+def _sales_frames(spark):
+    fact = spark.createDataFrame([(1, 10, 1.10), (2, 10, 2.20), (3, 20, 3.30), (4, 30, 4.40), (5, 99, 1.00)],
+                                 "sale int, cust int, amount double")
+    dim = spark.createDataFrame([(10, "A", 1), (20, "B", 2), (30, "C", 1)], "cust_id int, name string, reg int")
+    reg = spark.createDataFrame([(1, "North"), (2, "South")], "reg_id int, region string")
+    return fact, dim, reg
+
+
+def test_revenue_by_broadcast_and_shuffle_paths_agree(spark):
+    """Look-ups proven small are joined before aggregating; otherwise the fact
+    is pre-aggregated by key first.  Same report either way, also with a
+    chained look-up and with a mix of both kinds."""
+    fact, dim, reg = _sales_frames(spark)
+    ms = [money_m("revenue", "amount"), Measure("n", "rows")]
+
+    def run(**kw):
+        small_dim, small_reg = kw.get("dim"), kw.get("reg")
+        return rows(revenue_by(fact, ["region"], ms,
+                               [Lookup(dim, "cust", "cust_id", small=small_dim),
+                                Lookup(reg, "reg", "reg_id", small=small_reg)],
+                               broadcast_rows=kw.get("bound", 1000)))
+
+    expected = [("North", 7.7, 3), ("South", 3.3, 1)]   # sale 5 has no customer
+    assert run() == expected                            # both proven small
+    assert run(bound=0) == expected                     # neither provable
+    assert run(dim=False, reg=True) == expected         # big first, small second
+
+
+def test_revenue_by_small_lookup_does_not_shuffle_the_fact_by_key(spark):
+    fact, dim, _ = _sales_frames(spark)
+    out = revenue_by(fact, ["name"], [money_m("revenue", "amount")], [Lookup(dim, "cust", "cust_id")])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert "hashpartitioning(cust" not in plan
