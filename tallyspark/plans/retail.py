@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.columns import as_date, cents, month_start, out_cents
+from tallyspark.functions.columns import as_date, cents, money_sum, month_start, out_cents, out_money
 from tallyspark.operators.ordered import running_total
 from tallyspark.operators.reports import (
     Lookup, Measure, above_average, best_per_group, money_m, order_desc,
@@ -245,9 +245,10 @@ SELECT {MS_ORDERS} AS total_revenue, CAST(COUNT(*) AS BIGINT) AS order_count FRO
 """)
 def total_revenue(spark, d):
     o = _w(spark, d).orders
-    return o.agg(money_m("total_revenue", "o_totalprice").partial(),
+    # a one-row total over the whole fact: exact decimal sum (no bound needed)
+    return o.agg(money_sum("o_totalprice").alias("total_revenue"),
                  F.count(F.lit(1)).alias("order_count")).select(
-        F.col("total_revenue").cast("double").alias("total_revenue"),
+        out_money("total_revenue").alias("total_revenue"),
         F.col("order_count").cast("long").alias("order_count"))
 
 
@@ -468,7 +469,7 @@ def purchase_analysis(spark, d):
     return (per_cust.join(cust, per_cust["o_custkey"] == cust["c_custkey"])
             .select("c_custkey", "c_name", F.col("order_count").cast("long").alias("order_count"),
                     F.col("total_quantity").cast("long").alias("total_quantity"),
-                    F.col("total_spending").cast("double").alias("total_spending"))
+                    out_cents("total_spending").alias("total_spending"))
             .orderBy(*order_desc("total_spending", "c_custkey")))
 
 
