@@ -42,3 +42,15 @@ def split_by_keys(table: DataFrame, keys_df: DataFrame, keys: list[str],
     the large table without shuffling it; otherwise shuffle joins."""
     k, _ = broadcast_if_small(keys_df.select(*keys).distinct(), max_rows, known_small)
     return table.join(k, keys, "left_semi"), table.join(k, keys, "left_anti")
+
+
+def lookup_join(big: DataFrame, dim: DataFrame, on, how: str = "inner",
+                max_rows: int = BROADCAST_ROWS, known_small: bool | None = None) -> DataFrame:
+    """Join a large frame to a look-up ``dim``.  The look-up is broadcast only
+    when its size is proven (or bounded by construction, ``known_small``);
+    otherwise the join is a sort-merge join on the key, so the large side is
+    never broadcast on the strength of an estimate (a chain of joins is
+    estimated as the product of its inputs, which can make a plain fact scan
+    look like the smaller side)."""
+    d, small = broadcast_if_small(dim, max_rows, known_small)
+    return big.join(d if small else d.hint("merge"), on, how)

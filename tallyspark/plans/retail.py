@@ -16,6 +16,7 @@ from tallyspark.operators.ordered import running_total
 from tallyspark.operators.reports import (
     Lookup, Measure, above_average, best_per_group, money_m, order_desc,
     purchase_frequency, rank_by, revenue_by, top_by, with_global_avg)
+from tallyspark.operators.sizing import lookup_join
 from tallyspark.operators.views import materialize, refresh_aggregate, unique_view_names
 from tallyspark.plans.registry import cents_sql, money_sum_sql, query
 from tallyspark.sources.tables import Warehouse
@@ -655,8 +656,11 @@ def wide_sales(w: Warehouse) -> DataFrame:
 
     Join order for scale: customer attributes are attached to the orders first
     and nation names to the branches first (order- and branch-sized data), so
-    the line-sized rows are shuffled once per remaining key (order, product,
-    branch) instead of once more for the customer key."""
+    the line-sized rows meet one join per remaining key (order, product,
+    branch) instead of one more for the customer key.  Lines and orders are
+    both fact-sized: sort-merge join on the order key.  Product and branch
+    are broadcast only when their size is proven (``lookup_join``); beyond the
+    bound the lines are shuffled once per key for a sort-merge join."""
     cn = F.broadcast(w.nation.select(F.col("n_nationkey").alias("cn_key"),
                                      F.col("n_name").alias("customer_nation")))
     sn = F.broadcast(w.nation.select(F.col("n_nationkey").alias("sn_key"),
@@ -671,10 +675,12 @@ def wide_sales(w: Warehouse) -> DataFrame:
     products = w.part.select("p_partkey", F.col("p_name").alias("product_name"),
                              F.col("p_type").alias("category"), F.col("p_brand").alias("brand"))
     li = w.lineitem
-    return (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(products, F.col("l_partkey") == F.col("p_partkey"))
-            .join(branches, F.col("l_suppkey") == F.col("s_suppkey"))
-            .select("l_orderkey", "l_linenumber", "sale_date", "c_custkey", "customer_name",
+    # orders are the other half of the fact (a quarter of the lines at any
+    # scale), not a look-up: a sort-merge join on the order key
+    j = lookup_join(li, orders, F.col("l_orderkey") == F.col("o_orderkey"), known_small=False)
+    j = lookup_join(j, products, F.col("l_partkey") == F.col("p_partkey"))
+    j = lookup_join(j, branches, F.col("l_suppkey") == F.col("s_suppkey"))
+    return (j.select("l_orderkey", "l_linenumber", "sale_date", "c_custkey", "customer_name",
                     "customer_nation", "p_partkey", "product_name", "category", "brand",
                     "s_suppkey", "branch_name", "branch_nation",
                     F.col("l_quantity").cast("long").alias("quantity"),
