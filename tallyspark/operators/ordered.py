@@ -37,11 +37,10 @@ _OFF = "_tally_offset"
 _TB = "_tally_tiebreak"
 
 # Size check for the single-window shortcut: an input proven (by
-# ``limit(n + 1).count()``) to hold at most this many rows is numbered by one
-# ordinary window; anything larger takes the distributed two-pass path.  The
-# check reads at most n + 1 rows per partition, so on a huge input it costs a
-# fraction of one pass (~20% for 1M-row partitions) -- the bound is kept low
-# for that reason.
+# ``proven_small``, an exact count with one partial count per task) to hold at
+# most this many rows is numbered by one ordinary window; anything larger
+# takes the distributed two-pass path.  The bound keeps the single window's
+# one task small.
 SMALL_ROWS = 200_000
 
 

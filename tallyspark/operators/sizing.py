@@ -1,12 +1,20 @@
 """Size checks behind every explicit broadcast.
 
-``proven_small(df, n)`` runs ``df.limit(n + 1).count()``: each task stops
-after n + 1 rows, so the check reads at most min(frame, partitions x (n + 1))
-rows, and a True answer is a proof that the frame has <= n rows.  It is run on
-the side expected to be small (a batch, its key set), never on the large
-table it is joined to.
-Only such frames are broadcast by hand; everything else is left to Spark's
-own size-checked auto-broadcast and AQE (sort-merge beyond the threshold).
+``proven_small(df, n)`` counts the frame: each task counts its rows and only
+one partial count per task is shuffled, so the answer is exact and a True
+answer is a proof that the frame has <= n rows.  It costs one pass over the
+checked frame (for a plain Parquet projection only the row-group metadata
+is read).  The check is run on the side expected to be small (a dimension,
+a batch, its key set), never on the large table it is joined to.
+
+(``limit(n + 1).count()`` is not used: it plans as a per-task limit feeding a
+single-partition exchange, so every task writes up to n + 1 rows into one
+reducer's shuffle -- on a large input that funnels billions of rows at one
+task instead of bounding the cost.)
+
+Only frames proven this way, or bounded by construction, are broadcast by
+hand; everything else is joined by sort-merge (``lookup_join``) or left to
+Spark's size-checked auto-broadcast and AQE.
 """
 
 from __future__ import annotations
@@ -19,7 +27,7 @@ BROADCAST_ROWS = 2_000_000
 
 
 def proven_small(df: DataFrame, max_rows: int) -> bool:
-    return max_rows > 0 and df.limit(max_rows + 1).count() <= max_rows
+    return max_rows > 0 and df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
