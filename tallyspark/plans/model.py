@@ -22,7 +22,7 @@ from tallyspark.operators.ordered import SMALL_ROWS, assign_keys
 from tallyspark.operators.quality import audit, reconcile, rows_touched
 from tallyspark.functions.columns import money, out_money
 from tallyspark.operators.reports import Lookup, Measure, money_m, order_desc, revenue_by
-from tallyspark.operators.sizing import proven_small
+from tallyspark.operators.sizing import BROADCAST_ROWS, proven_small
 from tallyspark.operators.views import materialize
 from tallyspark.plans.registry import money_sum_sql, query
 from tallyspark.sources.tables import Warehouse
@@ -112,6 +112,19 @@ class Normalized:
         p_c, _ = resolve_parent(self._p, self.category, ["category_name"], "category_key")
         return resolve_parent(p_c, self.brand, ["brand_name", "category_key"], "brand_key")
 
+    # Size bounds of the normalized dimensions: level keys are unique, so the
+    # inner look-ups of branch/product and their flattening cannot fan out --
+    # a dimension has at most as many rows as its base table, whose count is
+    # read from Parquet metadata.  True = proven small; None = not proven
+    # (the consumer checks the frame itself).
+    @cached_property
+    def branch_small(self) -> bool | None:
+        return True if proven_small(self.w.supplier, BROADCAST_ROWS) else None
+
+    @cached_property
+    def product_small(self) -> bool | None:
+        return True if proven_small(self.w.part, BROADCAST_ROWS) else None
+
     @property
     def branch(self) -> DataFrame:
         return self._branch_parts[0]
@@ -142,8 +155,10 @@ def normalized_revenue(w: Warehouse) -> DataFrame:
     """Region x category revenue through both hierarchies (6 tables)."""
     n = Normalized(w)
     return revenue_by(n.fact, ["region_name", "category_name"], [money_m("revenue", "amount")],
-                      [Lookup(n.branch_flat().select("s_suppkey", "region_name"), "l_suppkey", "s_suppkey"),
-                       Lookup(n.product_flat().select("p_partkey", "category_name"), "l_partkey", "p_partkey")])
+                      [Lookup(n.branch_flat().select("s_suppkey", "region_name"), "l_suppkey", "s_suppkey",
+                              small=n.branch_small),
+                       Lookup(n.product_flat().select("p_partkey", "category_name"), "l_partkey", "p_partkey",
+                              small=n.product_small)])
 
 
 def flat_revenue(w: Warehouse) -> DataFrame:
@@ -434,7 +449,8 @@ def q_claims_by_category_normalized(spark, d):
     w = Warehouse(spark, d)
     n = Normalized(w)
     p = n.product_flat().select("p_partkey", "category_name")
-    out = revenue_by(claim_lines(w), ["category_name"], CLAIM_AMOUNTS, [Lookup(p, "l_partkey", "p_partkey")])
+    out = revenue_by(claim_lines(w), ["category_name"], CLAIM_AMOUNTS,
+                     [Lookup(p, "l_partkey", "p_partkey", small=n.product_small)])
     return _as_double(out, "total_claimed_amount", "total_approved_amount").orderBy("category_name")
 
 
@@ -469,5 +485,6 @@ def q_claims_by_nation_normalized(spark, d):
     b = flatten_hierarchy(n.branch.select("s_suppkey", "nation_key"),
                           [(n.nation.select("nation_key", "nation_name"), "nation_key", "nation_key")])
     out = revenue_by(claim_lines(w), ["nation_name"], CLAIMS_HANDLED,
-                     [Lookup(b.select("s_suppkey", "nation_name"), "l_suppkey", "s_suppkey")])
+                     [Lookup(b.select("s_suppkey", "nation_name"), "l_suppkey", "s_suppkey",
+                             small=n.branch_small)])
     return _as_double(out, "total_approved_amount").orderBy("nation_name")
