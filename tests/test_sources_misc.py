@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from tallyspark.functions.columns import day_before, differs, full_name, month_start
 from tallyspark.operators.ordered import continue_keys
-from tallyspark.operators.sizing import broadcast_if_small, proven_small, split_by_keys
+from tallyspark.operators.sizing import broadcast_if_small, lookup_join, proven_small, split_by_keys
 from tallyspark.operators.views import materialize, refresh_aggregate
 from tallyspark.session import scratch_path
 from tallyspark.sources.sinks import align, append, literal_rows, overwrite, positional
@@ -63,3 +63,26 @@ def test_materialize_and_refresh_equals_full_aggregate(spark):
     delta = facts.filter("v <= 5").groupBy("k").agg(F.sum("v").alias("v"))
     refreshed = refresh_aggregate(stored, delta, ["k"], ["v"], "agg")
     assert rows(refreshed) == rows(facts.groupBy("k").agg(F.sum("v").alias("v")))
+
+
+def test_lookup_join_broadcasts_only_proven_look_ups(spark):
+    big = spark.range(1000).withColumn("k", F.col("id") % 10)
+    dim = spark.createDataFrame([(i, f"n{i}") for i in range(10)], "k long, name string")
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    small = lookup_join(big, dim, "k", max_rows=10)
+    assert "BroadcastHashJoin" in plan(small) and small.count() == 1000
+    # beyond the bound: sort-merge, never a broadcast of either side
+    large = lookup_join(big, dim, "k", max_rows=5)
+    assert "SortMergeJoin" in plan(large) and "Broadcast" not in plan(large)
+    assert large.count() == 1000
+    # bounded by construction: no check needed
+    assert "BroadcastHashJoin" in plan(lookup_join(big, dim, "k", known_small=True))
+
+
+def test_proven_small_is_exact_across_partitions(spark):
+    df = spark.range(0, 10_000, numPartitions=8)
+    assert proven_small(df, 10_000) and not proven_small(df, 9_999)
+    assert not proven_small(df, 0)
