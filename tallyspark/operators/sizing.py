@@ -25,8 +25,16 @@ from pyspark.sql import functions as F
 # Key sets up to this many rows are broadcast (a few tens of MB of keys).
 BROADCAST_ROWS = 2_000_000
 
+# Session setting that caps every size bound (rows), e.g. to suit executor
+# memory; 0 proves nothing small, which shows the plans a cluster-sized input
+# gets (tools/explain.py AT_SCALE=1).
+MAX_ROWS_CONF = "tallyspark.sizing.maxRows"
+
 
 def proven_small(df: DataFrame, max_rows: int) -> bool:
+    cap = df.sparkSession.conf.get(MAX_ROWS_CONF, None)
+    if cap is not None:
+        max_rows = min(max_rows, int(cap))
     return max_rows > 0 and df.count() <= max_rows
 
 
