@@ -172,22 +172,24 @@ def best_per_group(grouped: DataFrame, group: Sequence[str], measure: str,
 def above_average(grouped: DataFrame, measure_cents: str) -> DataFrame:
     """Rows whose measure is above the average of all rows.
 
-    The average is a one-row global aggregate (size 1, broadcast).  The test
+    The reference's cross join with a one-row aggregate is evaluated as a
+    scalar subquery (``DataFrame.scalar()``): the total and the row count are
+    one global aggregate, computed once (Spark merges the two scalars into one
+    subquery) and inlined as a value -- no join at all.  The test
     ``x > sum/n`` is done as ``x * n > sum`` on whole cents: exact, no
     rounding of the average involved."""
     stats = grouped.agg(F.sum(measure_cents).alias("_tot"), F.count(F.lit(1)).alias("_n"))
-    return (grouped.crossJoin(F.broadcast(stats))
-            .filter(F.col(measure_cents) * F.col("_n") > F.col("_tot"))
-            .drop("_tot", "_n"))
+    total, n = stats.select("_tot").scalar(), stats.select("_n").scalar()
+    return grouped.filter(F.col(measure_cents) * n > total)
 
 
 def with_global_avg(df: DataFrame, cents_col: str, name: str) -> DataFrame:
     """Each row beside the overall average (``avg(x) over ()``), rounded to the
-    cent.  A one-row aggregate broadcast to all rows instead of a window that
-    would pull every row into one partition."""
+    cent.  The average is a one-row aggregate inlined as a scalar subquery,
+    instead of a window that would pull every row into one partition."""
     stats = df.agg(F.sum(cents_col).alias("_tot"), F.count(cents_col).alias("_n"))
     avg = stats.select(avg_money_from_cents("_tot", "_n").alias(name))
-    return df.crossJoin(F.broadcast(avg))
+    return df.withColumn(name, avg.scalar())
 
 
 def purchase_frequency(customers: DataFrame, sales: DataFrame, cust_key: str,

@@ -405,7 +405,8 @@ SELECT o_orderkey, o_custkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE
 FROM orders
 """)
 def order_vs_average(spark, d):
-    """Each sale beside the overall average (one-row broadcast aggregate)."""
+    """Each sale beside the overall average (a one-row aggregate inlined
+    as a scalar subquery)."""
     o = _w(spark, d).orders.select("o_orderkey", "o_custkey", cents("o_totalprice").alias("amount_cents"))
     return (with_global_avg(o, "amount_cents", "average_amount")
             .select("o_orderkey", "o_custkey", out_cents("amount_cents").alias("amount"), "average_amount"))
@@ -567,7 +568,8 @@ WHERE revenue_cents * (SELECT COUNT(*) FROM cr) > (SELECT SUM(revenue_cents) FRO
 @query("above_average_crossjoin", ABOVE_AVG_SQL)
 def above_average_crossjoin(spark, d):
     """R33 (chained-CTE form): customers whose revenue beats the average
-    customer revenue; one-row average broadcast beside each customer."""
+    customer revenue; the one-row total and count are a scalar subquery
+    computed once, so the reference's cross join needs no join at all."""
     w = _w(spark, d)
     cust = w.customer.select("c_custkey", "c_name")
     o = w.orders.select("o_custkey", "o_totalprice", cents("o_totalprice").alias("oc"))
