@@ -715,6 +715,13 @@ def part_revenue_view(spark, d):
     return spark.table(v["part_revenue"])
 
 
+@query("supplier_revenue_view", SUPP_SQL)
+def supplier_revenue_view(spark, d):
+    """R39 (view form): branch revenue as a named view, read back."""
+    v = unique_view_names(spark, {"supplier_revenue": _supplier_revenue(_w(spark, d))})
+    return spark.table(v["supplier_revenue"])
+
+
 @query("materialized_supplier_revenue", SUPP_SQL)
 def materialized_supplier_revenue(spark, d):
     """R39 / VIW-2: revenue per branch stored as a table from the lines shipped
