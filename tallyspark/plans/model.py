@@ -488,3 +488,147 @@ def q_claims_by_nation_normalized(spark, d):
                      [Lookup(b.select("s_suppkey", "nation_name"), "l_suppkey", "s_suppkey",
                              small=n.branch_small)])
     return _as_double(out, "total_approved_amount").orderBy("nation_name")
+
+
+# ------------------------------------------------ date hierarchy (MDL-3, R11/R12 via JON-3)
+class NormalizedDates:
+    """Date hierarchy of the normalized model, built from the calendar over the
+    order dates (the staging calendar): year level -> quarter level (quarter
+    name + year key) -> month level (month name + quarter key) -> date
+    dimension (date key -> month key).
+
+    A quarter or month name repeats every year, so each level is resolved by
+    its name *and* its parent's key; a look-up by name alone would fan out
+    (JON-12).  As for the other hierarchies, the distinct name paths are
+    stored once, one size check covers every level, and each level is stored
+    once with its keys."""
+
+    def __init__(self, w: Warehouse):
+        self.w = w
+        self._cal = calendar(w.orders, "o_orderdate")
+
+    @cached_property
+    def _paths(self) -> DataFrame:
+        return materialize(self._cal.select(F.col("month").alias("month_name"),
+                                            F.col("quarter").alias("quarter_name"), "year").distinct(),
+                           "paths_date")
+
+    @cached_property
+    def _small(self) -> bool:
+        return proven_small(self._paths, SMALL_ROWS)
+
+    @cached_property
+    def year(self) -> DataFrame:
+        return materialize(build_level(self._paths, ["year"], "year_key", known_small=self._small), "level_year")
+
+    @cached_property
+    def quarter(self) -> DataFrame:
+        return materialize(build_level(self._paths, ["quarter_name"], "quarter_key",
+                                       parent=(self.year, ["year"], "year_key"), known_small=self._small),
+                           "level_quarter")
+
+    @cached_property
+    def month(self) -> DataFrame:
+        src = self._paths.join(self.year, "year")
+        return materialize(build_level(src, ["month_name"], "month_key",
+                                       parent=(self.quarter, ["quarter_name", "year_key"], "quarter_key"),
+                                       known_small=self._small), "level_month")
+
+    def date_dim(self) -> DataFrame:
+        """One row per calendar day with its month key (look-ups by name +
+        parent key, each against a stored level)."""
+        c = (self._cal.withColumnRenamed("month", "month_name").withColumnRenamed("quarter", "quarter_name")
+             .join(self.year, "year")
+             .join(self.quarter, ["quarter_name", "year_key"])
+             .join(self.month, ["month_name", "quarter_key"]))
+        return c.select("date_key", "date", "day", "day_name", "week_no", "month_key", "is_weekend")
+
+    def date_flat(self) -> DataFrame:
+        """date key -> month -> quarter, joined once (calendar-sized)."""
+        return flatten_hierarchy(self.date_dim().select("date_key", "month_key"),
+                                 [(self.month.select("month_key", "month_name", "quarter_key"),
+                                   "month_key", "month_key"),
+                                  (self.quarter.select("quarter_key", "quarter_name"),
+                                   "quarter_key", "quarter_key")])
+
+
+CAL_SQL = """
+cal AS (SELECT CAST(d AS DATE) AS date, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key,
+               CAST(day(d) AS INTEGER) AS day, dayname(d) AS day_name, CAST(weekofyear(d) AS INTEGER) AS week_no,
+               monthname(d) AS month_name, 'Q' || CAST(quarter(d) AS VARCHAR) AS quarter_name,
+               CAST(year(d) AS INTEGER) AS year,
+               CASE WHEN dayofweek(d) IN (0, 6) THEN 'Yes' ELSE 'No' END AS is_weekend
+        FROM (SELECT unnest(generate_series(CAST(MIN(o_orderdate) AS DATE), CAST(MAX(o_orderdate) AS DATE),
+                                            INTERVAL 1 DAY)) AS d FROM orders)),
+yl AS (SELECT CAST(row_number() OVER (ORDER BY year) AS BIGINT) AS year_key, year FROM (SELECT DISTINCT year FROM cal)),
+ql AS (SELECT CAST(row_number() OVER (ORDER BY quarter_name, year_key) AS BIGINT) AS quarter_key, quarter_name, year_key
+       FROM (SELECT DISTINCT c.quarter_name, y.year_key FROM cal c JOIN yl y ON c.year = y.year)),
+ml AS (SELECT CAST(row_number() OVER (ORDER BY month_name, quarter_key) AS BIGINT) AS month_key, month_name, quarter_key
+       FROM (SELECT DISTINCT c.month_name, q.quarter_key FROM cal c JOIN yl y ON c.year = y.year
+             JOIN ql q ON c.quarter_name = q.quarter_name AND q.year_key = y.year_key))
+"""
+
+
+@query("level_year", f"WITH {CAL_SQL} SELECT * FROM yl")
+def q_level_year(spark, d):
+    """MDL-3: year level of the date hierarchy."""
+    return NormalizedDates(Warehouse(spark, d)).year
+
+
+@query("level_quarter", f"WITH {CAL_SQL} SELECT * FROM ql")
+def q_level_quarter(spark, d):
+    """MDL-3: quarter level -- one row per (quarter name, year)."""
+    return NormalizedDates(Warehouse(spark, d)).quarter
+
+
+@query("level_month", f"WITH {CAL_SQL} SELECT * FROM ml")
+def q_level_month(spark, d):
+    """MDL-3: month level -- one row per (month name, quarter of a year)."""
+    return NormalizedDates(Warehouse(spark, d)).month
+
+
+@query("date_dimension", f"""
+WITH {CAL_SQL}
+SELECT c.date_key, c.date, c.day, c.day_name, c.week_no, m.month_key, c.is_weekend
+FROM cal c JOIN yl y ON c.year = y.year
+JOIN ql q ON c.quarter_name = q.quarter_name AND q.year_key = y.year_key
+JOIN ml m ON c.month_name = m.month_name AND m.quarter_key = q.quarter_key
+""")
+def q_date_dimension(spark, d):
+    """MDL-4 on the date hierarchy: each calendar day with its month key."""
+    return NormalizedDates(Warehouse(spark, d)).date_dim()
+
+
+def _orders_by_date_key(w: Warehouse) -> DataFrame:
+    return w.orders.select(F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("date_key"),
+                           "o_totalprice")
+
+
+@query("normalized_revenue_by_quarter", f"""
+SELECT 'Q' || CAST(quarter(o.o_orderdate) AS VARCHAR) AS quarter_name,
+       {money_sum_sql('o.o_totalprice')} AS revenue
+FROM orders o GROUP BY 1
+""")
+def q_normalized_revenue_by_quarter(spark, d):
+    """R12 through the normalized date hierarchy: fact -> date -> month ->
+    quarter, grouped by quarter name (all years together, as the report does),
+    largest first.  The date look-up is calendar-sized and proven small."""
+    w = Warehouse(spark, d)
+    dates = NormalizedDates(w).date_flat().select("date_key", "quarter_name")
+    return (revenue_by(_orders_by_date_key(w), ["quarter_name"], [money_m("revenue", "o_totalprice")],
+                       [Lookup(dates, "date_key", "date_key")])
+            .orderBy(*order_desc("revenue", "quarter_name")))
+
+
+@query("normalized_revenue_by_month_name", f"""
+SELECT monthname(o.o_orderdate) AS month_name, {money_sum_sql('o.o_totalprice')} AS revenue
+FROM orders o GROUP BY 1
+""")
+def q_normalized_revenue_by_month_name(spark, d):
+    """R11 through the normalized date hierarchy: fact -> date -> month,
+    grouped by month name, largest first."""
+    w = Warehouse(spark, d)
+    dates = NormalizedDates(w).date_flat().select("date_key", "month_name")
+    return (revenue_by(_orders_by_date_key(w), ["month_name"], [money_m("revenue", "o_totalprice")],
+                       [Lookup(dates, "date_key", "date_key")])
+            .orderBy(*order_desc("revenue", "month_name")))
