@@ -632,3 +632,39 @@ def q_normalized_revenue_by_month_name(spark, d):
     return (revenue_by(_orders_by_date_key(w), ["month_name"], [money_m("revenue", "o_totalprice")],
                        [Lookup(dates, "date_key", "date_key")])
             .orderBy(*order_desc("revenue", "month_name")))
+
+
+# ------------------------------------------------ R5/R6 through the product hierarchy
+@query("normalized_revenue_by_brand", f"""
+SELECT p.p_brand AS brand_name, {money_sum_sql('l.l_extendedprice')} AS revenue
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+GROUP BY p.p_brand
+""")
+def q_normalized_revenue_by_brand(spark, d):
+    """R6 through the normalized model: fact -> product -> brand level,
+    grouped by brand *name* -- a brand sold under several categories has
+    several level rows, which the report merges."""
+    w = Warehouse(spark, d)
+    n = Normalized(w)
+    p = n.product_flat().select("p_partkey", "brand_key").join(n.brand.select("brand_key", "brand_name"),
+                                                               "brand_key")
+    return (revenue_by(n.fact, ["brand_name"], [money_m("revenue", "amount")],
+                       [Lookup(p.select("p_partkey", "brand_name"), "l_partkey", "p_partkey",
+                               small=n.product_small)])
+            .orderBy(*order_desc("revenue", "brand_name")))
+
+
+@query("normalized_revenue_by_category", f"""
+SELECT p.p_type AS category_name, {money_sum_sql('l.l_extendedprice')} AS revenue
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+GROUP BY p.p_type
+""")
+def q_normalized_revenue_by_category(spark, d):
+    """R5 through the normalized model: fact -> product -> brand level ->
+    category level."""
+    w = Warehouse(spark, d)
+    n = Normalized(w)
+    p = n.product_flat().select("p_partkey", "category_name")
+    return (revenue_by(n.fact, ["category_name"], [money_m("revenue", "amount")],
+                       [Lookup(p, "l_partkey", "p_partkey", small=n.product_small)])
+            .orderBy(*order_desc("revenue", "category_name")))
