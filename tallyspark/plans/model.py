@@ -16,11 +16,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.functions.columns import money, out_money
 from tallyspark.operators.model import (
     build_level, calendar, flatten_hierarchy, load_fact, resolve_parent)
 from tallyspark.operators.ordered import SMALL_ROWS, assign_keys
 from tallyspark.operators.quality import audit, reconcile, rows_touched
-from tallyspark.functions.columns import money, out_money
 from tallyspark.operators.reports import Lookup, Measure, money_m, order_desc, revenue_by
 from tallyspark.operators.sizing import BROADCAST_ROWS, proven_small
 from tallyspark.operators.views import materialize
@@ -668,3 +668,32 @@ def q_normalized_revenue_by_category(spark, d):
     return (revenue_by(n.fact, ["category_name"], [money_m("revenue", "amount")],
                        [Lookup(p, "l_partkey", "p_partkey", small=n.product_small)])
             .orderBy(*order_desc("revenue", "category_name")))
+
+
+# ------------------------------------------------ R7 through a two-source city level
+@query("normalized_revenue_by_customer_nation", """
+SELECT n.n_name AS nation_name, CAST(SUM(CAST(o.o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS revenue
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+GROUP BY n.n_name
+""")
+def q_normalized_revenue_by_customer_nation(spark, d):
+    """R7 through the normalized model: the city (nation) level is fed by
+    customers *and* branches (UNION of both name sets), so every customer
+    resolves -- a level built from branches alone would silently drop the
+    customers of nations without a branch (S15).  Fact -> customer ->
+    city level, grouped by name."""
+    w = Warehouse(spark, d)
+    nat = F.broadcast(w.nation.select("n_nationkey", F.col("n_name").alias("nation_name")))  # 25 rows
+    cust = w.customer.join(nat, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "nation_name")
+    paths = materialize(cust.select("nation_name").union(stg_branch(w).select("nation_name")).distinct(),
+                        "paths_city")
+    level = materialize(build_level(paths, ["nation_name"], "nation_key",
+                                    known_small=proven_small(paths, SMALL_ROWS)), "level_city")
+    cust_dim, _ = resolve_parent(cust, level, ["nation_name"], "nation_key")
+    # level keys are unique: the flattened customer dimension has at most as
+    # many rows as the customer table
+    cflat = cust_dim.join(level, "nation_key").select("c_custkey", "nation_name")
+    small = True if proven_small(w.customer, BROADCAST_ROWS) else None
+    return (revenue_by(w.orders, ["nation_name"], [money_m("revenue", "o_totalprice")],
+                       [Lookup(cflat, "o_custkey", "c_custkey", small=small)])
+            .orderBy(*order_desc("revenue", "nation_name")))
