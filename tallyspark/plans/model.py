@@ -37,6 +37,14 @@ def stg_branch(w: Warehouse) -> DataFrame:
         "s_suppkey", "s_name", "nation_name", "region_name")
 
 
+def base_small(base: DataFrame) -> bool | None:
+    """Size bound of a dimension derived from ``base`` by projections and
+    inner look-ups on unique keys (which cannot fan out): True when the base
+    table is proven small (its count comes from Parquet metadata); None =
+    not proven, the consumer checks the frame itself."""
+    return True if proven_small(base, BROADCAST_ROWS) else None
+
+
 def stg_product(w: Warehouse) -> DataFrame:
     return w.part.select("p_partkey", "p_name", F.col("p_brand").alias("brand_name"),
                          F.col("p_type").alias("category_name"))
@@ -119,11 +127,11 @@ class Normalized:
     # (the consumer checks the frame itself).
     @cached_property
     def branch_small(self) -> bool | None:
-        return True if proven_small(self.w.supplier, BROADCAST_ROWS) else None
+        return base_small(self.w.supplier)
 
     @cached_property
     def product_small(self) -> bool | None:
-        return True if proven_small(self.w.part, BROADCAST_ROWS) else None
+        return base_small(self.w.part)
 
     @property
     def branch(self) -> DataFrame:
@@ -166,7 +174,8 @@ def flat_revenue(w: Warehouse) -> DataFrame:
     b = stg_branch(w).select("s_suppkey", "region_name")
     p = stg_product(w).select("p_partkey", "category_name")
     return revenue_by(w.lineitem, ["region_name", "category_name"], [money_m("revenue", "l_extendedprice")],
-                      [Lookup(b, "l_suppkey", "s_suppkey"), Lookup(p, "l_partkey", "p_partkey")])
+                      [Lookup(b, "l_suppkey", "s_suppkey", small=base_small(w.supplier)),
+                       Lookup(p, "l_partkey", "p_partkey", small=base_small(w.part))])
 
 
 REGION_CATEGORY_SQL = f"""
@@ -416,7 +425,7 @@ def q_manager_performance(spark, d):
     b = stg_branch(w).select("s_suppkey", "nation_name")
     out = revenue_by(claim_lines(w), ["nation_name"],
                      [Measure("total_items_sold", "sum", "qty"), money_m("total_sales_amount", "claimed")],
-                     [Lookup(b, "l_suppkey", "s_suppkey")])
+                     [Lookup(b, "l_suppkey", "s_suppkey", small=base_small(w.supplier))])
     return (out.withColumn("total_items_sold", F.col("total_items_sold").cast("long"))
             .orderBy(*order_desc("total_sales_amount", "nation_name")))
 
@@ -438,7 +447,8 @@ def q_claims_by_category_flat(spark, d):
     product dimension (one join)."""
     w = Warehouse(spark, d)
     p = stg_product(w).select("p_partkey", "category_name")
-    out = revenue_by(claim_lines(w), ["category_name"], CLAIM_AMOUNTS, [Lookup(p, "l_partkey", "p_partkey")])
+    out = revenue_by(claim_lines(w), ["category_name"], CLAIM_AMOUNTS,
+                     [Lookup(p, "l_partkey", "p_partkey", small=base_small(w.part))])
     return _as_double(out, "total_claimed_amount", "total_approved_amount").orderBy("category_name")
 
 
@@ -472,7 +482,8 @@ def q_claims_by_nation_flat(spark, d):
     parent of the branch, read inline from the flat branch dimension."""
     w = Warehouse(spark, d)
     b = stg_branch(w).select("s_suppkey", "nation_name")
-    out = revenue_by(claim_lines(w), ["nation_name"], CLAIMS_HANDLED, [Lookup(b, "l_suppkey", "s_suppkey")])
+    out = revenue_by(claim_lines(w), ["nation_name"], CLAIMS_HANDLED,
+                     [Lookup(b, "l_suppkey", "s_suppkey", small=base_small(w.supplier))])
     return _as_double(out, "total_approved_amount").orderBy("nation_name")
 
 
