@@ -100,3 +100,23 @@ def test_revenue_by_small_lookup_does_not_shuffle_the_fact_by_key(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "hashpartitioning(cust" not in plan
+
+
+def test_date_hierarchy_keeps_names_apart_per_year(spark):
+    """Quarter and month names repeat every year; the levels resolve them by
+    name *and* parent key, so July 2025 and July 2026 are different months."""
+    from types import SimpleNamespace
+
+    from tallyspark.plans.model import NormalizedDates
+
+    orders = spark.createDataFrame([(dt.datetime(2025, 7, 15),), (dt.datetime(2026, 7, 15),)],
+                                   "o_orderdate timestamp")
+    nd = NormalizedDates(SimpleNamespace(orders=orders))
+    assert nd.year.count() == 2
+    assert nd.quarter.count() == 5                     # Q3, Q4 of 2025; Q1-Q3 of 2026
+    assert nd.month.count() == 13                      # July 2025 .. July 2026
+    assert nd.month.filter("month_name = 'July'").count() == 2
+    days = nd.date_dim()
+    assert days.count() == 366
+    july = days.filter("date_key in (20250715, 20260715)").select("month_key").distinct().count()
+    assert july == 2
