@@ -12,6 +12,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.operators.sizing import BROADCAST_ROWS, proven_small
+
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str = "duplicate_count") -> DataFrame:
     """Keys occurring more than once, with their count (HAVING count > 1)."""
@@ -20,9 +22,15 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str = "duplicate_co
 
 
 def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-            keep: Sequence[str]) -> DataFrame:
-    """Fact rows whose foreign key has no dimension row (left anti-join)."""
+            keep: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Fact rows whose foreign key has no dimension row (left anti-join).
+
+    The dimension's key set is broadcast when the dimension's row count (a
+    bound on its distinct keys) is proven small, so the fact is streamed
+    without a shuffle; otherwise a sort-merge anti-join, where AQE splits a
+    skewed fact key."""
     d = dim.select(F.col(dim_key).alias("_dk")).distinct()
+    d = F.broadcast(d) if proven_small(dim.select(dim_key), max_rows) else d.hint("merge")
     return fact.join(d, fact[fact_key] == d["_dk"], "left_anti").select(*keep)
 
 
