@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.operators.ordered import assign_keys
+from tallyspark.operators.sizing import lookup_join
 
 
 def build_level(src: DataFrame, name_cols: Sequence[str], key: str,
@@ -99,9 +100,11 @@ def calendar(dates: DataFrame, date_col: str) -> DataFrame:
 def load_fact(src: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[str], str]],
               measures: Sequence[Column]) -> DataFrame:
     """Fact load: swap natural keys for surrogate keys.
-    ``lookups`` = [(dimension, natural key columns shared with src, surrogate key)]."""
+    ``lookups`` = [(dimension, natural key columns shared with src, surrogate key)].
+    Each key map is broadcast only when proven small (``lookup_join``),
+    otherwise joined by sort-merge -- the fact itself is never broadcast."""
     cur = src
     for dim, nat, sk in lookups:
-        cur = cur.join(dim.select(sk, *nat), list(nat), "inner")
+        cur = lookup_join(cur, dim.select(sk, *nat), list(nat), "inner")
     keys = [sk for _, _, sk in lookups]
     return cur.select(*keys, *measures)
