@@ -608,8 +608,8 @@ def filter_status(spark, d):
     """Fulfilled ('delivered') orders; the equality filter reaches the scan."""
     w = _w(spark, d)
     o = w.orders.filter(F.col("o_orderstatus") == "F")
-    cust = w.customer
-    return (o.join(cust, o["o_custkey"] == cust["c_custkey"])
+    cust = w.customer.select("c_custkey", "c_name")
+    return (lookup_join(o, cust, o["o_custkey"] == cust["c_custkey"])
             .select("o_orderkey", F.col("c_name").alias("customer_name"),
                     F.col("o_orderstatus").alias("order_status"),
                     F.col("o_totalprice").cast("decimal(12,2)").cast("double").alias("amount"))
@@ -626,8 +626,8 @@ def orders_after_timestamp(spark, d):
     """Orders after a point in time (range filter pushed to Parquet)."""
     w = _w(spark, d)
     o = w.orders.filter(F.col("o_orderdate") > F.lit("2000-06-30 00:00:00").cast("timestamp"))
-    cust = w.customer
-    return (o.join(cust, o["o_custkey"] == cust["c_custkey"])
+    cust = w.customer.select("c_custkey", "c_name")
+    return (lookup_join(o, cust, o["o_custkey"] == cust["c_custkey"])
             .select("o_orderkey", F.col("c_name").alias("customer_name"),
                     F.col("o_orderdate").alias("order_ts"),
                     F.col("o_totalprice").cast("decimal(12,2)").cast("double").alias("amount"))
@@ -667,8 +667,8 @@ def wide_sales(w: Warehouse) -> DataFrame:
                                      F.col("n_name").alias("customer_nation")))
     sn = F.broadcast(w.nation.select(F.col("n_nationkey").alias("sn_key"),
                                      F.col("n_name").alias("branch_nation")))
-    c = w.customer
-    orders = (w.orders.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    c = w.customer.select("c_custkey", "c_name", "c_nationkey")
+    orders = (lookup_join(w.orders, c, F.col("o_custkey") == F.col("c_custkey"))
               .join(cn, F.col("c_nationkey") == F.col("cn_key"))
               .select("o_orderkey", as_date("o_orderdate").alias("sale_date"), "c_custkey",
                       F.col("c_name").alias("customer_name"), "customer_nation"))
