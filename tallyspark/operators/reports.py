@@ -113,14 +113,21 @@ def revenue_by(fact: DataFrame, by: Sequence[str], measures: Sequence[Measure],
     Plan: fact --broadcast joins of the leading look-ups proven small-->
     partial agg by (``by`` columns + fact keys of the remaining look-ups) -->
     joins of the remaining look-ups --> final agg by ``by``.  With every
-    look-up small the first aggregate is already the report.
+    look-up small the first aggregate is already the report.  A look-up whose
+    key is itself a ``by`` column (a report at that dimension's grain) is
+    joined after the aggregate, broadcast if proven small.
     """
     cur, rest = fact, list(lookups)
+    first = None                 # (dim, broadcast?) of the first look-up not joined yet
     while rest:
-        dim, small = broadcast_if_small(rest[0].dim, broadcast_rows, rest[0].small)
-        if not small:
+        first = broadcast_if_small(rest[0].dim, broadcast_rows, rest[0].small)
+        # a report at this dimension's grain (grouped by its key) aggregates
+        # by the fact's key first: the join then sees one row per key and no
+        # dimension attribute is hashed per fact row
+        if not first[1] or rest[0].dim_key in by:
             break
-        cur = _join_lookup(cur, dim, rest.pop(0))
+        cur = _join_lookup(cur, first[0], rest.pop(0))
+        first = None
     cols = set(cur.columns)
     pre_keys = list(dict.fromkeys([c for c in by if c in cols] +
                                   [lk.fact_key for lk in rest if lk.fact_key in cols]))
@@ -129,8 +136,8 @@ def revenue_by(fact: DataFrame, by: Sequence[str], measures: Sequence[Measure],
         return grouped.select(*by, *[m.finish() for m in measures])
     cur = grouped
     for i, lk in enumerate(rest):
-        # the first one failed its check already; later ones get their own
-        dim, _ = (lk.dim, False) if i == 0 else broadcast_if_small(lk.dim, broadcast_rows, lk.small)
+        # the first one was checked above; later ones get their own check
+        dim, _ = first if i == 0 else broadcast_if_small(lk.dim, broadcast_rows, lk.small)
         cur = _join_lookup(cur, dim, lk)
     return cur.groupBy(*by).agg(*[m.merge() for m in measures])
 
