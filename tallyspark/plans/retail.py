@@ -457,7 +457,8 @@ def purchase_analysis(spark, d):
     """Per customer -- orders, items bought, spending.  Lines are summed
     per order first (lineitem is clustered by order, so the partial aggregate
     shrinks it ~4x before its shuffle); the order-level join is co-partitioned
-    on the order key; customers are joined after the per-customer aggregate."""
+    on the order key; customers are joined after the per-customer aggregate
+    (broadcast only when proven small, ``lookup_join``)."""
     w = _w(spark, d)
     qty = (w.lineitem.groupBy("l_orderkey")
            .agg(F.sum(F.col("l_quantity").cast("long")).alias("qty")))
@@ -468,7 +469,7 @@ def purchase_analysis(spark, d):
         F.sum(F.coalesce(F.col("qty"), F.lit(0))).alias("total_quantity"),
         money_m("total_spending", "o_totalprice").partial())
     cust = w.customer.select("c_custkey", "c_name")
-    return (per_cust.join(cust, per_cust["o_custkey"] == cust["c_custkey"])
+    return (lookup_join(per_cust, cust, per_cust["o_custkey"] == cust["c_custkey"])
             .select("c_custkey", "c_name", F.col("order_count").cast("long").alias("order_count"),
                     F.col("total_quantity").cast("long").alias("total_quantity"),
                     out_cents("total_spending").alias("total_spending"))
