@@ -120,3 +120,16 @@ def test_date_hierarchy_keeps_names_apart_per_year(spark):
     assert days.count() == 366
     july = days.filter("date_key in (20250715, 20260715)").select("month_key").distinct().count()
     assert july == 2
+
+
+def test_revenue_by_dimension_grain_aggregates_before_joining(spark):
+    """Grouped by the dimension key: the fact is aggregated by its own key
+    first, then the proven-small dimension is broadcast-joined."""
+    fact, dim, _ = _sales_frames(spark)
+    out = revenue_by(fact, ["cust_id", "name"], [money_m("revenue", "amount")],
+                     [Lookup(dim, "cust", "cust_id")])
+    assert rows(out) == [(10, "A", 3.3), (20, "B", 3.3), (30, "C", 4.4)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    # the aggregate below the join is keyed on the fact's key alone
+    assert plan.index("BroadcastHashJoin") < plan.rindex("HashAggregate(keys=[cust#")
