@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyspark.llm import external_shuffle, raking, simhash, warc
+from tallyspark.llm import external_shuffle, multi_index, packing, permutation_index, raking, simhash, warc
 from tallyspark.llm.common import read
 
 
+def op1_permutation_index(spark, sf_dir):
+    return permutation_index.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op2_external_shuffle(spark, sf_dir):
     return external_shuffle.shard_digest(read(spark, sf_dir, "documents"))
 
 
+def op4_inverted_multi_index(spark, sf_dir):
+    return multi_index.near_duplicates(read(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op5_simhash_pigeonring(spark, sf_dir):
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -21,11 +29,17 @@ def op6_raked_mix(spark, sf_dir):
     return raking.mix_report(read(spark, sf_dir, "documents"))
 
 
+def op9_cost_packing(spark, sf_dir):
+    return packing.piece_digest(read(spark, sf_dir, "documents"))
+
+
 def op10_warc_revisits(spark, sf_dir):
     return warc.archive_digest(read(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_external_shuffle, op5_simhash_pigeonring, op6_raked_mix, op10_warc_revisits)}
+QUERIES = {f.__name__: f for f in (
+    op1_permutation_index, op2_external_shuffle, op4_inverted_multi_index, op5_simhash_pigeonring, op6_raked_mix,
+    op9_cost_packing, op10_warc_revisits)}
 
 OP10_SQL = """
 WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest,

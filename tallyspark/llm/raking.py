@@ -46,8 +46,8 @@ def tempered(cells: DataFrame, dim: str, power: float = TEMPER) -> DataFrame:
     """(dim, share): the default target marginal of ``dim``."""
     own = cells.groupBy(dim).agg(F.sum("tokens").cast("double").alias("t"))
     own = own.withColumn("t", F.pow("t", F.lit(power)))
-    return own.crossJoin(F.broadcast(own.agg(F.sum("t").alias("all")))).select(
-        dim, (F.col("t") / F.col("all")).alias("share"))
+    whole = own.agg(F.sum("t")).first()[0] or 1.0
+    return own.select(dim, (F.col("t") / whole).alias("share"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
