@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyspark.llm import external_shuffle, multi_index, packing, permutation_index, raking, simhash, warc
+from tallyspark.llm import (
+    external_shuffle,
+    license_scan,
+    mil_quality,
+    multi_index,
+    packing,
+    permutation_index,
+    pii_crf,
+    raking,
+    simhash,
+    warc,
+)
 from tallyspark.llm.common import read
 
 
@@ -16,6 +27,10 @@ def op2_external_shuffle(spark, sf_dir):
     return external_shuffle.shard_digest(read(spark, sf_dir, "documents"))
 
 
+def op3_attention_mil(spark, sf_dir):
+    return mil_quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_inverted_multi_index(spark, sf_dir):
     return multi_index.near_duplicates(read(spark, sf_dir, "embeddings"), cosine=0.93)
 
@@ -29,6 +44,14 @@ def op6_raked_mix(spark, sf_dir):
     return raking.mix_report(read(spark, sf_dir, "documents"))
 
 
+def op7_skip_chain_crf(spark, sf_dir):
+    return pii_crf.personal_data(read(spark, sf_dir, "documents"))
+
+
+def op8_diagonal_voting(spark, sf_dir):
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
 def op9_cost_packing(spark, sf_dir):
     return packing.piece_digest(read(spark, sf_dir, "documents"))
 
@@ -38,8 +61,8 @@ def op10_warc_revisits(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_permutation_index, op2_external_shuffle, op4_inverted_multi_index, op5_simhash_pigeonring, op6_raked_mix,
-    op9_cost_packing, op10_warc_revisits)}
+    op1_permutation_index, op2_external_shuffle, op3_attention_mil, op4_inverted_multi_index, op5_simhash_pigeonring,
+    op6_raked_mix, op7_skip_chain_crf, op8_diagonal_voting, op9_cost_packing, op10_warc_revisits)}
 
 OP10_SQL = """
 WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest,
@@ -51,4 +74,5 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
-ORACLE_SQL = {"op6_raked_mix": raking.oracle_sql(), "op10_warc_revisits": OP10_SQL}
+ORACLE_SQL = {"op6_raked_mix": raking.oracle_sql(), "op8_diagonal_voting": license_scan.oracle_sql(),
+              "op10_warc_revisits": OP10_SQL}

@@ -49,16 +49,20 @@ def fingerprint(text: str | None, words_per_shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): ``fp`` the fingerprint as a signed 64-bit long."""
+    """(__f, __r, doc_id, fp): row identity, and the fingerprint as a signed
+    64-bit long."""
+    names = ["__f", "__r", "doc_id", "fp"]
+
     def run(batches):
         for batch in batches:
-            fps = [fingerprint(t, words_per_shingle) for t in batch.column(1).to_pylist()]
+            fps = [fingerprint(t, words_per_shingle) for t in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
+                [*batch.columns[:3], pa.array(np.array(fps, np.uint64).view(np.int64))], names)
 
     common.ready(docs.sparkSession)
-    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInArrow(run, "doc_id long, fp long"))
+    return (common.with_identity(docs)
+            .select("__f", "__r", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
+            .mapInArrow(run, "__f long, __r long, doc_id long, fp long"))
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
@@ -124,7 +128,9 @@ def links(distinct: DataFrame, max_bits: int = 2, light: int = 64, block: int =
 
 
 def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """(doc_id, fp, component_id) per row of ``docs``.
+    """(__f, __r, doc_id, fp, component, component_id) per row of ``docs``:
+    row identity, fingerprint, and the component by a fingerprint of it and by
+    its smallest doc_id.
 
     Null and empty texts have fingerprint zero and link like any other.
     ``component_id`` is the smallest doc_id of the component; rows without
@@ -137,5 +143,15 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, max_bits: int =
         "fp", "first", F.coalesce("component", "fp").alias("component"))
     grouped = common.stored(grouped, "simhash-grouped")
     smallest = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    label = grouped.join(smallest.hint("merge"), "component").select("fp", "component_id")
-    return rows.join(label.hint("merge"), "fp").select("doc_id", "fp", "component_id")
+    label = grouped.join(smallest.hint("merge"), "component").select("fp", "component", "component_id")
+    return rows.join(label.hint("merge"), "fp").select("__f", "__r", "doc_id", "fp", "component", "component_id")
+
+
+def keep_one(docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id
+    (null ids last, then the first in the input).  ``docs`` must be read from
+    files, so that both passes over it see the same rows."""
+    found = near_duplicates(docs, words_per_shingle, max_bits)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__f", "__r")
+    kept = found.groupBy("component").agg(F.min(order).alias("k")).select("k.__f", "k.__r")
+    return common.with_identity(docs).join(kept, ["__f", "__r"], "left_semi").drop("__f", "__r")
