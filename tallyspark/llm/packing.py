@@ -29,8 +29,9 @@ BLOCK_BYTES = 8 << 20
 ROW_BYTES = 64
 #: cost(n) = LINEAR * n + QUADRATIC * n * n
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
-#: Words of up to WORD_BYTES whose ids a worker remembers.
-CACHE_WORDS, WORD_BYTES = 400_000, 48
+#: How many words of up to WORD_BYTES a worker remembers the ids of, and how
+#: many bytes of whole texts it looks through for new ones at a time.
+CACHE_WORDS, WORD_BYTES, LEARN_BYTES = 800_000, 48, 1 << 20
 
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
@@ -47,36 +48,39 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known = {}
-        for at in range(0, len(words), 2000):
-            part = words[at:at + 2000]
+        for at in range(0, len(words), 4000):
+            part = words[at:at + 4000]
             texts = [w.decode() for w in part]
             got = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
             ends = np.cumsum([len(t) + 1 for t in texts])
-            ids = np.array(got.ids, "<u4")
-            starts = np.array([o[0] for o in got.offsets], np.int64)
-            cuts = np.searchsorted(starts, ends).tolist()
+            starts = np.fromiter((o[0] for o in got.offsets), np.int64, len(got.offsets))
+            cuts = (4 * np.searchsorted(starts, ends)).tolist()
+            ids = np.array(got.ids, "<u4").tobytes()
             begin = 0
             for word, end in zip(part, cuts, strict=True):
-                self.known[word] = ids[begin:end].tobytes()
+                self.known[word] = ids[begin:end]
                 begin = end
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without END_ID."""
-        out = []
-        for text in texts:
-            words = text.split()
-            new = {w for w in words if w not in self.known}
-            long = {w for w in new if len(w) > WORD_BYTES}
-            self._learn(sorted(new - long))
-            ids = self.known
-            if long or any(w not in ids for w in new - long):  # a word too long to keep, or a cache just emptied
-                own = {w: np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-                       for w in set(words) if w not in ids}
-                out.append(b"".join([own[w] if w in own else ids[w] for w in words]))
-            else:
-                out.append(b"".join([ids[w] for w in words]))
+        out, at = [], 0
+        while at < len(texts):
+            stop, size, split = at, 0, []
+            while stop < len(texts) and size < LEARN_BYTES:  # whole texts, some at a time
+                split.append(texts[stop].split())
+                size += len(texts[stop])
+                stop += 1
+            distinct = set().union(*split)
+            new = distinct.difference(self.known)
+            if len(self.known) + len(new) > CACHE_WORDS:
+                self.known, new = {}, distinct
+            self._learn(list(new))
+            look = self.known.__getitem__
+            out += [b"".join(map(look, words)) for words in split]
+            for word in new:
+                if len(word) > WORD_BYTES:
+                    del self.known[word]
+            at = stop
         return out
 
 
