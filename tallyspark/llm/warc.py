@@ -6,7 +6,7 @@ resolved headers then join their pages by row identity, which is uniform, and
 every record gets fresh headers.  Repeated payloads become ``revisit`` records
 without a body.  Archives are written by Spark's text writer with the WARC
 record end as line separator, so any file system and a lost executor's retry
-are covered by its commit protocol.
+are covered by its commit protocol.  Archives are gzip files.
 
 Reading: each archive is parsed record by record by Content-Length, response
 payloads are digested again, and revisits join the response they refer to.
@@ -14,6 +14,7 @@ payloads are digested again, and revisits join the response they refer to.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 
 import pyarrow as pa
@@ -83,7 +84,8 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYT
              F.lit("Content-Type: application/http; msgtype=response"),
              F.concat(F.lit("Content-Length: "), F.octet_length(body).cast("string"))]
     (joined.select(F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n"), body).alias("value"))
-     .write.option("lineSep", RECORD_END).option("maxRecordsPerFile", RECORDS_PER_ARCHIVE).text(path))
+     .write.option("lineSep", RECORD_END).option("maxRecordsPerFile", RECORDS_PER_ARCHIVE)
+     .option("compression", "gzip").text(path))
 
 
 RECORD = ("record_id string, record_type string, page_id long, url string, refers_id string, digest string, "
@@ -114,7 +116,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
         for batch in batches:
             for data in batch.column(0):
                 rows = []
-                for head, payload in parse(data.as_py()):
+                for head, payload in parse(gzip.decompress(data.as_py())):
                     full = head["WARC-Type"] == "response"
                     digest = hashlib.sha256(payload).hexdigest()
                     if full and head["WARC-Payload-Digest"] != f"sha256:{digest}":
