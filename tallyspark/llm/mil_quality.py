@@ -182,9 +182,10 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, seed: int = 1) -> GatedAttention | None:
     """Fitted on the ``train_docs`` labelled, not held-out documents of
     smallest seeded hash; None when there is none."""
-    chosen = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    usable = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
               .select(F.col("doc_id").cast("long").alias("__id"), F.col("quality").cast("double").alias("__y"))
-              .orderBy(F.xxhash64(F.lit(seed), "__id"), "__id", "__y").limit(train_docs))
+              .withColumn("__h", F.xxhash64(F.lit(seed), "__id")))
+    chosen = common.smallest(usable, train_docs, "__h", "__id", "__y").drop("__h")
 
     def bags(batches):
         for b in batches:

@@ -244,9 +244,11 @@ def added_spans(model: SkipChain | None, texts: list[str], found: list[list[Span
 def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, seed: int = 1) -> SkipChain | None:
     """Fitted on at most ``train_docs`` documents that hold a digit or an @,
     those with the smallest seeded hash; None when there is none."""
-    text = F.col("text").cast("string")
-    chosen = (docs.where(text.rlike("[0-9@]")).select(text.alias("text"), F.xxhash64(F.lit(seed), text).alias("h"))
-              .orderBy("h", "text").limit(train_docs).select("text"))
+    rows = common.with_identity(docs).withColumn("__text", F.col("text").cast("string"))
+    key = ["__h", "__f", "__r"]
+    near = rows.where(F.col("__text").rlike("[0-9@]")).withColumn("__h", F.xxhash64(F.lit(seed), "__f", "__r", "doc_id"))
+    picked = common.smallest(near.select(*key), train_docs, *key)  # bounded by train_docs
+    chosen = rows.join(F.broadcast(picked), ["__f", "__r"]).select("__text")
 
     def graphs(batches):
         for b in batches:
@@ -259,6 +261,7 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, seed: int = 1) -> SkipC
                 [pa.array([r[i] for r in rows], pa.list_(pa.int64())) for i in range(4)], list("abcd"))
 
     got = chosen.mapInArrow(graphs, "a array<long>, b array<long>, c array<long>, d array<long>").collect()
+    got.sort()
     if not got:
         return None
     sample = [(np.array(r.a, np.int64).reshape(-1, 6), np.array(r.b, np.int64),

@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.llm import common
+
 
 def usable(embedding: Column) -> Column:
     """Not null, no null or non-finite component, not zero."""
@@ -31,6 +33,6 @@ def matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
 
 def sample(df: DataFrame, embedding: str, rows: int, seed: int) -> np.ndarray:
     """At most ``rows`` distinct vectors, those with the smallest seeded hash."""
-    got = (df.select(embedding).distinct().orderBy(F.xxhash64(F.lit(seed), embedding), embedding)
-           .limit(rows).collect())
+    own = df.select(embedding).distinct().withColumn("h", F.xxhash64(F.lit(seed), embedding))
+    got = common.smallest(own, rows, "h", embedding).collect()
     return np.array([r[0] for r in got], dtype=np.float64)
