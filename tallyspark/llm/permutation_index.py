@@ -23,6 +23,7 @@ from pyspark.sql.window import Window
 from tallyspark.llm import common, vectors
 
 PIVOTS = 192
+#: At most 255, so that a gain (up to prefix squared) fits 16 bits.
 PREFIX = 128
 SHORTLIST = 0.15
 #: The shortlist of a block is never shorter than this.
@@ -38,21 +39,24 @@ def permutations(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :prefix]
 
 
-def inverted_files(perm: np.ndarray, n_pivots: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per pivot: the rows that name it and at which position."""
-    order = np.argsort(perm.ravel(), kind="stable")
-    ends = np.cumsum(np.bincount(perm.ravel(), minlength=n_pivots))
-    rows, at = np.divmod(order, perm.shape[1])
-    return [(rows[a:b], at[a:b]) for a, b in zip(np.r_[0, ends[:-1]], ends, strict=True)]
+def inverted_files(perm: np.ndarray, n_pivots: int) -> np.ndarray:
+    """Row p is pivot p's file: for each vector of the block the places left
+    behind p in its prefix, 0 where it does not name p.  Most vectors name
+    each pivot (prefix / pivots of them), so the files are kept dense."""
+    n, prefix = perm.shape
+    files = np.zeros((n_pivots, n), np.uint16)
+    files[perm, np.arange(n)[:, None]] = np.arange(prefix, 0, -1, dtype=np.uint16)
+    return files
 
 
-def footrule_gain(query: np.ndarray, files: list, n: int) -> np.ndarray:
+def footrule_gain(query: np.ndarray, files: np.ndarray, gain: np.ndarray, step: np.ndarray) -> np.ndarray:
     """Half of (largest possible footrule distance - footrule distance) of
-    every row to a query's permutation; larger is nearer."""
-    gain, prefix = np.zeros(n, np.int32), len(query)
-    for position, pivot in enumerate(query):
-        rows, at = files[pivot]
-        gain[rows] += prefix - np.maximum(at, position)
+    every row to a query's permutation; larger is nearer.  ``gain`` and
+    ``step`` are buffers of a block's length."""
+    gain[:] = 0
+    for left, pivot in zip(range(len(query), 0, -1), query, strict=True):
+        np.minimum(files[pivot], np.uint16(left), out=step)
+        np.add(gain, step, out=gain)
     return gain
 
 
@@ -78,7 +82,7 @@ def search(base: DataFrame, is_query: Column, k: int = 20, n_pivots: int = PIVOT
     if not sizes.q:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     pivots = vectors.sample(rows, "x", n_pivots, seed)
-    prefix = min(prefix, len(pivots))
+    prefix = min(prefix, len(pivots), 255)
     blocks, chunks = -(-sizes.n // block_rows), -(-sizes.q // chunk_rows)
     key = [F.col("__f"), F.col("__r")]
 
@@ -99,9 +103,10 @@ def search(base: DataFrame, is_query: Column, k: int = 20, n_pivots: int = PIVOT
         ids, f, r = (left.column(c).to_numpy() for c in ("vec_id", "__f", "__r"))
         q_ids, q_f, q_r = (right.column(c).to_numpy() for c in ("vec_id", "__f", "__r"))
         depth = min(n, max(least, int(np.ceil(shortlist * n))))
+        buffers = np.zeros((2, n), np.uint16)
         out = []
         for i, perm in enumerate(permutations(q, pivots, prefix)):
-            gain = footrule_gain(perm, files, n)
+            gain = footrule_gain(perm, files, *buffers)
             near = np.flatnonzero(gain >= np.partition(gain, n - depth)[n - depth])
             near = near[(f[near] != q_f[i]) | (r[near] != q_r[i])]
             score = (x[near] * q[i]).sum(axis=1)
