@@ -41,8 +41,9 @@ def cents(c: str | Column) -> Column:
 
 def avg_money_from_cents(total_cents: str, n: str) -> Column:
     """Average rounded half-up to the cent, by integer division only
-    (identical on every engine, no double rounding).  Non-negative totals."""
-    return (F.expr(f"({total_cents} * 2 + {n}) div ({n} * 2)") / F.lit(100.0)).cast("double")
+    (identical on every engine, no double rounding); halves go away from zero."""
+    half = f"(abs({total_cents}) * 2 + {n}) div ({n} * 2)"
+    return (F.expr(f"sign({total_cents}) * ({half})") / F.lit(100.0)).cast("double")
 
 
 def out_cents(c: str | Column) -> Column:

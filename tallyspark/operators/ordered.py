@@ -14,20 +14,19 @@ Here the work is split in two passes instead:
 2. Per-partition row counts / sums -- one row per partition, a bound we choose
    -- are turned into offsets with a prefix sum and broadcast back (for rank
    also the start rank of a tie group that continues from earlier
-   partitions); each partition is then sorted locally and numbered in an
-   Arrow-batched ``mapInPandas`` (no second shuffle; state carries across
-   batches of the partition, never across partitions).
+   partitions); an ordinary window per partition id, plus its offset, numbers
+   the rows.
+
+There is one implementation for every size, and no value leaves the JVM: NULL,
+NaN, big integers and far dates come out as a single window would give them.
 """
 
 from __future__ import annotations
 
-from typing import Iterator, Sequence
+from typing import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyspark.operators.sizing import proven_small
 from tallyspark.session import checkpoint_dir
@@ -36,11 +35,9 @@ _PID = "_tally_pid"
 _OFF = "_tally_offset"
 _TB = "_tally_tiebreak"
 
-# Size check for the single-window shortcut: an input proven (by
-# ``proven_small``, an exact count with one partial count per task) to hold at
-# most this many rows is numbered by one ordinary window; anything larger
-# takes the distributed two-pass path.  The bound keeps the single window's
-# one task small.
+# A batch proven (by ``proven_small``) to hold at most this many rows finds its
+# neighbours with a window per key; the rows are the same beyond it, where a hot
+# key's rows must not meet in one task.
 SMALL_ROWS = 200_000
 
 
@@ -60,147 +57,73 @@ def _range_checkpoint(df: DataFrame, order: Sequence[tuple[str, bool]],
 
 
 def _offsets(cp: DataFrame, value: str | None) -> DataFrame:
-    """Rows (and value sum) of all earlier partitions, per partition id.
-    One row per partition: small by construction, safe to broadcast."""
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    if value is not None:
-        aggs.append(F.sum(value).alias("_s"))
-    per_part = cp.groupBy(_PID).agg(*aggs)
+    """Rows, or the sum of ``value`` (NULL while there is none), of all earlier
+    partitions, per partition id.  One row per partition: small by
+    construction, safe to broadcast."""
+    own = F.count(F.lit(1)) if value is None else F.sum(value)
     w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    src = "_s" if value is not None else "_n"
-    return per_part.select(_PID, F.coalesce(F.sum(src).over(w), F.lit(0)).cast("long").alias(_OFF))
-
-
-def _small_sequence(df: DataFrame, order: Sequence[tuple[str, bool]], name: str, kind: str,
-                    value: str | None) -> DataFrame:
-    """Bounded input (checked): one window over the whole frame."""
-    w = Window.orderBy(*_order_exprs(order))
-    if kind == "row_number":
-        fn = F.row_number().over(w)
-    elif kind == "rank":
-        fn = F.rank().over(w)
-    else:
-        fn = F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn(name, fn.cast("long"))
+    return cp.groupBy(_PID).agg(own.cast("long").alias("_own")).select(_PID, F.sum("_own").over(w).alias(_OFF))
 
 
 def _rank_starts(cp: DataFrame, measure: str, descending: bool) -> DataFrame:
     """Per partition: rows before it (offset) and the rank of its first tie
     group.  Ties may span partitions (the range cut is on measure + a unique
-    tie-breaker, so a huge tie group is split across tasks); a group that
-    continues from earlier partitions starts where it started there.
+    tie-breaker, so a huge tie group is split across tasks): the rank is one
+    more than the rows before the partition that are not of that group.
 
     Works on one summary row per partition (a count we choose, so it is
-    bounded): first/last value, rows, rows before the last tie group."""
+    bounded): first and last value, rows, rows of the last tie group."""
     m = F.col(measure)
-    has_null = F.count_if(m.isNull()) > 0
     ends = cp.groupBy(_PID).agg(
-        (F.max(m) if descending else F.min(m)).alias("first"),
-        F.when(has_null, F.lit(None)).otherwise(F.min(m) if descending else F.max(m)).alias("last"),
-        F.count(F.lit(1)).alias("n"))
-    # second pass: size of each partition's last tie group (ends is one row
-    # per partition, broadcast)
-    in_last = F.when(F.col("last").isNull(), m.isNull()).otherwise(m == F.col("last"))
-    tail = (cp.select(_PID, measure).join(F.broadcast(ends.select(_PID, "last")), _PID)
-            .groupBy(_PID).agg(F.count_if(in_last).alias("last_n")))
-    summ = (ends.join(tail, _PID).withColumn("before_last", F.col("n") - F.col("last_n"))
-            .orderBy(_PID).collect())            # one row per partition
-    out, offset, prev = [], 0, None              # prev = (last value, start rank of last group)
-    for r in summ:
-        if r["n"] == 0:
-            continue
-        continues = prev is not None and r["first"] == prev[0]
-        first_start = prev[1] if continues else offset + 1
-        whole_one_group = r["first"] == r["last"]
-        last_start = first_start if whole_one_group else offset + r["before_last"] + 1
-        out.append((r[_PID], offset, first_start))
-        prev = (r["last"], last_start)
-        offset += r["n"]
-    schema = T.StructType([T.StructField(_PID, T.IntegerType(), False), T.StructField(_OFF, T.LongType(), False),
-                           T.StructField("_first_start", T.LongType(), False)])
-    return cp.sparkSession.createDataFrame(out, schema)
+        (F.max(m) if descending else F.min(m)).alias("_first"),
+        F.when(F.count_if(m.isNull()) == 0, F.min(m) if descending else F.max(m)).alias("_last"),
+        F.count(F.lit(1)).alias("_n"))
+    tail = (cp.select(_PID, measure).join(F.broadcast(ends.select(_PID, "_last")), _PID)
+            .groupBy(_PID).agg(F.count_if(m.eqNullSafe(F.col("_last"))).alias("_last_n")))
+    w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    summ = ends.join(tail, _PID).withColumn(_OFF, F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    before = summ.select(F.col(_PID).alias("_q"), F.col("_last").alias("_l"), F.col("_last_n").alias("_same"))
+    return (summ.join(before, F.col("_first").eqNullSafe(F.col("_l")) & (F.col("_q") < F.col(_PID)), "left")
+            .groupBy(_PID, _OFF).agg(F.coalesce(F.sum("_same"), F.lit(0)).alias("_same"))
+            .select(_PID, _OFF, (F.col(_OFF) - F.col("_same") + 1).alias("_start")))
 
 
 def _sequence(df: DataFrame, order: Sequence[tuple[str, bool]], name: str, kind: str,
-              value: str | None = None, num_partitions: int | None = None,
-              small_rows: int = SMALL_ROWS, known_small: bool | None = None) -> DataFrame:
-    """``known_small``: the caller has already proved the bound (e.g. ``df`` is
-    a projection of a table checked with ``proven_small``); None = check here."""
-    if known_small or (known_small is None and proven_small(df, small_rows)):
-        return _small_sequence(df, order, name, kind, value)
-    keep = [f.name for f in df.schema.fields]
+              value: str | None = None, num_partitions: int | None = None) -> DataFrame:
+    within = Window.partitionBy(_PID).orderBy(*_order_exprs(order))
+    off = F.col(_OFF)
     if kind == "rank":
         # unique tie-breaker so that a large tie group can be cut into several
         # range partitions; rank does not depend on the order inside a tie
-        order = list(order) + [(_TB, False)]
-        df_in = df.withColumn(_TB, F.monotonically_increasing_id())
-    else:
-        df_in = df
-    cp = _range_checkpoint(df_in, order, num_partitions)
-    if kind == "rank":
-        offs = _rank_starts(cp, order[0][0], order[0][1])
+        cp = _range_checkpoint(df.withColumn(_TB, F.monotonically_increasing_id()), [*order, (_TB, False)],
+                               num_partitions)
+        offs = _rank_starts(cp, *order[0])
+        local = F.rank().over(within)
+        res = F.when(local == 1, F.col("_start")).otherwise(off + local)
     else:
+        cp = _range_checkpoint(df, order, num_partitions)
         offs = _offsets(cp, value if kind == "running" else None)
-    tagged = cp.join(F.broadcast(offs), _PID, "inner").sortWithinPartitions(*_order_exprs(order))
-    out_fields = [f for f in df.schema.fields] + [T.StructField(name, T.LongType(), False)]
-    out_schema = T.StructType(out_fields)
-    rank_col = order[0][0]
-
-    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = 0            # rows of this partition already emitted
-        running = 0         # value sum of this partition so far
-        last_key = None     # rank: last order value and its rank
-        last_rank = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            offset = pdf[_OFF].to_numpy(dtype=np.int64)
-            pos = np.arange(seen + 1, seen + n + 1, dtype=np.int64)
-            if kind == "row_number":
-                res = offset + pos
-            elif kind == "running":
-                cs = pdf[value].to_numpy(dtype=np.int64).cumsum() + running
-                running = int(cs[-1])
-                res = offset + cs
-            else:  # rank: position of the first row of each tie group
-                key = pdf[rank_col]
-                prev = key.shift(1)
-                starts = (key != prev) & ~(key.isna() & prev.isna())
-                first_same = (last_key is not None and (
-                    key.iloc[0] == last_key or (pd.isna(key.iloc[0]) and pd.isna(last_key))))
-                starts.iloc[0] = not first_same
-                local = pd.Series(np.where(starts.to_numpy(), pos, 0), dtype="int64")
-                local = local.where(local > 0).ffill().fillna(last_rank).astype("int64")
-                last_key = key.iloc[-1]
-                last_rank = int(local.iloc[-1])
-                # the partition's first tie group may have started in an
-                # earlier partition: its rank comes from the summary pass
-                res = np.where(local.to_numpy() == 1, pdf["_first_start"].to_numpy(dtype=np.int64),
-                               offset + local.to_numpy())
-            seen += n
-            out = pdf[keep].copy()
-            out[name] = res
-            yield out
-
-    return tagged.mapInPandas(number, out_schema)
+        if kind == "row_number":
+            res = F.coalesce(off, F.lit(0)) + F.row_number().over(within)
+        else:
+            so_far = F.sum(value).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            res = F.coalesce(so_far + off, so_far, off)
+    return (cp.join(F.broadcast(offs), _PID)
+            .select(*[F.col(c) for c in df.columns], res.cast("long").alias(name)))
 
 
 def global_rank(df: DataFrame, measure: str, name: str = "rank", descending: bool = True,
-                num_partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """``rank() over (order by measure desc)`` without a single-partition window
-    (beyond the checked small-input bound)."""
-    return _sequence(df, [(measure, descending)], name, "rank", num_partitions=num_partitions,
-                     small_rows=small_rows)
+                num_partitions: int | None = None) -> DataFrame:
+    """``rank() over (order by measure desc)`` without a single-partition window."""
+    return _sequence(df, [(measure, descending)], name, "rank", num_partitions=num_partitions)
 
 
 def assign_keys(df: DataFrame, order_cols: Sequence[str], name: str, start: int = 1,
-                num_partitions: int | None = None, small_rows: int = SMALL_ROWS,
-                known_small: bool | None = None) -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """Dense surrogate keys ``start, start+1, ...`` in natural-key order
     (``autoincrement start 1 increment 1``).  order_cols must be unique."""
     out = _sequence(df, [(c, False) for c in order_cols], name, "row_number",
-                    num_partitions=num_partitions, small_rows=small_rows, known_small=known_small)
+                    num_partitions=num_partitions)
     return out if start == 1 else out.withColumn(name, F.col(name) + (start - 1))
 
 
@@ -213,12 +136,12 @@ def continue_keys(existing: DataFrame, new_rows: DataFrame, order_cols: Sequence
 
 
 def running_total(df: DataFrame, order_cols: Sequence[str], cents_col: str, name: str,
-                  num_partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
+                  num_partitions: int | None = None) -> DataFrame:
     """``sum(x) over (order by order_cols rows between unbounded preceding and
     current row)`` on a whole fact table.  ``order_cols`` must end in a unique
     tie-breaker; the measure is given in whole cents (exact bigint addition)."""
     return _sequence(df, [(c, False) for c in order_cols], name, "running",
-                     value=cents_col, num_partitions=num_partitions, small_rows=small_rows)
+                     value=cents_col, num_partitions=num_partitions)
 
 
 def with_neighbors(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
@@ -243,7 +166,7 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
         return out
     tb = "_tally_nb_id"
     seq = assign_keys(df.withColumn(tb, F.monotonically_increasing_id()),
-                      [*keys, *order_cols, tb], "_g", small_rows=0)
+                      [*keys, *order_cols, tb], "_g")
     base = seq.alias("x")
     prev = seq.select(*[F.col(k).alias(f"_p_{k}") for k in keys], (F.col("_g") + 1).alias("_pg"),
                       *[F.col(c).alias(f"prev_{c}") for c in prev_cols], F.lit(True).alias("_has_prev"))
@@ -252,8 +175,8 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
     pc = F.col("x._g") == F.col("_pg")
     nc = F.col("x._g") == F.col("_ng")
     for k in keys:
-        pc = pc & (F.col(f"x.{k}") == F.col(f"_p_{k}"))
-        nc = nc & (F.col(f"x.{k}") == F.col(f"_n_{k}"))
+        pc = pc & F.col(f"x.{k}").eqNullSafe(F.col(f"_p_{k}"))
+        nc = nc & F.col(f"x.{k}").eqNullSafe(F.col(f"_n_{k}"))
     j = base.join(prev, pc, "left").join(nxt, nc, "left")
     return j.select(*[F.col(f"x.{c}") for c in df.columns],
                     *[F.col(f"prev_{c}") for c in prev_cols], *[F.col(f"next_{c}") for c in next_cols],

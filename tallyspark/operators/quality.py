@@ -71,8 +71,9 @@ def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], measures: Sequenc
               left: str = "a", right: str = "b") -> DataFrame:
     """Full outer join of two report paths on the group key; per measure both
     values and an ``all_match`` flag (NULL-safe equality)."""
-    j = a.alias("x").join(b.alias("y"), list(keys), "full_outer")
-    cols = [F.col(k) for k in keys]
+    on = reduce(lambda p, q: p & q, [F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}")) for k in keys])
+    j = a.withColumn("_in", F.lit(True)).alias("x").join(b.alias("y"), on, "full_outer")
+    cols = [F.when(F.col("x._in"), F.col(f"x.{k}")).otherwise(F.col(f"y.{k}")).alias(k) for k in keys]
     checks = []
     for m in measures:
         cols += [F.col(f"x.{m}").alias(f"{left}_{m}"), F.col(f"y.{m}").alias(f"{right}_{m}")]

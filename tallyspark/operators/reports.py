@@ -187,7 +187,8 @@ def above_average(grouped: DataFrame, measure_cents: str) -> DataFrame:
     rounding of the average involved."""
     stats = grouped.agg(F.sum(measure_cents).alias("_tot"), F.count(F.lit(1)).alias("_n"))
     total, n = stats.select("_tot").scalar(), stats.select("_n").scalar()
-    return grouped.filter(F.col(measure_cents) * n > total)
+    wide = "decimal(38,0)"  # x * n passes a bigint long before x or the total do
+    return grouped.filter(F.col(measure_cents).cast("decimal(19,0)") * n.cast("decimal(18,0)") > total.cast(wide))
 
 
 def with_global_avg(df: DataFrame, cents_col: str, name: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import OPEN_END, any_changed, day_before, differs
-from tallyspark.operators.changes import update_from
+from tallyspark.operators.changes import dedupe_by_key, update_from
 from tallyspark.operators.ordered import SMALL_ROWS, with_neighbors
 from tallyspark.operators.sizing import BROADCAST_ROWS, broadcast_if_small, proven_small, split_by_keys
 
@@ -64,8 +64,29 @@ def attribute_changes(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequenc
 
 
 # ---------------------------------------------------------------- type 1
+def _latest(upd: DataFrame, key: str) -> DataFrame:
+    """One update per key: that of the latest effective date, and of several on
+    that day the one with the smallest other columns (a fixed choice)."""
+    rest = [c for c in upd.columns if c not in (key, EFF)]
+    if EFF not in upd.columns:
+        return upd
+    newest = F.struct(F.col(EFF), *[F.col(c) for c in rest]).alias("_r")
+    top = upd.groupBy(key).agg(F.max(EFF).alias("_top"))
+    j = upd.join(top, key).filter(F.col(EFF).eqNullSafe(F.col("_top")))
+    return j.groupBy(key).agg(F.min(newest).alias("_r")).select(
+        key, *[F.col(f"_r.{c}").alias(c) for c in [EFF, *rest]]).select(*upd.columns)
+
+
+def _one_per_day(upd: DataFrame, key: str) -> DataFrame:
+    """One update per key and effective date (the smallest other columns), so
+    that no version can end before it starts."""
+    return dedupe_by_key(upd, [key, EFF])
+
+
 def scd1_apply(dim: DataFrame, upd: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """Type 1: overwrite the attributes in place (history is lost)."""
+    """Type 1: overwrite the attributes in place (history is lost); of several
+    updates of a key the latest one wins."""
+    upd = _latest(upd, key)
     return update_from(dim, upd, [key], {c: F.col(f"u.{c}") for c in cols})
 
 
@@ -94,7 +115,7 @@ def _chain(cur: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str],
     cur_s, _ = broadcast_if_small(cur_s, known_small=small)
     # an update effective on/before the current version's start is already in
     # the table (a replayed batch) -- skip it, so re-applying changes nothing
-    u = upd.join(cur_s, key, "left").filter(F.col("_c_eff").isNull() | (F.col(EFF) > F.col("_c_eff")))
+    u = _one_per_day(upd, key).select(*upd.columns).join(cur_s, key, "left").filter(F.col("_c_eff").isNull() | (F.col(EFF) > F.col("_c_eff")))
     in_upd = [c for c in carry if c in upd.columns]
     u = with_neighbors(u, [key], [EFF], prev_cols=in_upd, known_small=small)
     prev = {c: F.when(F.col("_has_prev"), F.col(f"prev_{c}")).otherwise(F.col(f"_c_{c}"))
@@ -147,6 +168,7 @@ def scd3_apply(dim: DataFrame, upd: DataFrame, key: str, source_col: str,
     """Type 3: when the tracked value differs, previous <- old current,
     current <- new, plus ``also_set`` columns; otherwise the row is unchanged
     (a change of the other attributes alone is not applied)."""
+    upd = _latest(upd, key)
     sets = {previous_col: F.col(f"t.{current_col}"), current_col: F.col(f"u.{source_col}")}
     sets.update({c: F.col(f"u.{c}") for c in also_set})
     cond = differs(F.col(f"t.{current_col}"), F.col(f"u.{source_col}"), null_safe=False)
@@ -223,9 +245,9 @@ def scd_hybrid_apply(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence
         key, *[F.col(c).alias(f"_s_{c}") for c in list(sync) + [cur_c]],
         F.col(f"prev_{cur_c}").alias(f"_s_{prev_c}"),
         F.col(f"prev_{city_col}").alias("_s_prev_city"),
-        differs(F.col(city_col), F.col(f"prev_{city_col}")).alias("_city_moved"))
+        differs(F.col(city_col), F.col(f"prev_{city_col}")).alias("_city_moved"), F.lit(True).alias("_sync"))
     j = versions.join(latest, key, "left")
-    hit = F.col(f"_s_{cur_c}").isNotNull()
+    hit = F.coalesce(F.col("_sync"), F.lit(False))  # a new value may be NULL
     out = []
     for c in dim.columns:
         if c in list(sync) + [cur_c, prev_c]:

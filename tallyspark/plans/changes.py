@@ -216,17 +216,17 @@ def q_append_batch(spark, d):
     return append(new.select(*reversed(new.columns)), path, hist.schema)
 
 
-@query("insert_literal_row", f"""
-SELECT * FROM ({HIST_SQL}) UNION ALL
+@query("insert_literal_row", """
+SELECT * FROM orders UNION ALL
 SELECT CAST(-1 AS BIGINT), CAST(0 AS BIGINT), 'O', 3000.0, TIMESTAMP '2026-07-11 00:00:00', '3-MEDIUM'
 """)
 def q_insert_literal_row(spark, d):
     """SNK-2 / SRC-7: a literal row (implicit casts from text and ints) inserted
-    into a clone of the history table."""
+    into a clone of the whole table."""
     import datetime as dtm
     from tallyspark.sources.sinks import align, literal_rows
     w = Warehouse(spark, d)
-    clone = clone_table(history(w), "orders_clone_literal")
+    clone = clone_table(w.orders, "orders_clone_literal")
     row = literal_rows(spark, [(-1, 0, "O", 3000, dtm.datetime(2026, 7, 11), "3-MEDIUM")],
                        "o_orderkey int, o_custkey int, o_orderstatus string, o_totalprice int, "
                        "o_orderdate timestamp, o_orderpriority string")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions.columns import money, out_money
 from tallyspark.operators.model import (
     build_level, calendar, flatten_hierarchy, load_fact, resolve_parent)
-from tallyspark.operators.ordered import SMALL_ROWS, assign_keys
+from tallyspark.operators.ordered import assign_keys
 from tallyspark.operators.quality import audit, reconcile, rows_touched
 from tallyspark.operators.reports import Lookup, Measure, money_m, order_desc, revenue_by
 from tallyspark.operators.sizing import BROADCAST_ROWS, proven_small
@@ -77,37 +77,23 @@ class Normalized:
     def _product_paths(self) -> DataFrame:
         return materialize(self._p.select("brand_name", "category_name").distinct(), "paths_product")
 
-    # One size check per hierarchy: a level has no more rows than the stored
-    # paths it is derived from.
-    @cached_property
-    def _geo_small(self) -> bool:
-        return proven_small(self._geo_paths, SMALL_ROWS)
-
-    @cached_property
-    def _product_small(self) -> bool:
-        return proven_small(self._product_paths, SMALL_ROWS)
-
     @cached_property
     def region(self) -> DataFrame:
-        return materialize(build_level(self._geo_paths, ["region_name"], "region_key",
-                                       known_small=self._geo_small), "level_region")
+        return materialize(build_level(self._geo_paths, ["region_name"], "region_key"), "level_region")
 
     @cached_property
     def nation(self) -> DataFrame:
         return materialize(build_level(self._geo_paths, ["nation_name"], "nation_key",
-                                       parent=(self.region, ["region_name"], "region_key"),
-                                       known_small=self._geo_small), "level_nation")
+                                       parent=(self.region, ["region_name"], "region_key")), "level_nation")
 
     @cached_property
     def category(self) -> DataFrame:
-        return materialize(build_level(self._product_paths, ["category_name"], "category_key",
-                                       known_small=self._product_small), "level_category")
+        return materialize(build_level(self._product_paths, ["category_name"], "category_key"), "level_category")
 
     @cached_property
     def brand(self) -> DataFrame:
         return materialize(build_level(self._product_paths, ["brand_name"], "brand_key",
-                                       parent=(self.category, ["category_name"], "category_key"),
-                                       known_small=self._product_small), "level_brand")
+                                       parent=(self.category, ["category_name"], "category_key")), "level_brand")
 
     @cached_property
     def _branch_parts(self) -> tuple[DataFrame, DataFrame]:
@@ -524,26 +510,21 @@ class NormalizedDates:
                                             F.col("quarter").alias("quarter_name"), "year").distinct(),
                            "paths_date")
 
-    @cached_property
-    def _small(self) -> bool:
-        return proven_small(self._paths, SMALL_ROWS)
-
     @cached_property
     def year(self) -> DataFrame:
-        return materialize(build_level(self._paths, ["year"], "year_key", known_small=self._small), "level_year")
+        return materialize(build_level(self._paths, ["year"], "year_key"), "level_year")
 
     @cached_property
     def quarter(self) -> DataFrame:
         return materialize(build_level(self._paths, ["quarter_name"], "quarter_key",
-                                       parent=(self.year, ["year"], "year_key"), known_small=self._small),
+                                       parent=(self.year, ["year"], "year_key")),
                            "level_quarter")
 
     @cached_property
     def month(self) -> DataFrame:
         src = self._paths.join(self.year, "year")
         return materialize(build_level(src, ["month_name"], "month_key",
-                                       parent=(self.quarter, ["quarter_name", "year_key"], "quarter_key"),
-                                       known_small=self._small), "level_month")
+                                       parent=(self.quarter, ["quarter_name", "year_key"], "quarter_key")), "level_month")
 
     def date_dim(self) -> DataFrame:
         """One row per calendar day with its month key (look-ups by name +
@@ -698,8 +679,7 @@ def q_normalized_revenue_by_customer_nation(spark, d):
     cust = w.customer.join(nat, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "nation_name")
     paths = materialize(cust.select("nation_name").union(stg_branch(w).select("nation_name")).distinct(),
                         "paths_city")
-    level = materialize(build_level(paths, ["nation_name"], "nation_key",
-                                    known_small=proven_small(paths, SMALL_ROWS)), "level_city")
+    level = materialize(build_level(paths, ["nation_name"], "nation_key"), "level_city")
     cust_dim, _ = resolve_parent(cust, level, ["nation_name"], "nation_key")
     # level keys are unique: the flattened customer dimension has at most as
     # many rows as the customer table

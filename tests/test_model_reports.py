@@ -133,3 +133,20 @@ def test_revenue_by_dimension_grain_aggregates_before_joining(spark):
     assert "BroadcastHashJoin" in plan
     # the aggregate below the join is keyed on the fact's key alone
     assert plan.index("BroadcastHashJoin") < plan.rindex("HashAggregate(keys=[cust#")
+
+
+def test_report_edges(spark):
+    """Totals beyond a bigint product, negative averages, NULL groups."""
+    from pyspark.sql import functions as F
+
+    from tallyspark.functions.columns import avg_money_from_cents
+    from tallyspark.operators.quality import reconcile
+    from tallyspark.operators.reports import above_average
+    big = spark.createDataFrame([(1, 4 * 10 ** 18), (2, 10 ** 18), (3, 5)], "k long, c long")
+    assert [r.k for r in above_average(big, "c").collect()] == [1]
+    got = spark.createDataFrame([(-302, 3), (302, 3), (-5, 2)], "t long, n long").select(
+        avg_money_from_cents("t", "n").alias("a")).collect()
+    assert [r.a for r in got] == [-1.01, 1.01, -0.03]
+    a = spark.createDataFrame([(None, 1), ("x", 2)], "g string, v long")
+    rows = reconcile(a, a.select(F.col("g").alias("g"), (F.col("v") + 0).alias("v")), ["g"], ["v"]).collect()
+    assert len(rows) == 2 and all(r.all_match for r in rows)

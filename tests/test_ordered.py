@@ -17,21 +17,21 @@ def _data(spark, n=3000, seed=7):
 
 def test_rank_distributed_matches_window(spark):
     df = _data(spark)
-    got = global_rank(df, "score", "rk", num_partitions=5, small_rows=0)
+    got = global_rank(df, "score", "rk", num_partitions=5)
     ref = df.withColumn("rk", F.rank().over(Window.orderBy(F.col("score").desc())))
     assert sorted(got.select("id", "rk").collect()) == sorted(ref.select("id", "rk").collect())
 
 
-def test_rank_small_path_matches(spark):
+def test_rank_does_not_depend_on_partitions(spark):
     df = _data(spark, 500)
-    a = global_rank(df, "score", "rk")  # small path
-    b = global_rank(df, "score", "rk", num_partitions=3, small_rows=0)
+    a = global_rank(df, "score", "rk")
+    b = global_rank(df, "score", "rk", num_partitions=3)
     assert sorted(a.collect()) == sorted(b.collect())
 
 
 def test_row_number_keys_dense_and_ordered(spark):
     df = _data(spark)
-    got = assign_keys(df, ["day", "id"], "k", num_partitions=6, small_rows=0)
+    got = assign_keys(df, ["day", "id"], "k", num_partitions=6)
     keys = [r.k for r in got.orderBy("day", "id").collect()]
     assert keys == list(range(1, df.count() + 1))
 
@@ -44,7 +44,7 @@ def test_assign_keys_start(spark):
 
 def test_running_total_matches_window(spark):
     df = _data(spark)
-    got = running_total(df, ["day", "id"], "cents", "run", num_partitions=4, small_rows=0)
+    got = running_total(df, ["day", "id"], "cents", "run", num_partitions=4)
     w = Window.orderBy("day", "id").rowsBetween(Window.unboundedPreceding, 0)
     ref = df.withColumn("run", F.sum("cents").over(w))
     assert sorted(got.select("id", "run").collect()) == sorted(ref.select("id", "run").collect())
@@ -55,7 +55,7 @@ def test_rank_many_batches_one_partition(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
     try:
         df = _data(spark, 2000)
-        got = global_rank(df, "score", "rk", num_partitions=1, small_rows=0)
+        got = global_rank(df, "score", "rk", num_partitions=1)
         ref = df.withColumn("rk", F.rank().over(Window.orderBy(F.col("score").desc())))
         assert sorted(got.select("id", "rk").collect()) == sorted(ref.select("id", "rk").collect())
     finally:
@@ -75,8 +75,8 @@ def test_distributed_path_on_orders_matches_duckdb(spark):
         pytest.skip("no test data")
     o = spark.read.parquet(path).select("o_orderkey", F.to_date("o_orderdate").alias("d"),
                                         cents("o_totalprice").alias("c"))
-    run = running_total(o, ["d", "o_orderkey"], "c", "run", num_partitions=7, small_rows=0)
-    rk = global_rank(o, "c", "rk", num_partitions=7, small_rows=0)
+    run = running_total(o, ["d", "o_orderkey"], "c", "run", num_partitions=7)
+    rk = global_rank(o, "c", "rk", num_partitions=7)
     con = duckdb.connect()
     ref = con.execute(f"""
         SELECT o_orderkey,
@@ -96,7 +96,7 @@ def test_rank_with_huge_tie_group_split_across_partitions(spark):
     data += [(3000 + i, None) for i in range(40)]
     df = spark.createDataFrame(data, "id long, score double")
     for desc in (True, False):
-        got = global_rank(df, "score", "rk", descending=desc, num_partitions=9, small_rows=0)
+        got = global_rank(df, "score", "rk", descending=desc, num_partitions=9)
         o = F.col("score").desc_nulls_last() if desc else F.col("score").asc_nulls_last()
         ref = df.withColumn("rk", F.rank().over(Window.orderBy(o)))
         assert sorted(got.select("id", "rk").collect()) == sorted(ref.select("id", "rk").collect())
@@ -104,3 +104,33 @@ def test_rank_with_huge_tie_group_split_across_partitions(spark):
     parts = (df.repartitionByRange(9, F.col("score").desc_nulls_last(), F.monotonically_increasing_id())
              .filter("score = 5.0").select(F.spark_partition_id()).distinct().count())
     assert parts > 1
+
+
+def test_ordered_edge_values_match_one_window(spark):
+    """NULL measures, NaN, bigints beyond 2^53 and far dates as in one window."""
+    import datetime as dtm
+    big = 2 ** 53
+    far = dtm.datetime(9999, 12, 31)
+    data = [(1, big + 1, float("nan"), 10, far), (2, big, float("nan"), None, None), (3, None, 1.0, 30, far),
+            (4, big, None, None, far), (5, 7, None, -5, None), (6, big + 1, float("nan"), 1, far)]
+    df = spark.createDataFrame(data, "id long, big long, score double, cents long, at timestamp")
+    for n in (1, 3, 6):
+        for m in ("big", "score"):
+            for desc in (True, False):
+                o = F.col(m).desc_nulls_last() if desc else F.col(m).asc_nulls_last()
+                got = global_rank(df, m, "rk", descending=desc, num_partitions=n)
+                want = df.withColumn("rk", F.rank().over(Window.orderBy(o)).cast("long"))
+                assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        run = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+        for d in (df, df.where("id in (2, 3, 4)")):
+            got = running_total(d, ["id"], "cents", "run", num_partitions=n)
+            assert sorted(map(repr, got.collect())) == sorted(
+                map(repr, d.withColumn("run", F.sum("cents").over(run)).collect()))
+    assert running_total(df.limit(0), ["id"], "cents", "run").count() == 0
+
+
+def test_neighbours_of_null_keys_at_every_size(spark):
+    from tallyspark.operators.ordered import with_neighbors
+    df = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), (1, 1, "c")], "k long, t int, v string")
+    a, b = (with_neighbors(df, ["k"], ["t"], prev_cols=["v"], small_rows=n) for n in (0, 100))
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))

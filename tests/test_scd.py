@@ -135,3 +135,21 @@ def test_type2_chain_large_path(spark, monkeypatch):
     monkeypatch.setattr(O, "proven_small", lambda df, n: False)
     big = scd2_apply(scd2_init(initial(spark), "2026-01-01"), updates(spark, extra), "customer_id", TRACKED)
     assert rows(big) == want
+
+
+def test_several_updates_of_a_key(spark):
+    """Types 1 and 3 take the latest update; type 2 takes one a day, and no
+    version ends before it starts."""
+    import datetime as dtm
+    d = dtm.date
+    dim = spark.createDataFrame([(1, "Pune", "Silver")], "k long, city string, membership string")
+    upd = spark.createDataFrame([(1, "Agra", "Platinum", d(2026, 5, 1)), (1, "Zurich", "Gold", d(2026, 4, 1)),
+                                 (1, "Bern", "Gold", d(2026, 4, 1))],
+                                "k long, city string, membership string, effective_date date")
+    assert scd1_apply(dim, upd, "k", ["city"]).first().city == "Agra"
+    t3 = scd3_init(dim, "membership", "current_membership", "previous_membership")
+    assert scd3_apply(t3, upd, "k", "membership", "current_membership", "previous_membership"
+                      ).first().current_membership == "Platinum"
+    t2 = scd2_apply(scd2_init(dim, "2026-01-01"), upd, "k", ["city", "membership"]).collect()
+    assert len(t2) == 3 and sum(r.is_current for r in t2) == 1
+    assert all(r.effective_date <= r.expiry_date for r in t2)
