@@ -68,7 +68,8 @@ def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str],
     (source); every SET reads the *old* row.  Target rows without a source row
     are kept; the source is reduced to one row per key first (a warehouse
     would pick an arbitrary one)."""
-    src, _ = broadcast_if_small(dedupe_by_key(source, keys, order))
+    # stored once: neither the size check nor the join computes the source again
+    src, _ = broadcast_if_small(materialize(dedupe_by_key(source, keys, order), "update_source"))
     src = src.alias("u")
     t = target.alias("t")
     cond = None

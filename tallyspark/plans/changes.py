@@ -85,6 +85,19 @@ def q_update_from(spark, d):
     return update_from(w.orders, done, ["o_orderkey"], {"o_orderstatus": F.lit("F")})
 
 
+@query("update_in_list", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW') THEN '3-MEDIUM' ELSE o_orderpriority END
+         AS o_orderpriority
+FROM orders
+""")
+def q_update_in_list(spark, d):
+    """CHG-3 with FLT-4: rows whose priority is in a list get another one."""
+    w = Warehouse(spark, d)
+    return update_where(w.orders, F.col("o_orderpriority").isin("4-NOT SPECIFIED", "5-LOW"),
+                        {"o_orderpriority": F.lit("3-MEDIUM")})
+
+
 @query("update_where", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
        CASE WHEN o_orderstatus = 'O' AND o_totalprice > 400000 THEN '1-URGENT' ELSE o_orderpriority END

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.columns import as_date, cents, money_sum, month_start, out_cents, out_money
+from tallyspark.functions.columns import as_date, cents, full_name, money_sum, month_start, out_cents, out_money
 from tallyspark.operators.ordered import running_total
 from tallyspark.operators.reports import (
     Lookup, Measure, above_average, best_per_group, money_m, order_desc,
@@ -613,6 +613,14 @@ def filter_status(spark, d):
             .orderBy("o_orderkey"))
 
 
+@query("customer_labels", """
+SELECT c_custkey, concat(c_name, ' ', c_mktsegment) AS label FROM customer
+""")
+def customer_labels(spark, d):
+    """FN-1: two attributes joined by a blank."""
+    return _w(spark, d).customer.select("c_custkey", full_name("c_name", "c_mktsegment").alias("label"))
+
+
 @query("orders_after_timestamp", """
 SELECT o.o_orderkey, c.c_name AS customer_name, o.o_orderdate AS order_ts,
        CAST(CAST(o.o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS amount

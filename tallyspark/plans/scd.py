@@ -16,12 +16,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.operators.quality import history_metrics
 from tallyspark.operators.scd import (
-    as_of, attribute_changes, changed_rows, current_rows, hybrid_init, scd1_apply, scd2_apply,
+    as_of, attribute_changes, changed_rows, current_rows, history, hybrid_init, scd1_apply, scd2_apply,
     scd2_init, scd3_apply, scd3_init, scd6_apply, scd6_init, scd_hybrid_apply)
 from tallyspark.plans.registry import query
 from tallyspark.sources.tables import Warehouse
@@ -140,6 +140,15 @@ def q_scd2_history(spark, d):
     return scd2_table(Warehouse(spark, d)).orderBy("customer_id", "effective_date")
 
 
+@query("scd2_key_histories", SCD2_SQL + """
+SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY effective_date) AS version_no
+FROM scd2""")
+def q_scd2_key_histories(spark, d):
+    """SCD-13: the versions of each key, in order and numbered."""
+    version = F.row_number().over(Window.partitionBy("customer_id").orderBy("effective_date"))
+    return history(scd2_table(Warehouse(spark, d)).withColumn("version_no", version.cast("long")), "customer_id")
+
+
 @query("scd2_metrics", SCD2_SQL + """
 SELECT CAST(COUNT(*) AS BIGINT) AS total_records,
        CAST(COUNT(*) FILTER (WHERE is_current) AS BIGINT) AS current_records,
