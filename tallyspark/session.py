@@ -45,20 +45,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-_READY: set[int] = set()
-
-
 def ensure_session(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators depend on and make sure a reliable
     checkpoint folder exists (the cluster's, or a fresh one in local mode).
     Done once per session object."""
-    if id(spark) in _READY:
+    if getattr(spark, "_tally_ready", False):
         return spark
     for k, v in SESSION_DEFAULTS.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     checkpoint_dir(spark)
-    _READY.add(id(spark))
+    spark._tally_ready = True
     return spark
 
 
