@@ -25,8 +25,11 @@ from pyspark.sql import functions as F
 from tallyspark.llm import common
 
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: Email and IP also match a bare leading run (then group 1 is missing): every
+#: start within a run fails alike, so the run is passed over at once and a very
+#: long one costs its length, not its square.
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]++(@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+)?")
+IP = re.compile(r"[0-9]++((?:\.[0-9]++){3})?")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TOKEN = re.compile(r"\S+")
@@ -53,14 +56,19 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _octet(digits: str) -> bool:
+    """Whether a part without its leading zeros is at most 255."""
+    return len(digits) <= 3 and int(digits or 0) <= 255
+
+
 def base_spans(text: str) -> list[Span]:
     """All base spans, by kind as listed, then start (code points)."""
     out: list[Span] = []
     if "@" in text:
-        out += [("email", *m.span()) for m in EMAIL.finditer(text)]
+        out += [("email", *m.span()) for m in EMAIL.finditer(text) if m.group(1)]
     if DIGIT.search(text):
         out += [("ip", *m.span()) for m in IP.finditer(text)
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+                if m.group(1) and all(_octet(p.lstrip("0")) for p in m.group().split("."))]
         for m in CARD.finditer(text):
             digits = re.sub("[^0-9]", "", m.group())
             if 16 <= len(digits) <= 19 and luhn(digits):

@@ -204,6 +204,16 @@ def test_quality_edges(spark, tmp_path):
     assert mil_quality.quality_scores(docs.limit(0), labels).count() == 0
 
 
+def test_training_takes_one_text_of_a_repeated_id(spark, tmp_path):
+    rows = [f"text {i % 9}." for i in range(400)] + ["a | b | c"] * 20
+    docs = docs_of(spark, tmp_path, rows, [2] * 400 + [*range(100, 120)])
+    labels = spark.createDataFrame([(i, int(i == 2), 0) for i in (2, *range(100, 120))],
+                                   "doc_id long, quality int, toxic int")
+    once = docs.where("doc_id <> 2 or text = 'text 0.'").dropDuplicates(["doc_id", "text"])
+    a, b = (mil_quality.train(d, labels) for d in (docs, once))
+    assert all(np.array_equal(getattr(a, n), getattr(b, n)) for n in a.NAMES)
+
+
 def test_style_does_not_depend_on_neighbours():
     texts = [(t or "").encode() for t in ODD]
     together = mil_quality.passage_style(texts)
@@ -263,6 +273,23 @@ def test_base_spans():
     assert got == [("email", "a@b.c"), ("ip", "1.2.3.4"), ("card", "4111 1111 1111 1111"), ("phone", "+49 (30) 1234-56")]
 
 
+def test_base_spans_are_leftmost_and_linear():
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = np.random.default_rng(4)
+    for _ in range(4000):
+        text = "".join(rng.choice(list("ab@@..-_12 "), 24))
+        spans = pii_crf.base_spans(text)
+        assert [s[1:] for s in spans if s[0] == "email"] == [m.span() for m in email.finditer(text)]
+        text = "".join(rng.choice(list("12...5 "), 24))
+        spans = pii_crf.base_spans(text)
+        assert [s[1:] for s in spans if s[0] == "ip"] == [
+            m.span() for m in ip.finditer(text) if all(int(p) <= 255 for p in m.group().split("."))]
+    n = 300_000  # the square of this would not end
+    assert pii_crf.base_spans("a" * n + " x@y.z " + "7" * n + ".1.1.1") == [("email", n + 1, n + 6)]
+    assert pii_crf.base_spans("0" * 5000 + "1.1.1.1") == [("ip", 0, 5007)]
+
+
 def test_skip_edges_carry_labels_and_leave_clean_texts(spark, tmp_path):
     phones = [f"Call +1 ({200 + i}) 555-{1000 + i} now, yes {i} times in {1900 + i}." for i in range(60)]
     texts = ODD + phones + ["We met 2021 times: +1 (333) 555-7777 is ours, so dial 555-7777 today in 2021.",
