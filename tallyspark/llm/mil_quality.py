@@ -181,7 +181,8 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, seed: int = 1) -> GatedAttention | None:
     """Fitted on the ``train_docs`` labelled, not held-out documents of
-    smallest seeded hash; None when there is none."""
+    smallest seeded hash (the smallest text of a doc_id that repeats); None
+    when there is none."""
     usable = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
               .select(F.col("doc_id").cast("long").alias("__id"), F.col("quality").cast("double").alias("__y"))
               .withColumn("__h", F.xxhash64(F.lit(seed), "__id")))
@@ -197,6 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, seed
     text = common.text_or_empty(F.col("text").cast("string")).cast("binary")
     got = (docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text"))
            .join(F.broadcast(chosen), F.col("id") == F.col("__id"))  # bounded by train_docs
+           .groupBy("id", "__y").agg(F.min("text").alias("text"))  # one text of an id that repeats, however often
            .select("id", "text", "__y").mapInArrow(bags, "id long, y double, bag array<double>").collect())
     if not got:
         return None
