@@ -16,6 +16,9 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
+import itertools
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +32,8 @@ RECORD_END = "\r\n\r\n"
 MIN_REVISIT_BYTES = 100
 #: Records of one archive at most; files also end with their partition.
 RECORDS_PER_ARCHIVE = 4000
+#: Records that a reading task hands on at a time.
+RECORDS_PER_BATCH = 256
 #: Fixed date: the same pages give the same archives.
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -92,45 +97,45 @@ RECORD = ("record_id string, record_type string, page_id long, url string, refer
           "bytes long, payload binary")
 
 
-def parse(data: bytes):
-    """(headers, payload) of each record of one archive, by Content-Length."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        version, *lines = data[at:end].decode().split("\r\n")
-        if version != "WARC/1.1":
-            raise ValueError(f"no WARC record at byte {at}")
-        head = dict(x.split(": ", 1) for x in lines)
-        body = data[end + 4:end + 4 + int(head["Content-Length"])]
-        at = end + 4 + len(body)
-        if data[at:at + 4] != b"\r\n\r\n":
+def parse(archive: BinaryIO):
+    """(headers, payload) of each record of one archive, by Content-Length;
+    one record at a time is held."""
+    while version := archive.readline():
+        if version != b"WARC/1.1\r\n":
+            raise ValueError(f"no WARC record starts with {version[:40]!r}")
+        head = {}
+        while (line := archive.readline()) not in (b"\r\n", b""):
+            name, value = line.decode().removesuffix("\r\n").split(": ", 1)
+            head[name] = value
+        body = archive.read(int(head["Content-Length"]))
+        if archive.read(len(RECORD_END)) != RECORD_END.encode():
             raise ValueError(f"record {head['WARC-Record-ID']} has another length than it states")
-        at += 4
         yield head, body.split(b"\r\n\r\n", 1)[1]
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """The records of all archives below ``path``, as stored (revisits have no
     payload; digest and length are computed anew from each response)."""
+    names = [x.split(" ")[0] for x in RECORD.split(", ")]
+    types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+
+    def row(head, payload):
+        full = head["WARC-Type"] == "response"
+        digest = hashlib.sha256(payload).hexdigest()
+        if full and head["WARC-Payload-Digest"] != f"sha256:{digest}":
+            raise ValueError(f"payload of {head['WARC-Record-ID']} does not match its digest")
+        page = head.get("WARC-Page-ID")
+        return (head["WARC-Record-ID"], head["WARC-Type"], page and int(page), head.get("WARC-Target-URI"),
+                head.get("WARC-Refers-To"), digest if full else None, len(payload) if full else None,
+                payload if full and with_payload else None)
+
     def run(batches):
         for batch in batches:
             for data in batch.column(0):
-                rows = []
-                for head, payload in parse(gzip.decompress(data.as_py())):
-                    full = head["WARC-Type"] == "response"
-                    digest = hashlib.sha256(payload).hexdigest()
-                    if full and head["WARC-Payload-Digest"] != f"sha256:{digest}":
-                        raise ValueError(f"payload of {head['WARC-Record-ID']} does not match its digest")
-                    page = head.get("WARC-Page-ID")
-                    rows.append((head["WARC-Record-ID"], head["WARC-Type"], page and int(page),
-                                 head.get("WARC-Target-URI"), head.get("WARC-Refers-To"),
-                                 digest if full else None, len(payload) if full else None,
-                                 payload if full and with_payload else None))
-                names = [x.split(" ")[0] for x in RECORD.split(", ")]
-                types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(),
-                         pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
+                records = parse(gzip.open(io.BytesIO(data.as_buffer())))
+                while rows := [row(*r) for r in itertools.islice(records, RECORDS_PER_BATCH)]:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.select("content").mapInArrow(run, RECORD)
