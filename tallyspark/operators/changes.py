@@ -47,8 +47,9 @@ def rows_to_insert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                    order: Sequence[str] = ()) -> DataFrame:
     """The source rows an insert-only merge adds: one per key (duplicates
     reduced), only keys the target lacks.  Only the target's key columns are
-    read."""
-    src = dedupe_by_key(source.select(*target.columns), keys, order)
+    read.  The reduced batch is stored once: its size check and its key set are
+    read from there, not derived from the source again."""
+    src = materialize(dedupe_by_key(source.select(*target.columns), keys, order), "merge_source")
     return keys_absent(src, target, keys)
 
 

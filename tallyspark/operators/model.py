@@ -35,26 +35,28 @@ def build_level(src: DataFrame, name_cols: Sequence[str], key: str,
     return assign_keys(resolved, list(name_cols) + [pkey], key).select(key, *name_cols, pkey)
 
 
+def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` guarded against fan-out: whatever reads it fails if its ``keys``
+    are not unique.  Part of the plan (one grouping of the look-up), so it
+    costs no job of its own."""
+    rest = [c for c in df.columns if c not in keys]
+    one = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in rest])
+    failed = F.raise_error(F.lit(f"look-up key {list(keys)} is not unique")).cast("boolean")
+    return one.filter(F.when(F.col("_n") == 1, F.lit(True)).otherwise(failed)).select(*df.columns)
+
+
 def resolve_parent(src: DataFrame, level: DataFrame, on: Sequence[str],
                    level_key: str) -> tuple[DataFrame, DataFrame]:
     """Replace the naming columns ``on`` of ``src`` by the level's key.
     Returns (matched, unmatched): an inner look-up silently loses rows whose
-    name the level lacks -- they are handed out instead of dropped."""
-    lv = level.select(level_key, *on)
+    name the level lacks -- they are handed out instead of dropped.  A name
+    that the level holds twice fails (``assert_unique``)."""
+    lv = assert_unique(level.select(level_key, *on), on)
     matched = src.join(lv, list(on), "inner").drop(*on)
-    unmatched = src.join(lv.select(*on), list(on), "left_anti").select(*src.columns)
+    unmatched = src.join(level.select(*on), list(on), "left_anti").select(*src.columns)
     return matched, unmatched
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Guard for a look-up by name that could fan out: the level's key columns
-    must be unique (checked by a grouped count; raises when not)."""
-    dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
-    if dup:
-        raise ValueError(f"look-up key {list(keys)} is not unique")
-    return df
-
-
 def flatten_hierarchy(child: DataFrame, parents: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
     """Join a child level to its chain of parents once (child -> parent ->
     grand-parent ...), giving a flat look-up to join facts against in one hop.
@@ -91,14 +93,34 @@ def calendar(dates: DataFrame, date_col: str) -> DataFrame:
     )
 
 
+def load_dimension(src: DataFrame, natural: Sequence[str], attributes: Sequence[str], key: str) -> DataFrame:
+    """A dimension with its own dense key, numbered in ``natural`` key order
+    (which must be unique in ``src``)."""
+    return assign_keys(src.select(*natural, *attributes), list(natural), key).select(key, *natural, *attributes)
+
+
 def load_fact(src: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[str], str]],
-              measures: Sequence[Column]) -> DataFrame:
+              measures: Sequence[Column], fact_key: str | None = None,
+              order: Sequence[str] = ()) -> DataFrame:
     """Fact load: swap natural keys for surrogate keys.
-    ``lookups`` = [(dimension, natural key columns shared with src, surrogate key)].
-    Each key map is broadcast only when proven small (``lookup_join``),
-    otherwise joined by sort-merge -- the fact itself is never broadcast."""
+    ``lookups`` = [(dimension, natural key columns shared with src, surrogate key)];
+    other columns of a dimension come along for ``measures``.  Each dimension
+    is guarded against fan-out and broadcast only when proven small
+    (``lookup_join``), otherwise joined by sort-merge -- the fact itself is
+    never broadcast.  ``fact_key`` numbers the rows in ``order`` (unique)."""
     cur = src
     for dim, nat, sk in lookups:
-        cur = lookup_join(cur, dim.select(sk, *nat), list(nat), "inner")
-    keys = [sk for _, _, sk in lookups]
-    return cur.select(*keys, *measures)
+        cur = lookup_join(cur, assert_unique(dim, nat), list(nat), "inner")
+    out = cur.select(*[sk for _, _, sk in lookups], *measures)
+    return out if fact_key is None else assign_keys(out, list(order), fact_key).select(fact_key, *out.columns)
+
+
+def fact_unmatched(src: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[str], str]]) -> DataFrame:
+    """The rows of ``src`` that ``load_fact`` cannot resolve, with the first
+    look-up that lacks them in ``missing`` (its surrogate key's name)."""
+    cur = src.withColumn("missing", F.lit(None).cast("string"))
+    for dim, nat, sk in lookups:
+        keys = assert_unique(dim.select(sk, *nat), nat).withColumnRenamed(sk, "_found")
+        cur = lookup_join(cur, keys, list(nat), "left").withColumn(
+            "missing", F.coalesce("missing", F.when(F.col("_found").isNull(), F.lit(sk)))).drop("_found")
+    return cur.filter(F.col("missing").isNotNull()).select(*src.columns, "missing")

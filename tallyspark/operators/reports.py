@@ -113,7 +113,8 @@ def revenue_by(fact: DataFrame, by: Sequence[str], measures: Sequence[Measure],
     Plan: fact --broadcast joins of the leading look-ups proven small-->
     partial agg by (``by`` columns + fact keys of the remaining look-ups) -->
     joins of the remaining look-ups --> final agg by ``by``.  With every
-    look-up small the first aggregate is already the report.  A look-up whose
+    look-up small the first aggregate is already the report.  Between two
+    remaining look-ups the partial values are merged by what is still needed.  A look-up whose
     key is itself a ``by`` column (a report at that dimension's grain) is
     joined after the aggregate, broadcast if proven small.
     """
@@ -139,6 +140,9 @@ def revenue_by(fact: DataFrame, by: Sequence[str], measures: Sequence[Measure],
         # the first one was checked above; later ones get their own check
         dim, _ = first if i == 0 else broadcast_if_small(lk.dim, broadcast_rows, lk.small)
         cur = _join_lookup(cur, dim, lk)
+        if i + 1 < len(rest):  # fewer rows meet the next join: its key and the columns of the report found so far
+            ahead = [c for c in dict.fromkeys([*by, *[x.fact_key for x in rest[i + 1:]]]) if c in cur.columns]
+            cur = cur.groupBy(*ahead).agg(*[F.sum(m.name).alias(m.name) for m in measures])
     return cur.groupBy(*by).agg(*[m.merge() for m in measures])
 
 

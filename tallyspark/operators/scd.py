@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import OPEN_END, any_changed, day_before, differs
 from tallyspark.operators.changes import dedupe_by_key, update_from
-from tallyspark.operators.ordered import SMALL_ROWS, with_neighbors
+from tallyspark.operators.ordered import SMALL_ROWS, continue_keys, with_neighbors
 from tallyspark.operators.sizing import BROADCAST_ROWS, broadcast_if_small, proven_small, split_by_keys
+from tallyspark.operators.views import materialize
 
 EFF, EXP, CUR = "effective_date", "expiry_date", "is_current"
 
@@ -127,9 +128,27 @@ def _chain(cur: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str],
     changed = any_changed([(F.col(a), F.col(f"prev_{a}")) for a in tracked])
     kept = u.filter(is_new_key | changed).drop("_known", "_first")
     kept = with_neighbors(kept, [key], [EFF], next_cols=[EFF], known_small=small)
-    return kept.select(*[c for c in kept.columns if c not in (f"next_{EFF}", "_has_prev", "_has_next")],
+    kept = kept.select(*[c for c in kept.columns if c not in (f"next_{EFF}", "_has_prev", "_has_next")],
                        F.coalesce(day_before(F.col(f"next_{EFF}")), F.lit(OPEN_END)).alias(EXP),
                        (~F.col("_has_next")).alias(CUR))
+    # batch-sized; expiring, inserting and synchronising all read it
+    return materialize(kept, "scd_kept")
+
+
+def late_updates(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
+    """The updates that an apply passes over although ``dim`` does not hold
+    them: dated on or before their key's current version, and different from
+    the version valid on that day (or older than the first one).  A replayed
+    batch has none.  They are handed out for a correction of the history."""
+    touched, _ = split_by_keys(dim, upd, [key])
+    now = touched.filter(F.col(CUR)).select(key, F.col(EFF).alias("_c_eff"))
+    old = _one_per_day(upd, key).select(*upd.columns).join(now, key).filter(F.col(EFF) <= F.col("_c_eff")).alias("u")
+    then = touched.select(F.col(key).alias("_k"), F.col(EFF).alias("_from"), F.col(EXP).alias("_to"),
+                          *[F.col(a).alias(f"_then_{a}") for a in tracked])
+    j = old.join(then, (F.col(f"u.{key}") == F.col("_k")) & F.col(f"u.{EFF}").between(F.col("_from"), F.col("_to")),
+                 "left")
+    news = F.col("_k").isNull() | any_changed([(F.col(f"u.{a}"), F.col(f"_then_{a}")) for a in tracked])
+    return j.filter(news).select(*[F.col(f"u.{c}") for c in upd.columns])
 
 
 def _small_batch(upd: DataFrame) -> bool:
@@ -149,16 +168,21 @@ def _expire(dim: DataFrame, kept: DataFrame, key: str) -> DataFrame:
                       else F.col(c) for c in dim.columns])
 
 
-def scd2_apply(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
+def scd2_apply(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str],
+               version_key: str | None = None) -> DataFrame:
     """Type 2: a changed key gets its current row closed (expiry = effective-1)
     and a new open, current row; unchanged updates do nothing; unknown keys
-    get a first row.  One current row per key; intervals do not overlap."""
+    get a first row.  One current row per key; intervals do not overlap.
+    New versions get ``version_key`` numbers from the largest one of ``dim``
+    on, by key and date.  Late updates are left to ``late_updates``."""
     small = _small_batch(upd)
     touched, untouched = split_by_keys(dim, upd, [key], known_small=small or None)
     cur = touched.filter(F.col(CUR))
-    attrs = [c for c in dim.columns if c not in (EFF, EXP, CUR)]
+    attrs = [c for c in dim.columns if c not in (EFF, EXP, CUR, version_key)]
     kept = _chain(cur, upd, key, tracked, [c for c in attrs if c != key], small or None)
-    new_rows = kept.select(*[F.col(c) for c in dim.columns])
+    new_rows = kept.select(*[F.col(c) for c in dim.columns if c != version_key])
+    if version_key:
+        new_rows = continue_keys(dim, new_rows, [key, EFF], version_key)
     return untouched.unionByName(_expire(touched, kept, key)).unionByName(new_rows)
 
 

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 
 # Session setting that caps every size bound (rows), e.g. to suit executor
-# memory; 0 proves nothing small, which shows the plans a cluster-sized input
-# gets (tools/explain.py AT_SCALE=1).
+# memory; 0 proves only empty frames small, which shows the plans a cluster-sized
+# input gets and still pays for the check (tools/explain.py AT_SCALE=1).
 MAX_ROWS_CONF = "tallyspark.sizing.maxRows"
 
 
@@ -35,7 +35,7 @@ def proven_small(df: DataFrame, max_rows: int) -> bool:
     cap = df.sparkSession.conf.get(MAX_ROWS_CONF, None)
     if cap is not None:
         max_rows = min(max_rows, int(cap))
-    return max_rows > 0 and df.count() <= max_rows
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspark.plans.changes import MERGED_SQL, history, staging
+from tallyspark.plans.changes import HIST_SQL, MERGED_SQL, STAGE_SQL, history, staging
 from tallyspark.plans.registry import query
 from tallyspark.session import scratch_path
 from tallyspark.sources.csv import CORRUPT, CsvFormat, read_table, write_csv
@@ -99,3 +99,66 @@ def q_incremental_load(spark, d):
     schema = w.orders.schema
     incremental_load(spark, landing, schema, table, ["o_orderkey"], ckpt, max_files_per_batch=2)
     return incremental_load(spark, landing, schema, table, ["o_orderkey"], ckpt, max_files_per_batch=2)
+
+
+@query("csv_null_tokens", """
+SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment,
+       CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DOUBLE) END AS c_acctbal
+FROM customer
+""")
+def q_csv_null_tokens(spark, d):
+    """SRC-2, SRC-4: an export that writes missing segments as ``NULL`` and
+    missing balances as an empty field, loaded with both tokens under the
+    abort policy (no line is bad)."""
+    c = Warehouse(spark, d).customer
+    path = write_csv(c.select(
+        F.col("c_custkey").cast("string"),
+        F.when(F.col("c_custkey") % 7 == 0, "NULL").otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
+        F.when(F.col("c_custkey") % 11 == 0, "").otherwise(
+            F.col("c_acctbal").cast("decimal(12,2)").cast("string")).alias("c_acctbal")),
+        scratch_path(spark, "customer_tokens_csv"))
+    schema = T.StructType([CUSTOMER_SCHEMA[n] for n in ("c_custkey", "c_mktsegment", "c_acctbal")])
+    good, _ = read_table(spark, path, schema, CsvFormat(null_tokens=("NULL", "")), on_error="abort")
+    return good.withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
+
+
+@query("csv_rejects_raw", """
+SELECT CAST(c_custkey AS VARCHAR) || ',"' || c_name || ', Ltd",(' ||
+       CAST(abs(CAST(c_acctbal AS DECIMAL(12,2))) AS VARCHAR) || ')' AS _corrupt_record
+FROM customer WHERE CAST(c_acctbal AS DECIMAL(12,2)) < 0
+""")
+def q_csv_rejects_raw(spark, d):
+    """SRC-3: rejected lines as they stand in the file, quotes included."""
+    c = Warehouse(spark, d).customer
+    bal = F.col("c_acctbal").cast("decimal(12,2)")
+    path = write_csv(c.select(
+        F.col("c_custkey").cast("string"), F.concat("c_name", F.lit(", Ltd")).alias("c_name"),
+        F.when(bal < 0, F.concat(F.lit("("), F.abs(bal).cast("string"), F.lit(")"))).otherwise(
+            bal.cast("string")).alias("c_acctbal")), scratch_path(spark, "customer_raw_csv"))
+    schema = T.StructType([CUSTOMER_SCHEMA[n] for n in ("c_custkey", "c_name", "c_acctbal")])
+    return read_table(spark, path, schema)[1]
+
+
+@query("incremental_load_csv", f"""
+WITH h AS (SELECT o_orderkey, o_custkey, o_orderpriority FROM ({HIST_SQL})),
+s AS (SELECT DISTINCT o_orderkey, o_custkey, o_orderpriority FROM ({STAGE_SQL})
+      WHERE o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0)
+SELECT * FROM h UNION ALL SELECT * FROM s WHERE o_orderkey NOT IN (SELECT o_orderkey FROM h)
+""")
+def q_incremental_load_csv(spark, d):
+    """CHG-9 from CSV files with lines that do not load (a key that is no
+    number) and lines without a key: both go to the side folder.  Replayed from
+    scratch after a lost checkpoint, the table stays the same."""
+    w = Warehouse(spark, d)
+    cols = ["o_orderkey", "o_custkey", "o_orderpriority"]
+    key = F.col("o_orderkey").cast("string")
+    text = (F.when(F.col("o_orderkey") % 13 == 0, F.concat(F.lit("K"), key))
+            .when(F.col("o_orderkey") % 17 == 0, "null").otherwise(key))
+    landing = write_csv(staging(w).select(cols).withColumn("o_orderkey", text).repartition(4),
+                        scratch_path(spark, "landing_csv"))
+    table = scratch_path(spark, "sales_csv_table")
+    history(w).select(cols).write.parquet(table)
+    for _ in range(2):  # the second run starts without the first one's checkpoint
+        out = incremental_load(spark, landing, w.orders.select(cols).schema, table, ["o_orderkey"],
+                               scratch_path(spark, "csv_stream_ckpt"), file_format="csv", max_files_per_batch=2)
+    return out

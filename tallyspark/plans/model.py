@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import money, out_money
 from tallyspark.operators.model import (
-    build_level, calendar, flatten_hierarchy, load_fact, resolve_parent)
+    build_level, calendar, fact_unmatched, flatten_hierarchy, load_dimension, load_fact, resolve_parent)
 from tallyspark.operators.ordered import assign_keys
 from tallyspark.operators.quality import audit, reconcile, rows_touched
 from tallyspark.operators.reports import Lookup, Measure, money_m, order_desc, revenue_by
@@ -98,13 +98,15 @@ class Normalized:
     @cached_property
     def _branch_parts(self) -> tuple[DataFrame, DataFrame]:
         # region name -> key, then nation by (name, region key)
-        b_r, _ = resolve_parent(self._b, self.region, ["region_name"], "region_key")
-        return resolve_parent(b_r, self.nation, ["nation_name", "region_key"], "nation_key")
+        b_r, lost = resolve_parent(self._b, self.region, ["region_name"], "region_key")
+        found, missing = resolve_parent(b_r, self.nation, ["nation_name", "region_key"], "nation_key")
+        return found, lost.select("s_suppkey", "s_name").union(missing.select("s_suppkey", "s_name"))
 
     @cached_property
     def _product_parts(self) -> tuple[DataFrame, DataFrame]:
-        p_c, _ = resolve_parent(self._p, self.category, ["category_name"], "category_key")
-        return resolve_parent(p_c, self.brand, ["brand_name", "category_key"], "brand_key")
+        p_c, lost = resolve_parent(self._p, self.category, ["category_name"], "category_key")
+        found, missing = resolve_parent(p_c, self.brand, ["brand_name", "category_key"], "brand_key")
+        return found, lost.select("p_partkey", "p_name").union(missing.select("p_partkey", "p_name"))
 
     # Size bounds of the normalized dimensions: level keys are unique, so the
     # inner look-ups of branch/product and their flattening cannot fan out --
@@ -360,6 +362,95 @@ def q_fact_with_keys(spark, d):
                       F.col("o_totalprice").cast("decimal(12,2)").cast("double").alias("amount")])
 
 
+# ------------------------------------------------ keyed dimensions and facts (MDL-2, MDL-4, MDL-5)
+FACT_SQL = """l.l_orderkey, l.l_linenumber, CAST(l.l_quantity AS BIGINT) AS quantity,
+       CAST(p.p_retailprice AS DOUBLE) AS unit_price,
+       CAST(CAST(l.l_quantity AS BIGINT) * CAST(p.p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS total_amount"""
+FACT_KEY_SQL = """CAST(row_number() OVER (ORDER BY l.l_orderkey, l.l_linenumber, bk.branch_key, p.product_key,
+       CAST(l.l_quantity AS BIGINT)) AS BIGINT)"""
+PRICED_PART_SQL = """(SELECT CAST(row_number() OVER (ORDER BY p_partkey) AS BIGINT) AS product_key, p_partkey,
+       p_retailprice FROM part)"""
+
+
+def keyed_fact(w: Warehouse, branch: DataFrame, product: DataFrame) -> DataFrame:
+    """Line items with the keys of both dimensions, quantity x unit price and a
+    key of their own (line numbers repeat within an order, so every column that
+    tells lines apart takes part in the order)."""
+    price = F.col("p_retailprice").cast("decimal(12,2)")
+    src = w.lineitem.select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("s_suppkey"),
+                            F.col("l_partkey").alias("p_partkey"), F.col("l_quantity").cast("long").alias("quantity"))
+    return load_fact(src, [(branch, ["s_suppkey"], "branch_key"), (product, ["p_partkey"], "product_key")],
+                     [F.col("l_orderkey"), F.col("l_linenumber"), F.col("quantity"),
+                      price.cast("double").alias("unit_price"),
+                      (F.col("quantity") * price).cast("double").alias("total_amount")],
+                     "fact_key", ["l_orderkey", "l_linenumber", "branch_key", "product_key", "quantity"])
+
+
+@query("star_fact", f"""
+WITH bk AS (SELECT CAST(row_number() OVER (ORDER BY s_suppkey) AS BIGINT) AS branch_key, s_suppkey FROM {GEO_SQL})
+SELECT {FACT_KEY_SQL} AS fact_key, bk.branch_key, p.product_key, {FACT_SQL}
+FROM lineitem l JOIN bk ON l.l_suppkey = bk.s_suppkey JOIN {PRICED_PART_SQL} p ON l.l_partkey = p.p_partkey
+""")
+def q_star_fact(spark, d):
+    """MDL-2, MDL-5: flat dimensions with their own keys, and a fact that
+    resolves both, derives quantity x unit price and is keyed itself."""
+    w = Warehouse(spark, d)
+    branch = materialize(load_dimension(stg_branch(w), ["s_suppkey"], ["s_name", "nation_name", "region_name"],
+                                        "branch_key"), "dim_branch").select("branch_key", "s_suppkey")
+    product = materialize(load_dimension(w.part, ["p_partkey"], ["p_name", "p_retailprice"], "product_key"),
+                          "dim_product").select("product_key", "p_partkey", "p_retailprice")
+    return keyed_fact(w, branch, product)
+
+
+@query("normalized_dim_branch", f"""
+SELECT CAST(row_number() OVER (ORDER BY g.s_suppkey) AS BIGINT) AS branch_key, g.s_suppkey, g.s_name, nl.nation_key
+FROM {GEO_SQL} g JOIN {REGION_LEVEL_SQL} rl ON g.region_name = rl.region_name
+JOIN {NATION_LEVEL_SQL} nl ON g.nation_name = nl.nation_name AND rl.region_key = nl.region_key
+""")
+def q_normalized_dim_branch(spark, d):
+    """MDL-4: a normalized dimension with a key of its own."""
+    return load_dimension(Normalized(Warehouse(spark, d)).branch, ["s_suppkey"], ["s_name", "nation_key"], "branch_key")
+
+
+@query("normalized_fact", f"""
+WITH bk AS (SELECT CAST(row_number() OVER (ORDER BY s_suppkey) AS BIGINT) AS branch_key, s_suppkey FROM {GEO_SQL})
+SELECT {FACT_KEY_SQL} AS fact_key, bk.branch_key, p.product_key, {FACT_SQL}
+FROM lineitem l JOIN bk ON l.l_suppkey = bk.s_suppkey JOIN {PRICED_PART_SQL} p ON l.l_partkey = p.p_partkey
+""")
+def q_normalized_fact(spark, d):
+    """MDL-5 on the normalized dimensions; the unit price comes with the
+    product's staging row."""
+    w = Warehouse(spark, d)
+    n = Normalized(w)
+    branch = materialize(load_dimension(n.branch, ["s_suppkey"], ["s_name", "nation_key"], "branch_key"),
+                         "dim_branch_n").select("branch_key", "s_suppkey")
+    product = materialize(load_dimension(n.product.join(w.part.select("p_partkey", "p_retailprice"), "p_partkey"),
+                                         ["p_partkey"], ["p_name", "brand_key", "p_retailprice"], "product_key"),
+                          "dim_product_n").select("product_key", "p_partkey", "p_retailprice")
+    return keyed_fact(w, branch, product)
+
+
+@query("fact_unmatched", """
+SELECT l.l_orderkey, l.l_linenumber,
+       CASE WHEN n.n_name IN ('FRANCE', 'CHINA') THEN 'branch_key' ELSE 'product_key' END AS missing
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
+JOIN part p ON l.l_partkey = p.p_partkey
+WHERE n.n_name IN ('FRANCE', 'CHINA') OR p.p_partkey % 10 = 0
+""")
+def q_fact_unmatched(spark, d):
+    """MDL-5 / S15: lines whose branch or product the dimensions lack (loaded
+    without two nations and without every tenth product), with the look-up that
+    failed first."""
+    w = Warehouse(spark, d)
+    branch = load_dimension(stg_branch(w).filter(~F.col("nation_name").isin("FRANCE", "CHINA")), ["s_suppkey"], [],
+                            "branch_key")
+    product = load_dimension(w.part.filter(F.col("p_partkey") % 10 != 0), ["p_partkey"], [], "product_key")
+    src = w.lineitem.select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("s_suppkey"),
+                            F.col("l_partkey").alias("p_partkey"))
+    return fact_unmatched(src, [(branch, ["s_suppkey"], "branch_key"), (product, ["p_partkey"], "product_key")]
+                          ).select("l_orderkey", "l_linenumber", "missing")
+
+
 @query("level_nation_two_sources", """
 SELECT CAST(row_number() OVER (ORDER BY nation_name) AS BIGINT) AS nation_key, nation_name FROM (
   SELECT n.n_name AS nation_name FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -502,7 +593,11 @@ class NormalizedDates:
 
     def __init__(self, w: Warehouse):
         self.w = w
-        self._cal = calendar(w.orders, "o_orderdate")
+
+    @cached_property
+    def _cal(self) -> DataFrame:
+        # one row a day; stored, as the paths, the size check and the joins read it
+        return materialize(calendar(self.w.orders, "o_orderdate"), "calendar")
 
     @cached_property
     def _paths(self) -> DataFrame:

@@ -579,19 +579,21 @@ def above_average_crossjoin(spark, d):
 
 @query("above_average_subquery", ABOVE_AVG_SQL)
 def above_average_subquery(spark, d):
-    """R33 (scalar-subquery form) through Spark SQL.  The grouped frame is read
-    by three plan branches; AQE reuses the exchange."""
+    """R33 (scalar-subquery form) through Spark SQL.  Sales are summed per key
+    before the join, so a customer with very many sales is reduced inside each
+    task; the frame is read by three plan branches and AQE reuses the exchange."""
     w = _w(spark, d)
     v = unique_view_names(spark, {"orders": w.orders, "customer": w.customer})
     return spark.sql(f"""
-        WITH cr AS (
-          SELECT c.c_custkey, c.c_name,
-                 SUM(CAST(CAST(o.o_totalprice AS DECIMAL(12,2)) * 100 AS BIGINT)) AS revenue_cents,
-                 CAST(SUM(CAST(o.o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS revenue
-          FROM {v['orders']} o JOIN {v['customer']} c ON o.o_custkey = c.c_custkey
-          GROUP BY c.c_custkey, c.c_name)
-        SELECT c_custkey, c_name, revenue FROM cr
-        WHERE revenue_cents * (SELECT COUNT(*) FROM cr) > (SELECT SUM(revenue_cents) FROM cr)
+        WITH per_key AS (
+          SELECT o_custkey, SUM(CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 100 AS BIGINT)) AS revenue_cents
+          FROM {v['orders']} GROUP BY o_custkey),
+        cr AS (
+          SELECT c.c_custkey, c.c_name, p.revenue_cents
+          FROM per_key p JOIN {v['customer']} c ON p.o_custkey = c.c_custkey)
+        SELECT c_custkey, c_name, revenue_cents / CAST(100 AS DOUBLE) AS revenue FROM cr
+        WHERE CAST(revenue_cents AS DECIMAL(19,0)) * (SELECT CAST(COUNT(*) AS DECIMAL(18,0)) FROM cr)
+              > (SELECT CAST(SUM(revenue_cents) AS DECIMAL(38,0)) FROM cr)
         ORDER BY revenue DESC NULLS LAST, c_custkey""")
 
 

@@ -19,9 +19,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.operators.ordered import assign_keys
 from tallyspark.operators.quality import history_metrics
 from tallyspark.operators.scd import (
-    as_of, attribute_changes, changed_rows, current_rows, history, hybrid_init, scd1_apply, scd2_apply,
+    as_of, attribute_changes, changed_rows, current_rows, history, hybrid_init, late_updates, scd1_apply, scd2_apply,
     scd2_init, scd3_apply, scd3_init, scd6_apply, scd6_init, scd_hybrid_apply)
 from tallyspark.plans.registry import query
 from tallyspark.sources.tables import Warehouse
@@ -302,3 +303,79 @@ def q_history_loss(spark, d):
             .select("customer_id", F.col("a.membership").alias("type1_membership"),
                     F.col("b.membership").alias("type2_kept_membership"),
                     F.col("b.city").alias("type2_kept_city"), F.col("b.expiry_date").alias("kept_until")))
+
+
+# ------------------------------------------------ several updates of a key, late ones, version keys
+def second_updates(w: Warehouse, days: int, membership: str) -> DataFrame:
+    """Every third updated customer again, ``days`` later, to ``membership``."""
+    return (updates(w).filter(F.col("customer_id") % 3 == 0).withColumn("membership", F.lit(membership))
+            .withColumn("effective_date", F.date_add("effective_date", days)))
+
+
+@query("scd1_multi_update", f"""
+WITH {INPUT_SQL}
+SELECT i.customer_id, i.customer_name, COALESCE(u.city, i.city) AS city, COALESCE(u.state, i.state) AS state,
+       CASE WHEN u.customer_id IS NULL THEN i.membership WHEN i.customer_id % 3 = 0 THEN 'BUILDING'
+            ELSE u.membership END AS membership,
+       COALESCE(u.segment, i.segment) AS segment
+FROM init i LEFT JOIN upd u ON i.customer_id = u.customer_id
+""")
+def q_scd1_multi_update(spark, d):
+    """SCD-3 with two updates of a key in one batch: the later one wins."""
+    w = Warehouse(spark, d)
+    return scd1_apply(initial(w), updates(w).union(second_updates(w, 5, "BUILDING")), "customer_id", TRACKED)
+
+
+@query("scd3_multi_update", f"""
+WITH {INPUT_SQL},
+l AS (SELECT customer_id, CASE WHEN customer_id % 3 = 0 THEN 'BUILDING' ELSE membership END AS m FROM upd)
+SELECT i.customer_id, i.customer_name, i.city, i.state,
+       CASE WHEN l.m <> i.membership THEN l.m ELSE i.membership END AS current_membership, i.segment,
+       CASE WHEN l.m <> i.membership THEN i.membership END AS previous_membership
+FROM init i LEFT JOIN l ON i.customer_id = l.customer_id
+""")
+def q_scd3_multi_update(spark, d):
+    """SCD-8 with two updates of a key: previous is the value before the batch."""
+    w = Warehouse(spark, d)
+    dim = scd3_init(initial(w), "membership", "current_membership", "previous_membership")
+    return scd3_apply(dim, updates(w).union(second_updates(w, 5, "BUILDING")), "customer_id", "membership",
+                      "current_membership", "previous_membership")
+
+
+@query("scd2_same_day", SCD2_SQL.replace("'HOUSEHOLD' AS membership", """CASE WHEN c.c_custkey % 3 = 0
+               THEN 'AUTOMOBILE' ELSE 'HOUSEHOLD' END AS membership""") + "SELECT * FROM scd2")
+def q_scd2_same_day(spark, d):
+    """SCD-6/7 with two updates of a key on one day: one of them (the smaller
+    values) becomes the day's version, and no version ends before it starts."""
+    w = Warehouse(spark, d)
+    return scd2_apply(scd2_init(initial(w), START), updates(w).union(second_updates(w, 0, "AUTOMOBILE")),
+                      "customer_id", TRACKED)
+
+
+@query("scd2_late_updates", SCD2_SQL + """
+SELECT i.customer_id, i.customer_name, i.city, i.state, 'MACHINERY' AS membership, i.segment,
+       DATE '2026-02-01' AS effective_date
+FROM init i JOIN chg c ON i.customer_id = c.customer_id WHERE i.membership <> 'MACHINERY' AND i.customer_id % 2 = 0
+""")
+def q_scd2_late_updates(spark, d):
+    """SCD-7: corrections dated before the current version started are handed
+    out; replayed updates of the batch already applied are not."""
+    w = Warehouse(spark, d)
+    dim = scd2_apply(scd2_init(initial(w), START), updates(w), "customer_id", TRACKED)
+    late = (initial(w).filter(F.col("customer_id") % 2 == 0).withColumn("membership", F.lit("MACHINERY"))
+            .withColumn("effective_date", F.lit(dt.date(2026, 2, 1))))
+    return late_updates(dim, late.union(updates(w)), "customer_id", TRACKED)
+
+
+@query("scd2_version_keys", SCD2_SQL + """
+SELECT CASE WHEN effective_date = DATE '2026-01-01' THEN CAST(dense_rank() OVER (ORDER BY customer_id) AS BIGINT)
+       ELSE (SELECT CAST(COUNT(*) AS BIGINT) FROM init) + CAST(row_number() OVER (
+         PARTITION BY effective_date = DATE '2026-01-01' ORDER BY customer_id) AS BIGINT) END AS version_key, *
+FROM scd2
+""")
+def q_scd2_version_keys(spark, d):
+    """SCD-5..7 with a key of its own per version: numbered at the initial
+    load, continued from the largest one by every apply."""
+    w = Warehouse(spark, d)
+    dim = scd2_init(assign_keys(initial(w), ["customer_id"], "version_key"), START)
+    return scd2_apply(dim, updates(w), "customer_id", TRACKED, version_key="version_key")

@@ -1,13 +1,15 @@
 """Typed CSV loading with the warehouse's file-format options and bad-row
 policies.
 
-* ``on_error='continue'``: rows that fail the declared schema are set aside in
-  a reject DataFrame (raw line kept) and the rest load.  Implemented with
-  PERMISSIVE mode and a corrupt-record column, split after the read.  (Not
-  DROPMALFORMED: with column pruning a count() can skip parsing.)
-* ``on_error='abort'``: FAILFAST -- the first bad row fails the job.
-* Several null tokens (``null_if=('null', '')``): CSV ``nullValue`` takes one
-  string, so fields are read as text and tokens replaced before the cast.
+Files are read line by line (the CSV reader skips headers and blank lines), and
+every raw line is split by ``from_csv`` into text fields, cleaned of null tokens
+and cast.  A line is bad if its number of fields is wrong or a field that is
+not a null token does not cast; all declared columns take part in that test
+whatever columns a query selects later, and no session setting changes it.
+
+* ``on_error='continue'``: bad lines are set aside as they stand in the file,
+  the rest loads.
+* ``on_error='abort'``: the first bad line fails whatever reads the table.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+LINE = "_line"
 
 
 @dataclass(frozen=True)
@@ -32,12 +35,41 @@ class CsvFormat:
     timestamp_format: str = "yyyy-MM-dd HH:mm:ss"
 
 
-def _reader(spark: SparkSession, fmt: CsvFormat, schema: T.StructType, mode: str):
-    return (spark.read.schema(schema)
-            .option("header", fmt.header).option("sep", fmt.delimiter).option("quote", fmt.quote)
-            .option("mode", mode).option("columnNameOfCorruptRecord", CORRUPT)
-            .option("dateFormat", fmt.date_format).option("timestampFormat", fmt.timestamp_format)
-            .option("nullValue", "\u0000").option("emptyValue", ""))
+def raw_lines(reader, fmt: CsvFormat):
+    """``reader`` (batch or stream) set to give each data line whole, in the
+    column ``_line``: the separator is one that no text file holds."""
+    return (reader.schema(f"{LINE} string").format("csv").option("header", fmt.header)
+            .option("sep", "\u0001").option("quote", "").option("nullValue", "\u0000"))
+
+
+def typed_lines(lines: DataFrame, schema: T.StructType, fmt: CsvFormat = CsvFormat()) -> DataFrame:
+    """``lines`` as the columns of ``schema`` plus ``_corrupt_record`` (the raw
+    line) and ``_ok``."""
+    broken = "_tally_broken"
+    text = T.StructType([*[T.StructField(f.name, T.StringType()) for f in schema.fields],
+                         T.StructField(broken, T.StringType())])
+    options = {"sep": fmt.delimiter, "quote": fmt.quote, "mode": "PERMISSIVE", "nullValue": "\u0000",
+               "emptyValue": "", "columnNameOfCorruptRecord": broken}
+    ddl = ", ".join(f"`{f.name}` string" for f in text.fields)
+    raw = lines.select(F.col(LINE).alias(CORRUPT), F.from_csv(LINE, ddl, options).alias("_r"))
+    tokens = list(fmt.null_tokens)
+    typed, ok = [], F.col(f"_r.{broken}").isNull()
+    for f in schema.fields:
+        c = F.col(f"_r.`{f.name}`")
+        if tokens:
+            c = F.when(~c.isin(*tokens), c)
+        if isinstance(f.dataType, T.DateType):
+            cast = F.try_to_timestamp(c, F.lit(fmt.date_format)).cast("date")
+        elif isinstance(f.dataType, T.TimestampType):
+            cast = F.try_to_timestamp(c, F.lit(fmt.timestamp_format))
+        elif isinstance(f.dataType, T.StringType):
+            cast = c
+        else:
+            cast = c.try_cast(f.dataType)
+        typed.append(cast.alias(f.name))
+        # a non-NULL text that does not cast is a bad row
+        ok = ok & (c.isNull() | cast.isNotNull())
+    return raw.select(*typed, CORRUPT, ok.alias("_ok"))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: CsvFormat = CsvFormat(),
@@ -48,48 +80,18 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: CsvFor
     Returns (good, rejects).  ``rejects`` has the raw line in ``_corrupt_record``
     (empty for ``abort``).  ``select`` applies a load-time transformation
     (positional fields, casts, literal columns) to the good rows."""
-    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    mode = "FAILFAST" if on_error == "abort" else "PERMISSIVE"
     if on_error not in ("abort", "continue"):
         raise ValueError(on_error)
-    raw_schema = T.StructType(text_schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    raw = _reader(spark, fmt, raw_schema if mode == "PERMISSIVE" else text_schema, mode).csv(path)
-    toks = list(fmt.null_tokens)
-
-    def clean(name: str) -> Column:
-        c = F.col(name)
-        return F.when(c.isin(*toks), F.lit(None)).otherwise(c) if toks else c
-
-    typed = []
-    ok = F.lit(True)
-    for f in schema.fields:
-        cleaned = clean(f.name)
-        if isinstance(f.dataType, T.DateType):
-            cast = F.try_to_timestamp(cleaned, F.lit(fmt.date_format)).cast("date")
-        elif isinstance(f.dataType, T.TimestampType):
-            cast = F.try_to_timestamp(cleaned, F.lit(fmt.timestamp_format))
-        elif isinstance(f.dataType, T.StringType):
-            cast = cleaned
-        else:
-            cast = cleaned.try_cast(f.dataType)
-        typed.append(cast.alias(f.name))
-        # a non-NULL text that does not cast is a bad row
-        ok = ok & (cleaned.isNull() | cast.isNotNull())
-    if mode == "PERMISSIVE":
-        ok = ok & F.col(CORRUPT).isNull()
-        line = F.coalesce(F.col(CORRUPT), F.concat_ws(fmt.delimiter, *[F.coalesce(F.col(f.name), F.lit(""))
-                                                                      for f in schema.fields]))
-        flagged = raw.select(*typed, ok.alias("_ok"), line.alias(CORRUPT))
-        good = flagged.filter("_ok").drop("_ok", CORRUPT)
-        rejects = flagged.filter(~F.col("_ok")).select(CORRUPT)
+    rows = typed_lines(raw_lines(spark.read, fmt).load(path), schema, fmt)
+    if on_error == "abort":
+        failed = F.raise_error(F.concat(F.lit("bad line: "), F.col(CORRUPT))).cast("boolean")
+        rows = rows.filter(F.when(F.col("_ok"), F.lit(True)).otherwise(failed))
+        rejects = spark.createDataFrame([], f"{CORRUPT} string")
     else:
-        strict = raw.select(*[F.col(f.name) for f in schema.fields])
-        good = strict.select(*[clean(f.name).cast(f.dataType).alias(f.name) if not isinstance(
-            f.dataType, T.StringType) else clean(f.name).alias(f.name) for f in schema.fields])
-        rejects = spark.createDataFrame([], T.StructType([T.StructField(CORRUPT, T.StringType())]))
-    if select is not None:
-        good = good.select(*select)
-    return good, rejects
+        rejects = rows.filter(~F.col("_ok")).select(CORRUPT)
+        rows = rows.filter("_ok")
+    good = rows.drop("_ok", CORRUPT)
+    return (good if select is None else good.select(*select)), rejects
 
 
 def write_csv(df: DataFrame, path: str, fmt: CsvFormat = CsvFormat()) -> str:

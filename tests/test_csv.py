@@ -30,7 +30,7 @@ def test_continue_keeps_good_rows_and_rejects(spark):
     assert [g[0] for g in got] == [1, 3, 5]
     assert got[1][1] is None and got[2][2] is None
     rej = sorted(r[CORRUPT] for r in bad.collect())
-    assert len(rej) == 2 and rej[0].startswith("2,")
+    assert rej == ['2,"Cake, lemon",x1,2026-07-02', "4,,5.00,not-a-date"]
 
 
 def test_abort_fails(spark):
@@ -39,6 +39,29 @@ def test_abort_fails(spark):
         good.collect()
 
 
+@pytest.mark.parametrize("text", [
+    "id,name,price,day\n1,Tea,2.50,2026-07-01\n2,Tea\n", "id,name,price,day\n1,Tea,2.50,2026-07-01,9\n",
+    "id,name,price,day\nx,Tea,2.50,2026-07-01\n"])
+@pytest.mark.parametrize("read", [lambda df: df.count(), lambda df: df.select("name").collect()])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_abort_whatever_is_read(spark, text, read, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        good, _ = read_table(spark, _file(text), SCHEMA, on_error="abort")
+        with pytest.raises(Exception, match="bad line"):
+            read(good)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_same_date_format_for_both_policies(spark):
+    text = "id,name,price,day\n1,Tea,2.50,31/07/2026\n"
+    got = [read_table(spark, _file(text), SCHEMA, CsvFormat(date_format="dd/MM/yyyy"), on_error=e)[0].first().day
+           for e in ("continue", "abort")]
+    assert [str(d) for d in got] == ["2026-07-31"] * 2
+
+
 def test_blank_tail_and_transform(spark):
     from pyspark.sql import functions as F
     p = _file("id,name,price,day\r\n1,Tea,2.50,2026-07-01\r\n\r\n")

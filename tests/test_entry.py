@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tallyspark.plans.catalog import all_oracles, all_queries
 from tallyspark.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -61,21 +62,16 @@ def test_query_matches_oracle(spark, duck, name):
     assert _canon(got_cols, got) == _canon(cols, cur.fetchall())
 
 
-AT_SCALE_QUERIES = ["revenue_by_region", "normalized_revenue", "claims_by_nation_normalized",
-                    "wide_sales_view", "customer_rank", "running_by_order", "surrogate_keys",
-                    "scd2_history", "scd_hybrid", "merge_insert_only"]
-
-
-@pytest.mark.parametrize("name", AT_SCALE_QUERIES)
+@pytest.mark.parametrize("name", sorted(all_oracles()))
 def test_cluster_path_matches_oracle(spark, duck, name):
     """The same queries with nothing proven small (sort-merge look-ups,
     distributed rank / numbering / running sums, shuffle joins for batches)."""
     spark.conf.set("tallyspark.sizing.maxRows", "0")
     try:
-        df = E.queries()[name](spark, SF)
+        df = all_queries()[name](spark, SF)
         got_cols, got = df.columns, [tuple(r) for r in df.collect()]
     finally:
         spark.conf.unset("tallyspark.sizing.maxRows")
-    cur = duck.execute(E.oracle_sql()[name])
+    cur = duck.execute(all_oracles()[name])
     cols = [d[0] for d in cur.description]
     assert _canon(got_cols, got) == _canon(cols, cur.fetchall())
