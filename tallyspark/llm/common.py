@@ -31,18 +31,25 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def with_identity(df: DataFrame) -> DataFrame:
-    """``df`` plus ``__f``, ``__r``: which row this is, whatever its values.
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct ``doc``: whatever their names are,
+    they cannot clash with those an operator adds beside it."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc")
+
+
+def with_identity(df: DataFrame, *keep: Column) -> DataFrame:
+    """``keep`` columns of ``df`` plus ``__f``, ``__r``: which row this is,
+    whatever its values.
 
     A frame read from files takes file and row index, so every evaluation (and
     every retry of a lost task) sees the same identity.  Any other frame falls
     back to ``monotonically_increasing_id``, which repeats only if the frame's
     partitions do."""
     try:
-        return df.select("*", F.xxhash64(F.col("_metadata.file_path")).alias("__f"),
+        return df.select(*keep, F.xxhash64(F.col("_metadata.file_path")).alias("__f"),
                          F.col("_metadata.row_index").alias("__r"))
     except AnalysisException:
-        return df.withColumns({"__f": F.lit(0).cast("long"), "__r": F.monotonically_increasing_id()})
+        return df.select(*keep, F.lit(0).cast("long").alias("__f"), F.monotonically_increasing_id().alias("__r"))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -50,10 +50,9 @@ def write_shards(docs: DataFrame, n_shards: int, path: str, seed: int = 1, text:
     the input, an empty table writes no shard."""
     spark = common.ready(docs.sparkSession)
     # Identity comes from docs before anything else is derived from it.
-    whole = common.with_identity(docs)
-    record = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    rows = whole.select(record, "__r", F.xxhash64(F.lit(seed), *[
-        F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))
+    whole = common.with_identity(docs, common.whole_row(docs))
+    rows = whole.select("doc", "__r", F.xxhash64(F.lit(seed), *[
+        F.col(f"doc.`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))
     ], "__r").alias("h"))
     weight = F.coalesce(F.octet_length(F.col(f"doc.`{text}`")), F.lit(0)).cast("long") + RECORD_BYTES
     total = rows.agg(F.sum(weight)).first()[0] or 0

@@ -114,8 +114,8 @@ def scan(docs: DataFrame) -> DataFrame:
     Null and empty texts have no words and score 0; rows are told apart by
     their place in the input, so repeated rows each give a row."""
     common.ready(docs.sparkSession)
-    rows = common.with_identity(docs).select("__f", "__r", F.col("doc_id").cast("long").alias("doc_id"),
-                                             words_of(F.col("text").cast("string")).alias("words"))
+    rows = common.with_identity(docs, F.col("doc_id").cast("long").alias("doc_id"),
+                                words_of(F.col("text").cast("string")).alias("words"))
     places = {label: starts(F.col("words"), phrase) for phrase, label in PHRASES.items()}
     base = rows.select("__f", "__r", "doc_id", F.size("words").cast("long").alias("n_words"),
                        *[p.alias(label) for label, p in places.items()])

@@ -210,7 +210,8 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, seed
 
 def score(docs: DataFrame, model: GatedAttention | None, *keep: Column) -> DataFrame:
     """``keep`` columns plus ``__score`` of each row's whole ``text`` (null:
-    empty; without a model 0.5)."""
+    empty; without a model 0.5).  Whole rows are kept as one struct
+    (``common.whole_row``), so no name can clash."""
     common.ready(docs.sparkSession)
     rows = docs.select(
         *keep, common.text_or_empty(F.col("text").cast("string")).cast("binary").alias("__text"))

@@ -138,8 +138,8 @@ def pack_documents(docs: DataFrame, size: int = SEQUENCE, tokenizer: str | None
         import public_tokenizers
         tokenizer = public_tokenizers.path(TOKENIZER)
     common.ready(docs.sparkSession)
-    rows = common.with_identity(docs).select(
-        "__f", "__r", F.col("doc_id").cast("long").alias("doc_id"),
+    rows = common.with_identity(
+        docs, F.col("doc_id").cast("long").alias("doc_id"),
         common.text_or_empty(F.col("text").cast("string")).cast("binary").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text").cast("long") + ROW_BYTES)).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,6 +32,7 @@ LEAST_SHORTLIST = 400
 BLOCK_ROWS = 8192
 CHUNK_ROWS = 2048
 
+COLUMNS = ["__f", "__r", "vec_id", "x", "block", "chunk"]
 FOUND = "q_f long, q_r long, query_id long, vec_id long, score double"
 
 
@@ -72,10 +74,9 @@ def search(base: DataFrame, is_query: Column, k: int = 20, n_pivots: int = PIVOT
     scores rank by vec_id; all rows tied at the end of a shortlist are
     reranked.  An empty table gives no rows."""
     spark = common.ready(base.sparkSession)
-    rows = common.with_identity(base)
-    embedding = F.col("embedding").cast("array<double>")
-    rows = rows.select("__f", "__r", F.col("vec_id").cast("long").alias("vec_id"), embedding.alias("x"),
-                       is_query.alias("is_query")).where(vectors.usable(F.col("x")) & F.col("vec_id").isNotNull())
+    rows = common.with_identity(base, F.col("vec_id").cast("long").alias("vec_id"),
+                                F.col("embedding").cast("array<double>").alias("x"), is_query.alias("is_query"))
+    rows = rows.where(vectors.usable(F.col("x")) & F.col("vec_id").isNotNull())
     dim = vectors.usual_length(rows, "x")
     rows = rows.where(F.size("x") == dim)
     sizes = rows.agg(F.count("*").alias("n"), F.count(F.when(F.col("is_query"), 1)).alias("q")).first()
@@ -88,12 +89,14 @@ def search(base: DataFrame, is_query: Column, k: int = 20, n_pivots: int = PIVOT
 
     def deal(df, own, n_own, other, n_other, salt):
         return df.withColumns({own: common.spread(n_own, F.lit(salt), *key),
-                               other: F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))})
+                               other: F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))}).select(*COLUMNS)
 
-    resident = deal(rows.drop("is_query"), "block", blocks, "chunk", chunks, 7)
-    query = deal(rows.where("is_query").drop("is_query"), "chunk", chunks, "block", blocks, 11)
+    resident = deal(rows, "block", blocks, "chunk", chunks, 7)
+    query = deal(rows.where("is_query"), "chunk", chunks, "block", blocks, 11)
 
-    def search_block(left, right):
+    def search_block(table):
+        asks = table.column("asks")
+        left, right = table.filter(pc.invert(asks)), table.filter(asks)
         n, m = left.num_rows, right.num_rows
         if not n or not m:
             return pa.table({c.split()[0]: pa.array([], pa.float64() if "double" in c else pa.int64())
@@ -115,8 +118,10 @@ def search(base: DataFrame, is_query: Column, k: int = 20, n_pivots: int = PIVOT
         i, found, score = (np.concatenate(c) for c in zip(*out, strict=True))
         return pa.table({"q_f": q_f[i], "q_r": q_r[i], "query_id": q_ids[i], "vec_id": found, "score": score})
 
-    found = (resident.groupBy("block", "chunk").cogroup(query.groupBy("block", "chunk"))
-             .applyInArrow(search_block, FOUND))
+    # A union, not a cogroup: both sides come from one frame, and a cogroup of
+    # a frame with itself loses columns when that frame is not a plain scan.
+    both = resident.withColumn("asks", F.lit(False)).unionByName(query.withColumn("asks", F.lit(True)))
+    found = both.groupBy("block", "chunk").applyInArrow(search_block, FOUND)
     nearest = Window.partitionBy("q_f", "q_r").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspark.llm import common
 
@@ -252,7 +253,7 @@ def added_spans(model: SkipChain | None, texts: list[str], found: list[list[Span
 def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, seed: int = 1) -> SkipChain | None:
     """Fitted on at most ``train_docs`` documents that hold a digit or an @,
     those with the smallest seeded hash; None when there is none."""
-    rows = common.with_identity(docs).withColumn("__text", F.col("text").cast("string"))
+    rows = common.with_identity(docs, F.col("doc_id"), F.col("text").cast("string").alias("__text"))
     key = ["__h", "__f", "__r"]
     near = rows.where(F.col("__text").rlike("[0-9@]")).withColumn("__h", F.xxhash64(F.lit(seed), "__f", "__r", "doc_id"))
     picked = common.smallest(near.select(*key), train_docs, *key)  # bounded by train_docs
@@ -293,7 +294,8 @@ FOUND = ("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string
 
 def find(docs: DataFrame, model: SkipChain | None, *keep) -> DataFrame:
     """``keep`` columns plus ``FOUND`` for the whole ``text`` of each row
-    (null: empty; ``__redacted`` is null where nothing was found)."""
+    (null: empty; ``__redacted`` is null where nothing was found).  Whole rows
+    are kept as one struct (``common.whole_row``), so no name can clash."""
     common.ready(docs.sparkSession)
     rows = docs.select(*keep, common.text_or_empty(F.col("text").cast("string")).alias("__text"))
     kept = rows.drop("__text").schema
@@ -314,8 +316,7 @@ def find(docs: DataFrame, model: SkipChain | None, *keep) -> DataFrame:
             new = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays([*b.drop_columns(["__text"]).columns, *new], [*kept.names, *names])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields), FOUND])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, T.StructType([*kept.fields, *T.StructType.fromDDL(FOUND).fields]))
 
 
 def personal_data(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:

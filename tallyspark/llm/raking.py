@@ -85,14 +85,16 @@ def draw(doc_id: Column, text: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
-def mix(docs: DataFrame, seed: int = 1, keep_share: float = KEEP_SHARE,
-        targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """``docs`` plus a struct column ``__mix`` (source, lang, topic, tokens,
-    rate, kept).
+def drawn(docs: DataFrame, *keep: Column, seed: int = 1, keep_share: float = KEEP_SHARE,
+          targets: dict[str, DataFrame] | None = None) -> DataFrame:
+    """``keep`` columns plus a struct column ``__mix`` (source, lang, topic,
+    tokens, rate, kept).  Whole rows are kept as one struct
+    (``common.whole_row``), so no name can clash.
 
     A null source or language is a value of its own; null and empty texts are
     prose of one token; fully equal rows share one draw.  ``targets`` maps
-    dimensions to (dimension, share) frames; others take tempered shares."""
+    dimensions to (dimension, share) frames; others take tempered shares, and
+    a value that a given frame does not list has rate 0."""
     common.ready(docs.sparkSession)
     text = F.col("text").cast("string")
     dims = [F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
@@ -102,16 +104,26 @@ def mix(docs: DataFrame, seed: int = 1, keep_share: float = KEEP_SHARE,
     targets = {d: (targets or {}).get(d) or common.stored(tempered(cells, d), f"mix-{d}") for d in DIMS}
     rates = common.stored(sampling_rates(rake(cells, targets), keep_share), "mix-rates").select(
         *[F.col(d).alias(f"__{d}") for d in DIMS], F.col("rate").alias("__rate"))
-    rows = docs.withColumn("__own", F.struct(*dims, tokens_of(text).alias("tokens")))
+    rows = docs.select(*keep, F.struct(*dims, tokens_of(text).alias("tokens")).alias("__own"),
+                       draw(F.col("doc_id"), text, seed).alias("__draw"))
+    kept = rows.drop("__own", "__draw").columns
     on = reduce(lambda a, b: a & b, [F.col(f"__own.{d}").eqNullSafe(F.col(f"__{d}")) for d in DIMS])
     joined = lookup_join(rows, rates, on, "left", FEW)
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(
-        "__own.source", "__own.lang", "__own.topic", "__own.tokens", F.col("__rate").alias("rate"),
-        (draw(F.col("doc_id"), text, seed) < F.col("__rate")).alias("kept")).alias("__mix"))
+    rate = F.coalesce("__rate", F.lit(0.0))
+    return joined.select(*[F.col(f"`{c}`") for c in kept], F.struct(
+        "__own.source", "__own.lang", "__own.topic", "__own.tokens", rate.alias("rate"),
+        (F.col("__draw") < rate).alias("kept")).alias("__mix"))
+
+
+def mix(docs: DataFrame, seed: int = 1, keep_share: float = KEEP_SHARE,
+        targets: dict[str, DataFrame] | None = None) -> DataFrame:
+    """``docs`` plus the struct column ``__mix`` of ``drawn``."""
+    return drawn(docs, common.whole_row(docs), seed=seed, keep_share=keep_share, targets=targets).select(
+        "doc.*", "__mix")
 
 
 def mix_report(docs: DataFrame, seed: int = 1) -> DataFrame:
-    return mix(docs, seed).select("doc_id", *[F.col(f"__mix.{c}").alias(c) for c in
+    return drawn(docs, F.col("doc_id"), seed=seed).select("doc_id", *[F.col(f"__mix.{c}").alias(c) for c in
                                               ("source", "lang", "topic", "tokens", "rate", "kept")])
 
 

@@ -60,8 +60,9 @@ def fingerprints(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
                 [*batch.columns[:3], pa.array(np.array(fps, np.uint64).view(np.int64))], names)
 
     common.ready(docs.sparkSession)
-    return (common.with_identity(docs)
-            .select("__f", "__r", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
+    return (common.with_identity(docs, F.col("doc_id").cast("long").alias("doc_id"),
+                                 F.col("text").cast("string").alias("text"))
+            .select("__f", "__r", "doc_id", "text")
             .mapInArrow(run, "__f long, __r long, doc_id long, fp long"))
 
 
@@ -154,4 +155,4 @@ def keep_one(docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 2) ->
     found = near_duplicates(docs, words_per_shingle, max_bits)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__f", "__r")
     kept = found.groupBy("component").agg(F.min(order).alias("k")).select("k.__f", "k.__r")
-    return common.with_identity(docs).join(kept, ["__f", "__r"], "left_semi").drop("__f", "__r")
+    return common.with_identity(docs, common.whole_row(docs)).join(kept, ["__f", "__r"], "left_semi").select("doc.*")

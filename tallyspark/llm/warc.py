@@ -64,8 +64,8 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYT
     Null html is an empty payload, a null url or page_id leaves its header
     out, line breaks in a url are percent-encoded, other columns are ignored."""
     common.ready(pages.sparkSession)
-    rows = common.with_identity(pages).select(
-        "__f", "__r", F.col("page_id").cast("long"), F.col("url").cast("string"),
+    rows = common.with_identity(
+        pages, F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         common.text_or_empty(F.col("html").cast("string")).alias("html"))
     headers = rows.select("__f", "__r", "page_id", F.sha2(F.col("html").cast("binary"), 256).alias("digest"),
                           F.octet_length("html").alias("bytes"))

@@ -390,6 +390,44 @@ def test_oracle(spark, name):
     assert sorted(repr(tuple(r)) for r in got) == sorted(map(repr, cur.fetchall()))
 
 
+CLASHING = ("__f", "__r", "__text", "__score", "__own", "__draw", "__mix", "__rate", "__source", "__redacted", "spans",
+            "n_email", "base_sha256", "doc", "words", "block", "ids", "digest", "bytes", "first", "x", "is_query",
+            "component", "fp", "no_id", "label", "a b", "a.b")
+
+
+def clashing(df):
+    return df.select("*", *[F.lit(f"own {c}").alias(c) for c in CLASHING if c not in df.columns])
+
+
+def test_clashing_columns_change_nothing(spark, tmp_path):
+    path = str(tmp_path / "d")
+    clashing(docs_of(spark, tmp_path, ODD).drop("shard")).write.parquet(path)
+    docs = spark.read.parquet(path)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert all(r[c] == f"own {c}" for r in out.collect() for c in CLASHING), name
+    n = len(ODD)
+    assert corpus_pipeline.pack(spark, docs, SF).select("doc_id").distinct().count() == n
+    assert license_scan.scan(docs).count() == raking.mix_report(docs).count() == n
+    shards = external_shuffle.write_shards(docs, 3, str(tmp_path / "out"))
+    assert all(r.doc["__r"] == "own __r" for r in shards.collect()) and shards.count() == n
+    vectors, _ = vectors_of(spark)
+    found = permutation_index.search(clashing(vectors), F.col("vec_id") % 20 == 0, k=3, n_pivots=16, prefix=8)
+    assert found.where("rank = 1").count() == 16
+    pages = spark.createDataFrame([(1, "u", "h" * 200), (2, "u", "h" * 200)], "page_id long, url string, html string")
+    got = warc.archive_digest(clashing(pages)).collect()
+    assert sorted((r.page_id, r.record_type) for r in got) == [(1, "response"), (2, "revisit")]
+
+
+def test_mix_rates_a_value_without_target_zero(spark, tmp_path):
+    docs = docs_of(spark, tmp_path, ODD)
+    target = spark.createDataFrame([("en", 1.0)], "lang string, share double")
+    rows = raking.mix(docs, targets={"lang": target}).select("lang", "__mix.*").collect()
+    assert len(rows) == len(ODD)
+    assert all(r.rate == 0 and r.kept is False for r in rows if r.lang is None)
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = docs_of(spark, tmp_path, ODD, [None, *range(1, len(ODD))])
     real = common.read(spark, SF, "documents")
