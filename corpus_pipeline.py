@@ -18,16 +18,12 @@ from tallyspark.llm import common, mil_quality, packing, pii_crf, raking, simhas
 ORACLE_SQL = None
 
 
-def _own(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the attention classifier rejects (score below
     its threshold)."""
     model = mil_quality.train(docs, common.read(spark, sf_dir, "labels"))
-    scored = mil_quality.score(docs, model, *_own(docs))
-    return scored.where(F.col("__score") >= mil_quality.THRESHOLD).drop("__score")
+    scored = mil_quality.score(docs, model, common.whole_row(docs))
+    return scored.where(F.col("__score") >= mil_quality.THRESHOLD).select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,18 +33,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every personal-data span by its kind; ``n_chars`` follows."""
-    found = pii_crf.find(docs, pii_crf.train(docs), *_own(docs))
+    found = pii_crf.find(docs, pii_crf.train(docs), common.whole_row(docs))
     redacted = F.col("__redacted")
-    new = {"text": F.coalesce(redacted, "text")}
+    new = {"text": redacted}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(redacted.isNotNull(), F.char_length(redacted).cast(docs.schema["n_chars"].dataType)
-                                ).otherwise(F.col("n_chars"))
-    return found.withColumns(new).select(*_own(docs))
+        new["n_chars"] = F.char_length(redacted).cast(docs.schema["n_chars"].dataType)
+    return found.select(*[F.coalesce(new.get(c, F.lit(None)), F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Samples documents by their raked probabilities."""
-    return raking.mix(docs).where("__mix.kept").drop("__mix")
+    return raking.drawn(docs, common.whole_row(docs)).where("__mix.kept").select("doc.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
