@@ -42,8 +42,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents by their raked probabilities."""
-    return raking.drawn(docs, common.whole_row(docs)).where("__mix.kept").select("doc.*")
+    """Samples documents to the raked shares; those of cells that need more
+    than all their tokens are repeated."""
+    copies = raking.drawn(docs, common.whole_row(docs)).where("__mix.copies > 0")
+    return copies.select("doc", F.explode(F.sequence(F.lit(1), F.col("__mix.copies")))).select("doc.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

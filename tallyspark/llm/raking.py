@@ -3,7 +3,8 @@ DataFrame functions only.
 
 Tokens are counted per (source, language, topic) cell; the cells' weights are
 raked to the target shares of each dimension in turn, and every document is
-kept with its cell's calibrated probability.  Only cells (one row per distinct
+kept with its cell's calibrated probability (``kept``, at most once) or
+repeated so that the raked shares are met (``copies``).  Only cells (one row per distinct
 combination) go through the sweeps; the documents are read once to count and
 once to sample, and are never shuffled while the cells are proven few.
 """
@@ -68,14 +69,19 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS)
 
 def sampling_rates(raked: DataFrame, keep_share: float = KEEP_SHARE, steps: int = SCALE_STEPS) -> DataFrame:
     """``raked`` plus ``rate``: min(1, scale * weight / tokens), with one scale
-    for all cells at which ``keep_share`` of the tokens are expected."""
-    scale, total = float(keep_share), raked.agg(F.sum("tokens")).first()[0] or 0
+    for all cells at which ``keep_share`` of the tokens are expected, and
+    ``times``: the expected copies of a document, not clipped, at which the
+    same share is expected and the raked marginals are met."""
+    total, weights = raked.agg(F.sum("tokens"), F.sum("weight")).first()
+    scale, total = float(keep_share), total or 0
+    whole = scale * total / weights if weights else 0.0
     ratio = F.col("weight") / F.col("tokens")
     for _ in range(steps):
         kept = raked.agg(F.sum(F.least(F.lit(1.0), F.lit(scale) * ratio) * F.col("tokens"))).first()[0]
         if kept:
             scale = scale * (keep_share * total) / kept
-    return raked.withColumn("rate", F.round(F.least(F.lit(1.0), F.lit(scale) * ratio), DIGITS))
+    return raked.withColumn("rate", F.round(F.least(F.lit(1.0), F.lit(scale) * ratio), DIGITS)).withColumn(
+        "times", F.round(F.lit(whole) * ratio, DIGITS))
 
 
 def draw(doc_id: Column, text: Column, seed: int) -> Column:
@@ -88,9 +94,13 @@ def draw(doc_id: Column, text: Column, seed: int) -> Column:
 def drawn(docs: DataFrame, *keep: Column, seed: int = 1, keep_share: float = KEEP_SHARE,
           targets: dict[str, DataFrame] | None = None) -> DataFrame:
     """``keep`` columns plus a struct column ``__mix`` (source, lang, topic,
-    tokens, rate, kept).  Whole rows are kept as one struct
+    tokens, rate, kept, copies).  Whole rows are kept as one struct
     (``common.whole_row``), so no name can clash.
 
+    ``kept`` takes a document once at most, so cells that would need more than
+    all their documents fall short of the targets.  ``copies`` meets them: the
+    whole part of the cell's expected copies, and one more by the draw.
+
     A null source or language is a value of its own; null and empty texts are
     prose of one token; fully equal rows share one draw.  ``targets`` maps
     dimensions to (dimension, share) frames; others take tempered shares, and
@@ -103,16 +113,17 @@ def drawn(docs: DataFrame, *keep: Column, seed: int = 1, keep_share: float = KEE
                           .groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")), "mix-cells")
     targets = {d: (targets or {}).get(d) or common.stored(tempered(cells, d), f"mix-{d}") for d in DIMS}
     rates = common.stored(sampling_rates(rake(cells, targets), keep_share), "mix-rates").select(
-        *[F.col(d).alias(f"__{d}") for d in DIMS], F.col("rate").alias("__rate"))
+        *[F.col(d).alias(f"__{d}") for d in DIMS], F.col("rate").alias("__rate"), F.col("times").alias("__times"))
     rows = docs.select(*keep, F.struct(*dims, tokens_of(text).alias("tokens")).alias("__own"),
                        draw(F.col("doc_id"), text, seed).alias("__draw"))
     kept = rows.drop("__own", "__draw").columns
     on = reduce(lambda a, b: a & b, [F.col(f"__own.{d}").eqNullSafe(F.col(f"__{d}")) for d in DIMS])
     joined = lookup_join(rows, rates, on, "left", FEW)
-    rate = F.coalesce("__rate", F.lit(0.0))
+    rate, times = F.coalesce("__rate", F.lit(0.0)), F.coalesce("__times", F.lit(0.0))
+    copies = F.floor(times) + (F.col("__draw") < times - F.floor(times)).cast("long")
     return joined.select(*[F.col(f"`{c}`") for c in kept], F.struct(
         "__own.source", "__own.lang", "__own.topic", "__own.tokens", rate.alias("rate"),
-        (F.col("__draw") < rate).alias("kept")).alias("__mix"))
+        (F.col("__draw") < rate).alias("kept"), copies.cast("int").alias("copies")).alias("__mix"))
 
 
 def mix(docs: DataFrame, seed: int = 1, keep_share: float = KEEP_SHARE,

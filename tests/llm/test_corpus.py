@@ -265,6 +265,21 @@ def test_mix_edges(spark, tmp_path):
     assert raking.mix(docs.limit(0)).count() == 0
 
 
+def test_mixing_meets_the_raked_marginals(spark, tmp_path):
+    langs = ["es"] * 60 + ["de"] * 240 + ["en"] * 5700
+    rows = [(i, f"text {'|' if i % 50 == 0 else ''} {i:06d}", lang, "s") for i, lang in enumerate(langs)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "m"))
+    docs = spark.read.parquet(str(tmp_path / "m"))
+    out = corpus_pipeline.mixing(spark, docs, SF).select("lang", raking.topic_of(F.col("text")).alias("topic"),
+                                                         raking.tokens_of(F.col("text")).alias("tokens")).collect()
+    own = docs.select("lang", raking.topic_of(F.col("text")).alias("topic"), raking.tokens_of(F.col("text")).alias("tokens"))
+    whole, all_tokens = sum(r.tokens for r in out), own.agg(F.sum("tokens")).first()[0]
+    assert abs(whole / all_tokens - raking.KEEP_SHARE) < 0.03
+    for dim in ("lang", "topic"):
+        for r in raking.tempered(own, dim).collect():
+            assert abs(sum(o.tokens for o in out if o[dim] == r[dim]) / whole - r.share) < 0.08 * r.share, (dim, r)
+
+
 # -- 7 personal data ----------------------------------------------------------
 def test_base_spans():
     text = ("a@b.c x@y 1.2.3.4, 256.1.1.1, 0300.1.1.1, 4111 1111 1111 1111, 4111111111111112, "
