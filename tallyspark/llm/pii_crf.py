@@ -1,9 +1,12 @@
 """Personal data by patterns and a skip-chain conditional random field.
 
 Base spans come from fixed patterns.  The tokens that hold a digit or an @
-form the variables of a linear chain per document; tokens that repeat or
+form the variables of a linear chain per document; neighbouring digit groups
+that together repeat the last digits of a base span, whatever their grouping,
+are one variable whose label rests on its skip edges alone (the patterns that
+label the sample never see it).  Variables that repeat or
 resemble an earlier one share a skip edge with it, so an entity found once
-carries its label to its other mentions.  Tokens inside base spans are
+carries its label to its other mentions.  Variables inside base spans are
 observed; beliefs of the others come from loopy sum-product message passing.
 Weights are fitted piecewise (token classifier, then transition and agreement
 counts) on a bounded sample of documents with base spans as labels.
@@ -36,9 +39,20 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TOKEN = re.compile(r"\S+")
 DIGIT = re.compile(r"[0-9]")
 EDGE = ".,;:!?()[]{}<>|\"'"
+HASHED = 1 << 13
+#: A token that may be a part of a number, and one that may stand between two.
+GROUP = re.compile(r"\+?\(?\+?[0-9][0-9().-]*")
+JOINT = re.compile(r"[().\u2010-\u2015-]+")
+#: Last digits that make two numbers similar.
+SUFFIX = 7
+#: Feature of such grouped digits; its weights stay 0.
+GROUPED = HASHED
+#: Least weight of an edge that ties grouped digits to a number.
+SAME_NUMBER = 4.0
+#: Digits of the longest base span of a kind that can be grouped, and a prefix.
+MOST_DIGITS = 24
 
 LABELS = len(KINDS) + 1  # label 0: none
-HASHED = 1 << 13
 TRAIN_DOCS = 2000
 EPOCHS = 30
 ROUNDS = 8
@@ -94,17 +108,101 @@ def keys(token: str) -> list[str]:
     bare = token.strip(EDGE).lower()
     digits = re.sub("[^0-9]", "", bare)
     out = []
-    if len(bare) >= 5 and bare != digits[-7:]:
+    if len(bare) >= 5 and bare != digits[-SUFFIX:]:
         out.append(bare)
-    if len(digits) >= 7:
-        out.append("#" + digits[-7:])
+    if len(digits) >= SUFFIX:
+        out.append("#" + digits[-SUFFIX:])
     if "@" in bare and len(bare.split("@")[0]) >= 3:
         out.append("@" + bare.split("@")[0])
     return out
 
 
+def units(text: str, tokens: list[re.Match], spans: list[Span]) -> list[tuple[int, int, set[str]]]:
+    """(first token, last token, own keys) of every variable in order:
+    neighbouring digit groups whose digits end a base span's, and each other
+    token with a digit or an @; the last token of a base span of digits has
+    the key of the whole span."""
+    held: list[tuple[int, int]] = []  # tokens of base spans; those that meet in a token are one
+    own: dict[int, set[str]] = {}
+    ends: dict[str, set[str]] = {}
+    at = 0
+    for a, b, kind in sorted((a, b, k) for k, a, b in spans):
+        while at and tokens[at].start() > a:
+            at -= 1
+        while tokens[at].end() <= a:
+            at += 1
+        last = at
+        while last + 1 < len(tokens) and tokens[last + 1].start() < b:
+            last += 1
+        if held and at <= held[-1][1]:
+            held[-1] = (held[-1][0], max(last, held[-1][1]))
+        else:
+            held.append((at, last))
+        digits = re.sub("[^0-9]", "", text[a:b])
+        if kind in ("card", "phone"):
+            ends.setdefault(digits[-SUFFIX:], set()).add(digits)
+            own.setdefault(last, set()).add("#" + digits[-SUFFIX:])
+
+    def groups_before(last: int, floor: int):
+        """Digit groups that neighbour each other, from ``last`` backwards."""
+        i = last
+        while i >= floor:
+            token = tokens[i].group()
+            if not JOINT.fullmatch(token):
+                bare = token.strip(EDGE)
+                if not GROUP.fullmatch(bare):
+                    return
+                head, tail = token[:token.index(bare)], token[token.index(bare) + len(bare):]
+                if head.strip("(") or (i < last and tail.strip(")")):
+                    return
+                yield i, re.sub("[^0-9]", "", bare)
+                if head.startswith("(") and "+" in bare or bare.startswith("+"):
+                    return
+            elif i == last or JOINT.fullmatch(tokens[i + 1].group()):
+                return
+            i -= 1
+
+    def first_of(last: int, floor: int) -> int:
+        """Where the digit groups up to ``last`` that repeat the end of a base
+        span begin, -1 when they do not; a number's leading zeros may differ."""
+        joined, best = "", -1
+        for i, digits in groups_before(last, floor):
+            joined = digits + joined
+            if len(joined) > MOST_DIGITS:
+                break
+            known = ends.get(joined[-SUFFIX:]) if len(joined) >= SUFFIX else ()
+            bare = joined.lstrip("0")
+            if len(joined) >= SUFFIX and not known:
+                break
+            if any(d.endswith(joined) or len(bare) >= SUFFIX and d.lstrip("0").endswith(bare) for d in known):
+                best = i
+        return best
+
+    out: list[tuple[int, int, set[str]]] = []
+    floor = 0
+    for a, b in [*held, (len(tokens), len(tokens))]:
+        low = floor  # grouped digits do not overlap
+        for i in range(floor, a):
+            token = tokens[i].group()
+            if "@" not in token and not DIGIT.search(token):
+                continue
+            first = first_of(i, low) if ends else i
+            if 0 <= first < i:
+                while out and out[-1][0] >= first:
+                    out.pop()
+                out.append((first, i, set()))
+                low = i + 1
+            else:
+                out.append((i, i, set()))
+        for i in range(a, min(b + 1, len(tokens))):
+            if "@" in tokens[i].group() or DIGIT.search(tokens[i].group()):
+                out.append((i, i, own.get(i, set())))
+        floor = b + 1
+    return out
+
+
 class Graph:
-    """The tokens of one or more documents as variables."""
+    """The tokens of one or more documents as variables (see ``units``)."""
 
     def __init__(self):
         self.features: list[list[int]] = []
@@ -119,26 +217,26 @@ class Graph:
         before, at_before = -1, -2
         marks = sorted((a, b, KINDS.index(k) + 1) for k, a, b in spans)
         next_mark = 0
-        for i, m in enumerate(tokens):
-            token = m.group()
-            if "@" not in token and not DIGIT.search(token):
-                continue
-            a, b = m.span()
+        for first, end, own in units(text, tokens, spans):
+            a, b = tokens[first].start(), tokens[end].end()
+            token = text[a:b]
             while next_mark < len(marks) and marks[next_mark][1] <= a:
                 next_mark += 1
             label = next((k for x, y, k in marks[next_mark:next_mark + 4] if x < b and a < y), 0)
             node = len(self.label)
-            around = [tokens[j].group() if 0 <= j < len(tokens) else "" for j in (i - 1, i + 1)]
+            around = [tokens[j].group() if 0 <= j < len(tokens) else "" for j in (first - 1, end + 1)]
             n_digits = sum(map(str.isdecimal, token))
             names = (f"s{shape(token)}", f"n{min(n_digits, 20)}", f"p{shape(around[0])}", f"q{shape(around[1])}",
                      f"l{min(len(token), 24)}", "bias")
-            self.features.append([zlib.crc32(x.encode()) % HASHED for x in names])
+            grouped = end > first
+            self.features.append([GROUPED if grouped else zlib.crc32(x.encode()) % HASHED for x in names])
             self.label.append(label)
             self.place.append((doc, a, b))
-            if at_before == i - 1:
-                self.chain.append((before, node))
-            before, at_before = node, i
-            for key in keys(token):
+            if not grouped:
+                if at_before == first - 1:
+                    self.chain.append((before, node))
+                before, at_before = node, end
+            for key in sorted({*keys(token), *own}):
                 if key in last:
                     self.skip.append((last[key], node))
                 last[key] = node
@@ -146,9 +244,10 @@ class Graph:
 
 class SkipChain:
     def __init__(self):
-        self.unary = np.zeros((HASHED, LABELS))
+        self.unary = np.zeros((HASHED + 1, LABELS))
         self.transition = np.zeros((LABELS, LABELS))
         self.agree = 2.0
+        self.same_number = SAME_NUMBER
 
     def fit(self, graphs: list[tuple]) -> SkipChain:
         """``graphs``: (features, label, chain, skip) arrays of the sample."""
@@ -165,18 +264,23 @@ class SkipChain:
                 np.add.at(g, x[:, k], (p - want) / len(y))
             step += g * g
             self.unary -= 0.5 * g / np.sqrt(step)
-        pairs, same, other = np.ones((LABELS, LABELS)), 1.0, 1.0
-        for _, label, chain, skip in graphs:
+        self.unary[GROUPED] = 0.0
+        pairs, same, other, both = np.ones((LABELS, LABELS)), 1.0, 1.0, np.ones(2)
+        for features, label, chain, skip in graphs:
             if len(chain):
                 np.add.at(pairs, (label[chain[:, 0]], label[chain[:, 1]]), 1)
             if len(skip):
+                skip = skip[~(features[skip, 0] == GROUPED).any(axis=1)]
                 equal = label[skip[:, 0]] == label[skip[:, 1]]
                 named = (label[skip[:, 0]] > 0) | (label[skip[:, 1]] > 0)
                 same += (equal & named).sum()
                 other += (~equal).sum()
+                seen = (label[skip] > 0).all(axis=1)
+                both += (equal & seen).sum(), (~equal & seen).sum()
         expected = pairs.sum(axis=1, keepdims=True) * pairs.sum(axis=0, keepdims=True) / pairs.sum()
         self.transition = np.clip(np.log(pairs / expected), -2, 2)
         self.agree = float(np.clip(np.log(same / other), 2.0, 6.0))
+        self.same_number = float(np.clip(np.log(both[0] / both[1]), SAME_NUMBER, 6.0))
         return self
 
     def beliefs(self, features, label, chain, skip) -> np.ndarray:
@@ -190,10 +294,12 @@ class SkipChain:
         edges = np.concatenate([chain.reshape(-1, 2), skip.reshape(-1, 2)]).astype(np.int64)
         if not len(edges):
             return _normal(score)
-        agree = np.eye(LABELS) * self.agree
+        agree = np.eye(LABELS)
         agree[0, 0] = 0.0  # two unnamed mentions say nothing
-        kind = np.r_[np.zeros(len(chain), np.int64), np.ones(len(skip), np.int64)]
-        forth, back = np.stack([self.transition, agree])[kind], np.stack([self.transition.T, agree])[kind]
+        grouped = (features[skip.reshape(-1, 2), 0] == GROUPED).any(axis=1)
+        kind = np.r_[np.zeros(len(chain), np.int64), 1 + grouped.astype(np.int64)]
+        skips = [agree * self.agree, agree * self.same_number]
+        forth, back = np.stack([self.transition, *skips])[kind], np.stack([self.transition.T, *skips])[kind]
         src = np.r_[edges[:, 0], edges[:, 1]]
         dst = np.r_[edges[:, 1], edges[:, 0]]
         potential = np.exp(np.concatenate([forth, back]))

@@ -320,6 +320,24 @@ def test_skip_edges_carry_labels_and_leave_clean_texts(spark, tmp_path):
     assert pii_crf.redact("ab cd", [("ip", 0, 2), ("card", 1, 4)]) == "[IP]d"
 
 
+@pytest.mark.parametrize("base,again", [
+    ("+44 20 7946 0958", "020 7946 0958"), ("+442079460958", "020 7946 0958"), ("+44 20 7946 0958", "7946 0958"),
+    ("+44 20 7946 0958", "(020) 7946-0958"), ("4111 1111 1111 1111", "4111.1111 1111.1111")])
+def test_mentions_are_tied_whatever_their_grouping(spark, tmp_path, base, again):
+    phones = [f"Call +1 ({200 + i}) 555-{1000 + i} now, yes {i} times in {1900 + i}." for i in range(60)]
+    phones += [f"Pay 4111 1111 1111 1111 or 4111111111111111, {i}." for i in range(20)]
+    texts = [*phones, f"Ours is {base}, since 2021. So dial {again}, 3 times in 2021 12 or 7947 0958."]
+    text = texts[-1]
+    model = pii_crf.train(docs_of(spark, tmp_path, texts))
+    own = pii_crf.base_spans(text)
+    more = pii_crf.added_spans(model, [text], [own])[0]
+    assert [text[a:b].strip("()") for _, a, b in own] == [base]
+    # a leading bracket is outside of a span, as with single tokens
+    assert [text[a:b] for _, a, b in more] == [again.lstrip("(")]
+    clean = text.replace(base, "nothing")
+    assert pii_crf.added_spans(model, [clean], [pii_crf.base_spans(clean)]) == [[]]
+
+
 # -- 8 licenses ---------------------------------------------------------------
 def test_license_scan(spark, tmp_path):
     texts = ODD + ["Foo. Licensed under the Apache License, Version 2.0.\n" * 3, "license MIT licensé mit license",
