@@ -3,11 +3,13 @@
 All rolling word k-grams of every document are joined to the k-gram positions
 of the templates.  Matches vote for (document, template, offset diagonal =
 document position - template position); neighbouring diagonals are merged, so
-an inserted or missing word does not split a notice; a span is verified when
-the template words it covers reach the needed share.
+an inserted or missing word does not split a notice.  A span of bounded length
+is verified when the template words it holds in the template's order reach the
+needed share (nearly all of a short template) and the words that name the
+license stand together in it.
 
-The templates are a fixed short list, so their k-gram table is broadcast; only
-matches are shuffled.
+The templates' k-gram table is broadcast when it is proven small; only matches
+are shuffled.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyspark.llm import common
+from tallyspark.operators.sizing import broadcast_if_small
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 K = 3
@@ -26,6 +29,13 @@ K = 3
 NEIGHBOURS = 3
 #: Share of a template's words that a span must cover.
 COVERED = 0.6
+#: The same for templates of fewer than ``SHORT`` words.
+NEARLY_ALL, SHORT = 0.9, 24
+#: Words by which a span may be longer than its template: this share, and at
+#: least ``NEIGHBOURS``.
+LONGER = 0.25
+#: Template k-grams up to this many rows are broadcast.
+FEW = 200_000
 #: Score of a document that only names a license.
 NAMED = 0.5
 
@@ -42,6 +52,9 @@ TEMPLATES = {
                  "GNU General Public License as published by the Free Software Foundation",
     "bsd-terms": "Redistribution and use in source and binary forms, with or without modification, are permitted",
 }
+#: Words of a template that must stand together in a span.
+NAMING = {"mit-notice": "MIT License", "apache-notice": "Apache License", "cc-by-nc-notice": "CC BY-NC 4.0",
+          "gpl-notice": "GNU General Public License", "gpl-terms": "GNU General Public License"}
 
 
 def words_of(text: Column) -> Column:
@@ -60,12 +73,31 @@ def template_words() -> dict[str, list[str]]:
     return {name: re.findall(WORD, text.lower()) for name, text in TEMPLATES.items()}
 
 
-def template_grams(spark: SparkSession, k: int = K) -> DataFrame:
-    """(t_hash, t_gram, template, t_at, t_size) of the fixed templates."""
-    rows = [(" ".join(w[i:i + k]), name, i, len(w)) for name, w in template_words().items()
-            for i in range(len(w) - k + 1)]
-    return spark.createDataFrame(rows, "t_gram string, template string, t_at int, t_size int").withColumn(
-        "t_hash", F.xxhash64("t_gram"))
+def default_templates(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(n, t, NAMING.get(n)) for n, t in TEMPLATES.items()],
+                                 "name string, text string, naming string")
+
+
+def template_table(templates: DataFrame, k: int = K) -> DataFrame:
+    """(t_no, template, t_words, t_size, named_at, named_size) of ``templates``
+    (name, text and, if there is one, naming: words that must stand together).
+    A template without k words, or without its naming words, fails."""
+    naming = F.col("naming").cast("string") if "naming" in templates.columns else F.lit(None).cast("string")
+    words, named = words_of(F.col("text").cast("string")), words_of(naming)
+    size = F.size("named").cast("int")
+    at = F.filter(F.sequence(F.lit(0), F.size("t_words") - 1),
+                  lambda i: F.slice("t_words", i + 1, F.greatest(size, F.lit(1))) == F.col("named"))
+    table = templates.select(F.col("name").cast("string").alias("template"), words.alias("t_words"),
+                             named.alias("named")).distinct()
+    table = common.stored(table.select(
+        F.xxhash64("template", "t_words", "named").alias("t_no"), "template", "t_words",
+        F.size("t_words").alias("t_size"), F.when(F.size("t_words") > 0, at).alias("named_at"),
+        size.alias("named_size")), "license-templates")
+    bad = table.where((F.col("t_size") < k) | F.col("template").isNull()
+                      | (F.col("named_size") > 0) & (F.size("named_at") <= 0)).select("template").limit(5).collect()
+    if bad:
+        raise ValueError(f"templates of under {k} words, or without their naming words: {[r.template for r in bad]}")
+    return table
 
 
 def starts(words: Column, phrase: str) -> Column:
@@ -85,31 +117,82 @@ def starts(words: Column, phrase: str) -> Column:
     return F.when(here, F.filter(F.sequence(F.lit(0), F.size(words) - 1), at)).otherwise(none)
 
 
-def spans(rows: DataFrame, k: int = K) -> DataFrame:
-    """(__f, __r, template, from_word, to_word, coverage) of every verified
-    span of ``rows`` (__f, __r, words)."""
+def in_order(pairs: Column) -> Column:
+    """How many of ``pairs`` (struct p, back = -q; sorted) rise in both p and
+    q: the longest increasing run of q, by its smallest ends."""
+    none = F.slice(F.array(F.lit(None).cast("int")), 1, 0)
+    ends = F.aggregate(pairs, none, lambda e, x: F.concat(
+        F.filter(e, lambda y: y < -x.back), F.array(-x.back), F.slice(F.filter(e, lambda y: y >= -x.back), 2, 1 << 30)))
+    return F.size(ends)
+
+
+def spans(rows: DataFrame, k: int = K, templates: DataFrame | None = None) -> DataFrame:
+    """(__f, __r, template, from_word, to_word, coverage) of the verified spans
+    of ``rows`` (__f, __r, words): the best of each chain of neighbouring
+    diagonals, or of each stretch of a chain that is longer than a span."""
+    if templates is None:
+        templates = default_templates(rows.sparkSession)
+    table = template_table(templates, k)
+    gram_rows = table.select("t_no", F.posexplode(grams(F.col("t_words"), k)).alias("t_at", "t_gram")).withColumn(
+        "t_hash", F.xxhash64("t_gram"))
+    gram_rows, few = broadcast_if_small(gram_rows, FEW)
+    own = table.select(F.col("t_no").alias("no"), "template", "t_size", "named_at", "named_size")
+    own = F.broadcast(own) if few else own.hint("merge")
     posted = rows.select("__f", "__r", F.posexplode(grams(F.col("words"), k)).alias("at", "gram"))
     hits = (posted.withColumn("hash", F.xxhash64("gram"))
-            .join(F.broadcast(template_grams(rows.sparkSession, k)),
+            .join(gram_rows if few else gram_rows.hint("merge"),
                   (F.col("hash") == F.col("t_hash")) & (F.col("gram") == F.col("t_gram"))))
-    votes = (hits.groupBy("__f", "__r", "template", "t_size", (F.col("at") - F.col("t_at")).alias("diagonal"))
-             .agg(F.collect_set("t_at").alias("covers"), F.min("at").alias("from_word"),
-                  (F.max("at") + F.lit(k - 1)).alias("to_word")))
-    by = Window.partitionBy("__f", "__r", "template").orderBy("diagonal")
+    votes = (hits.groupBy("__f", "__r", "t_no", (F.col("at") - F.col("t_at")).alias("diagonal"))
+             .agg(F.collect_set("t_at").alias("covers")))
+    by = Window.partitionBy("__f", "__r", "t_no").orderBy("diagonal")
     gap = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(by) > NEIGHBOURS).cast("int"), F.lit(0))
     merged = votes.withColumn("gap", gap).withColumn("span", F.sum("gap").over(by))
-    size = F.size(F.array_distinct(F.flatten(F.transform(
-        F.flatten(F.collect_list("covers")), lambda p: F.sequence(p, p + F.lit(k - 1))))))
-    return (merged.groupBy("__f", "__r", "template", "t_size", "span")
-            .agg(F.min("from_word").alias("from_word"), F.max("to_word").alias("to_word"), size.alias("words"))
-            .withColumn("coverage", F.col("words") / F.col("t_size")).where(F.col("coverage") >= COVERED)
-            .drop("span", "t_size", "words"))
-
-
-def scan(docs: DataFrame) -> DataFrame:
+    merged = merged.withColumn("covers", F.array_distinct(F.flatten(F.transform(
+        "covers", lambda p: F.sequence(p, p + F.lit(k - 1))))))
+
+    chain = ["__f", "__r", "t_no", "span"]
+    share = F.when(F.col("t_size") < SHORT, NEARLY_ALL).otherwise(COVERED)
+    enough = lambda words: words / F.col("t_size") >= share
+    longest = F.col("t_size") + F.greatest(F.lit(NEIGHBOURS), F.floor(F.col("t_size") * LONGER)).cast("int")
+    low, high = F.col("diagonal") + F.array_min("covers"), F.col("diagonal") + F.array_max("covers")
+    near = (merged.groupBy(*chain).agg(F.size(F.array_distinct(F.flatten(F.collect_list("covers")))).alias("words"),
+                                       F.min(low).alias("low"), F.max(high).alias("high"))
+            .join(own, F.col("t_no") == F.col("no")).where(enough(F.col("words"))).drop("no", "words"))
+    # The words that stand where the template has them; a naming place counts when all its words are there.
+    named = F.exists("named_at", lambda n: (n == F.col("q")) & (F.col("named_size") > 0) & F.forall(
+        F.sequence(n, n + F.greatest(F.col("named_size"), F.lit(1)) - 1), lambda x: F.array_contains("covers", x)))
+    pairs = (merged.join(near.hint("merge"), chain).withColumn("longest", longest)
+             .select("*", F.explode("covers").alias("q")).withColumn("p", F.col("diagonal") + F.col("q"))
+             .withColumn("named", F.coalesce(named, F.lit(False))))
+    # A chain longer than a span is cut into stretches; each sees the next one too.
+    cut = F.floor((F.col("p") - F.col("low")) / F.col("longest")).cast("int")
+    stretch = F.when(F.col("high") - F.col("low") < F.col("longest"), F.array(F.lit(0))).otherwise(F.array(cut, cut - 1))
+    parts = (pairs.withColumn("stretch", F.explode(stretch)).where("stretch >= 0")
+             .groupBy(*chain, "stretch", "template", "t_size", "named_size", "low", "high", "longest")
+             .agg(F.array_sort(F.collect_set(F.struct("p", (-F.col("q")).alias("back"), "named"))).alias("pairs"))
+             .where(enough(F.size(F.array_distinct(F.col("pairs.back"))))))
+    begin = F.col("low") + F.col("stretch") * F.col("longest")
+    begins = F.when(F.col("high") - F.col("low") < F.col("longest"), F.array("low")).otherwise(
+        F.filter(F.array_distinct(F.col("pairs.p")), lambda p: p < begin + F.col("longest")))
+
+    def held(b):
+        inside = F.filter("pairs", lambda x: (x.p >= b) & (x.p < b + F.col("longest")))
+        last = F.array_max(F.transform(inside, lambda x: x.p))
+        name = (F.col("named_size") == 0) | F.exists(
+            inside, lambda x: x.named & (x.p + F.col("named_size") - 1 <= last))
+        return F.struct(F.when(name, in_order(inside) / F.col("t_size")).otherwise(0.0).alias("coverage"),
+                        (-b).alias("back"), last.alias("to_word"))
+
+    best = parts.select(*chain, "template", "t_size", F.array_max(F.transform(begins, held)).alias("best"))
+    return best.where(F.col("best.coverage") >= share).select(
+        "__f", "__r", "template", (-F.col("best.back")).alias("from_word"), "best.to_word", "best.coverage").distinct()
+
+
+def scan(docs: DataFrame, templates: DataFrame | None = None) -> DataFrame:
     """The contract's row per document.  ``labels`` are the base labels and
     the names of the templates found; ``score`` is the best coverage of a
-    template, and at least ``NAMED`` where a license is named.
+    template, and at least ``NAMED`` where a license is named.  ``templates``:
+    see ``template_table``.
 
     Null and empty texts have no words and score 0; rows are told apart by
     their place in the input, so repeated rows each give a row."""
@@ -124,7 +207,7 @@ def scan(docs: DataFrame) -> DataFrame:
     base = base.select("__f", "__r", "doc_id", "n_words", F.size(every).cast("long").alias("n_base"),
                        F.array_min(every).cast("long").alias("first_word"),
                        F.array_max(every).cast("long").alias("last_word"), found.alias("base"))
-    own = spans(rows).groupBy("__f", "__r").agg(F.collect_set("template").alias("more"),
+    own = spans(rows, templates=templates).groupBy("__f", "__r").agg(F.collect_set("template").alias("more"),
                                                 F.max("coverage").alias("best"))
     joined = base.join(own.hint("merge"), ["__f", "__r"], "left")
     none = F.array().cast("array<string>")

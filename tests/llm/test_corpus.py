@@ -352,6 +352,21 @@ def test_license_scan(spark, tmp_path):
     assert license_scan.scan(docs.limit(0)).count() == 0
 
 
+def test_license_spans_are_verified(spark, tmp_path):
+    gpl = license_scan.TEMPLATES["gpl-terms"]
+    apache = "Licensed under the Apache License, Version 2.0."
+    texts = ["The album was released under the Motown label", "Licensed under the Mozilla Public License, Version 2.0.",
+             "License, Version 2.0. Under the Apache License, Licensed under the", gpl.replace("General", "Lesser General"),
+             "licensed under the " * 40 + apache, "Released under the MIT License.", gpl,
+             "released under the released under the mit license released under the"]
+    got = {r.doc_id: r for r in license_scan.scan(docs_of(spark, tmp_path, texts)).collect()}
+    labels = [got[i].labels for i in range(len(texts))]
+    assert labels[:4] == ["", "", "apache", "gpl"]
+    assert [got[i].score for i in (0, 1)] == [0, 0]
+    assert labels[4:] == ["apache,apache-notice", "mit,mit-notice", "gpl,gpl-terms", "mit,mit-notice"]
+    assert [got[i].score for i in (4, 5, 6, 7)] == [1.0] * 4
+
+
 # -- 9 packing ----------------------------------------------------------------
 def test_pieces_hold_each_id_once(spark, tmp_path):
     import public_tokenizers
