@@ -359,7 +359,8 @@ def test_license_spans_are_verified(spark, tmp_path):
              "License, Version 2.0. Under the Apache License, Licensed under the", gpl.replace("General", "Lesser General"),
              "licensed under the " * 40 + apache, "Released under the MIT License.", gpl,
              "released under the released under the mit license released under the"]
-    got = {r.doc_id: r for r in license_scan.scan(docs_of(spark, tmp_path, texts)).collect()}
+    eight = license_scan.default_templates(spark).where(F.col("name").isin(list(license_scan.TEMPLATES)))
+    got = {r.doc_id: r for r in license_scan.scan(docs_of(spark, tmp_path, texts), eight).collect()}
     labels = [got[i].labels for i in range(len(texts))]
     assert labels[:4] == ["", "", "apache", "gpl"]
     assert [got[i].score for i in (0, 1)] == [0, 0]
@@ -367,6 +368,24 @@ def test_license_spans_are_verified(spark, tmp_path):
     assert [got[i].score for i in (4, 5, 6, 7)] == [1.0] * 4
 
 
+def test_license_templates_are_a_parameter(spark, tmp_path):
+    own = "You may sing this song wherever two or more people are gathered around a fire."
+    names = list(license_scan.TEXTS)
+    texts = [f"Copyright someone.\n{license_scan.TEXTS[n]}\nThe end." for n in names] + [f"Hear: {own}"]
+    docs = docs_of(spark, tmp_path, texts)
+    got = {r.doc_id: r for r in license_scan.scan(docs).collect()}
+    assert all(n in got[i].labels.split(",") and got[i].score == 1 for i, n in enumerate(names))
+    for i, n in enumerate(names):
+        if n.startswith(("cc", "lgpl", "agpl", "mpl", "bsd-e", "isc", "zlib", "unl")):  # "gpl" is a base label
+            assert [x for x in got[i].labels.split(",") if x != "gpl"] == [n]
+    assert got[len(names)].labels == ""
+    song = spark.createDataFrame([("song", own)], "name string, text string")
+    got = {r.doc_id: r.labels for r in license_scan.scan(docs, song).collect()}
+    assert got[len(names)] == "song" and "mit-permission" not in got[0]
+    with pytest.raises(ValueError, match="tiny"):
+        license_scan.scan(docs, spark.createDataFrame([("tiny", "two words")], "name string, text string"))
+
+
 # -- 9 packing ----------------------------------------------------------------
 def test_pieces_hold_each_id_once(spark, tmp_path):
     import public_tokenizers
