@@ -185,6 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, seed
     when there is none."""
     usable = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
               .select(F.col("doc_id").cast("long").alias("__id"), F.col("quality").cast("double").alias("__y"))
+              .distinct()  # a doc_id that labels repeat is one of train_docs
               .withColumn("__h", F.xxhash64(F.lit(seed), "__id")))
     chosen = common.smallest(usable, train_docs, "__h", "__id", "__y").drop("__h")
 

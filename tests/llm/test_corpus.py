@@ -214,6 +214,15 @@ def test_training_takes_one_text_of_a_repeated_id(spark, tmp_path):
     assert all(np.array_equal(getattr(a, n), getattr(b, n)) for n in a.NAMES)
 
 
+def test_training_counts_documents_not_label_rows(spark, tmp_path):
+    docs = docs_of(spark, tmp_path, [f"text {i}." + " a | b" * (i % 2) for i in range(40)])
+    once = [(i, i % 2, 0) for i in range(40)]
+    many = once + [(i, i % 2, 0) for i in range(20) for _ in range(300)]
+    a, b = (mil_quality.train(docs, spark.createDataFrame(x, "doc_id long, quality int, toxic int"), train_docs=25)
+            for x in (once, many))
+    assert all(np.array_equal(getattr(a, n), getattr(b, n)) for n in a.NAMES)
+
+
 def test_style_does_not_depend_on_neighbours():
     texts = [(t or "").encode() for t in ODD]
     together = mil_quality.passage_style(texts)
