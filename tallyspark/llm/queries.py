@@ -10,10 +10,12 @@ from tallyspark.llm import (
     mil_quality,
     multi_index,
     packing,
+    periodic_runs,
     permutation_index,
     pii_crf,
     raking,
     simhash,
+    token_archive,
     warc,
 )
 from tallyspark.llm.common import read
@@ -60,9 +62,18 @@ def op10_warc_revisits(spark, sf_dir):
     return warc.archive_digest(read(spark, sf_dir, "pages"))
 
 
+def op12_token_archive(spark, sf_dir):
+    return token_archive.archive_digest(read(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.run_digest(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_permutation_index, op2_external_shuffle, op3_attention_mil, op4_inverted_multi_index, op5_simhash_pigeonring,
-    op6_raked_mix, op7_skip_chain_crf, op8_diagonal_voting, op9_cost_packing, op10_warc_revisits)}
+    op6_raked_mix, op7_skip_chain_crf, op8_diagonal_voting, op9_cost_packing, op10_warc_revisits,
+    op12_token_archive, op13_periodic_runs)}
 
 OP10_SQL = """
 WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest,
