@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyspark.llm import (
+    cover_tree,
     external_shuffle,
     license_scan,
     mil_quality,
@@ -62,6 +63,12 @@ def op10_warc_revisits(spark, sf_dir):
     return warc.archive_digest(read(spark, sf_dir, "pages"))
 
 
+def op11_cover_tree(spark, sf_dir):
+    own = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return cover_tree.mine(own.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op12_token_archive(spark, sf_dir):
     return token_archive.archive_digest(read(spark, sf_dir, "documents"))
 
@@ -73,7 +80,7 @@ def op13_periodic_runs(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_permutation_index, op2_external_shuffle, op3_attention_mil, op4_inverted_multi_index, op5_simhash_pigeonring,
     op6_raked_mix, op7_skip_chain_crf, op8_diagonal_voting, op9_cost_packing, op10_warc_revisits,
-    op12_token_archive, op13_periodic_runs)}
+    op11_cover_tree, op12_token_archive, op13_periodic_runs)}
 
 OP10_SQL = """
 WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest,
