@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm import common
-from tallyspark.operators.sizing import lookup_join
+from tallyspark.operators.sizing import lookup_join, proven_small
 
 #: Cells and marginals up to this many rows are broadcast.
 FEW = 50_000
@@ -51,20 +51,36 @@ def tempered(cells: DataFrame, dim: str, power: float = TEMPER) -> DataFrame:
     return own.select(dim, (F.col("t") / whole).alias("share"))
 
 
+def _scaled(cells: DataFrame, factors: dict[str, DataFrame], few: dict[str, bool]) -> DataFrame:
+    """``cells`` plus ``weight``: their tokens times the factor of each listed
+    dimension (cells without one are left out)."""
+    weight = F.col("tokens").cast("double")
+    for dim, factor in factors.items():
+        side = factor.select(F.col(dim).alias(f"__{dim}"), F.col("factor").alias(f"__f_{dim}"))
+        cells = lookup_join(cells, side, F.col(dim).eqNullSafe(F.col(f"__{dim}")), known_small=few[dim])
+        weight = weight * F.col(f"__f_{dim}")
+    return cells.withColumn("weight", weight)
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
     """``cells`` (dims, tokens) plus ``weight``: tokens scaled so that the
-    weights' marginals meet ``targets`` ((dim, share) frames)."""
+    weights' marginals meet ``targets`` ((dim, share) frames).
+
+    Only the factors of each dimension's values change from step to step (one
+    row per value, written); the cells stay as they are, so every step has the
+    same small plan and nothing of an earlier step in it."""
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    cells = cells.withColumn("weight", F.col("tokens").cast("double"))
+    few = {d: proven_small(t, FEW) for d, t in targets.items()}
+    factors = {d: t.select(d, F.lit(1.0).alias("factor")) for d, t in targets.items()}
     for _ in range(sweeps):
         for dim, target in targets.items():
-            now = cells.groupBy(dim).agg(F.sum("weight").alias("now"))
-            factor = now.join(target, now[dim].eqNullSafe(target[dim])).select(
-                now[dim].alias("__d"), (F.col("share") * total / F.col("now")).alias("factor"))
-            cells = cells.join(factor, F.col(dim).eqNullSafe(F.col("__d"))).select(
-                *[c for c in cells.columns if c != "weight"], (F.col("weight") * F.col("factor")).alias("weight"))
-        cells = common.stored(cells, "raked-cells")
-    return cells
+            now = (_scaled(cells, {d: f for d, f in factors.items() if d != dim}, few)
+                   .groupBy(F.col(dim).alias("__d")).agg(F.sum("weight").alias("now")))
+            met = lookup_join(now, target, F.col("__d").eqNullSafe(F.col(dim)), known_small=few[dim])
+            factors[dim] = common.stored(met.select(dim, F.coalesce(
+                F.try_divide(F.col("share") * total, "now"), F.lit(0.0)).alias("factor")),
+                                         f"raked-{dim}")
+    return common.stored(_scaled(cells, factors, few).select(*cells.columns, "weight"), "raked-cells")
 
 
 def sampling_rates(raked: DataFrame, keep_share: float = KEEP_SHARE, steps: int = SCALE_STEPS) -> DataFrame:
@@ -135,7 +151,7 @@ def mix(docs: DataFrame, seed: int = 1, keep_share: float = KEEP_SHARE,
 
 def mix_report(docs: DataFrame, seed: int = 1) -> DataFrame:
     return drawn(docs, F.col("doc_id"), seed=seed).select("doc_id", *[F.col(f"__mix.{c}").alias(c) for c in
-                                              ("source", "lang", "topic", "tokens", "rate", "kept")])
+                                              ("source", "lang", "topic", "tokens", "rate", "kept", "copies")])
 
 
 def oracle_sql(seed: int = 1) -> str:
@@ -161,11 +177,13 @@ def oracle_sql(seed: int = 1) -> str:
     for i in range(SCALE_STEPS):
         out.append(f"""s{i + 1} AS MATERIALIZED (SELECT any_value(s) * ({KEEP_SHARE} * sum(tokens)) /
       sum(least(1.0::DOUBLE, s * weight / tokens) * tokens) AS s FROM {last}, s{i})""")
-    out.append(f"""r AS (SELECT {dims}, round(least(1.0::DOUBLE, s * weight / tokens), {DIGITS}) AS rate
-      FROM {last}, s{SCALE_STEPS})""")
-    return "WITH " + ",\n".join(out) + f"""
-    SELECT doc_id, d.source, d.lang, d.topic, tokens, rate,
-      ('0x' || substr(md5('{seed}|' || coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')), 1, 12))::BIGINT
-        ::DOUBLE / {float(1 << 48)!r}::DOUBLE < rate AS kept
-    FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source AND d.lang IS NOT DISTINCT FROM r.lang
+    out.append(f"""r AS (SELECT {dims}, round(least(1.0::DOUBLE, s * weight / tokens), {DIGITS}) AS rate,
+      round({KEEP_SHARE} * (SELECT sum(tokens) FROM c0) / (SELECT sum(weight) FROM {last}) * weight / tokens,
+        {DIGITS}) AS times FROM {last}, s{SCALE_STEPS})""")
+    out.append(f"""u AS (SELECT *, ('0x' || substr(md5('{seed}|' || coalesce(doc_id::VARCHAR, '') || '|' ||
+      coalesce(text, '')), 1, 12))::BIGINT::DOUBLE / {float(1 << 48)!r}::DOUBLE AS draw FROM d)""")
+    return "WITH " + ",\n".join(out) + """
+    SELECT doc_id, d.source, d.lang, d.topic, tokens, rate, draw < rate AS kept,
+      (floor(times) + (draw < times - floor(times))::INT)::INT AS copies
+    FROM u d JOIN r ON d.source IS NOT DISTINCT FROM r.source AND d.lang IS NOT DISTINCT FROM r.lang
       AND d.topic = r.topic"""
