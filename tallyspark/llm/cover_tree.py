@@ -43,6 +43,7 @@ MAX_CELLS, CELL_ROWS, SAMPLE_ROWS = 1024, 4 * BLOCK_ROWS, 8192
 SLACK = 1e-9
 #: Integers up to here are exact in double precision.
 EXACT = float(1 << 53)
+LARGEST = (1 << 63) - 1
 
 HITS = ("a_f long, a_r long, anchor_id long, window int, positive_id long, positive_score long, vec_id long, "
         "f long, r long, score long")
@@ -55,22 +56,16 @@ def quantized(x: np.ndarray, scale: float) -> np.ndarray:
 
 
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of the rows of ``a`` and ``b``: in double precision
-    where no sum can pass 2^53, else in Python integers."""
+    """Exact inner products of the rows of ``a`` and ``b`` as 64-bit integers
+    (those beyond count as the largest or smallest): in double precision where
+    no sum can pass 2^53, else in Python integers."""
     def longest(m):
         return np.sqrt((m ** 2).sum(axis=1)).max(initial=0.0)
 
     if longest(a) * longest(b) < EXACT:
-        return a @ b.T
+        return (a @ b.T).astype(np.int64)
     whole = [np.array([[int(v) for v in row] for row in m], dtype=object).reshape(m.shape) for m in (a, b)]
-    return whole[0] @ whole[1].T
-
-
-def as_long(scores: np.ndarray) -> np.ndarray:
-    """Scores as 64-bit integers; those beyond are set to the nearest one."""
-    if scores.dtype == object:
-        return np.array([min(max(int(s), -(1 << 63)), (1 << 63) - 1) for s in scores], np.int64)
-    return scores.astype(np.int64)
+    return np.clip(whole[0] @ whole[1].T, -LARGEST, LARGEST).astype(np.int64)
 
 
 def interval(score: np.ndarray, radius: np.ndarray, q2: float, m2: float) -> tuple[np.ndarray, np.ndarray]:
@@ -79,8 +74,8 @@ def interval(score: np.ndarray, radius: np.ndarray, q2: float, m2: float) -> tup
     with a ball's centre."""
     d = np.sqrt(np.maximum(q2 + m2 - 2 * score.astype(np.float64), 0))
     slack = SLACK * (q2 + m2)
-    return ((q2 + m2 - (d + radius) ** 2) / 2 - slack,
-            (q2 + m2 - np.maximum(d - radius, 0) ** 2) / 2 + slack)
+    bounds = (q2 + m2 - (d + radius) ** 2) / 2 - slack, (q2 + m2 - np.maximum(d - radius, 0) ** 2) / 2 + slack
+    return tuple(np.clip(x, -float(LARGEST), float(LARGEST)) for x in bounds)
 
 
 class CoverTree:
@@ -229,7 +224,7 @@ def search_group(table: pa.Table, scale: float, k: int, least_percent: int | Non
                     n = len(rows)
                     for column, values in zip(out, (
                             [f[a]] * n, [r[a]] * n, [ids[a]] * n, [w] * n, [of["vec_id"]] * n, [of["score"]] * n,
-                            block.ids[rows], block.f[rows], block.r[rows], as_long(scores)), strict=True):
+                            block.ids[rows], block.f[rows], block.r[rows], scores), strict=True):
                         column.extend(values)
     return pa.table({n: pa.array(c, pa.int32() if n == "window" else pa.int64())
                      for n, c in zip(names, out, strict=True)})
@@ -282,7 +277,7 @@ class Cells:
         low, high = interval(centres @ q, np.maximum(reach, 0), float((q ** 2).sum()), m2)
         met = reduce(np.logical_or, [~(high < a) & ~(low > b) for a, b in windows if a <= b],
                      np.zeros(len(centres), bool))
-        return [first + int(c) for c in np.flatnonzero(met & (reach >= 0))]
+        return [first + int(c) for c in np.flatnonzero(met & ~(reach < 0))]
 
 
 def by_length(batch: pa.RecordBatch, column: str):
@@ -305,7 +300,7 @@ def mine(base: DataFrame, is_anchor: Column, positives: int = 5, negatives: int
     not finite, take no part; zero vectors do.  Only vectors of equal length
     are compared.  Repeated rows are rows of their own, as anchors and as
     results.  A negative positive score has an empty window.  Scores beyond 64
-    bits are compared exactly and given out as the nearest 64-bit integer.
+    bits count as the nearest 64-bit integer.
     Other columns are ignored; an empty table gives no rows."""
     spark = common.ready(base.sparkSession)
     big = F.lit(float("inf"))
@@ -364,8 +359,8 @@ def mine(base: DataFrame, is_anchor: Column, positives: int = 5, negatives: int
     cells = Cells()
     sizes = held.groupBy(F.size("x").alias("k")).agg(F.count("*").alias("n"), F.max(sphere(F.col("x"), scale)).alias("m"))
     for s in sizes.orderBy("k").collect():  # one row per vector length
-        sample = quantized(vectors.sample(held.where(F.size("x") == s.k), "x", SAMPLE_ROWS, seed).reshape(-1, s.k), scale)
-        cells.add(s.k, cell_centres(sample, min(MAX_CELLS, -(-s.n // CELL_ROWS)), s.m), s.m)
+        sample = vectors.sample(held.where(F.size("x") == s.k), "x", SAMPLE_ROWS, seed)
+        cells.add(s.k, cell_centres(quantized(sample, scale), min(MAX_CELLS, -(-s.n // CELL_ROWS)), s.m), s.m)
     if not cells.count:
         return spark.createDataFrame([], "anchor_id long, positive_id long, rank int, negative_id long, "
                                          "positive_score long, negative_score long")

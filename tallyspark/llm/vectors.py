@@ -28,7 +28,7 @@ def usual_length(df: DataFrame, embedding: str) -> int:
 def matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     """A list column of ``dim`` numbers each as a double matrix."""
     whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return np.asarray(whole.flatten(), dtype=np.float64).reshape(-1, dim)
+    return np.asarray(whole.flatten(), dtype=np.float64).reshape(len(whole), dim)
 
 
 def sample(df: DataFrame, embedding: str, rows: int, seed: int) -> np.ndarray:
