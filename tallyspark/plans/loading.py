@@ -162,3 +162,48 @@ def q_incremental_load_csv(spark, d):
         out = incremental_load(spark, landing, w.orders.select(cols).schema, table, ["o_orderkey"],
                                scratch_path(spark, "csv_stream_ckpt"), file_format="csv", max_files_per_batch=2)
     return out
+
+
+def _address(name: str, segment: str):
+    """A postal address as a source system keeps it: quotes, commas, line
+    breaks and a blank line in one text."""
+    return F.concat(F.col(name), F.lit(' "'), F.col(segment), F.lit('"\nUnit 5, Main Street\n\n""'), F.col(segment))
+
+
+@query("csv_quoted_records", """
+SELECT c_custkey, c_name || ' "' || c_mktsegment || '"' || chr(10) || 'Unit 5, Main Street' || chr(10) || chr(10) ||
+       '""' || c_mktsegment AS address, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DOUBLE) AS c_acctbal
+FROM customer WHERE CAST(c_acctbal AS DECIMAL(12,2)) >= 0
+""")
+def q_csv_quoted_records(spark, d):
+    """SRC-1: fields with doubled quotes, delimiters and line breaks; records
+    that do not load (balances in accounting style) are set aside whole."""
+    c = Warehouse(spark, d).customer
+    bal = F.col("c_acctbal").cast("decimal(12,2)")
+    path = write_csv(c.select(
+        F.col("c_custkey").cast("string"), _address("c_name", "c_mktsegment").alias("address"),
+        F.when(bal < 0, F.concat(F.lit("("), F.abs(bal).cast("string"), F.lit(")"))).otherwise(
+            bal.cast("string")).alias("c_acctbal")), scratch_path(spark, "customer_quoted_csv"))
+    schema = T.StructType([CUSTOMER_SCHEMA["c_custkey"], T.StructField("address", T.StringType()),
+                           CUSTOMER_SCHEMA["c_acctbal"]])
+    good, _ = read_table(spark, path, schema)
+    return good.withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
+
+
+@query("incremental_load_quoted", f"""
+WITH h AS (SELECT o_orderkey, o_orderpriority FROM ({HIST_SQL})),
+s AS (SELECT DISTINCT o_orderkey, o_orderpriority || ' "' || o_orderstatus || '"' || chr(10) || 'Unit 5, Main Street' ||
+      chr(10) || chr(10) || '""' || o_orderstatus AS o_orderpriority FROM ({STAGE_SQL}))
+SELECT * FROM h UNION ALL SELECT * FROM s WHERE o_orderkey NOT IN (SELECT o_orderkey FROM h)
+""")
+def q_incremental_load_quoted(spark, d):
+    """CHG-9 with SRC-1: quoted records arriving as CSV files in a stream."""
+    w = Warehouse(spark, d)
+    cols = ["o_orderkey", "o_orderpriority"]
+    landing = write_csv(staging(w).select(F.col("o_orderkey").cast("string"), _address(
+        "o_orderpriority", "o_orderstatus").alias("o_orderpriority")).repartition(4),
+        scratch_path(spark, "landing_quoted_csv"))
+    table = scratch_path(spark, "sales_quoted_table")
+    history(w).select(cols).write.parquet(table)
+    return incremental_load(spark, landing, w.orders.select(cols).schema, table, ["o_orderkey"],
+                            scratch_path(spark, "quoted_stream_ckpt"), file_format="csv", max_files_per_batch=2)

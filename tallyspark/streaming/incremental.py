@@ -45,10 +45,11 @@ def incremental_load(spark: SparkSession, landing_dir: str, schema: T.StructType
     if on_error not in ("abort", "continue"):
         raise ValueError(on_error)
     is_csv = file_format == "csv"
-    reader = raw_lines(spark.readStream, fmt) if is_csv else spark.readStream.schema(schema).format(file_format)
+    reader = spark.readStream
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    stream = reader.load(landing_dir)
+    stream = (raw_lines(reader, landing_dir) if is_csv
+              else reader.schema(schema).format(file_format).load(landing_dir))
     side = f"{(rejects_path or table_path.rstrip('/') + '-rejects')}/load={md5(checkpoint.encode()).hexdigest()[:12]}"
 
     def merge_batch(batch: DataFrame, epoch: int) -> None:

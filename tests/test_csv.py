@@ -67,3 +67,43 @@ def test_blank_tail_and_transform(spark):
     p = _file("id,name,price,day\r\n1,Tea,2.50,2026-07-01\r\n\r\n")
     good, bad = read_table(spark, p, SCHEMA, select=[F.col("id"), F.lit(True).alias("is_current")])
     assert [tuple(r) for r in good.collect()] == [(1, True)] and bad.count() == 0
+
+
+QUOTED = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType()),
+                       T.StructField("note", T.StringType())])
+
+
+@pytest.mark.parametrize("split", ["128m", "37", "64"])
+def test_quoted_records(spark, split):
+    """Doubled quotes, delimiters, line and blank lines in quotes, quotes that
+    are plain characters; with splits shorter than a record."""
+    text = ('id,name,note\r\n1,"a, ""b""","x"\r\n2,"two\r\nlines",y\r\n\r\n3,"with\r\n\r\n""blank""\r\nlines, here",z\r\n'
+            '4,5" pipe,6"\r\n5,plain,"""quoted"""\r\n6,"","a\r\n,b"\r\n"7","e""","f"\r\n' +
+            "".join(f'{i},"long {"x" * 50}\n{i}",n{i}\n' for i in range(10, 40)))
+    want = [(1, 'a, "b"', "x"), (2, "two\nlines", "y"), (3, 'with\n\n"blank"\nlines, here', "z"),
+            (4, '5" pipe', '6"'), (5, "plain", '"quoted"'), (6, None, "a\n,b"), (7, 'e"', "f")]
+    want += [(i, f'long {"x" * 50}\n{i}', f"n{i}") for i in range(10, 40)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        good, bad = read_table(spark, _file(text), QUOTED)
+        assert sorted(map(tuple, good.collect())) == want and bad.count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_bad_quoted_records_are_rejected_whole(spark):
+    text = 'id,name,note\n1,"a\nb",c\nx,"d\ne",f\n2,g,h\n3,"open\n4,i,j\n'
+    good, bad = read_table(spark, _file(text), QUOTED)
+    assert sorted(map(tuple, good.collect())) == [(1, "a\nb", "c"), (2, "g", "h")]
+    assert sorted(r[0] for r in bad.collect()) == ['3,"open', "4,i,j", 'x,"d\ne",f']
+    good, bad = read_table(spark, _file('id,name,note\n1,"a\nb\nc\nd",e\n2,f,g\n'), QUOTED, CsvFormat(max_record_lines=3))
+    assert [r.id for r in good.collect()] == [2] and bad.count() == 4
+
+
+def test_written_quotes_read_back(spark, tmp_path):
+    from tallyspark.sources.csv import write_csv
+    rows = [(1, 'a "b", c', "x\ny"), (2, '"', '""'), (3, "\n", ',"'), (4, "back\\slash", '\\"'), (5, "'", "z\n\n\nz")]
+    path = write_csv(spark.createDataFrame(rows, QUOTED).repartition(2), str(tmp_path / "out"))
+    good, bad = read_table(spark, path, QUOTED)
+    assert sorted(map(tuple, good.collect())) == rows and bad.count() == 0
