@@ -15,16 +15,19 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyspark.functions.columns import money, out_money
+from tallyspark.functions.columns import money, money_sum, out_money
+from tallyspark.operators.keys import LOAD, KeyRegistry, load_levels
 from tallyspark.operators.model import (
     build_level, calendar, fact_unmatched, flatten_hierarchy, load_dimension, load_fact, resolve_parent)
 from tallyspark.operators.ordered import assign_keys
 from tallyspark.operators.quality import audit, reconcile, rows_touched
 from tallyspark.operators.reports import Lookup, Measure, money_m, order_desc, revenue_by
-from tallyspark.operators.sizing import BROADCAST_ROWS, proven_small
+from tallyspark.operators.sizing import BROADCAST_ROWS, lookup_join, proven_small
 from tallyspark.operators.views import materialize
 from tallyspark.plans.registry import money_sum_sql, query
+from tallyspark.session import scratch_path
 from tallyspark.sources.tables import Warehouse
 
 
@@ -783,3 +786,89 @@ def q_normalized_revenue_by_customer_nation(spark, d):
     return (revenue_by(w.orders, ["nation_name"], [money_m("revenue", "o_totalprice")],
                        [Lookup(cflat, "o_custkey", "c_custkey", small=small)])
             .orderBy(*order_desc("revenue", "nation_name")))
+
+
+# ---------------------------------------------------------------- second load
+def _registry(spark, name: str, key: str, natural: str) -> KeyRegistry:
+    return KeyRegistry(spark, scratch_path(spark, name), key, T.StructType.fromDDL(natural))
+
+
+SECOND_LOAD_SQL = f"""
+WITH b AS (SELECT s.s_suppkey, s.s_acctbal < 2000 AS early, n.n_name AS nation_name, r.r_name AS region_name
+           FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
+r AS (SELECT region_name, bool_or(early) AS early FROM b GROUP BY 1),
+rk AS (SELECT region_name, ROW_NUMBER() OVER (ORDER BY NOT early, region_name) AS region_key FROM r),
+n AS (SELECT nation_name, region_key, region_name, bool_or(early) AS early FROM b JOIN rk USING (region_name) GROUP BY ALL),
+nk AS (SELECT *, ROW_NUMBER() OVER (ORDER BY NOT early, nation_name, region_key) AS nation_key FROM n),
+f AS (SELECT b.nation_name, {money_sum_sql('l.l_extendedprice')} AS early_revenue
+      FROM lineitem l JOIN b ON l.l_suppkey = b.s_suppkey WHERE b.early GROUP BY 1)
+"""
+
+
+@query("level_second_load", SECOND_LOAD_SQL + """
+SELECT nation_key, nation_name, region_key, region_name, early_revenue
+FROM nk LEFT JOIN f USING (nation_name)""")
+def q_level_second_load(spark, d):
+    """MDL-1/3: region and nation levels loaded from the first branches (those
+    with a balance under 2000), the fact of those branches stored with its
+    nation keys, then the levels loaded again from all branches: keys given out
+    stay, new names get the next ones, and the stored fact still resolves."""
+    w = Warehouse(spark, d)
+    b = stg_branch(w).join(w.supplier.select("s_suppkey", "s_acctbal"), "s_suppkey")
+    levels = [_registry(spark, "region_keys", "region_key", "region_name string"),
+              _registry(spark, "nation_keys", "nation_key", "nation_name string, region_key bigint")]
+    early = b.filter(F.col("s_acctbal") < 2000)
+    names = ["nation_name", "region_name"]
+    load_levels(levels, early.select(*names), "first")
+    branch = levels[1].resolve(levels[0].resolve(early.select("s_suppkey", *names)))
+    fact = w.lineitem.select(F.col("l_suppkey").alias("s_suppkey"), "l_extendedprice")
+    stored = materialize(revenue_by(fact, ["nation_key"], [money_m("early_revenue", "l_extendedprice")],
+                                    [Lookup(branch, "s_suppkey", "s_suppkey", small=base_small(w.supplier))]),
+                         "fact_first_load")
+    load_levels(levels, b.select(*names), "second")
+    return (levels[1].rows().join(levels[0].rows(), "region_key").join(stored, "nation_key", "left")
+            .select("nation_key", "nation_name", "region_key", "region_name", "early_revenue"))
+
+
+@query("dimension_second_load", f"""
+WITH e AS (SELECT o_custkey, {money_sum_sql('o_totalprice')} AS early_revenue FROM orders
+           WHERE o_orderdate < TIMESTAMP '1996-01-01 00:00:00' GROUP BY 1)
+SELECT ROW_NUMBER() OVER (ORDER BY e.o_custkey IS NULL, c.c_custkey) AS customer_key, c.c_custkey AS customer_id,
+       CASE WHEN e.o_custkey IS NULL THEN 'second' ELSE 'first' END AS load, early_revenue
+FROM customer c LEFT JOIN e ON c.c_custkey = e.o_custkey
+""")
+def q_dimension_second_load(spark, d):
+    """MDL-1/5: customers with orders before 1996 are loaded first and their
+    revenue is stored by surrogate key; all customers follow in a second load,
+    which is then delivered again; the stored fact resolves by the same keys."""
+    w = Warehouse(spark, d)
+    customers = _registry(spark, "customer_keys", "customer_key", "customer_id bigint")
+    sold = (w.orders.filter(F.col("o_orderdate") < F.lit("1996-01-01 00:00:00").cast("timestamp"))
+            .groupBy(F.col("o_custkey").alias("customer_id")).agg(money_sum("o_totalprice").alias("revenue")))
+    sold = materialize(sold, "early_sales")
+    customers.load(sold.select("customer_id"), "first")
+    fact = materialize(customers.resolve(sold), "early_fact")
+    every = w.customer.select(F.col("c_custkey").alias("customer_id"))
+    for load in ("second", "second_again"):
+        customers.load(every, load)
+    rows = customers.rows(with_load=True).withColumnRenamed(LOAD, "load")
+    return lookup_join(rows, fact, "customer_key", "left").select(
+        "customer_key", "customer_id", "load", out_money("revenue").alias("early_revenue"))
+
+
+@query("resolved_after_second_load", f"""
+WITH e AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01 00:00:00'),
+k AS (SELECT o_custkey, ROW_NUMBER() OVER (ORDER BY o_custkey) AS customer_key FROM e)
+SELECT k.customer_key, {money_sum_sql('o.o_totalprice')} AS revenue, CAST(COUNT(*) AS BIGINT) AS orders
+FROM orders o LEFT JOIN k ON o.o_custkey = k.o_custkey GROUP BY 1
+""")
+def q_resolved_after_second_load(spark, d):
+    """MDL-4: orders resolved against a registry that does not hold every
+    customer yet: those without a key come out under NULL, none is lost."""
+    w = Warehouse(spark, d)
+    customers = _registry(spark, "early_customer_keys", "customer_key", "customer_id bigint")
+    customers.load(w.orders.filter(F.col("o_orderdate") < F.lit("1996-01-01 00:00:00").cast("timestamp"))
+                   .select(F.col("o_custkey").alias("customer_id")), "first")
+    fact = customers.resolve(w.orders.select(F.col("o_custkey").alias("customer_id"), "o_totalprice"))
+    return fact.groupBy("customer_key").agg(out_money(money_sum("o_totalprice")).alias("revenue"),
+                                            F.count(F.lit(1)).alias("orders"))
