@@ -182,3 +182,33 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
                     *[F.col(f"prev_{c}") for c in prev_cols], *[F.col(f"next_{c}") for c in next_cols],
                     F.coalesce(F.col("_has_prev"), F.lit(False)).alias("_has_prev"),
                     F.coalesce(F.col("_has_next"), F.lit(False)).alias("_has_next"))
+
+
+def carry_forward(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value: str, name: str,
+                  num_partitions: int | None = None) -> DataFrame:
+    """``last(value) ignore nulls over (partition by keys order by order_cols
+    rows up to the current one)`` for a key of any size: the rows are cut into
+    ranges of (keys, order), so a hot key lies in several of them; within a
+    range a window per key carries the value on, and what the key's earlier
+    ranges end with (one row per range) is handed to its first rows.
+
+    ``order_cols`` hold no NULL where ``value`` has one to carry.  A NULL key
+    matches nothing: its rows get NULL."""
+    filled = F.lit(True)
+    for k in keys:
+        filled = filled & F.col(k).isNotNull()
+    tagged = df.withColumn(_TB, F.monotonically_increasing_id())
+    cp = _range_checkpoint(tagged, [(c, False) for c in [*keys, *order_cols, _TB]], num_partitions)
+    key = F.struct(*[F.col(k) for k in keys])
+    place = F.when(filled & F.col(value).isNotNull(), F.struct(*[F.col(c) for c in [*keys, *order_cols, _TB]]))
+    ends = cp.groupBy(_PID).agg(F.min(F.when(filled, key)).alias("_first"),
+                                F.max_by(F.struct(key.alias("key"), F.col(value).alias("value")), place).alias("_end"))
+    tails = ends.filter(F.col("_end").isNotNull()).select(F.col(_PID).alias("_q"), "_end")
+    held = ends.select(_PID, "_first").join(tails, (F.col("_first") == F.col("_end.key")) & (F.col("_q") < F.col(_PID)))
+    held = held.groupBy(_PID, "_first").agg(F.max_by("_end.value", "_q").alias("_carried"))
+    within = (Window.partitionBy(_PID, *keys).orderBy(*[F.col(c).asc_nulls_last() for c in [*order_cols, _TB]])
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    own = cp.withColumn("_own", F.last(value, ignorenulls=True).over(within))
+    j = own.join(F.broadcast(held), _PID, "left")
+    carried = F.when(key == F.col("_first"), F.col("_carried"))
+    return j.select(*[F.col(c) for c in df.columns], F.when(filled, F.coalesce("_own", carried)).alias(name))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import OPEN_END, any_changed, day_before, differs
 from tallyspark.operators.changes import dedupe_by_key, update_from
-from tallyspark.operators.ordered import SMALL_ROWS, continue_keys, with_neighbors
+from tallyspark.operators.ordered import SMALL_ROWS, carry_forward, continue_keys, with_neighbors
 from tallyspark.operators.sizing import BROADCAST_ROWS, broadcast_if_small, proven_small, split_by_keys
 from tallyspark.operators.views import materialize
 
@@ -151,6 +151,66 @@ def late_updates(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str
     return j.filter(news).select(*[F.col(f"u.{c}") for c in upd.columns])
 
 
+def splice_late(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str],
+                version_key: str | None = None) -> DataFrame:
+    """Type 2 history with late updates put where they belong.  An update dated
+    on or before its key's current version cuts the version valid on that day in
+    two: the older part ends the day before, the new one lasts to the next
+    version's start.  One dated on a version's own first day corrects that
+    version; one older than the first becomes the first.  Columns that ``upd``
+    lacks come from the version that was cut (or the first one).
+
+    An update that equals what is valid before it changes nothing, so a replay
+    does not.  Later updates and unknown keys are left to ``scd2_apply`` (run it
+    afterwards; ``scd2_apply(late='splice')`` does).  Expects histories without
+    gaps, as the functions here build them.  New versions get ``version_key``
+    numbers from the largest one on.
+
+    The rest of the dimension is streamed past the batch's keys; the versions
+    of those keys find their neighbours by ``with_neighbors`` and the version
+    that is cut by ``carry_forward``, neither of which puts a key into one
+    task."""
+    small = _small_batch(upd)
+    one = _one_per_day(upd, key)
+    touched, untouched = split_by_keys(dim, upd, [key], known_small=small or None)
+    touched = materialize(touched, "scd_touched")
+    now = touched.filter(F.col(CUR)).select(key, F.col(EFF).alias("_c_eff"))
+    late = one.join(now, key).filter(F.col(EFF) <= F.col("_c_eff")).select(*one.columns)
+    late = materialize(late, "scd_late")
+    attrs = [c for c in dim.columns if c not in (key, EFF, EXP, CUR, version_key)]
+    given, kept = [c for c in attrs if c in upd.columns], [c for c in attrs if c not in upd.columns]
+
+    # corrections of a version on its own first day
+    fixes = late.select(key, EFF, F.struct(*[F.col(c) for c in given]).alias("_fix"))
+    fixed = touched.join(fixes, [key, EFF], "left").select(
+        *[F.when(F.col("_fix").isNotNull(), F.col(f"_fix.{c}")).otherwise(F.col(c)).alias(c) if c in given else F.col(c)
+          for c in dim.columns], F.lit(False).alias("_new"))
+    added = late.join(touched.select(key, EFF), [key, EFF], "left_anti")
+    rows = fixed.unionByName(added.select(*[c for c in dim.columns if c in (key, EFF, *given)],
+                                          F.lit(True).alias("_new")), allowMissingColumns=True)
+    if kept:
+        rows = carry_forward(rows.withColumn("_from", F.when(~F.col("_new"), F.struct(*[F.col(c) for c in kept]))),
+                             [key], [EFF], "_from", "_cut")
+        first = touched.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in kept]), EFF).alias("_first"))
+        rows = rows.join(first, key)
+        for c in kept:
+            rows = rows.withColumn(c, F.when(F.col("_new"), F.coalesce("_cut", "_first")[c]).otherwise(F.col(c)))
+        rows = rows.drop("_from", "_cut", "_first")
+    rows = with_neighbors(rows, [key], [EFF], prev_cols=list(tracked))
+    same = F.col("_has_prev") & ~any_changed([(F.col(a), F.col(f"prev_{a}")) for a in tracked])
+    rows = rows.filter(~(F.col("_new") & same)).select(*dim.columns, "_new")
+    rows = with_neighbors(rows, [key], [EFF], next_cols=[EFF])
+    end = F.when(F.col("_has_next"), day_before(F.col(f"next_{EFF}"))).otherwise(F.coalesce(EXP, F.lit(OPEN_END)))
+    rows = materialize(rows.select(*[c for c in dim.columns if c not in (EXP, CUR)], end.alias(EXP),
+                                   (~F.col("_has_next") & F.coalesce(F.col(CUR), F.lit(True))).alias(CUR), "_new"),
+                       "scd_spliced")
+    new = rows.filter("_new").select(*[c for c in dim.columns if c != version_key])
+    if version_key:
+        new = continue_keys(dim, new, [key, EFF], version_key)
+    return (untouched.unionByName(rows.filter("NOT _new").select(*dim.columns))
+            .unionByName(new.select(*dim.columns)))
+
+
 def _small_batch(upd: DataFrame) -> bool:
     """One size check per apply: every frame derived from the batch (its keys,
     the touched current rows, the chain) is bounded by the batch's row count."""
@@ -169,18 +229,25 @@ def _expire(dim: DataFrame, kept: DataFrame, key: str) -> DataFrame:
 
 
 def scd2_apply(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str],
-               version_key: str | None = None) -> DataFrame:
+               version_key: str | None = None, late: str = "hand out") -> DataFrame:
     """Type 2: a changed key gets its current row closed (expiry = effective-1)
     and a new open, current row; unchanged updates do nothing; unknown keys
     get a first row.  One current row per key; intervals do not overlap.
     New versions get ``version_key`` numbers from the largest one of ``dim``
-    on, by key and date.  Late updates are left to ``late_updates``."""
+    on, by key and date; columns that ``upd`` lacks come from the version that
+    is replaced.  Late updates are left to ``late_updates``, or with
+    ``late='splice'`` put into the history first (``splice_late``)."""
+    if late not in ("hand out", "splice"):
+        raise ValueError(late)
+    if late == "splice":
+        dim = materialize(splice_late(dim, upd, key, tracked, version_key), "scd_history")
     small = _small_batch(upd)
     touched, untouched = split_by_keys(dim, upd, [key], known_small=small or None)
     cur = touched.filter(F.col(CUR))
     attrs = [c for c in dim.columns if c not in (EFF, EXP, CUR, version_key)]
     kept = _chain(cur, upd, key, tracked, [c for c in attrs if c != key], small or None)
-    new_rows = kept.select(*[F.col(c) for c in dim.columns if c != version_key])
+    new_rows = kept.select(*[F.col(c) if c in kept.columns else F.col(f"prev_{c}").alias(c)
+                             for c in dim.columns if c != version_key])
     if version_key:
         new_rows = continue_keys(dim, new_rows, [key, EFF], version_key)
     return untouched.unionByName(_expire(touched, kept, key)).unionByName(new_rows)
@@ -300,3 +367,31 @@ def current_rows(dim: DataFrame) -> DataFrame:
 def history(dim: DataFrame, key: str, key_value=None) -> DataFrame:
     out = dim if key_value is None else dim.filter(F.col(key) == key_value)
     return out.orderBy(key, EFF)
+
+
+def as_of_join(facts: DataFrame, dim: DataFrame, key: str, when: str, take: Sequence[str],
+               max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``facts`` with the ``take`` columns of the version of their ``key`` that
+    is valid on the date ``when`` (NULL: no such version, no key or no date).
+    ``take`` names columns of ``dim`` that ``facts`` lacks; intervals of a key
+    do not overlap.
+
+    A dimension proven small is broadcast, so the facts are not shuffled.
+    Beyond that, versions and facts are put in one order per key and the last
+    version is carried on to the facts after it: nothing is compared pairwise,
+    and a hot key is cut by date ranges (``carry_forward``)."""
+    version = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate([EFF, EXP, *take])]).alias("_version")
+    taken = [F.col(f"_version.v{i + 2}").alias(c) for i, c in enumerate(take)]
+    if proven_small(dim, max_rows):
+        side = F.broadcast(dim.select(F.col(key).alias("_k"), version))
+        valid = (F.col(key) == F.col("_k")) & F.col(when).between(F.col("_version.v0"), F.col("_version.v1"))
+        return facts.join(side, valid, "left").select(*[F.col(c) for c in facts.columns], *taken)
+    rows = facts.select(F.col(key).alias("_key"), F.col(when).alias("_day"), F.lit(1).alias("_kind"),
+                        F.struct(*[F.col(c) for c in facts.columns]).alias("_fact"))
+    known = dim.filter(F.col(EFF).isNotNull()).select(F.col(key).alias("_key"), F.col(EFF).alias("_day"),
+                                                      F.lit(0).alias("_kind"), version)
+    both = known.unionByName(rows, allowMissingColumns=True)
+    found = carry_forward(both, ["_key"], ["_day", "_kind"], "_version", "_last").filter("_kind = 1")
+    valid = F.col("_day") <= F.col("_last.v1")  # NULL where there is no day or no version
+    return found.select("_fact.*", F.when(valid, F.col("_last")).alias("_version")).select(
+        *[F.col(c) for c in facts.columns], *taken)

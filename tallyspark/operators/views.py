@@ -7,6 +7,8 @@
   folder and read back; a refresh for appended facts merges the stored part
   with the aggregate of the new facts (sums and counts are mergeable) and
   writes a new snapshot folder -- a path is never overwritten while read.
+  Under updates and deletes the change feed is the delta: its rows count with
+  a sign, so a refresh never reads the facts again.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 import uuid
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.session import scratch_path
@@ -52,3 +54,25 @@ def refresh_aggregate(stored: DataFrame, delta: DataFrame, keys: Sequence[str],
     merged = (stored.select(*keys, *sum_cols).unionByName(delta.select(*keys, *sum_cols))
               .groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sum_cols]))
     return materialize(merged, name)
+
+
+def signed_delta(feed: DataFrame, keys: Sequence[str], sums: Mapping[str, Column], count: str) -> DataFrame:
+    """What the rows of a change feed add to grouped sums and row counts: an
+    INSERT counts once, a DELETE minus once (an update is one of each).  ``sums``
+    are exact (whole cents), so that what is taken away was once added."""
+    sign = F.when(F.col("_action") == "INSERT", 1).otherwise(-1)
+    signed = feed.select(*keys, *[(sign * x).alias(c) for c, x in sums.items()], sign.alias(count))
+    return signed.groupBy(*keys).agg(*[F.sum(c).cast("long").alias(c) for c in [*sums, count]])
+
+
+def refresh_signed(stored: DataFrame, delta: DataFrame, keys: Sequence[str], sum_cols: Sequence[str], count: str,
+                   name: str) -> DataFrame:
+    """Stored grouped sums and row counts + a ``signed_delta`` -> new snapshot.
+    A group leaves when its last row does, a new one enters with its first; a
+    count below zero (a feed that does not fit the stored rows) fails."""
+    cols = [*sum_cols, count]
+    merged = (stored.select(*keys, *cols).unionByName(delta.select(*keys, *cols))
+              .groupBy(*keys).agg(*[F.sum(c).cast("long").alias(c) for c in cols]))
+    fits = F.when(F.col(count) < 0, F.raise_error(F.lit("the feed takes away rows that were never counted"))
+                  .cast("boolean")).otherwise(F.col(count) > 0)
+    return materialize(merged.filter(fits), name)

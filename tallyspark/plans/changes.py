@@ -10,13 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.functions.columns import cents, out_cents
 from tallyspark.operators.changes import (
-    change_feed, clone_table, delete_where, diverged, merge_insert_only, new_rows,
+    ACTION, IS_UPDATE, change_feed, clone_table, delete_where, diverged, merge_insert_only, new_rows,
     restore_rows, update_from, update_where)
 from tallyspark.operators.quality import row_counts
-from tallyspark.operators.views import materialize
-from tallyspark.plans.registry import query
+from tallyspark.operators.sizing import split_by_keys
+from tallyspark.operators.views import materialize, refresh_signed, signed_delta
+from tallyspark.plans.registry import cents_sql, query
+from tallyspark.session import scratch_path
 from tallyspark.sources.tables import Warehouse
+from tallyspark.streaming.feed import append_changes, consume, consumed
 
 ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
@@ -218,7 +222,6 @@ def q_append_batch(spark, d):
     that are new (anti-join, duplicates reduced) are appended by name with a
     cast to the table's types; the table is read back."""
     from tallyspark.sources.sinks import append
-    from tallyspark.session import scratch_path
     w = Warehouse(spark, d)
     path = scratch_path(spark, "sales_append")
     hist = history(w)
@@ -244,3 +247,102 @@ def q_insert_literal_row(spark, d):
                        "o_orderkey int, o_custkey int, o_orderstatus string, o_totalprice int, "
                        "o_orderdate timestamp, o_orderpriority string")
     return clone.unionByName(align(row, clone.schema))
+
+
+# ---------------------------------------------------------------- consumed feed, signed refresh
+def _read_summary(rows: DataFrame, consumer: str, read_no: int) -> DataFrame:
+    inserted, updated = F.col(ACTION) == "INSERT", F.col(IS_UPDATE)
+    return rows.agg(
+        F.count(F.lit(1)).alias("feed_rows"), F.count_if(inserted & ~updated).alias("inserted"),
+        F.count_if(inserted & updated).alias("updated"), F.count_if(~inserted & ~updated).alias("deleted"),
+        F.coalesce(F.sum(cents("o_totalprice")), F.lit(0)).cast("long").alias("cents"),
+    ).select(F.lit(consumer).alias("consumer"), F.lit(read_no).alias("read_no"), "*")
+
+
+FEEDS_SQL = f"""
+WITH h AS ({HIST_SQL}), m AS ({MERGED_SQL}), a AS ({AFTER_SQL}),
+f1 AS (SELECT m.*, 'INSERT' AS _action, FALSE AS _is_update FROM m WHERE m.o_orderkey NOT IN (SELECT o_orderkey FROM h)),
+f2 AS (SELECT m.*, 'DELETE' AS _action, FALSE AS _is_update FROM m WHERE m.o_orderkey NOT IN (SELECT o_orderkey FROM a)
+       UNION ALL SELECT m.*, 'DELETE', TRUE FROM m JOIN a USING (o_orderkey) WHERE m.o_orderpriority <> a.o_orderpriority
+       UNION ALL SELECT a.*, 'INSERT', TRUE FROM m JOIN a USING (o_orderkey) WHERE m.o_orderpriority <> a.o_orderpriority),
+r AS (SELECT 'A' AS consumer, 1 AS read_no, * FROM f1 UNION ALL SELECT 'A', 2, * FROM f2
+      UNION ALL SELECT 'B', 1, * FROM f1 UNION ALL SELECT 'B', 1, * FROM f2),
+e AS (SELECT * FROM (VALUES ('A', 1), ('A', 2), ('A', 3), ('B', 1)) t(consumer, read_no))
+"""
+
+
+def _stored_states(w: Warehouse) -> list[DataFrame]:
+    return [materialize(s, f"feed_state{i}") for i, s in enumerate((history(w), merged(w), _after(w)))]
+
+
+@query("feed_two_consumers", FEEDS_SQL + f"""
+SELECT e.consumer, e.read_no, CAST(COUNT(_action) AS BIGINT) AS feed_rows,
+       CAST(COUNT(*) FILTER (_action = 'INSERT' AND NOT _is_update) AS BIGINT) AS inserted,
+       CAST(COUNT(*) FILTER (_action = 'INSERT' AND _is_update) AS BIGINT) AS updated,
+       CAST(COUNT(*) FILTER (_action = 'DELETE' AND NOT _is_update) AS BIGINT) AS deleted,
+       CAST(COALESCE(SUM({cents_sql('o_totalprice')}), 0) AS BIGINT) AS cents
+FROM e LEFT JOIN r ON e.consumer = r.consumer AND e.read_no = r.read_no GROUP BY ALL
+""")
+def q_feed_two_consumers(spark, d):
+    """CHG-7: two changes are appended to the feed (the second one delivered
+    twice).  Consumer A reads after each of them and once more, when nothing is
+    new; consumer B reads everything at once, at its own offset."""
+    states = _stored_states(Warehouse(spark, d))
+    feed, table = scratch_path(spark, "orders_feed"), states[0].schema
+    offset = {c: scratch_path(spark, f"feed_offset_{c}") for c in "AB"}
+    sink = scratch_path(spark, "feed_sink")
+
+    def read(consumer, n):
+        return _read_summary(consume(spark, feed, table, offset[consumer], sink), consumer, n)
+
+    append_changes(change_feed(states[0], states[1], ["o_orderkey"]), feed, 1)
+    first = read("A", 1)
+    for _ in range(2):
+        append_changes(change_feed(states[1], states[2], ["o_orderkey"]), feed, 2)
+    return first.unionByName(read("A", 2)).unionByName(read("B", 1)).unionByName(read("A", 3))
+
+
+@query("feed_new_orders", FEEDS_SQL + """
+SELECT o_orderkey, o_custkey, o_totalprice, 1::BIGINT AS _change FROM f1
+""")
+def q_feed_new_orders(spark, d):
+    """CHG-8: a consumer that keeps the newly inserted rows only; its table
+    holds each of them once however often it reads."""
+    states = _stored_states(Warehouse(spark, d))
+    feed, table = scratch_path(spark, "orders_feed"), states[0].schema
+    offset, sink = scratch_path(spark, "feed_offset"), scratch_path(spark, "feed_new_orders")
+    for n in (1, 2):
+        append_changes(change_feed(states[n - 1], states[n], ["o_orderkey"]), feed, n)
+        for _ in range(2):
+            got = consume(spark, feed, table, offset, sink, keep=(F.col(ACTION) == "INSERT") & ~F.col(IS_UPDATE))
+    return consumed(spark, sink, got.schema, ["o_orderkey", "o_custkey", "o_totalprice", "_change"])
+
+
+@query("materialized_after_changes", f"""
+WITH m AS ({MERGED_SQL}),
+u AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_custkey + 1 ELSE o_custkey END AS o_custkey,
+             CASE WHEN o_orderstatus = 'P' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice FROM m),
+a AS (SELECT * FROM u WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0))
+SELECT o_custkey, CAST(SUM({cents_sql('o_totalprice')}) / 100.0 AS DOUBLE) AS revenue,
+       CAST(COUNT(*) AS BIGINT) AS orders FROM a GROUP BY 1
+""")
+def q_materialized_after_changes(spark, d):
+    """VIW-2: revenue and orders per customer, stored for the history, then
+    refreshed three times from the change feed alone: a merge (new groups), an
+    update that doubles amounts and moves orders to another customer, and a
+    delete of all orders of some customers (their groups leave)."""
+    w = Warehouse(spark, d)
+    closed = w.customer.filter(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("o_custkey"))
+    states = [materialize(history(w), "refresh_state0"), materialize(merged(w), "refresh_state1")]
+    pending = F.col("o_orderstatus") == "P"
+    states.append(materialize(update_where(states[1], pending, {
+        "o_custkey": F.col("o_custkey") + 1, "o_totalprice": F.col("o_totalprice") * 2}), "refresh_state2"))
+    states.append(materialize(split_by_keys(states[2], closed, ["o_custkey"])[1], "refresh_state3"))
+    sums, keys = {"cents": cents("o_totalprice")}, ["o_custkey"]
+    stored = materialize(states[0].groupBy(*keys).agg(F.sum(sums["cents"]).alias("cents"),
+                                                      F.count(F.lit(1)).alias("orders")), "customer_revenue0")
+    for before, after in zip(states, states[1:]):
+        feed = change_feed(before, after, ["o_orderkey"])
+        stored = refresh_signed(stored, signed_delta(feed, keys, sums, "orders"), keys, ["cents"], "orders",
+                                "customer_revenue")
+    return stored.select("o_custkey", out_cents("cents").alias("revenue"), "orders")

@@ -19,12 +19,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.operators.ordered import assign_keys
+from tallyspark.functions.columns import money_sum, out_money
+from tallyspark.operators.ordered import assign_keys, with_neighbors
 from tallyspark.operators.quality import history_metrics
 from tallyspark.operators.scd import (
-    as_of, attribute_changes, changed_rows, current_rows, history, hybrid_init, late_updates, scd1_apply, scd2_apply,
+    as_of, as_of_join, attribute_changes, changed_rows, current_rows, history, hybrid_init, late_updates, scd1_apply, scd2_apply,
     scd2_init, scd3_apply, scd3_init, scd6_apply, scd6_init, scd_hybrid_apply)
-from tallyspark.plans.registry import query
+from tallyspark.plans.registry import money_sum_sql, query
 from tallyspark.sources.tables import Warehouse
 
 START = dt.date(2026, 1, 1)
@@ -379,3 +380,112 @@ def q_scd2_version_keys(spark, d):
     w = Warehouse(spark, d)
     dim = scd2_init(assign_keys(initial(w), ["customer_id"], "version_key"), START)
     return scd2_apply(dim, updates(w), "customer_id", TRACKED, version_key="version_key")
+
+
+# ---------------------------------------------------------------- late updates, versions of facts
+def late_batch(w: Warehouse) -> DataFrame:
+    """Corrections that arrive after the update batch: customers with a balance
+    of at least 6500 become MACHINERY on a day between December 2025 and
+    mid-April 2026 (before the first version, inside it, on an update's own day,
+    or after it); one column of the dimension is not delivered."""
+    c = w.customer.filter(F.col("c_acctbal") >= 6500)
+    return c.join(_geo(w), c["c_nationkey"] == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("customer_id"), F.col("n_name").alias("city"), F.col("r_name").alias("state"),
+        F.lit("MACHINERY").alias("membership"), F.lit("Regular").alias("segment"),
+        F.date_add(F.lit(dt.date(2025, 12, 1)), (F.col("c_custkey") % 135).cast("int")).alias("effective_date"))
+
+
+SPLICED_SQL = SCD2_SQL + """,
+late AS (SELECT c.c_custkey AS customer_id, g.n_name AS city, g.r_name AS state, 'MACHINERY' AS membership,
+                'Regular' AS segment,
+                CAST(DATE '2025-12-01' + CAST(c.c_custkey % 135 AS INTEGER) AS DATE) AS effective_date
+         FROM customer c JOIN geo g ON c.c_nationkey = g.n_nationkey WHERE c.c_acctbal >= 6500),
+ev AS (SELECT s.customer_id, s.customer_name, coalesce(l.city, s.city) AS city, coalesce(l.state, s.state) AS state,
+              coalesce(l.membership, s.membership) AS membership, coalesce(l.segment, s.segment) AS segment,
+              s.effective_date, FALSE AS is_new
+       FROM scd2 s LEFT JOIN late l ON s.customer_id = l.customer_id AND s.effective_date = l.effective_date
+       UNION ALL
+       SELECT l.customer_id, i.customer_name, l.city, l.state, l.membership, l.segment, l.effective_date, TRUE
+       FROM late l JOIN init i USING (customer_id)
+       WHERE NOT EXISTS (SELECT 1 FROM scd2 s WHERE s.customer_id = l.customer_id
+                                                AND s.effective_date = l.effective_date)),
+pv AS (SELECT *, lag((city, state, membership, segment)) OVER k AS before FROM ev
+       WINDOW k AS (PARTITION BY customer_id ORDER BY effective_date)),
+kept AS (SELECT * FROM pv WHERE NOT (is_new AND before IS NOT NULL
+                                     AND before IS NOT DISTINCT FROM (city, state, membership, segment))),
+spliced AS (SELECT customer_id, customer_name, city, state, membership, segment, effective_date,
+            coalesce(CAST(lead(effective_date) OVER k - 1 AS DATE), DATE '9999-12-31') AS expiry_date,
+            lead(effective_date) OVER k IS NULL AS is_current
+     FROM kept WINDOW k AS (PARTITION BY customer_id ORDER BY effective_date))
+"""
+
+
+@query("scd2_late_spliced", SPLICED_SQL + "SELECT * FROM spliced")
+def q_scd2_late_spliced(spark, d):
+    """SCD-6/7: late updates cut the version valid on their day in two; the
+    same batch delivered again changes nothing."""
+    w = Warehouse(spark, d)
+    dim = scd2_table(w)
+    for _ in range(2):
+        dim = scd2_apply(dim, late_batch(w), "customer_id", TRACKED, late="splice")
+    return dim
+
+
+@query("scd2_late_metrics", SPLICED_SQL + """
+SELECT CAST(COUNT(*) AS BIGINT) AS versions, CAST(COUNT(*) FILTER (is_current) AS BIGINT) AS current_rows,
+       CAST(COUNT(DISTINCT customer_id) AS BIGINT) AS customers, CAST(0 AS BIGINT) AS overlaps_or_gaps FROM spliced""")
+def q_scd2_late_metrics(spark, d):
+    """DQ-5 over a spliced history: every version starts the day after the one
+    before it ends, and one row a customer is current."""
+    w = Warehouse(spark, d)
+    dim = scd2_apply(scd2_table(w), late_batch(w), "customer_id", TRACKED, late="splice")
+    dim = with_neighbors(dim, ["customer_id"], ["effective_date"], prev_cols=["expiry_date"])
+    broken = F.col("_has_prev") & (F.date_add("prev_expiry_date", 1) != F.col("effective_date"))
+    return dim.agg(F.count(F.lit(1)).alias("versions"), F.count_if("is_current").alias("current_rows"),
+                   F.count_distinct("customer_id").alias("customers"), F.count_if(broken).alias("overlaps_or_gaps"))
+
+
+FIRST_DAY = dt.date(1995, 7, 1)
+
+
+def order_time_history(w: Warehouse) -> DataFrame:
+    """The customers' versions over the orders' years: known from July 1995 on,
+    re-profiled between 1997 and 1999."""
+    later = updates(w).withColumn("effective_date", F.date_add(F.lit(dt.date(1997, 1, 1)),
+                                                               (F.col("customer_id") % 1000).cast("int")))
+    return scd2_apply(scd2_init(initial(w), FIRST_DAY), later, "customer_id", TRACKED)
+
+
+FACT_VERSION_SQL = f"""
+WITH {INPUT_SQL},
+ver AS (
+  SELECT i.*, DATE '1995-07-01' AS effective_date, CASE WHEN c.customer_id IS NULL THEN DATE '9999-12-31'
+         ELSE CAST(DATE '1997-01-01' + CAST(c.customer_id % 1000 AS INTEGER) - 1 AS DATE) END AS expiry_date
+  FROM init i LEFT JOIN chg c USING (customer_id)
+  UNION ALL SELECT customer_id, customer_name, city, state, membership, segment,
+         CAST(DATE '1997-01-01' + CAST(customer_id % 1000 AS INTEGER) AS DATE), DATE '9999-12-31' FROM chg),
+f AS (SELECT o.o_orderkey AS sale_id, o.o_custkey AS customer_id, CAST(o.o_orderdate AS DATE) AS sale_date,
+             o.o_totalprice AS amount, v.city, v.membership, v.effective_date
+      FROM orders o LEFT JOIN ver v ON o.o_custkey = v.customer_id
+        AND CAST(o.o_orderdate AS DATE) BETWEEN v.effective_date AND v.expiry_date)
+"""
+
+
+def fact_versions(w: Warehouse) -> DataFrame:
+    facts = w.sales().select("sale_id", "customer_id", "sale_date", "amount")
+    return as_of_join(facts, order_time_history(w), "customer_id", "sale_date", ["city", "membership", "effective_date"])
+
+
+@query("fact_as_of_version", FACT_VERSION_SQL + "SELECT * FROM f")
+def q_fact_as_of_version(spark, d):
+    """SCD-11 x MDL-5: every sale with the customer version valid on its date;
+    sales before the first version have none."""
+    return fact_versions(Warehouse(spark, d))
+
+
+@query("revenue_as_of_version", FACT_VERSION_SQL + f"""
+SELECT membership, {money_sum_sql('amount')} AS revenue, CAST(COUNT(*) AS BIGINT) AS sales FROM f GROUP BY 1""")
+def q_revenue_as_of_version(spark, d):
+    """Revenue by the membership that the customer had at the time of sale."""
+    return fact_versions(Warehouse(spark, d)).groupBy("membership").agg(
+        out_money(money_sum("amount")).alias("revenue"), F.count(F.lit(1)).alias("sales"))
