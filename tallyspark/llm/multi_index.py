@@ -84,24 +84,32 @@ def near_duplicates(embeddings: DataFrame, cosine: float = 0.93, codes: int = CO
     """(vec_id, n_links, component_id, kept) for each row of ``embeddings``
     (vec_id, embedding, label).
 
-    Rows of equal, not null labels link at ``cosine`` or more.  Unusable
-    vectors and those with another number of components than most link with
+    Rows of equal, not null labels link at ``cosine`` or more; vectors are only
+    compared with those of as many components.  Unusable vectors link with
     nothing and are components of their own.  Repeated rows link with each
     other.  ``component_id`` is the smallest vec_id of the component (null ids
     are passed over); ``kept`` is false where either is null."""
-    spark = common.ready(embeddings.sparkSession)
+    common.ready(embeddings.sparkSession)
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("label"),
                              F.col("embedding").cast("array<double>").alias("x"))
     rows = rows.withColumn("x", F.when(vectors.usable(F.col("x")) & F.col("label").isNotNull(), F.col("x")))
-    dim = vectors.usual_length(rows.where("x is not null"), "x")
-    rows = rows.withColumn("x", F.when(F.size("x") == dim, F.col("x")))
+    out = rows.where("x is null").select("vec_id", F.lit(0).cast("long").alias("n_links"),
+                                         F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
+    lengths = rows.where("x is not null").select(F.size("x").alias("dim")).distinct().orderBy("dim").collect()
+    for s in lengths:
+        out = out.unionByName(_of_length(rows.where(F.size("x") == s.dim), s.dim, cosine, codes, recall, train_rows,
+                                         block_rows, seed))
+    return out
+
+
+def _of_length(rows: DataFrame, dim: int, cosine: float, codes: int, recall: float, train_rows: int, block_rows: int,
+               seed: int) -> DataFrame:
+    """The result for ``rows`` (vec_id, label, x) that all have ``dim``
+    components."""
     distinct = common.stored(
-        rows.where("x is not null").groupBy("label", "x").agg(F.min("vec_id").alias("first"), F.count("*").alias("w"))
+        rows.groupBy("label", "x").agg(F.min("vec_id").alias("first"), F.count("*").alias("w"))
         .withColumn("node", F.monotonically_increasing_id()), "vectors-distinct")  # written once, so ids stay
     sample = vectors.sample(distinct, "x", train_rows, seed)
-    if not len(sample):
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                           F.col("vec_id").isNotNull().alias("kept"))
     rng, sample, half = np.random.default_rng(seed), unit(sample), max(1, dim // 2)
     books = codebook(sample[:, :half], codes, rng), codebook(sample[:, half:], codes, rng)
     n_cells = cells_for_recall(sample[:2000], books, cosine, recall, rng)

@@ -1,6 +1,9 @@
 """Approximate nearest neighbours by a permutation index.
 
-Every vector is represented by its nearest pivots in order.  The first
+Candidates get one more component that gives all of them the same norm (queries
+get 0 there), so that the order of inner products is that of distances and long
+vectors are not lost among short ones.  Every vector is then represented by its
+nearest pivots in order.  The first
 ``prefix`` of them are its postings in the pivots' inverted files; a query
 reads the files of its own nearest pivots, which gives each vector's footrule
 distance with location parameter ``prefix``, and the nearest ``shortlist``
@@ -41,6 +44,19 @@ def permutations(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :prefix]
 
 
+def on_sphere(x: np.ndarray, norm: float) -> np.ndarray:
+    """The rows of ``x`` divided by ``norm``, the largest of any candidate, with
+    a last component that makes each of length 1."""
+    x = x / norm
+    return np.column_stack([x, np.sqrt(np.maximum(1 - (x ** 2).sum(axis=1), 0))])
+
+
+def norm(x: Column) -> Column:
+    """Euclidean norm of a usable vector, without overflow on the way."""
+    top = F.array_max(F.transform(x, F.abs))
+    return top * F.sqrt(F.aggregate(x, F.lit(0.0), lambda s, v: s + (v / top) * (v / top)))
+
+
 def inverted_files(perm: np.ndarray, n_pivots: int) -> np.ndarray:
     """Row p is pivot p's file: for each vector of the block the places left
     behind p in its prefix, 0 where it does not name p.  Most vectors name
@@ -68,23 +84,32 @@ def search(base: DataFrame, is_query: Column, k: int = 20, n_pivots: int = PIVOT
     """(query_id, rank, vec_id, score): the ``k`` nearest rows found for each
     row of ``base`` (vec_id, embedding) for which ``is_query`` holds.
 
-    Unusable vectors, those with another number of components than most, and
-    rows without vec_id take no part.  Rows are told apart by their place in
-    the input: repeated rows are queries and candidates of their own.  Equal
-    scores rank by vec_id; all rows tied at the end of a shortlist are
+    Unusable vectors and rows without vec_id take no part; vectors are only
+    compared with those of as many components.  Rows are told apart by their
+    place in the input: repeated rows are queries and candidates of their own.
+    Equal scores rank by vec_id; all rows tied at the end of a shortlist are
     reranked.  An empty table gives no rows."""
     spark = common.ready(base.sparkSession)
     rows = common.with_identity(base, F.col("vec_id").cast("long").alias("vec_id"),
                                 F.col("embedding").cast("array<double>").alias("x"), is_query.alias("is_query"))
     rows = rows.where(vectors.usable(F.col("x")) & F.col("vec_id").isNotNull())
-    dim = vectors.usual_length(rows, "x")
-    rows = rows.where(F.size("x") == dim)
-    sizes = rows.agg(F.count("*").alias("n"), F.count(F.when(F.col("is_query"), 1)).alias("q")).first()
-    if not sizes.q:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    pivots = vectors.sample(rows, "x", n_pivots, seed)
-    prefix = min(prefix, len(pivots), 255)
-    blocks, chunks = -(-sizes.n // block_rows), -(-sizes.q // chunk_rows)
+    sizes = rows.groupBy(F.size("x").alias("dim")).agg(
+        F.count("*").alias("n"), F.count(F.when(F.col("is_query"), 1)).alias("q"), F.max(norm(F.col("x"))).alias("norm"))
+    found = spark.createDataFrame([], FOUND)
+    for s in sizes.where("q > 0").orderBy("dim").collect():  # one row per vector length
+        own = rows.where(F.size("x") == s.dim)
+        pivots = on_sphere(vectors.sample(own, "x", n_pivots, seed), s.norm)
+        found = found.unionByName(_found(own, s.dim, pivots, s.norm, min(prefix, len(pivots), 255), k, shortlist, least,
+                                         -(-s.n // block_rows), -(-s.q // chunk_rows)))
+    nearest = Window.partitionBy("q_f", "q_r").orderBy(F.desc("score"), "vec_id")
+    return (found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
+
+
+def _found(rows: DataFrame, dim: int, pivots: np.ndarray, longest: float, prefix: int, k: int, shortlist: float,
+           least: int, blocks: int, chunks: int) -> DataFrame:
+    """``FOUND``: the ``k`` best of each block for every query, among vectors of
+    one length."""
     key = [F.col("__f"), F.col("__r")]
 
     def deal(df, own, n_own, other, n_other, salt):
@@ -102,13 +127,14 @@ def search(base: DataFrame, is_query: Column, k: int = 20, n_pivots: int = PIVOT
             return pa.table({c.split()[0]: pa.array([], pa.float64() if "double" in c else pa.int64())
                              for c in FOUND.split(", ")})
         x, q = vectors.matrix(left.column("x"), dim), vectors.matrix(right.column("x"), dim)
-        files = inverted_files(permutations(x, pivots, prefix), len(pivots))
+        files = inverted_files(permutations(on_sphere(x, longest), pivots, prefix), len(pivots))
         ids, f, r = (left.column(c).to_numpy() for c in ("vec_id", "__f", "__r"))
         q_ids, q_f, q_r = (right.column(c).to_numpy() for c in ("vec_id", "__f", "__r"))
         depth = min(n, max(least, int(np.ceil(shortlist * n))))
         buffers = np.zeros((2, n), np.uint16)
         out = []
-        for i, perm in enumerate(permutations(q, pivots, prefix)):
+        # a query's last component is 0: its inner products are those of the rest
+        for i, perm in enumerate(permutations(q / longest, pivots[:, :-1], prefix)):
             gain = footrule_gain(perm, files, *buffers)
             near = np.flatnonzero(gain >= np.partition(gain, n - depth)[n - depth])
             near = near[(f[near] != q_f[i]) | (r[near] != q_r[i])]
@@ -121,7 +147,4 @@ def search(base: DataFrame, is_query: Column, k: int = 20, n_pivots: int = PIVOT
     # A union, not a cogroup: both sides come from one frame, and a cogroup of
     # a frame with itself loses columns when that frame is not a plain scan.
     both = resident.withColumn("asks", F.lit(False)).unionByName(query.withColumn("asks", F.lit(True)))
-    found = both.groupBy("block", "chunk").applyInArrow(search_block, FOUND)
-    nearest = Window.partitionBy("q_f", "q_r").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    return both.groupBy("block", "chunk").applyInArrow(search_block, FOUND)

@@ -17,14 +17,6 @@ def usable(embedding: Column) -> Column:
     return F.coalesce(embedding.isNotNull() & finite & F.exists(embedding, lambda x: x != 0), F.lit(False))
 
 
-def usual_length(df: DataFrame, embedding: str) -> int:
-    """The commonest number of components (the smaller one on a tie); 0 for an
-    empty frame."""
-    top = (df.groupBy(F.size(embedding).alias("k")).agg(F.count("*").alias("n"))
-           .orderBy(F.desc("n"), "k").limit(1).collect())
-    return top[0].k if top else 0
-
-
 def matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     """A list column of ``dim`` numbers each as a double matrix."""
     whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

@@ -173,6 +173,38 @@ def test_permutation_recall(spark):
     assert hits / (50 * 20) >= 0.9
 
 
+@pytest.mark.parametrize("sigma", [0.3, 1.0])
+def test_permutation_recall_when_norms_differ(spark, sigma):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 32)) * rng.lognormal(0, sigma, size=(3000, 1))
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = permutation_index.search(df, F.col("vec_id") % 60 == 0, k=20, block_rows=1500).collect()
+    hits = 0
+    for q in range(0, 3000, 60):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len({r.vec_id for r in got if r.query_id == q} & set(np.argsort(-score)[:20].tolist()))
+    assert hits / (50 * 20) >= 0.9
+
+
+def test_every_vector_length_takes_part(spark):
+    df, x = vectors_of(spark)
+    short = [(i, [float(v) for v in x[i - 2000, :3]], i % 2) for i in range(2000, 2300)] + [(2400, [2e200], 0),
+                                                                                            (2420, [-1e-200], 0)]
+    both = df.where("vec_id is not null").union(spark.createDataFrame(short, df.schema))
+    got = permutation_index.search(both, F.col("vec_id") % 20 == 0, k=4, shortlist=1.0).collect()
+    ids, y = np.arange(2000, 2300), x[:, :3]
+    for q in (2000, 2040, 2280):
+        score = (y * y[ids == q]).sum(axis=1)
+        best = [ids[i] for i in np.lexsort((ids, -score)) if ids[i] != q][:4]
+        assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == best
+    assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == 2400] == [1060, 2420]
+    links = {r.vec_id: r for r in multi_index.near_duplicates(both, 0.93, codes=4).collect()}
+    alone = {r.vec_id: r for r in multi_index.near_duplicates(both.where("size(embedding) = 3"), 0.93, codes=4).collect()}
+    assert all(links[i] == alone[i] for i in range(2000, 2300)) and links[2044].n_links >= 4
+    assert len(links) == both.count() and links[2400].n_links == 0
+
+
 @pytest.mark.parametrize("block", [2048, 16])
 def test_multi_index_links(spark, block):
     df, x = vectors_of(spark)
