@@ -212,3 +212,28 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     j = own.join(F.broadcast(held), _PID, "left")
     carried = F.when(key == F.col("_first"), F.col("_carried"))
     return j.select(*[F.col(c) for c in df.columns], F.when(filled, F.coalesce("_own", carried)).alias(name))
+
+
+def running_state(totaled: DataFrame, order_cols: Sequence[str], name: str) -> DataFrame:
+    """The state that a running sum is continued from, one row: the last place
+    in ``order_cols`` order and the total there (no row for an empty frame)."""
+    last = F.struct(*[F.col(c) for c in order_cols])
+    return (totaled.agg(F.max(last).alias("last"), F.max_by(F.col(name), last).alias("total"))
+            .filter(F.col("last").isNotNull()))
+
+
+def continue_running_total(state: DataFrame, new_rows: DataFrame, order_cols: Sequence[str], cents_col: str, name: str,
+                           num_partitions: int | None = None) -> DataFrame:
+    """``running_total`` of rows that come after all earlier ones: only they
+    are ordered and summed, from ``state`` (``running_state`` of what is stored).
+    A row that is not after the last stored one fails."""
+    at = state.first()  # one row
+    out = running_total(new_rows, order_cols, cents_col, name, num_partitions)
+    if at is None:
+        return out
+    last = F.struct(*[F.lit(v).cast(new_rows.schema[c].dataType).alias(c)
+                      for c, v in zip(order_cols, at["last"], strict=True)])
+    late = F.raise_error(F.lit("a row is not later than the stored running sum")).cast("long")
+    after = F.struct(*[F.col(c) for c in order_cols]) > last
+    total = F.lit(at["total"]).cast("long")
+    return out.withColumn(name, F.when(after, F.coalesce(F.col(name) + total, F.col(name), total)).otherwise(late))

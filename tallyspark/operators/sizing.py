@@ -70,3 +70,33 @@ def lookup_join(big: DataFrame, dim: DataFrame, on, how: str = "inner",
     look like the smaller side)."""
     d, small = broadcast_if_small(dim, max_rows, known_small)
     return big.join(d if small else d.hint("merge"), on, how)
+
+
+def hot_keys(big: DataFrame, key: str, share: float) -> DataFrame:
+    """The values of ``key`` that more than ``share`` of all rows have: at most
+    1 / share of them.  Counted map-side, one partial row per value and task."""
+    counts = big.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    rows = big.count()
+    return counts.filter(F.col("_n") > F.lit(share) * F.lit(rows)).select(key)
+
+
+def hot_key_join(big: DataFrame, dim: DataFrame, big_key: str, dim_key: str, how: str = "inner",
+                 share: float = 0.005, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A large frame joined (inner or left) to a large look-up with a unique
+    ``dim_key``.  The rows of a hot key stay where they are and meet the few
+    look-up rows of hot keys (at most 1 / ``share``) by broadcast; all others go
+    through a sort-merge join, whose largest key is then small.  A look-up that
+    is proven small is broadcast whole.  ``big`` is read again for the count, so
+    store it first if it is costly."""
+    if how not in ("inner", "left"):
+        raise ValueError(how)
+    on = F.col(big_key) == F.col(dim_key)
+    if proven_small(dim, max_rows):
+        return big.join(F.broadcast(dim), on, how)
+    few = hot_keys(big, big_key, share).withColumnRenamed(big_key, "_hot")
+    listed = [r[0] for r in few.collect()]  # at most 1 / share values
+    hot = F.coalesce(F.col(big_key).isin(listed), F.lit(False)) if listed else F.lit(False)
+    rest = big.filter(~hot).join(dim.hint("merge"), on, how)
+    if not listed:
+        return rest
+    return big.filter(hot).join(F.broadcast(dim.filter(F.col(dim_key).isin(listed))), on, how).unionByName(rest)

@@ -26,6 +26,8 @@ from tallyspark.session import scratch_path
 from tallyspark.sources.csv import CORRUPT, CsvFormat, read_table, write_csv
 from tallyspark.sources.tables import Warehouse
 from tallyspark.streaming.incremental import incremental_load
+from tallyspark.streaming.partitioned import (
+    BROKEN, ForeignKey, Rules, broken_rows, key_range, load_with_constraints, write_partitioned)
 
 CUSTOMER_SCHEMA = T.StructType([
     T.StructField("c_custkey", T.LongType()),
@@ -207,3 +209,78 @@ def q_incremental_load_quoted(spark, d):
     history(w).select(cols).write.parquet(table)
     return incremental_load(spark, landing, w.orders.select(cols).schema, table, ["o_orderkey"],
                             scratch_path(spark, "quoted_stream_ckpt"), file_format="csv", max_files_per_batch=2)
+
+
+@query("incremental_load_partitioned", MERGED_SQL)
+def q_incremental_load_partitioned(spark, d):
+    """CHG-9 into a table in folders by key range: every micro-batch reads only
+    the folders that its keys lie in.  Run twice, and once more without the
+    first one's checkpoint."""
+    w = Warehouse(spark, d)
+    landing, path = scratch_path(spark, "landing_sales"), scratch_path(spark, "sales_by_range")
+    staging(w).repartition(4).write.parquet(landing)
+    part = key_range("o_orderkey", 2000)
+    write_partitioned(history(w), path, part)
+    ckpt = scratch_path(spark, "sales_range_ckpt")
+    for c in (ckpt, ckpt, scratch_path(spark, "sales_range_ckpt")):
+        out = load_with_constraints(spark, landing, w.orders.schema, path, Rules(["o_orderkey"]), part, c,
+                                    max_files_per_batch=2)
+    return out
+
+
+DEFECTS_SQL = f"""
+WITH s AS (SELECT CASE WHEN o_orderkey % 103 = 0 THEN NULL ELSE o_orderkey END AS o_orderkey,
+                  CASE WHEN o_orderkey % 101 = 0 THEN -1 ELSE o_custkey END AS o_custkey,
+                  CASE WHEN o_orderkey % 107 = 0 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice, o_orderdate
+           FROM orders WHERE o_orderdate >= TIMESTAMP '1999-07-01 00:00:00'
+           UNION ALL
+           SELECT o_orderkey, o_custkey, o_totalprice + 1, o_orderdate FROM orders
+           WHERE o_orderdate >= TIMESTAMP '2001-01-01 00:00:00' AND o_orderdate < TIMESTAMP '2001-02-01 00:00:00'),
+k AS (SELECT o_orderkey FROM s WHERE o_orderkey IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1),
+b AS (SELECT s.*, concat_ws(',', CASE WHEN o_orderkey IS NULL THEN 'missing key' END,
+             CASE WHEN o_orderkey IN (SELECT o_orderkey FROM k) THEN 'duplicate key' END,
+             CASE WHEN o_custkey NOT IN (SELECT c_custkey FROM customer) THEN 'unknown customer' END,
+             CASE WHEN o_totalprice <= 0 THEN 'amount not positive' END) AS broken FROM s),
+h AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM ({HIST_SQL}))
+"""
+
+
+def _defective_load(spark, d):
+    """The staging batch with missing keys, unknown customers, negative amounts
+    and orders of January 2001 delivered again with another amount."""
+    w = Warehouse(spark, d)
+    cols = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]
+    key, day = F.col("o_orderkey"), F.col("o_orderdate")
+    o = w.orders.select(*cols).filter(day >= F.lit("1999-07-01 00:00:00").cast("timestamp"))
+    first = o.select(F.when(key % 103 != 0, key).alias("o_orderkey"),
+                     F.when(key % 101 == 0, F.lit(-1).cast("long")).otherwise(F.col("o_custkey")).alias("o_custkey"),
+                     F.when(key % 107 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice")).alias("o_totalprice"),
+                     "o_orderdate")
+    again = o.filter((day >= F.lit("2001-01-01 00:00:00").cast("timestamp")) &
+                     (day < F.lit("2001-02-01 00:00:00").cast("timestamp"))).withColumn(
+        "o_totalprice", F.col("o_totalprice") + 1)
+    landing, path = scratch_path(spark, "landing_defects"), scratch_path(spark, "sales_checked")
+    first.unionByName(again).repartition(4).write.parquet(landing)
+    part = key_range("o_orderkey", 2000)
+    write_partitioned(history(w).select(*cols), path, part)
+    rules = Rules(["o_orderkey"], [ForeignKey("unknown customer", ["o_custkey"], w.customer, ["c_custkey"])],
+                  {"amount not positive": F.col("o_totalprice") > 0})
+    schema = w.orders.select(*cols).schema
+    return load_with_constraints(spark, landing, schema, path, rules, part,
+                                 scratch_path(spark, "sales_checked_ckpt")), broken_rows(spark, path, schema)
+
+
+@query("load_with_constraints", DEFECTS_SQL + """
+SELECT * FROM h UNION ALL SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM b
+WHERE broken = '' AND o_orderkey NOT IN (SELECT o_orderkey FROM h)""")
+def q_load_with_constraints(spark, d):
+    """DQ-1/2 as rules of the load: only rows that meet all of them enter."""
+    return _defective_load(spark, d)[0]
+
+
+@query("load_broken_rows", DEFECTS_SQL + """
+SELECT o_orderkey, o_custkey, o_totalprice, broken FROM b WHERE broken <> ''""")
+def q_load_broken_rows(spark, d):
+    """DQ-1/2: the offenders, each with every rule it breaks."""
+    return _defective_load(spark, d)[1].select("o_orderkey", "o_custkey", "o_totalprice",
+                                               F.array_join(BROKEN, ",").alias("broken"))

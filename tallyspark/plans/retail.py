@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import as_date, cents, full_name, money_sum, month_start, out_cents, out_money
-from tallyspark.operators.ordered import running_total
+from tallyspark.operators.ordered import continue_running_total, running_state, running_total
 from tallyspark.operators.reports import (
     Lookup, Measure, above_average, best_per_group, money_m, order_desc,
     purchase_frequency, rank_by, revenue_by, top_by, with_global_avg)
-from tallyspark.operators.sizing import lookup_join
+from tallyspark.operators.sizing import hot_key_join, lookup_join
 from tallyspark.operators.views import materialize, refresh_aggregate, unique_view_names
-from tallyspark.plans.registry import cents_sql, money_sum_sql, query
+from tallyspark.plans.registry import ORACLE, cents_sql, money_sum_sql, query
 from tallyspark.sources.tables import Warehouse
 
 MS_ORDERS = money_sum_sql("o.o_totalprice")
@@ -797,3 +797,50 @@ def reconcile_totals(spark, d):
     for p_ in parts[1:]:
         out = out.unionByName(p_)
     return out
+
+
+@query("running_by_order_continued", ORACLE["running_by_order"])
+def running_by_order_continued(spark, d):
+    """WIN-4 loaded in two parts: sales before 2000 are summed and stored with
+    the state they end in; the later ones are summed from that state alone."""
+    o = _w(spark, d).orders.select("o_orderkey", "o_custkey", as_date("o_orderdate").alias("order_date"),
+                                   cents("o_totalprice").alias("amount_cents"))
+    order, cut = ["order_date", "o_orderkey"], F.lit("2000-01-01").cast("date")
+    first = materialize(running_total(o.filter(F.col("order_date") < cut), order, "amount_cents", "running_cents"),
+                        "running_first")
+    state = materialize(running_state(first, order, "running_cents"), "running_state")
+    later = continue_running_total(state, o.filter(F.col("order_date") >= cut), order, "amount_cents", "running_cents")
+    return first.unionByName(later).select(
+        "o_orderkey", "o_custkey", "order_date", out_cents("amount_cents").alias("amount"),
+        out_cents("running_cents").alias("running_revenue"))
+
+
+@query("running_by_day_continued", ORACLE["running_by_day"])
+def running_by_day_continued(spark, d):
+    """WIN-5 likewise: the days before 2000 are stored with their last total."""
+    daily = _w(spark, d).orders.groupBy(as_date("o_orderdate").alias("sale_date")).agg(
+        F.sum(cents("o_totalprice")).alias("day_cents"))
+    daily, cut = materialize(daily, "daily_sales"), F.lit("2000-01-01").cast("date")
+    first = materialize(running_total(daily.filter(F.col("sale_date") < cut), ["sale_date"], "day_cents", "running_cents"),
+                        "running_days")
+    state = materialize(running_state(first, ["sale_date"], "running_cents"), "running_state")
+    later = continue_running_total(state, daily.filter(F.col("sale_date") >= cut), ["sale_date"], "day_cents",
+                                   "running_cents")
+    return first.unionByName(later).select("sale_date", out_cents("day_cents").alias("revenue"),
+                                           out_cents("running_cents").alias("running_revenue"))
+
+
+@query("hot_customer_join", f"""
+WITH s AS (SELECT CASE WHEN o_orderkey % 2 = 0 THEN 0 ELSE o_custkey END AS o_custkey, o_totalprice FROM orders)
+SELECT c.c_custkey, c.c_name, {money_sum_sql('s.o_totalprice')} AS revenue, CAST(COUNT(*) AS BIGINT) AS orders
+FROM s JOIN customer c ON s.o_custkey = c.c_custkey GROUP BY ALL
+""")
+def hot_customer_join(spark, d):
+    """JON-1 with a hot key: half of all sales belong to customer 0 (a till that
+    books to one account)."""
+    w = _w(spark, d)
+    sales = w.orders.select(F.when(F.col("o_orderkey") % 2 == 0, F.lit(0).cast("long")).otherwise(F.col("o_custkey"))
+                            .alias("o_custkey"), cents("o_totalprice").alias("c"))
+    j = hot_key_join(sales, w.customer.select("c_custkey", "c_name"), "o_custkey", "c_custkey")
+    return j.groupBy("c_custkey", "c_name").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("orders")).select(
+        "c_custkey", "c_name", out_cents("c").alias("revenue"), "orders")
