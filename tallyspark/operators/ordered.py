@@ -14,8 +14,9 @@ Here the work is split in two passes instead:
 2. Per-partition row counts / sums -- one row per partition, a bound we choose
    -- are turned into offsets with a prefix sum and broadcast back (for rank
    also the start rank of a tie group that continues from earlier
-   partitions); an ordinary window per partition id, plus its offset, numbers
-   the rows.
+   partitions).  Row numbers are a row's position in its sorted partition plus
+   the offset, so the rows are shuffled once; running sums and ranks take an
+   ordinary window per partition id, plus its offset.
 
 There is one implementation for every size, and no value leaves the JVM: NULL,
 NaN, big integers and far dates come out as a single window would give them.
@@ -34,6 +35,7 @@ from tallyspark.session import checkpoint_dir
 _PID = "_tally_pid"
 _OFF = "_tally_offset"
 _TB = "_tally_tiebreak"
+_POS = "_tally_pos"
 
 # A batch proven (by ``proven_small``) to hold at most this many rows finds its
 # neighbours with a window per key; the rows are the same beyond it, where a hot
@@ -56,6 +58,19 @@ def _range_checkpoint(df: DataFrame, order: Sequence[tuple[str, bool]],
     return ranged.withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
 
 
+def _numbered_checkpoint(df: DataFrame, order: Sequence[tuple[str, bool]], num_partitions: int | None) -> DataFrame:
+    """``_range_checkpoint`` of partitions sorted by ``order``, with each row's
+    position in its partition (from 1) in ``_tally_pos``: the lower 33 bits of
+    ``monotonically_increasing_id`` number the rows of a task as they come."""
+    checkpoint_dir(df.sparkSession)
+    exprs = _order_exprs(order)
+    ranged = (df.repartitionByRange(num_partitions, *exprs) if num_partitions else df.repartitionByRange(*exprs))
+    place = F.monotonically_increasing_id()
+    return (ranged.sortWithinPartitions(*exprs).withColumn(_POS, place)
+            .select(*df.columns, F.shiftright(_POS, 33).cast("int").alias(_PID),
+                    (F.col(_POS).bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias(_POS)).checkpoint(eager=True))
+
+
 def _offsets(cp: DataFrame, value: str | None) -> DataFrame:
     """Rows, or the sum of ``value`` (NULL while there is none), of all earlier
     partitions, per partition id.  One row per partition: small by
@@ -100,14 +115,15 @@ def _sequence(df: DataFrame, order: Sequence[tuple[str, bool]], name: str, kind:
         offs = _rank_starts(cp, *order[0])
         local = F.rank().over(within)
         res = F.when(local == 1, F.col("_start")).otherwise(off + local)
+    elif kind == "row_number":
+        cp = _numbered_checkpoint(df, order, num_partitions)
+        offs = _offsets(cp, None)
+        res = F.coalesce(off, F.lit(0)) + F.col(_POS)
     else:
         cp = _range_checkpoint(df, order, num_partitions)
-        offs = _offsets(cp, value if kind == "running" else None)
-        if kind == "row_number":
-            res = F.coalesce(off, F.lit(0)) + F.row_number().over(within)
-        else:
-            so_far = F.sum(value).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-            res = F.coalesce(so_far + off, so_far, off)
+        offs = _offsets(cp, value)
+        so_far = F.sum(value).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        res = F.coalesce(so_far + off, so_far, off)
     return (cp.join(F.broadcast(offs), _PID)
             .select(*[F.col(c) for c in df.columns], res.cast("long").alias(name)))
 

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from tallyspark.functions.columns import cents, out_cents
 from tallyspark.operators.changes import (
     ACTION, IS_UPDATE, change_feed, clone_table, delete_where, diverged, merge_insert_only, new_rows,
-    restore_rows, update_from, update_where)
-from tallyspark.operators.quality import row_counts
+    restore_rows, rows_to_insert, update_from, update_where)
+from tallyspark.operators.quality import duplicate_keys, orphans, row_counts
 from tallyspark.operators.sizing import split_by_keys
 from tallyspark.operators.views import materialize, refresh_signed, signed_delta
 from tallyspark.plans.registry import cents_sql, query
 from tallyspark.session import scratch_path
+from tallyspark.sources.sinks import NamedTable
 from tallyspark.sources.tables import Warehouse
 from tallyspark.streaming.feed import append_changes, consume, consumed
 
@@ -227,8 +228,7 @@ def q_append_batch(spark, d):
     hist = history(w)
     hist.write.parquet(path)
     table = spark.read.parquet(path)
-    new = merge_insert_only(table, staging(w), ["o_orderkey"]).join(
-        table.select("o_orderkey"), "o_orderkey", "left_anti")
+    new = rows_to_insert(table, staging(w), ["o_orderkey"])
     return append(new.select(*reversed(new.columns)), path, hist.schema)
 
 
@@ -346,3 +346,44 @@ def q_materialized_after_changes(spark, d):
         stored = refresh_signed(stored, signed_delta(feed, keys, sums, "orders"), keys, ["cents"], "orders",
                                 "customer_revenue")
     return stored.select("o_custkey", out_cents("cents").alias("revenue"), "orders")
+
+
+@query("create_or_replace_followed", f"""
+SELECT 'first' AS version, CAST(COUNT(*) AS BIGINT) AS row_count, CAST(SUM({cents_sql('o_totalprice')}) AS BIGINT) AS cents
+FROM ({HIST_SQL})
+UNION ALL SELECT 'newest', CAST(COUNT(*) AS BIGINT), CAST(SUM({cents_sql('o_totalprice')}) AS BIGINT) FROM ({MERGED_SQL})
+""")
+def q_create_or_replace_followed(spark, d):
+    """SNK-3: a table created from the history and replaced by the merged state,
+    read from itself; the name follows, a reader of the first content keeps it."""
+    w = Warehouse(spark, d)
+    table = NamedTable(spark, scratch_path(spark, "orders_named"), w.orders.schema)
+    opened = table.replace(history(w))
+    table.replace(merge_insert_only(table.read(), staging(w), ["o_orderkey"]))
+
+    def totals(df, name):
+        return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(cents("o_totalprice")).alias("cents")).select(
+            F.lit(name).alias("version"), "*")
+
+    return totals(opened, "first").unionByName(totals(table.read(), "newest"))
+
+
+@query("duplicate_staging_orders", """
+SELECT o_orderkey, CAST(2 AS BIGINT) AS duplicate_count FROM orders
+WHERE o_orderdate >= TIMESTAMP '2001-01-01 00:00:00' AND o_orderdate < TIMESTAMP '2001-02-01 00:00:00'
+""")
+def q_duplicate_staging_orders(spark, d):
+    """DQ-1 with hits: the orders that the staging batch delivers twice."""
+    return duplicate_keys(staging(Warehouse(spark, d)), ["o_orderkey"])
+
+
+@query("orphan_staging_orders", f"""
+SELECT s.o_orderkey, s.o_custkey FROM ({STAGE_SQL}) s
+WHERE s.o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01 00:00:00')
+""")
+def q_orphan_staging_orders(spark, d):
+    """DQ-2 with hits: staged orders of customers that the first load (customers
+    with orders before 1996) does not know."""
+    w = Warehouse(spark, d)
+    known = w.orders.filter(F.col("o_orderdate") < _ts("1996-01-01 00:00:00")).select("o_custkey").distinct()
+    return orphans(staging(w), known, "o_custkey", "o_custkey", ["o_orderkey", "o_custkey"])

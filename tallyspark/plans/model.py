@@ -872,3 +872,48 @@ def q_resolved_after_second_load(spark, d):
     fact = customers.resolve(w.orders.select(F.col("o_custkey").alias("customer_id"), "o_totalprice"))
     return fact.groupBy("customer_key").agg(out_money(money_sum("o_totalprice")).alias("revenue"),
                                             F.count(F.lit(1)).alias("orders"))
+
+
+# ---------------------------------------------------------------- reports over the date dimension
+def sales_by_date(w: Warehouse, cols: list[str]) -> DataFrame:
+    """Revenue and sales per attributes of the date dimension: the fact carries
+    a date key, and every attribute comes from the calendar.  The fact is
+    aggregated by date key first; the calendar has one row per day."""
+    d = F.to_date("o_orderdate")
+    key = (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
+    days = w.orders.groupBy(key.alias("date_key")).agg(money_sum("o_totalprice").alias("r"),
+                                                       F.count(F.lit(1)).alias("n"))
+    cal = materialize(calendar(w.orders, "o_orderdate"), "calendar")
+    return (days.join(F.broadcast(cal.select("date_key", *cols)), "date_key").groupBy(*cols)
+            .agg(out_money(F.sum("r")).alias("revenue"), F.sum("n").alias("sales")))
+
+
+@query("revenue_by_calendar_month", f"""
+SELECT year(o_orderdate)::INT AS year, month(o_orderdate)::INT AS month_no, monthname(o_orderdate) AS month,
+       {money_sum_sql('o_totalprice')} AS revenue, CAST(COUNT(*) AS BIGINT) AS sales FROM orders GROUP BY 1, 2, 3
+""")
+def q_revenue_by_calendar_month(spark, d):
+    """Monthly report of the flat model, over its date dimension."""
+    return sales_by_date(Warehouse(spark, d), ["year", "month_no", "month"])
+
+
+@query("revenue_by_weekend", f"""
+SELECT CASE WHEN isodow(o_orderdate) >= 6 THEN 'Yes' ELSE 'No' END AS is_weekend, dayname(o_orderdate) AS day_name,
+       {money_sum_sql('o_totalprice')} AS revenue, CAST(COUNT(*) AS BIGINT) AS sales FROM orders GROUP BY 1, 2
+""")
+def q_revenue_by_weekend(spark, d):
+    """Sales by weekday and weekend flag of the date dimension."""
+    return sales_by_date(Warehouse(spark, d), ["is_weekend", "day_name"])
+
+
+@query("unmatched_branches", """
+SELECT s.s_suppkey, s.s_name, n.n_name AS nation_name FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+WHERE n.n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal < 2000)
+""")
+def q_unmatched_branches(spark, d):
+    """MDL-4 with hits: branches whose nation the level of the first load does
+    not hold are handed out."""
+    w = Warehouse(spark, d)
+    b = stg_branch(w).join(w.supplier.select("s_suppkey", "s_acctbal"), "s_suppkey")
+    level = materialize(build_level(b.filter(F.col("s_acctbal") < 2000), ["nation_name"], "nation_key"), "level_first")
+    return resolve_parent(b.select("s_suppkey", "s_name", "nation_name"), level, ["nation_name"], "nation_key")[1]

@@ -489,3 +489,14 @@ def q_revenue_as_of_version(spark, d):
     """Revenue by the membership that the customer had at the time of sale."""
     return fact_versions(Warehouse(spark, d)).groupBy("membership").agg(
         out_money(money_sum("amount")).alias("revenue"), F.count(F.lit(1)).alias("sales"))
+
+
+@query("scd2_load_today", f"""
+WITH {INPUT_SQL}
+SELECT customer_id, membership, CAST(0 AS INTEGER) AS days_since_load, DATE '9999-12-31' AS expiry_date,
+       TRUE AS is_current FROM init""")
+def q_scd2_load_today(spark, d):
+    """FN-6: an initial load whose versions start on the current date."""
+    dim = scd2_init(initial(Warehouse(spark, d)), F.current_date())
+    return dim.select("customer_id", "membership", F.datediff(F.current_date(), "effective_date").alias("days_since_load"),
+                      "expiry_date", "is_current")

@@ -86,3 +86,21 @@ def test_proven_small_is_exact_across_partitions(spark):
     df = spark.range(0, 10_000, numPartitions=8)
     assert proven_small(df, 10_000) and not proven_small(df, 9_999)
     assert not proven_small(df, 0)
+
+
+def test_named_table_follows_the_newest_snapshot(spark, tmp_path):
+    import pytest
+    from pyspark.sql import types as T
+    from tallyspark.sources.sinks import NamedTable
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+    table = NamedTable(spark, str(tmp_path / "t"), schema)
+    with pytest.raises(ValueError, match="never created"):
+        table.read()
+    first = table.replace(spark.createDataFrame([(1, "a"), (2, "b")], schema))
+    table.replace(table.read().filter("k = 1").select("v", "k"))  # read and replaced at once, by name
+    again = NamedTable(spark, str(tmp_path / "t"), schema)
+    assert [tuple(r) for r in again.read().collect()] == [(1, "a")]
+    assert first.count() == 2 and again.read(version=1).count() == 2
+    assert again.replace(first.limit(0)).count() == 0 and again.versions().count() == 3
+    with pytest.raises(ValueError, match="no version"):
+        again.read(version=9)
