@@ -54,6 +54,9 @@ MOST_DIGITS = 24
 
 LABELS = len(KINDS) + 1  # label 0: none
 TRAIN_DOCS = 2000
+#: Training documents are no longer than this (UTF-8 bytes), so what reaches the
+#: driver is bounded by TRAIN_DOCS times a token count.
+TRAIN_BYTES = 8192
 EPOCHS = 30
 ROUNDS = 8
 #: Belief from which a token that skip edges tie to an observed one becomes a span.
@@ -356,12 +359,15 @@ def added_spans(model: SkipChain | None, texts: list[str], found: list[list[Span
     return out
 
 
-def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, seed: int = 1) -> SkipChain | None:
-    """Fitted on at most ``train_docs`` documents that hold a digit or an @,
-    those with the smallest seeded hash; None when there is none."""
+def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, seed: int = 1, train_bytes: int = TRAIN_BYTES
+          ) -> SkipChain | None:
+    """Fitted on at most ``train_docs`` documents of at most ``train_bytes``
+    each that hold a digit or an @, those with the smallest seeded hash; None
+    when there is none."""
     rows = common.with_identity(docs, F.col("doc_id"), F.col("text").cast("string").alias("__text"))
     key = ["__h", "__f", "__r"]
-    near = rows.where(F.col("__text").rlike("[0-9@]")).withColumn("__h", F.xxhash64(F.lit(seed), "__f", "__r", "doc_id"))
+    small = F.octet_length("__text") <= train_bytes
+    near = rows.where(small & F.col("__text").rlike("[0-9@]")).withColumn("__h", F.xxhash64(F.lit(seed), "__f", "__r", "doc_id"))
     picked = common.smallest(near.select(*key), train_docs, *key)  # bounded by train_docs
     chosen = rows.join(F.broadcast(picked), ["__f", "__r"]).select("__text")
 

@@ -547,3 +547,16 @@ def test_pipeline_stages(spark, tmp_path):
     assert "[EMAIL]" in clean.text and "[PHONE]" in clean.text and clean.n_chars == len(clean.text)
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and out.where("doc_id is null").count() == 0
+
+
+def test_training_of_the_field_is_bounded(spark, tmp_path):
+    """Documents beyond the bound are not trained on, but searched whole."""
+    note = "Call +1 (555) 123-4567 or write a.b@c.de. "
+    docs = docs_of(spark, tmp_path, [note * 3] * 5 + [note + "word " * 5000 + "then 123-4567 again"] * 3 + [None, ""])
+    assert pii_crf.train(docs.where("length(text) > 9000")) is None
+    small = docs.where("length(text) < 9000")
+    a, b = (pii_crf.train(d) for d in (docs, small))
+    assert a is not None and all(np.array_equal(x, y) for x, y in zip(vars(a).values(), vars(b).values())
+                                 if isinstance(x, np.ndarray))
+    got = {r.doc_id: r for r in pii_crf.personal_data(docs).collect()}
+    assert got[6].n_phone == 1 and got[6].n_email == 1 and got[8].n_phone == 0
