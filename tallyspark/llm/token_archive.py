@@ -22,7 +22,9 @@ import re
 import struct
 import sys
 import zlib
-from collections.abc import Iterator, Sequence
+from array import array
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,15 +47,23 @@ DICTIONARY_BYTES, TRAIN_DOCS, TRAIN_TEXT_BYTES = 112_640, 1000, 16_384
 LEVEL = 3
 #: Compressed bytes at which a file ends, and of a range of the shuffle.
 FILE_BYTES, RANGE_BYTES = 8 << 20, 32 << 20
-#: Text bytes tokenized together, pieces a worker remembers the ids of, and
-#: the longest piece it remembers.
-LEARN_BYTES, CACHE_PIECES, PIECE_CHARS = 1 << 20, 600_000, 32
+#: Text bytes tokenized together, pieces a worker remembers the ids of (in two
+#: halves), and the longest piece it remembers.
+LEARN_BYTES, CACHE_PIECES, PIECE_CHARS = 1 << 20, 800_000, 32
 
-#: Where the tokenizer never joins: before a run of white space, and before
-#: the last white space of a run that something follows.
+#: Pieces that the tokenizer is given as one text; longer ones cost it more a
+#: piece.
+JOINED = 16
+
+#: Where the tokenizer never joins: before a run of white space, before the
+#: last white space of a run that something follows, and in texts of Latin
+#: letters (all that LATIN tells from other characters) after a run of them.
 PIECE = re.compile(r"\s+(?!\S)|\s?\S+")
+LATIN = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+LATIN_PIECE = re.compile(rf" ?[{LATIN}]+| ?[^{LATIN}\s]+[{LATIN}]*|\s+(?!\S)|\s")
+BEYOND_LATIN = re.compile("[^\x00-\xff]")
 #: White space to Python alone.
-ODD_SPACE = re.compile(r"[\x1c-\x1f]")
+ODD_SPACE = "\x1c\x1d\x1e\x1f"
 
 MAGIC = b"TALLYIDS"
 #: First row's (doc_id is null, doc_id, file, row), dictionary SHA-256, bytes
@@ -65,54 +75,91 @@ SHARD = ("s_none", "s_doc", "s_f", "s_r")
 FRAMES = "doc_id long, __f long, __r long, tokens long, size long, frame binary"
 
 
+def pieces(text: str) -> list[str]:
+    """``text`` cut where no tokenizer of this kind joins."""
+    latin = text.isascii() or not BEYOND_LATIN.search(text)
+    return (LATIN_PIECE if latin else PIECE).findall(text)
+
+
 class PieceEncoder:
     """Ids of whole texts with a byte-level tokenizer.  Ids of a text are those
     of its pieces one after another; pieces seen before come from a bounded
-    cache.  Texts with a special token's string, or with separators that only
-    Python takes for white space, go to the tokenizer whole."""
+    cache of two halves: when the newer one is full it becomes the older one,
+    out of which pieces that come up again are taken over.  Texts with a special
+    token's string, or with separators that only Python takes for white space,
+    go to the tokenizer whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        special = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.whole = re.compile("|".join([ODD_SPACE.pattern, *map(re.escape, special)]))
+        self.marks = [*ODD_SPACE, *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
         self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.type).tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Pieces of one white space and a word are encoded as one text and told
-        apart by offset, others by themselves."""
-        words = [p for p in pieces if p[0] == " " and len(p) > 1]
-        rest = [p for p in pieces if p[0] != " " or len(p) == 1]
-        self.known.update(zip(rest, self._ids(rest), strict=True))
-        for at in range(0, len(words), 4000):
-            part = words[at:at + 4000]
-            got = self.tokenizer.encode("".join(part), add_special_tokens=False)
-            starts = np.fromiter((o[0] for o in got.offsets), np.int64, len(got.offsets))
-            cuts = np.searchsorted(starts, np.cumsum([len(p) for p in part])) * self.type.itemsize
-            ids, begin = np.array(got.ids, self.type).tobytes(), 0
-            for word, end in zip(part, cuts.tolist(), strict=True):
-                self.known[word] = ids[begin:end]
-                begin = end
+        self.older: dict[str, bytes] = {}
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        out = array(self.type.char, ids)  # quicker than an ndarray for a few ids
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def _ids(self, text: str) -> bytes:
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _learn(self, pieces: Iterable[str]) -> None:
+        """Pieces that start with a space are encoded as one text, those without
+        white space as the lines of one, and told apart by offset; others by
+        themselves."""
+        spaced, bare = [], []
+        for p in pieces:
+            if p[0] == " " and len(p) > 1:
+                spaced.append(p)
+            elif len(p.split()) == 1 and not p[0].isspace() and not p[-1].isspace():
+                bare.append(p)
+            else:
+                self.known[p] = self._ids(p)
+        for some, between in ((spaced, ""), (bare, "\n")):
+            for at in range(0, len(some), JOINED):
+                part = some[at:at + JOINED]
+                got = self.tokenizer.encode(between.join(part), add_special_tokens=False)
+                starts, ids, size = [o[0] for o in got.offsets], self._bytes(got.ids), self.type.itemsize
+                first, end = 0, 0
+                for p in part:
+                    end += len(p)
+                    last = bisect_left(starts, end, first)
+                    self.known[p] = ids[size * first:size * last]
+                    first, end = last + len(between), end + len(between)  # a line break is one id
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text as ``self.type``, END_ID included."""
-        split = [None if self.whole.search(t) else PIECE.findall(t) for t in texts]
-        distinct = set().union(*(s for s in split if s))
-        new = distinct.difference(self.known)
-        if len(self.known) + len(new) > CACHE_PIECES:
-            self.known, new = {}, distinct
-        self._learn(list(new))
-        look, end = self.known.__getitem__, np.array([END_ID], self.type).tobytes()
-        out = [(self._ids([t])[0] if s is None else b"".join(map(look, s))) + end
-               for t, s in zip(texts, split, strict=True)]
+        look, found, new = self.known.get, [], set()
+        for t in texts:
+            if any(m in t for m in self.marks):
+                found.append((t, None))
+                continue
+            cut = pieces(t)
+            ids = list(map(look, cut))
+            try:
+                found.append((None, b"".join(ids)))
+            except TypeError:  # a piece that is not known yet
+                new.update([p for p, x in zip(cut, ids) if x is None])
+                found.append((cut, ids))
+        again = {p: self.older[p] for p in new if p in self.older}
+        self.known.update(again)
+        new.difference_update(again)
+        self._learn(new)
+        end, known, out = np.array([END_ID], self.type).tobytes(), self.known, []
+        for cut, ids in found:
+            if ids is None:
+                ids = self._ids(cut)
+            elif cut is not None:
+                ids = b"".join([known[p] if x is None else x for p, x in zip(cut, ids)])
+            out.append(ids + end)
         for piece in new:
             if len(piece) > PIECE_CHARS:
                 del self.known[piece]
+        if 2 * len(self.known) > CACHE_PIECES:
+            self.known, self.older = {}, self.known
         return out
 
 
@@ -186,14 +233,14 @@ def frames(rows: DataFrame, tokenizer: str, dictionary: Dictionary) -> DataFrame
     """``FRAMES`` of ``rows`` (doc_id, __f, __r, text): every document encoded
     and compressed by itself."""
     def run(batches):
-        pieces, pack = encoder(tokenizer), dictionary.compressor()
+        encode, pack = encoder(tokenizer), dictionary.compressor()
         for batch in batches:
             for part in in_slices(batch, "text", LEARN_BYTES):
-                ids = pieces.encode(part.column("text").to_pylist())
+                ids = encode.encode(part.column("text").to_pylist())
                 packed = [pack.compress(x) for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in ("doc_id", "__f", "__r")),
-                     pa.array([len(x) // pieces.type.itemsize for x in ids], pa.int64()),
+                     pa.array([len(x) // encode.type.itemsize for x in ids], pa.int64()),
                      pa.array([len(x) for x in packed], pa.int64()), pa.array(packed, pa.binary())],
                     ["doc_id", "__f", "__r", "tokens", "size", "frame"])
 

@@ -129,7 +129,8 @@ def test_piece_encoder_gives_the_tokenizers_ids(tokenizer):
     own = token_archive.PieceEncoder(public_tokenizers.path(token_archive.TOKENIZER))
     rng = random.Random(1)
     marks = [*" \n\t\r\x0b\x0c\x1c\x1f\x85\xa0 ​'sab1é.,中\U0001f600", "<|endoftext|>", "'ll", "  ", " word", "\n\n"]
-    texts = ["".join(rng.choices(marks, k=rng.randint(0, 16))) for _ in range(1500)]
+    latin = [m for m in marks if m.isascii() or max(m) <= "\xff"] + [*"ªµº×÷²¼_-3Zz", " Word", " (", "'re"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 16))) for alphabet in (marks, latin) for _ in range(1500)]
     for at in range(0, len(texts), 100):
         part = texts[at:at + 100]
         want = [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in part]
