@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.columns import any_changed
-from tallyspark.operators.sizing import broadcast_if_small
+from tallyspark.operators.sizing import BROADCAST_BYTES, broadcast_if_small
 from tallyspark.operators.views import materialize
 
 
@@ -70,7 +70,8 @@ def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str],
     are kept; the source is reduced to one row per key first (a warehouse
     would pick an arbitrary one)."""
     # stored once: neither the size check nor the join computes the source again
-    src, _ = broadcast_if_small(materialize(dedupe_by_key(source, keys, order), "update_source"))
+    src, _ = broadcast_if_small(materialize(dedupe_by_key(source, keys, order), "update_source"),
+                                max_bytes=BROADCAST_BYTES)
     src = src.alias("u")
     t = target.alias("t")
     cond = None

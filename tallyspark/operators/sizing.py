@@ -21,9 +21,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Key sets up to this many rows are broadcast (a few tens of MB of keys).
 BROADCAST_ROWS = 2_000_000
+# Frames of whole rows also have to be this small.
+BROADCAST_BYTES = 128 << 20
 
 # Session setting that caps every size bound (rows), e.g. to suit executor
 # memory; 0 proves only empty frames small, which shows the plans a cluster-sized
@@ -38,13 +41,33 @@ def proven_small(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
-                       known_small: bool | None = None) -> tuple[DataFrame, bool]:
+def proven_light(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """``proven_small``, and the rows' values take at most ``max_bytes``: text
+    and binary columns by their length, nested ones by that of their JSON, every
+    column with 8 bytes besides.  For frames of whole rows, whose width is not
+    bounded by their keys; costs a pass over all columns."""
+    if not proven_small(df, max_rows):
+        return False
+    wide = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            wide.append(F.octet_length(F.col(f"`{f.name}`")))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            wide.append(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`").alias("v")))))
+    row = F.lit(8 * len(df.columns)).cast("long")
+    for w in wide:
+        row = row + F.coalesce(w.cast("long"), F.lit(0).cast("long"))
+    return (df.agg(F.sum(row)).first()[0] or 0) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, known_small: bool | None = None,
+                       max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """(frame, broadcast?) -- the frame hinted for broadcast only when its row
-    count is proven to be at most ``max_rows`` (``known_small=True``: the
-    caller already proved a bound it derives from, e.g. the batch it came
-    from)."""
-    if known_small or (known_small is None and proven_small(df, max_rows)):
+    count is proven to be at most ``max_rows`` and, with ``max_bytes``, its size
+    too (``known_small=True``: the caller already proved a bound it derives
+    from, e.g. the batch it came from)."""
+    if known_small or (known_small is None and (
+            proven_small(df, max_rows) if max_bytes is None else proven_light(df, max_rows, max_bytes))):
         return F.broadcast(df), True
     return df, False
 

@@ -64,3 +64,11 @@ def test_change_feed_actions(spark):
 def test_change_feed_of_same_table_is_empty(spark):
     t = spark.createDataFrame([(1, 1, 10), (2, None, 20)], SCHEMA)
     assert change_feed(t, t, ["sale_id"]).count() == 0
+
+
+def test_wide_rows_are_not_broadcast_on_their_count(spark):
+    from tallyspark.operators.sizing import broadcast_if_small, proven_light
+    df = spark.createDataFrame([(i, "x" * 1000, [1, 2, 3]) for i in range(50)], "k int, text string, a array<int>")
+    assert proven_light(df, 100, 60_000) and not proven_light(df, 100, 50_000) and not proven_light(df, 10, 60_000)
+    assert broadcast_if_small(df, 100)[1] and not broadcast_if_small(df, 100, max_bytes=50_000)[1]
+    assert proven_light(df.limit(0), 0, 0)
