@@ -311,14 +311,18 @@ def hybrid_init(df: DataFrame, source_col: str, start: dt.date | str, city_col:
 def scd_hybrid_apply(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str],
                      source_col: str, sync: Sequence[str], city_col: str = "city",
                      prev_city: str = "previous_city", cur_c: str = "current_membership",
-                     prev_c: str = "previous_membership", hist_c: str = "historical_membership"
-                     ) -> DataFrame:
+                     prev_c: str = "previous_membership", hist_c: str = "historical_membership",
+                     first: DataFrame | None = None) -> DataFrame:
     """Hybrid: type 2 rows (new row: current = new, previous = replaced
     version's current, previous_city = replaced version's city, historical =
     new), then type 1 synchronisation of ``sync`` columns plus current/previous
     on *all* versions of each updated key from its newest row;
     ``previous_city`` is synchronised only where the city changed.  Only the
-    historical column keeps per-version values."""
+    historical column keeps per-version values.
+
+    With ``first`` (the initial table: unique key, source column, city) the
+    previous values are those of the initial load whatever was replaced; keys
+    it lacks keep those of the replaced version."""
     u = upd.withColumnRenamed(source_col, cur_c)
     tracked6 = [cur_c if a == source_col else a for a in tracked]
     small = _small_batch(upd)
@@ -326,6 +330,14 @@ def scd_hybrid_apply(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence
     cur = touched.filter(F.col(CUR))
     attrs = [c for c in dim.columns if c not in (EFF, EXP, CUR, prev_c, hist_c, prev_city)]
     kept = _chain(cur, u, key, tracked6, [c for c in attrs if c != key], small or None)
+    if first is not None:
+        known = split_by_keys(first, kept, [key], known_small=small or None)[0].select(
+            F.col(key).alias("_i_key"), F.col(source_col).alias("_i_source"), F.col(city_col).alias("_i_city"))
+        found = F.col("_i_key").isNotNull()
+        kept = kept.join(known, F.col(key) == F.col("_i_key"), "left").withColumns({
+            f"prev_{cur_c}": F.when(found, F.col("_i_source")).otherwise(F.col(f"prev_{cur_c}")),
+            f"prev_{city_col}": F.when(found, F.col("_i_city")).otherwise(F.col(f"prev_{city_col}"))})
+        kept = materialize(kept.drop("_i_key", "_i_source", "_i_city"), "scd_kept_first")
     new_rows = kept.select(*[F.col(f"prev_{cur_c}").alias(prev_c) if c == prev_c
                              else F.col(f"prev_{city_col}").alias(prev_city) if c == prev_city
                              else F.col(cur_c).alias(hist_c) if c == hist_c

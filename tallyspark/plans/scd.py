@@ -500,3 +500,33 @@ def q_scd2_load_today(spark, d):
     dim = scd2_init(initial(Warehouse(spark, d)), F.current_date())
     return dim.select("customer_id", "membership", F.datediff(F.current_date(), "effective_date").alias("days_since_load"),
                       "expiry_date", "is_current")
+
+
+@query("scd_hybrid_from_initial", f"""
+WITH {INPUT_SQL},
+k AS (SELECT i.*, u.city AS u_city, u.state AS u_state, u.segment AS u_segment, c.effective_date AS first_day,
+             CASE WHEN i.customer_id % 3 = 0 THEN CAST(u.effective_date + 20 AS DATE) END AS second_day
+      FROM init i LEFT JOIN upd u USING (customer_id) LEFT JOIN chg c USING (customer_id)),
+t AS (SELECT *, first_day IS NOT NULL OR second_day IS NOT NULL AS touched FROM k),
+v AS (SELECT *, 0 AS n, DATE '2026-01-01' AS effective_date, coalesce(first_day, second_day) AS next_day FROM t
+      UNION ALL SELECT *, 1, first_day, second_day FROM t WHERE first_day IS NOT NULL
+      UNION ALL SELECT *, 2, second_day, NULL FROM t WHERE second_day IS NOT NULL)
+SELECT customer_id, customer_name, CASE WHEN touched THEN u_city ELSE city END AS city,
+       CASE WHEN n > 0 OR (touched AND u_city IS DISTINCT FROM city) THEN city END AS previous_city,
+       CASE WHEN touched THEN u_state ELSE state END AS state, CASE WHEN n > 0 THEN u_segment ELSE segment END AS segment,
+       CASE WHEN second_day IS NOT NULL THEN 'BUILDING' WHEN first_day IS NOT NULL THEN 'HOUSEHOLD' ELSE membership END
+         AS current_membership,
+       CASE WHEN touched THEN membership END AS previous_membership,
+       CASE n WHEN 0 THEN membership WHEN 1 THEN 'HOUSEHOLD' ELSE 'BUILDING' END AS historical_membership,
+       effective_date, coalesce(CAST(next_day - 1 AS DATE), DATE '9999-12-31') AS expiry_date,
+       next_day IS NULL AS is_current
+FROM v
+""")
+def q_scd_hybrid_from_initial(spark, d):
+    """SCD-10 over two batches with the previous membership and city taken from
+    the initial table each time."""
+    w = Warehouse(spark, d)
+    dim = hybrid_init(initial(w), "membership", START)
+    for batch in (updates(w), second_updates(w, 20, "BUILDING")):
+        dim = scd_hybrid_apply(dim, batch, "customer_id", TRACKED, "membership", sync=["city", "state"], first=initial(w))
+    return dim
