@@ -27,7 +27,7 @@ from tallyspark.sources.csv import CORRUPT, CsvFormat, read_table, write_csv
 from tallyspark.sources.tables import Warehouse
 from tallyspark.streaming.incremental import incremental_load
 from tallyspark.streaming.partitioned import (
-    BROKEN, ForeignKey, Rules, broken_rows, key_range, load_with_constraints, write_partitioned)
+    BROKEN, ForeignKey, Rules, broken_rows, folder_width, key_range, load_with_constraints, write_partitioned)
 
 CUSTOMER_SCHEMA = T.StructType([
     T.StructField("c_custkey", T.LongType()),
@@ -219,7 +219,7 @@ def q_incremental_load_partitioned(spark, d):
     w = Warehouse(spark, d)
     landing, path = scratch_path(spark, "landing_sales"), scratch_path(spark, "sales_by_range")
     staging(w).repartition(4).write.parquet(landing)
-    part = key_range("o_orderkey", 2000)
+    part = key_range("o_orderkey", folder_width(w.orders, "o_orderkey", least=2000))
     write_partitioned(history(w), path, part)
     ckpt = scratch_path(spark, "sales_range_ckpt")
     for c in (ckpt, ckpt, scratch_path(spark, "sales_range_ckpt")):
@@ -261,7 +261,7 @@ def _defective_load(spark, d):
         "o_totalprice", F.col("o_totalprice") + 1)
     landing, path = scratch_path(spark, "landing_defects"), scratch_path(spark, "sales_checked")
     first.unionByName(again).repartition(4).write.parquet(landing)
-    part = key_range("o_orderkey", 2000)
+    part = key_range("o_orderkey", folder_width(w.orders, "o_orderkey", least=2000))
     write_partitioned(history(w).select(*cols), path, part)
     rules = Rules(["o_orderkey"], [ForeignKey("unknown customer", ["o_custkey"], w.customer, ["c_custkey"])],
                   {"amount not positive": F.col("o_totalprice") > 0})

@@ -7,6 +7,12 @@ one row per key and stored; the partitions it names are a bounded list (one
 value each), by which the target's scan is pruned to those folders, so what a
 batch reads does not grow with the rest of the table.
 
+Rows are cut into ranges of (folder, row hash) before they are written: a task
+then writes the folders of its range and no others, so a write makes at most one
+file a folder and one a task, not one for each pair of them, and a folder that
+holds most rows is cut over several tasks.  ``folder_width`` sizes the key
+ranges by the table, so the number of folders grows by rows, not by keys.
+
 Rules are checked on the batch alone, against stored keys where they need them:
 a missing key, a key delivered twice with different rows, a foreign key whose
 parent is unknown, a predicate that does not hold.  Every offending row goes to
@@ -33,6 +39,9 @@ PART = "_part"
 BROKEN = "_broken"
 #: A batch that touches more folders than this reads the table without a list.
 MAX_LISTED = 10_000
+#: Folders that a table is spread over, and the rows of an average folder
+#: beyond which it gets more.
+FOLDERS, FOLDER_ROWS = 256, 1_000_000
 
 
 def key_range(key: str, width: int) -> Column:
@@ -40,6 +49,16 @@ def key_range(key: str, width: int) -> Column:
     return F.floor(F.col(key) / width).cast("long")
 
 
+def folder_width(table: DataFrame, key: str, least: int = 1) -> int:
+    """The width of the key ranges (at least ``least``) that spread the whole
+    numbers ``key`` of ``table`` over ``FOLDERS`` folders, or over as many as
+    hold ``FOLDER_ROWS`` rows on average.  It stays a table's for good."""
+    low, high, rows = table.agg(F.min(key), F.max(key), F.count(key)).first()
+    if not rows:
+        return least
+    return max(least, -(-(high - low + 1) // max(FOLDERS, rows // FOLDER_ROWS)))
+
+
 @dataclass(frozen=True)
 class ForeignKey:
     """``columns`` of a row must be found as ``parent_keys`` of ``parent``
@@ -81,9 +100,17 @@ class Rules:
         return out.select(*batch.columns, F.filter(F.array(*names), lambda x: x.isNotNull()).alias(BROKEN))
 
 
+def append_folders(df: DataFrame, path: str) -> None:
+    """Adds the rows of ``df`` (with ``_part``) to their folders below ``path``:
+    new files, at most one a folder and one a task."""
+    atomic = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in atomic])
+    df.repartitionByRange(PART, spread).write.mode("append").partitionBy(PART).parquet(path)
+
+
 def write_partitioned(df: DataFrame, path: str, part: Column) -> None:
     """``df`` as a table below ``path``, in folders by ``part``."""
-    df.withColumn(PART, part).repartition(PART).write.mode("append").partitionBy(PART).parquet(path)
+    append_folders(df.withColumn(PART, part), path)
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -121,8 +148,8 @@ def load_with_constraints(spark: SparkSession, landing_dir: str, schema: T.Struc
         good = checked.filter(F.size(BROKEN) == 0).drop(BROKEN)
         one = materialize(dedupe_by_key(good, rules.keys, order).withColumn(PART, part), "partitioned_batch")
         stored = touched_part(read_partitioned(spark, path, schema), one)
-        new = keys_absent(one, stored.drop(PART), rules.keys)
-        new.select(*schema.names, PART).write.mode("append").partitionBy(PART).parquet(path)
+        new = materialize(keys_absent(one, stored.drop(PART), rules.keys).select(*schema.names, PART), "new_rows")
+        append_folders(new, path)  # cutting ranges reads the rows twice
 
     query = (stream.parquet(landing_dir).writeStream.foreachBatch(merge_batch)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

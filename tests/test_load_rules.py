@@ -1,6 +1,7 @@
 """Partitioned load with rules, continued running sums, table differences and
 hot-key joins on literal frames."""
 
+import glob
 import os
 
 import pytest
@@ -11,7 +12,8 @@ from tallyspark.operators.ordered import continue_running_total, running_state,
 from tallyspark.operators.quality import table_differences
 from tallyspark.operators.sizing import hot_key_join, hot_keys
 from tallyspark.streaming.partitioned import (
-    BROKEN, PART, ForeignKey, Rules, broken_rows, key_range, load_with_constraints, read_partitioned, write_partitioned)
+    BROKEN, PART, ForeignKey, Rules, broken_rows, folder_width, key_range, load_with_constraints, read_partitioned,
+    write_partitioned)
 from conftest import rows
 
 SCHEMA = T.StructType([T.StructField("k", T.LongType()), T.StructField("g", T.IntegerType()),
@@ -53,6 +55,36 @@ def test_rules_name_everything_a_row_breaks(spark, tmp_path):
     assert set(map(tuple, bad.collect())) == want and bad.count() == 2 * len(want)
 
 
+@pytest.fixture
+def four_tasks(spark):
+    """Every shuffle keeps its four tasks, however little they hold."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield spark
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_a_batch_adds_few_files_to_many_folders(four_tasks, tmp_path):
+    data = [(i, 1, f"v{i % 5}") for i in range(0, 5000, 5)]
+    got = load(four_tasks, tmp_path, data, Rules(["k"]), "x")
+    assert rows(got) == data
+    folders = glob.glob(f"{tmp_path}/table/{PART}=*")
+    files = glob.glob(f"{tmp_path}/table/{PART}=*/*.parquet")
+    assert len(folders) == 50 and len(files) <= 50 + 4  # not one for each task and folder
+
+
+def test_a_folder_with_most_rows_is_written_by_several_tasks(four_tasks, tmp_path):
+    data = [(i, 1, "v") for i in range(1000)] + [(10 ** 6, 1, "far")]
+    write_partitioned(four_tasks.createDataFrame(data, SCHEMA), str(tmp_path / "t"), key_range("k", 10 ** 5))
+    assert len(glob.glob(f"{tmp_path}/t/{PART}=0/*.parquet")) > 1
+    assert rows(read_partitioned(four_tasks, str(tmp_path / "t"), SCHEMA).drop(PART)) == data
+
+
+def test_folder_width_follows_the_table(spark):
+    df = spark.createDataFrame([(0, 1, "a"), (2_559_999, 1, "b"), (None, 1, "c")], SCHEMA)
+    assert folder_width(df, "k") == 10_000 and folder_width(df, "k", least=20_000) == 20_000
+    assert folder_width(df.limit(0), "k", least=7) == 7
+
+
 def test_running_sum_in_parts_equals_one(spark):
     data = [(i // 3, i, (i * 7) % 11 - 3 if i % 5 else None) for i in range(90)]
     df = spark.createDataFrame(data, "d int, i int, c long")
