@@ -193,7 +193,8 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
     for k in keys:
         pc = pc & F.col(f"x.{k}").eqNullSafe(F.col(f"_p_{k}"))
         nc = nc & F.col(f"x.{k}").eqNullSafe(F.col(f"_n_{k}"))
-    j = base.join(prev, pc, "left").join(nxt, nc, "left")
+    # sort-merge: a side of few shuffled bytes can be wide rows that would all pass the driver
+    j = base.join(prev.hint("merge"), pc, "left").join(nxt.hint("merge"), nc, "left")
     return j.select(*[F.col(f"x.{c}") for c in df.columns],
                     *[F.col(f"prev_{c}") for c in prev_cols], *[F.col(f"next_{c}") for c in next_cols],
                     F.coalesce(F.col("_has_prev"), F.lit(False)).alias("_has_prev"),

@@ -8,7 +8,7 @@ the new dimension; history rows pass through untouched.
 Scale: a batch touches few keys of a large dimension.  The dimension is split
 once into the versions of keys named in the batch and all other rows
 (``split_by_keys``: broadcast semi/anti joins when the batch's key set is
-proven small, so the dimension is streamed, never shuffled); the versioning
+proven small, so the dimension is streamed, not shuffled); the versioning
 joins and windows run on the touched part only and the untouched rows are
 unioned back unchanged.  Chaining several updates of one key inside one batch
 uses ``with_neighbors`` (a window for small batches, sequence-number joins for
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions.columns import OPEN_END, any_changed, day_before, differs
 from tallyspark.operators.changes import dedupe_by_key, update_from
 from tallyspark.operators.ordered import SMALL_ROWS, carry_forward, continue_keys, with_neighbors
-from tallyspark.operators.sizing import BROADCAST_ROWS, broadcast_if_small, proven_small, split_by_keys
+from tallyspark.operators.sizing import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small, proven_small, split_by_keys
 from tallyspark.operators.views import materialize
 
 EFF, EXP, CUR = "effective_date", "expiry_date", "is_current"
@@ -113,7 +113,7 @@ def _chain(cur: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str],
     """
     cur_s = cur.select(F.col(key), F.lit(True).alias("_known"), F.col(EFF).alias("_c_eff"),
                        *[F.col(c).alias(f"_c_{c}") for c in carry])
-    cur_s, _ = broadcast_if_small(cur_s, known_small=small)
+    cur_s, _ = broadcast_if_small(cur_s, SMALL_ROWS, small, BROADCAST_BYTES)  # whole rows
     # an update effective on/before the current version's start is already in
     # the table (a replayed batch) -- skip it, so re-applying changes nothing
     u = _one_per_day(upd, key).select(*upd.columns).join(cur_s, key, "left").filter(F.col("_c_eff").isNull() | (F.col(EFF) > F.col("_c_eff")))
@@ -140,7 +140,7 @@ def late_updates(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str
     them: dated on or before their key's current version, and different from
     the version valid on that day (or older than the first one).  A replayed
     batch has none.  They are handed out for a correction of the history."""
-    touched, _ = split_by_keys(dim, upd, [key])
+    touched, _ = _split(dim, upd, key)
     now = touched.filter(F.col(CUR)).select(key, F.col(EFF).alias("_c_eff"))
     old = _one_per_day(upd, key).select(*upd.columns).join(now, key).filter(F.col(EFF) <= F.col("_c_eff")).alias("u")
     then = touched.select(F.col(key).alias("_k"), F.col(EFF).alias("_from"), F.col(EXP).alias("_to"),
@@ -172,7 +172,7 @@ def splice_late(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str]
     task."""
     small = _small_batch(upd)
     one = _one_per_day(upd, key)
-    touched, untouched = split_by_keys(dim, upd, [key], known_small=small or None)
+    touched, untouched = _split(dim, upd, key, small)
     touched = materialize(touched, "scd_touched")
     now = touched.filter(F.col(CUR)).select(key, F.col(EFF).alias("_c_eff"))
     late = one.join(now, key).filter(F.col(EFF) <= F.col("_c_eff")).select(*one.columns)
@@ -211,6 +211,13 @@ def splice_late(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str]
             .unionByName(new.select(*dim.columns)))
 
 
+def _split(dim: DataFrame, upd: DataFrame, key: str, small: bool | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``dim`` of the keys in ``upd``, and the others.  An apply
+    splits several times, and every broadcast key set passes the driver, so only
+    a set of ``SMALL_ROWS`` keys is broadcast; a larger one is joined by shuffle."""
+    return split_by_keys(dim, upd, [key], SMALL_ROWS, small or None)
+
+
 def _small_batch(upd: DataFrame) -> bool:
     """One size check per apply: every frame derived from the batch (its keys,
     the touched current rows, the chain) is bounded by the batch's row count."""
@@ -242,7 +249,7 @@ def scd2_apply(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str],
     if late == "splice":
         dim = materialize(splice_late(dim, upd, key, tracked, version_key), "scd_history")
     small = _small_batch(upd)
-    touched, untouched = split_by_keys(dim, upd, [key], known_small=small or None)
+    touched, untouched = _split(dim, upd, key, small)
     cur = touched.filter(F.col(CUR))
     attrs = [c for c in dim.columns if c not in (EFF, EXP, CUR, version_key)]
     kept = _chain(cur, upd, key, tracked, [c for c in attrs if c != key], small or None)
@@ -290,7 +297,7 @@ def scd6_apply(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence[str],
     u = upd.withColumnRenamed(source_col, cur_c)
     tracked6 = [cur_c if a == source_col else a for a in tracked]
     small = _small_batch(upd)
-    touched, untouched = split_by_keys(dim, upd, [key], known_small=small or None)
+    touched, untouched = _split(dim, upd, key, small)
     cur = touched.filter(F.col(CUR))
     attrs = [c for c in dim.columns if c not in (EFF, EXP, CUR, prev_c, hist_c)]
     kept = _chain(cur, u, key, tracked6, [c for c in attrs if c != key], small or None)
@@ -326,12 +333,12 @@ def scd_hybrid_apply(dim: DataFrame, upd: DataFrame, key: str, tracked: Sequence
     u = upd.withColumnRenamed(source_col, cur_c)
     tracked6 = [cur_c if a == source_col else a for a in tracked]
     small = _small_batch(upd)
-    touched, untouched = split_by_keys(dim, upd, [key], known_small=small or None)
+    touched, untouched = _split(dim, upd, key, small)
     cur = touched.filter(F.col(CUR))
     attrs = [c for c in dim.columns if c not in (EFF, EXP, CUR, prev_c, hist_c, prev_city)]
     kept = _chain(cur, u, key, tracked6, [c for c in attrs if c != key], small or None)
     if first is not None:
-        known = split_by_keys(first, kept, [key], known_small=small or None)[0].select(
+        known = _split(first, kept, key, small)[0].select(
             F.col(key).alias("_i_key"), F.col(source_col).alias("_i_source"), F.col(city_col).alias("_i_city"))
         found = F.col("_i_key").isNotNull()
         kept = kept.join(known, F.col(key) == F.col("_i_key"), "left").withColumns({

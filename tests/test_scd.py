@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tallyspark.operators import scd
 from tallyspark.operators.quality import history_metrics
 from tallyspark.operators.scd import (
     as_of, attribute_changes, changed_rows, current_rows, hybrid_init, scd1_apply, scd2_apply, scd2_init,
@@ -153,3 +154,20 @@ def test_several_updates_of_a_key(spark):
     t2 = scd2_apply(scd2_init(dim, "2026-01-01"), upd, "k", ["city", "membership"]).collect()
     assert len(t2) == 3 and sum(r.is_current for r in t2) == 1
     assert all(r.effective_date <= r.expiry_date for r in t2)
+
+
+def test_a_large_batch_sends_no_rows_to_the_driver(spark, monkeypatch):
+    dim = scd.scd2_init(spark.createDataFrame([(i, f"n{i}", "a") for i in range(20)], "id int, name string, city string"),
+                        "2026-01-01")
+    upd = spark.createDataFrame([(i, "b", dt.date(2025 + i % 2, 6, 1)) for i in range(5, 25)],
+                                "id int, city string, effective_date date")
+    want = rows(scd.scd2_apply(dim, upd, "id", ["city"], late="splice"))
+    monkeypatch.setattr(scd, "SMALL_ROWS", 1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = scd.scd2_apply(dim, upd, "id", ["city"], late="splice")
+        assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+        assert rows(got) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
