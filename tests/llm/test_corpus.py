@@ -467,6 +467,32 @@ def test_word_cache_overflow(monkeypatch):
     assert packing.WordEncoder(path).encode(texts) == want
 
 
+def test_words_are_split_as_the_tokenizer_does():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(packing.TOKENIZER)
+    parts = ["the", "The", "Tion", "J\u030c", "I\u0307", "\u212a", "\u1e9e", "\u00c9", "\u00e9", "e\u0301", "E\u0301",
+             "\u00d7", "\u00b5", "'s", "'S", "'", "don't", "We'LL", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "|>", ".", ",",
+             "...", "-", "23", "\u00bd", "\u4e2d", "<", "\u0338", "\u017f", "\x1c", "\x85", "\u00a0", "</w>", "\x00",
+             "q" * 60, " ", "  ", "\t", "\n", "\r\x0b", "\x0c"]
+    rng = np.random.default_rng(3)
+    texts = ["", " ", *("".join(rng.choice(parts, rng.integers(1, 9))) for _ in range(3000))]
+    tokenizer = Tokenizer.from_file(path)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    got = packing.WordEncoder(path).encode([t.encode() for t in texts])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+
+
+def test_letters_are_learnt_once_whatever_their_case_and_signs():
+    import public_tokenizers
+    encoder = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER))
+    encoder.encode([b"Ention ention ention, (Ention) ENTION. ention...", "\u00e9cole \u00e9cole.".encode()])
+    assert {w for w in encoder.known if b"ention" in w or b"cole" in w} == {b"ention", b"(ention)", "\u00e9cole".encode()}
+    short = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER))
+    short.ends[:] = False  # as if no id ended a word: offsets tell words apart
+    assert short.encode([b"alpha beta, Gamma."]) == encoder.encode([b"alpha beta, Gamma."])
+
+
 # -- 10 WARC ------------------------------------------------------------------
 def test_archives_round_trip(spark, tmp_path):
     big = "WARC/1.1\r\n\r\n" + "é" * 100
