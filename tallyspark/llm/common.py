@@ -12,14 +12,20 @@ from pyspark.sql import functions as F
 
 from tallyspark.session import ensure_session, scratch_path
 
+#: Bytes of rows that a Python worker gets at a time.  Spark's 64 MB stand in the
+#: executor's and the worker's memory several times over, beside its heap.
+BATCH_BYTES = 8 << 20
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def ready(spark: SparkSession) -> SparkSession:
     """Session settings, and the package on the Python workers' path (on a
     cluster the package is installed or shipped with ``--py-files``; this
-    covers workers started from another folder on the same machine)."""
+    covers workers started from another folder on the same machine).  Arrow
+    batches end at ``BATCH_BYTES``, unless the session has a bound of its own."""
     ensure_session(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) in (None, "67108864b"):  # Spark's default
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     env = spark.sparkContext.environment
     if PACKAGE_ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (PACKAGE_ROOT, env.get("PYTHONPATH")) if x)

@@ -8,6 +8,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -493,6 +494,18 @@ def test_letters_are_learnt_once_whatever_their_case_and_signs():
     assert short.encode([b"alpha beta, Gamma."]) == encoder.encode([b"alpha beta, Gamma."])
 
 
+def test_python_workers_get_bounded_batches(spark):
+    common.ready(spark)
+    rows = spark.range(0, 24, 1, 1).select(F.expr("repeat('x', 1 << 20)").alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    got = [r.n for r in rows.mapInArrow(sizes, "n long").collect()]
+    assert sum(got) >= 24 << 20 and max(got) <= common.BATCH_BYTES + (2 << 20)
+
+
 # -- 10 WARC ------------------------------------------------------------------
 def test_archives_round_trip(spark, tmp_path):
     big = "WARC/1.1\r\n\r\n" + "é" * 100
