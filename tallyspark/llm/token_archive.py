@@ -17,14 +17,15 @@ file system and a lost executor's retry are covered by its commit protocol.
 
 from __future__ import annotations
 
+import codecs
 import hashlib
+import json
 import re
 import struct
 import sys
 import zlib
 from array import array
-from bisect import bisect_left
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,22 +49,51 @@ LEVEL = 3
 #: Compressed bytes at which a file ends, and of a range of the shuffle.
 FILE_BYTES, RANGE_BYTES = 8 << 20, 32 << 20
 #: Text bytes tokenized together, pieces a worker remembers the ids of (in two
-#: halves), and the longest piece it remembers.
-LEARN_BYTES, CACHE_PIECES, PIECE_CHARS = 1 << 20, 800_000, 32
-
-#: Pieces that the tokenizer is given as one text; longer ones cost it more a
-#: piece.
-JOINED = 16
-
-#: Where the tokenizer never joins: before a run of white space, before the
-#: last white space of a run that something follows, and in texts of Latin
-#: letters (all that LATIN tells from other characters) after a run of them.
-PIECE = re.compile(r"\s+(?!\S)|\s?\S+")
-LATIN = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
-LATIN_PIECE = re.compile(rf" ?[{LATIN}]+| ?[^{LATIN}\s]+[{LATIN}]*|\s+(?!\S)|\s")
-BEYOND_LATIN = re.compile("[^\x00-\xff]")
-#: White space to Python alone.
-ODD_SPACE = "\x1c\x1d\x1e\x1f"
+#: halves), and the longest piece it remembers, in bytes.
+LEARN_BYTES, CACHE_PIECES, PIECE_BYTES = 4 << 20, 800_000, 32
+#: The only tokenizers whose texts are cut; those of others stay whole.
+BYTE_LEVEL = {"normalizer": None, "post_processor": None, "pre_tokenizer": {
+    "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}}
+#: What a byte of UTF-8 belongs to: an unknown character that is no white space;
+#: letters, digits, signs; a space, other white space of one byte; the first and
+#: other bytes of longer white space; a byte that goes by the one before it.
+UNKNOWN, LETTER, DIGIT, SIGN, QUOTE, SPACE, BLANK, WIDE, WIDE_REST, REST = range(10)
+KINDS = np.full(256, UNKNOWN, np.uint8)
+KINDS[:128] = [DIGIT if 48 <= c <= 57 else LETTER if chr(c).isalpha() else SPACE if c == 32 else
+               BLANK if 9 <= c <= 13 else QUOTE if c == 39 else SIGN for c in range(128)]
+KINDS[0x80:0xC0] = REST
+KINDS[[*range(0xC3, 0xCA), 0xD0, 0xD1]] = LETTER  # U+00C0 to U+027F and U+0400 to U+047F, but TIMES
+TIMES = ("\u00d7".encode(), "\u00f7".encode())
+#: White space beyond ASCII, by its first byte.
+WIDE_SPACES = {first: [s.encode() for s in some] for first, some in (
+    (0xC2, "\u0085\u00a0"), (0xE1, "\u1680"), (0xE3, "\u3000"),
+    (0xE2, [*map(chr, range(0x2000, 0x200B)), *"\u2028\u2029\u202f\u205f"]))}
+
+
+def _cut_table() -> np.ndarray:
+    """Of a byte's kind and the next one's (10 x kind + kind): 1 where the
+    tokenizer never joins, 2 where it does not if no white space follows."""
+    out = np.zeros(100, np.uint8)
+    for a in (UNKNOWN, LETTER, DIGIT, SIGN, QUOTE, REST):
+        out[[10 * a + b for b in (SPACE, BLANK, WIDE)]] = 1
+    for a in (SPACE, BLANK, WIDE_REST):
+        out[[10 * a + b for b in (SPACE, BLANK)]] = 2
+    out[[10 * BLANK + b for b in (UNKNOWN, LETTER, DIGIT, SIGN, QUOTE)]] = 1
+    for a, some in ((LETTER, (DIGIT, SIGN, QUOTE)), (DIGIT, (LETTER, SIGN, QUOTE)), (SIGN, (LETTER, DIGIT)),
+                    (QUOTE, (DIGIT,))):  # a quote may join the letters after it
+        out[[10 * a + b for b in some]] = 1
+    return out
+
+
+CUTS = _cut_table()
+#: Pieces the tokenizer does not cut: known letters, digits or ASCII signs, after
+#: one space or none.
+ALONE = re.compile(rb" ?(?:[A-Za-z]*(?:(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc9\xd0\xd1][\x80-\xbf])"
+                   rb"[A-Za-z]*)*|[0-9]+|[!-&(-/:-@\[-`{-~]+)(?<! )")
+#: How byte-level vocabularies write each byte, those that are not printed by
+#: letters from U+0100 on; a line break stays, as it ends a piece here.
+HIDDEN = [*range(33), *range(127, 161), 173]
+WRITTEN = "".join(chr(b if b == 10 or b not in HIDDEN else 256 + HIDDEN.index(b)) for b in range(256))
 
 MAGIC = b"TALLYIDS"
 #: First row's (doc_id is null, doc_id, file, row), dictionary SHA-256, bytes
@@ -75,27 +105,57 @@ SHARD = ("s_none", "s_doc", "s_f", "s_r")
 FRAMES = "doc_id long, __f long, __r long, tokens long, size long, frame binary"
 
 
-def pieces(text: str) -> list[str]:
-    """``text`` cut where no tokenizer of this kind joins."""
-    latin = text.isascii() or not BEYOND_LATIN.search(text)
-    return (LATIN_PIECE if latin else PIECE).findall(text)
+def cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where pieces of the texts that begin at ``starts`` of ``data`` (UTF-8)
+    begin: at places where the tokenizer joins nothing, whatever else the text
+    holds.  These are the ends of letters, of digits and of signs that known
+    characters follow, the start of white space, and its last character."""
+    kind = KINDS[data]
+    rest = np.flatnonzero(kind == REST)
+    if len(rest):
+        kind[rest] = kind[rest - 1]  # right after the first byte; later ones stay REST or get UNKNOWN
+        for char in TIMES:
+            at = rest[(data[rest] == char[1]) & (data[rest - 1] == char[0])]
+            kind[at - 1] = kind[at] = UNKNOWN
+        for first, chars in WIDE_SPACES.items():
+            at = np.flatnonzero(data == first)
+            for char in chars if len(at) else ():
+                found = at[at + len(char) <= len(data)]
+                for i in range(1, len(char)):
+                    found = found[data[found + i] == char[i]]
+                kind[found] = WIDE
+                for i in range(1, len(char)):
+                    kind[found + i] = WIDE_REST
+    first = np.zeros(len(data) + 1, bool)
+    first[starts] = True
+    first[-1] = True
+    rule, begins = CUTS[kind[:-1] * 10 + kind[1:]], first[:-1].copy()
+    begins[1:] |= rule == 1
+    last = np.flatnonzero(rule == 2) + 1  # white space after white space
+    last = last[~first[last + 1]]
+    begins[last[kind[last + 1] < SPACE]] = True
+    return np.flatnonzero(begins)
 
 
 class PieceEncoder:
     """Ids of whole texts with a byte-level tokenizer.  Ids of a text are those
-    of its pieces one after another; pieces seen before come from a bounded
+    of its pieces one after another.  Texts are cut some at a time, and each
+    distinct piece is looked up once: those seen before come from a bounded
     cache of two halves: when the newer one is full it becomes the older one,
     out of which pieces that come up again are taken over.  Texts with a special
-    token's string, or with separators that only Python takes for white space,
-    go to the tokenizer whole."""
+    token's string, and all texts of a tokenizer of another kind, go to the
+    tokenizer whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.marks = [*ODD_SPACE, *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.marks = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        parts = json.loads(self.tokenizer.to_str())
+        self.cut = {k: parts[k] for k in BYTE_LEVEL} == BYTE_LEVEL
+        self.model = self.tokenizer.model
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _bytes(self, ids: list[int]) -> bytes:
         out = array(self.type.char, ids)  # quicker than an ndarray for a few ids
@@ -104,64 +164,61 @@ class PieceEncoder:
         return out.tobytes()
 
     def _ids(self, text: str) -> bytes:
-        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _learn(self, pieces: Iterable[str]) -> None:
-        """Pieces that start with a space are encoded as one text, those without
-        white space as the lines of one, and told apart by offset; others by
-        themselves."""
-        spaced, bare = [], []
-        for p in pieces:
-            if p[0] == " " and len(p) > 1:
-                spaced.append(p)
-            elif len(p.split()) == 1 and not p[0].isspace() and not p[-1].isspace():
-                bare.append(p)
+        return self._bytes(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+
+    def _learn(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of new pieces.  Those that the tokenizer does not cut go right to
+        its model, others to the whole tokenizer."""
+        alone = list(filter(ALONE.fullmatch, pieces)) if self.cut else []
+        texts = codecs.charmap_decode(b"\n".join(alone), "strict", WRITTEN)[0].split("\n")
+        found = {p: self._bytes([t.id for t in self.model.tokenize(text)])
+                 for p, text in zip(alone, texts, strict=False)}  # no piece leaves one empty text
+        return [self._ids(p.decode()) if (ids := found.get(p)) is None else ids for p in pieces]
+
+    def _look_up(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of distinct pieces."""
+        known, older, new = self.known, self.older, []
+        out = list(map(known.get, pieces))
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            if (ids := older.get(p := pieces[i])) is None:
+                new.append(i)
             else:
-                self.known[p] = self._ids(p)
-        for some, between in ((spaced, ""), (bare, "\n")):
-            for at in range(0, len(some), JOINED):
-                part = some[at:at + JOINED]
-                got = self.tokenizer.encode(between.join(part), add_special_tokens=False)
-                starts, ids, size = [o[0] for o in got.offsets], self._bytes(got.ids), self.type.itemsize
-                first, end = 0, 0
-                for p in part:
-                    end += len(p)
-                    last = bisect_left(starts, end, first)
-                    self.known[p] = ids[size * first:size * last]
-                    first, end = last + len(between), end + len(between)  # a line break is one id
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian ids of each text as ``self.type``, END_ID included."""
-        look, found, new = self.known.get, [], set()
-        for t in texts:
-            if any(m in t for m in self.marks):
-                found.append((t, None))
-                continue
-            cut = pieces(t)
-            ids = list(map(look, cut))
-            try:
-                found.append((None, b"".join(ids)))
-            except TypeError:  # a piece that is not known yet
-                new.update([p for p, x in zip(cut, ids) if x is None])
-                found.append((cut, ids))
-        again = {p: self.older[p] for p in new if p in self.older}
-        self.known.update(again)
-        new.difference_update(again)
-        self._learn(new)
-        end, known, out = np.array([END_ID], self.type).tobytes(), self.known, []
-        for cut, ids in found:
-            if ids is None:
-                ids = self._ids(cut)
-            elif cut is not None:
-                ids = b"".join([known[p] if x is None else x for p, x in zip(cut, ids)])
-            out.append(ids + end)
-        for piece in new:
-            if len(piece) > PIECE_CHARS:
-                del self.known[piece]
-        if 2 * len(self.known) > CACHE_PIECES:
-            self.known, self.older = {}, self.known
+                known[p] = out[i] = ids
+        made = [pieces[i] for i in new]
+        for i, p, ids in zip(new, made, self._learn(made), strict=True):
+            out[i] = ids
+            if len(p) <= PIECE_BYTES:
+                known[p] = ids
+        if 2 * len(known) > CACHE_PIECES:
+            self.known, self.older = {}, known
         return out
 
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Little-endian ids of each text as ``self.type``, END_ID included."""
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.large_binary())
+        end = np.array([END_ID], self.type).tobytes()
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        if not len(texts) or offsets[0] == offsets[-1]:
+            return [end] * len(texts)
+        held = texts.buffers()[2].slice(offsets[0], offsets[-1] - offsets[0])
+        data, offsets = np.frombuffer(held, np.uint8), offsets - offsets[0]
+        begins = cuts(data, offsets[:-1]) if self.cut else np.unique(offsets[:-1][offsets[:-1] < len(data)])
+        for a, b in self._marked(held, offsets):
+            begins = begins[(begins <= a) | (begins >= b)]
+        found = pa.Array.from_buffers(pa.large_binary(), len(begins), [
+            None, pa.py_buffer(np.append(begins, len(data)).astype(np.int64)), held]).dictionary_encode()
+        ids = self._look_up(found.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = pa.array(ids, pa.large_binary()).take(found.indices)
+        upto = np.frombuffer(ids.buffers()[1], np.int64)[np.searchsorted(begins, offsets)].tolist()
+        line = memoryview(ids.buffers()[2])
+        return [b"".join((line[a:b], end)) for a, b in zip(upto[:-1], upto[1:], strict=True)]
+
+    def _marked(self, held: pa.Buffer, offsets: np.ndarray) -> list[tuple[int, int]]:
+        """Start and end of each text with a special token's string."""
+        data = held.to_pybytes()
+        return [(a, b) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+                if any(data.find(m, a, b) >= 0 for m in self.marks)] if any(m in data for m in self.marks) else []
+
 
 def encoder(path: str) -> PieceEncoder:
     """This worker's encoder: kept between tasks, so its pieces are too."""
@@ -221,7 +278,7 @@ def train(rows: DataFrame, tokenizer: str, size: int = DICTIONARY_BYTES, docs: i
     sample = common.smallest(short, docs, "h", "__f", "__r").select("text").coalesce(1)
 
     def run(batches):
-        samples = [x for b in batches for x in encoder(tokenizer).encode(b.column(0).to_pylist())]
+        samples = [x for b in batches for x in encoder(tokenizer).encode(b.column(0))]
         if samples:
             yield pa.RecordBatch.from_pydict({"content": [train_on(samples, size)]})
 
@@ -236,7 +293,7 @@ def frames(rows: DataFrame, tokenizer: str, dictionary: Dictionary) -> DataFrame
         encode, pack = encoder(tokenizer), dictionary.compressor()
         for batch in batches:
             for part in in_slices(batch, "text", LEARN_BYTES):
-                ids = encode.encode(part.column("text").to_pylist())
+                ids = encode.encode(part.column("text"))
                 packed = [pack.compress(x) for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in ("doc_id", "__f", "__r")),

@@ -9,6 +9,7 @@ import zlib
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_corpus import ODD, docs_of
@@ -137,6 +138,47 @@ def test_piece_encoder_gives_the_tokenizers_ids(tokenizer):
         assert [np.frombuffer(x, own.type).tolist() for x in own.encode(part)] == want
 
 
+def test_piece_encoder_cuts_any_script_where_the_tokenizer_does(tokenizer):
+    import public_tokenizers
+    own = token_archive.PieceEncoder(public_tokenizers.path(token_archive.TOKENIZER))
+    assert own.cut
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    odd = [*spaces, *"\x00'’“…\u200b\u180e\ufeffжЁ\u0482\u0483ſɏʰʼの中²½×÷ªµ\u0301|<", " ", "\n", "'s", "'re", "a", "Z", "1", ".."]
+    rng = random.Random(2)
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 12))) for alphabet in (odd, [*spaces, *"ab.1'"], " \n\xa0a.")
+             for _ in range(1500)] + ["<|endoftext|> a b", "a  <|endoftext|>"]
+    rng.shuffle(texts)
+    for part in (texts, pa.array(["cut off", *texts])[1:]):
+        want = [x.ids + [2] for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(x, own.type).tolist() for x in own.encode(part)] == want
+
+
+def test_distinct_pieces_are_encoded_once_and_words_by_the_model_alone(tokenizer):
+    import public_tokenizers
+    own = token_archive.PieceEncoder(public_tokenizers.path(token_archive.TOKENIZER))
+    asked = []
+    own.tokenizer = type("Whole", (), {"encode_batch_fast": lambda _, texts, **b: (
+        asked.extend(texts), tokenizer.encode_batch_fast(texts, **b))[1]})()
+    words = ["".join(random.Random(i).choices("abcdeéßж", k=6)) for i in range(300)]
+    texts = [" ".join(w + sign for w in words) + " …" for sign in (",", ".", "!?", ")")]
+    got = [np.frombuffer(x, own.type).tolist() for x in own.encode(texts)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert asked == [" …"]  # not one word, though its text has a sign beyond Latin
+    assert len(own.known) == len({*words}) + 4 + 1  # a word is the same piece whatever sign follows
+    own.model = None
+    assert [np.frombuffer(x, own.type).tolist() for x in own.encode(texts[::-1])] == got[::-1]
+
+
+def test_texts_of_another_kind_of_tokenizer_stay_whole(tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer, pre_tokenizers
+    other = Tokenizer.from_file(public_tokenizers.path(token_archive.TOKENIZER))
+    other.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    other.save(str(tmp_path / "other.json"))
+    own, texts = token_archive.PieceEncoder(str(tmp_path / "other.json")), ["", "of the thing, 12 of", "", "a\n\n b", ""]
+    assert [np.frombuffer(x, own.type).tolist() for x in own.encode(texts)] == [other.encode(t).ids + [2] for t in texts]
+
+
 @pytest.mark.parametrize("limit", [token_archive.FILE_BYTES, 300])
 def test_archive_round_trip(spark, tmp_path, tokenizer, limit):
     texts = ODD + [f"document {i} says {'so ' * (i % 40)}" for i in range(120)]
